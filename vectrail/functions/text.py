@@ -38,6 +38,9 @@ STEM_RULES = {
     ),
 }
 
+# Ranks that are equal in exact arithmetic tie after this rounding.
+RANK_DECIMALS = 12
+
 WORD_GAP = r"[^\p{L}\p{N}]+"
 
 # Every white-space character, the line ends and wide spaces included.
@@ -99,7 +102,7 @@ def rank(doc_lexemes: Column, terms: Column) -> Column:
         terms, lambda t: saturation(F.size(F.filter(doc_lexemes, lambda w: w == t)))
     )
     total = F.aggregate(shares, F.lit(0.0), lambda acc, x: acc + x)
-    return F.try_divide(total, F.size(terms).cast("double"))
+    return F.round(F.try_divide(total, F.size(terms).cast("double")), RANK_DECIMALS)
 
 
 def saturation(tf: Column) -> Column:
@@ -123,10 +126,12 @@ def _occurrences(text: Column, term: str, language: str) -> Column:
     pattern = rf"(?:^|[^\p{{L}}\p{{N}}])({lead}[\p{{L}}\p{{N}}]+)"
     found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1))
     stops = [w for w in stop_words(language) if w.startswith(lead)]
-    keep = (lambda w: stem(w, language) == term) if not stops else (
-        lambda w: (stem(w, language) == term) & ~w.isin(stops)
-    )
-    return F.filter(found, keep)
+
+    def counts(word: Column) -> Column:
+        same = stem(word, language) == term
+        return same & ~word.isin(stops) if stops else same
+
+    return F.filter(found, counts)
 
 
 def may_match(text: Column, terms: Sequence[str]) -> Column:
@@ -149,13 +154,9 @@ def constant_rank(text: Column, terms: Sequence[str], language: str = "french")
     """``rank`` for terms known when the query is built; NULL without a match."""
     if not terms:
         return F.lit(None).cast("double")
-    shares = F.array(
-        *[saturation(F.size(_occurrences(text, term, language))) for term in terms]
-    )
-    total = F.aggregate(
-        shares, F.lit(0.0), lambda acc, x: acc + F.when(x > 0, x)
-    )
-    return total / F.lit(float(len(terms)))
+    shares = F.array(*[saturation(F.size(_occurrences(text, term, language))) for term in terms])
+    total = F.aggregate(shares, F.lit(0.0), lambda acc, x: acc + F.when(x > 0, x))
+    return F.round(total / F.lit(float(len(terms))), RANK_DECIMALS)
 
 
 # ---------------------------------------------------------------- query modes

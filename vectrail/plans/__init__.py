@@ -1,2 +1,2 @@
-from vectrail.plans import searches, vectors
+from vectrail.plans import analytics, profiles, scans
 from vectrail.plans.registry import ORACLES, QUERIES

@@ -50,7 +50,8 @@ def terms_sql(text: str, language: str) -> str:
 def ranked(words: str, language: str) -> str:
     """Documents that hold every term of ``words``, with their rank."""
     return f"""
-        SELECT doc_id, lang, list_sum(list_transform(tf, lambda n: n / (n + 1.0))) / len(tf) AS rank
+        SELECT doc_id, lang,
+               round(list_sum(list_transform(tf, lambda n: n / (n + 1.0))) / len(tf), 12) AS rank
         FROM (SELECT doc_id, lang,
                      list_transform(terms, lambda t: len(list_filter(lex, lambda w: w = t))) AS tf
               FROM (SELECT doc_id, lang, {lexemes_sql('text', language)} AS lex,

@@ -275,7 +275,8 @@ def search_routed_text(spark, folder):
     return found.select("id", "mode", tidy(F.col("text_rank")).alias("text_rank"))
 
 
-_LONG_QUERY = "Quelle est la ment, et la tion ?"
+# More than fifty characters, so it is routed to hybrid search.
+_LONG_QUERY = "ment tion, la ment et la tion: ment ment ment tion tion tion ?"
 
 
 @query(
@@ -401,9 +402,22 @@ def top_k_per_query(spark, folder):
     return longs(top.select("label", "vec_id", "position"), ["label", "position"])
 
 
+# The third and fourth word of every document ask for the documents that hold both.
+_PAIRS_SQL = f"""
+    SELECT doc_id AS query_id, array_to_string(list_slice({L.words_sql('text')}, 3, 4), ' ') AS query
+    FROM documents
+"""
+
+
+def _word_pairs(spark, folder):
+    pair = F.array_join(F.slice(text.words(F.col("text")), 3, 2), " ")
+    return load(spark, folder, "documents").select(
+        F.col("doc_id").alias("query_id"), pair.alias("query")
+    )
+
+
 _BATCH_TEXT_SQL = f"""
-    WITH asked AS (SELECT query_id, {L.terms_sql('query', 'french')} AS terms
-                   FROM ({_LOG_SQL}) ),
+    WITH asked AS (SELECT query_id, {L.terms_sql('query', 'french')} AS terms FROM ({_PAIRS_SQL})),
     docs AS (SELECT doc_id AS id, {L.lexemes_sql('text', 'french')} AS lex FROM documents),
     pairs AS (SELECT query_id, id, t, count(*) AS tf, any_value(len(terms)) AS n
               FROM (SELECT query_id, terms, unnest(terms) AS t FROM asked)
@@ -424,7 +438,7 @@ _BATCH_TEXT_SQL = f"""
     """,
 )
 def batch_text_search(spark, folder):
-    found = batch.batch_text_search(_log(spark, folder), _texts(spark, folder))
+    found = batch.batch_text_search(_word_pairs(spark, folder), _texts(spark, folder))
     return longs(
         found.select("query_id", "id", tidy(F.col("text_rank")).alias("text_rank"), "position"),
         ["position"],

@@ -20,16 +20,17 @@ def embed_new_rows(
     key: str,
     vector_column: str = "embedding",
     reuse: bool = False,
+    files: str = "*.parquet",
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
-    """Embed the files added to ``source`` since the last run, then stop.
+    """Embed the parquet files added to ``source`` since the last run, then stop.
 
     The checkpoint remembers what was read, so every row is embedded once.
     Without ``reuse`` the file sink commits each batch exactly once.  With it
     equal texts of a batch share one model call, and a batch that is run again
     replaces its own folder.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = reader.parquet(source)
