@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectrail.functions import kernels, text, vector
+from vectrail.functions.time import recent
 from vectrail.operators.skew import salted_lookup
 
 
@@ -176,11 +177,6 @@ def article_text(title: Column, content: Column, max_chars: int = 8000) -> Colum
     return F.substring(joined, 1, max_chars)
 
 
-def recent(time_ms: Column, as_of_ms: int, days: int) -> Column:
-    """Within the last ``days`` before ``as_of_ms``."""
-    return time_ms > F.lit(as_of_ms - days * 86_400_000)
-
-
 def backfill(
     df: DataFrame,
     embedder: Embedder,

@@ -32,13 +32,13 @@ def table_scan_by_name(spark, folder):
 
 @query(
     "a2_select_columns",
-    "SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 2) AS net FROM lineitem WHERE l_tax > 0.05",
+    "SELECT l_orderkey, l_linenumber, l_extendedprice * (1 - l_discount) AS net FROM lineitem WHERE l_tax > 0.05",
 )
 def select_columns(spark, folder):
     return read_table(
         spark,
         f"{folder}/lineitem.parquet",
-        ["l_orderkey", "l_linenumber", "round(l_extendedprice * (1 - l_discount), 2) AS net"],
+        ["l_orderkey", "l_linenumber", "l_extendedprice * (1 - l_discount) AS net"],
         "l_tax > 0.05",
     )
 
