@@ -1,9 +1,9 @@
 """Search and vector analytics on Spark DataFrames."""
 
-from pyspark import cloudpickle
+import sys
 
-from vectrail.functions import kernels
+from pyspark import cloudpickle
 
-# Executors get the batch helpers with the job, so the package need not be
-# installed on them.
-cloudpickle.register_pickle_by_value(kernels)
+# Batch functions travel to the executors with the job, so the package need
+# not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -119,7 +119,7 @@ def _hash_chunk(words: pa.Array, dims: int) -> pa.Array:
     cells = np.repeat(np.arange(n), lengths) * dims + (slots[codes] if len(codes) else 0)
     weights = signs[codes] if len(codes) else np.empty(0)
     dense = np.bincount(cells.astype(np.int64), weights=weights, minlength=n * dims)
-    dense = dense.reshape(n, dims)
+    dense = dense.astype(np.float64).reshape(n, dims)  # integers if there was no word
     lengths_2 = np.linalg.norm(dense, axis=1, keepdims=True)
     dense = np.divide(dense, lengths_2, out=np.zeros_like(dense), where=lengths_2 > 0)
     offsets = pa.array(np.arange(n + 1, dtype=np.int32) * dims)

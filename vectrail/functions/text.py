@@ -7,37 +7,43 @@ manner of Harman 1991 and Savoy 1999).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import lru_cache
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Suffix rules (pattern, replacement), applied in this order.
-# No rule touches more than the last letter of its result, so a term without
-# its last letter is always a prefix of the word it came from.
+# Suffix rules (what must stand before, suffixes, replacement),
+# applied in this order.  No rule touches more than the last letter of its
+# result, so a term without its last letter always begins the word it came from.
 STEM_RULES = {
     "french": (
-        ("^(.+)eaux$", "$1eau"),
-        ("^(.{2,})aux$", "$1al"),
-        ("^(.{3,})[sx]$", "$1"),
-        ("^(.{4,})r$", "$1"),
-        ("^(.{3,})e$", "$1"),
-        ("^(.{3,})é$", "$1"),
+        (".+", ("eaux",), "eau"),
+        (".{2,}", ("aux",), "al"),
+        (".{3,}", ("s", "x"), ""),
+        (".{4,}", ("r",), ""),
+        (".{3,}", ("e",), ""),
+        (".{3,}", ("é",), ""),
     ),
     "english": (
-        ("^(.*[^ea])ies$", "$1y"),
-        ("^(.*[^aeo])es$", "$1e"),
-        ("^(.*[^us])s$", "$1"),
-    ),
-    "german": (("^(.{4,}?)(?:ern|em|en|er|es|e|n|s)$", "$1"),),
-    "spanish": (
-        ("^(.{3,}?)(?:es|s)$", "$1"),
-        ("^(.{3,})[aeo]$", "$1"),
+        (".*[^ea]", ("ies",), "y"),
+        (".*[^aeo]", ("es",), "e"),
+        (".*[^us]", ("s",), ""),
     ),
+    "german": ((".{4,}?", ("ern", "em", "en", "er", "es", "e", "n", "s"), ""),),
+    "spanish": ((".{3,}?", ("es", "s"), ""), (".{3,}", ("a", "e", "o"), "")),
 }
 
+
+def stem_patterns(language: str) -> list[tuple[str, str]]:
+    """The suffix rules as (pattern with one group, text after the group)."""
+    return [
+        (f"^({before})(?:{'|'.join(suffixes)})$", replacement)
+        for before, suffixes, replacement in STEM_RULES[language]
+    ]
+
+
 # Ranks that are equal in exact arithmetic tie after this rounding.
 RANK_DECIMALS = 12
 
@@ -72,11 +78,45 @@ def words(text: Column) -> Column:
 
 def stem(word: Column, language: str = "french") -> Column:
     """Cut the suffixes of one word."""
-    for pattern, replacement in STEM_RULES[language]:
-        word = F.regexp_replace(word, pattern, replacement)
+    for pattern, replacement in stem_patterns(language):
+        word = F.regexp_replace(word, pattern, f"$1{replacement}")
     return word
 
 
+def forms(term: Column, language: str = "french") -> Column:
+    """Every word that can have this term, found by undoing the suffix rules.
+
+    Some entries may have another term; check them with ``stem``.
+    The number of entries depends on the rules alone, not on the texts.
+    """
+    found = F.array(term)
+    for _, suffixes, replacement in reversed(STEM_RULES[language]):
+        found = F.flatten(F.transform(found, _undo(suffixes, replacement)))
+        found = F.filter(found, lambda word: word.isNotNull())
+    return F.array_distinct(found)
+
+
+def _undo(suffixes: Sequence[str], replacement: str):
+    def longer(word: Column) -> Column:
+        kept = F.substring(word, F.lit(1), F.char_length(word) - len(replacement))
+        cut = word.endswith(replacement)
+        return F.array(word, *[F.when(cut, F.concat(kept, F.lit(s))) for s in suffixes])
+
+    return longer
+
+
+def word_forms(terms: DataFrame, term: str, word: str, language: str = "french") -> DataFrame:
+    """Add ``word``: one row per word that has the term and is no stop word.
+
+    Lexing a large corpus for given terms is then a join on the plain word;
+    no suffix rule runs on the corpus.
+    """
+    return terms.withColumn(word, F.explode(forms(F.col(term), language))).filter(
+        ~F.col(word).isin(*stop_words(language))
+        & (stem(F.col(word), language) == F.col(term))
+    )
+
+
 def lexemes(text: Column, language: str = "french") -> Column:
     """Terms of a text in order, repeats kept."""
     stops = list(stop_words(language))
@@ -105,36 +145,40 @@ def rank(doc_lexemes: Column, terms: Column) -> Column:
     return F.round(F.try_divide(total, F.size(terms).cast("double")), RANK_DECIMALS)
 
 
+def rank_of_counts(counts: Column, terms: Column) -> Column:
+    """``rank`` from a map of term to count; NULL when a term is absent."""
+    total = F.aggregate(
+        terms, F.lit(0.0), lambda acc, t: acc + saturation(F.try_element_at(counts, t))
+    )
+    return F.round(F.try_divide(total, F.size(terms).cast("double")), RANK_DECIMALS)
+
+
 def saturation(tf: Column) -> Column:
     tf = tf.cast("double")
     return tf / (tf + F.lit(1.0))
 
 
-def constant_terms(spark: SparkSession, query: str, language: str = "french") -> list[str]:
-    """Terms of one query text, worked out once by the same expression."""
-    row = spark.range(1).select(query_terms(F.lit(query), language).alias("terms")).first()
-    return list(row["terms"])
-
-
-def _occurrences(text: Column, term: str, language: str) -> Column:
-    """Words of ``text`` whose term is ``term``.
-
-    Only words that begin with the unchanged part of the term are cut out of
-    the text, so the other words are never lexed.
-    """
-    lead = term[:-1]
-    pattern = rf"(?:^|[^\p{{L}}\p{{N}}])({lead}[\p{{L}}\p{{N}}]+)"
-    found = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(1))
-    stops = [w for w in stop_words(language) if w.startswith(lead)]
+def constant_terms(
+    spark: SparkSession, query: str, language: str = "french"
+) -> dict[str, list[str]]:
+    """Terms of one query text, each with the words that have it."""
+    terms = spark.range(1).select(
+        F.explode_outer(query_terms(F.lit(query), language)).alias("term")
+    )
+    rows = word_forms(terms, "term", "word", language).collect()
+    found: dict[str, list[str]] = {}
+    for row in rows:
+        found.setdefault(row["term"], []).append(row["word"])
+    return {term: sorted(found[term]) for term in sorted(found)}
 
-    def counts(word: Column) -> Column:
-        same = stem(word, language) == term
-        return same & ~word.isin(stops) if stops else same
 
-    return F.filter(found, counts)
+def _occurrences(text: Column, forms: Sequence[str]) -> Column:
+    """How often any of the words stands in a text; the text is not lexed."""
+    pattern = rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(forms)})(?![\p{{L}}\p{{N}}])"
+    return F.regexp_count(F.lower(text), F.lit(pattern))
 
 
-def may_match(text: Column, terms: Sequence[str]) -> Column:
+def may_match(text: Column, terms: Mapping[str, Sequence[str]]) -> Column:
     """Cheap necessary condition: the unchanged part of every term occurs."""
     condition = F.lit(bool(terms))
     for term in terms:
@@ -142,19 +186,19 @@ def may_match(text: Column, terms: Sequence[str]) -> Column:
     return condition
 
 
-def constant_match(text: Column, terms: Sequence[str], language: str = "french") -> Column:
-    """``matches`` for terms known when the query is built."""
+def constant_match(text: Column, terms: Mapping[str, Sequence[str]]) -> Column:
+    """``matches`` for the terms of ``constant_terms``."""
     condition = may_match(text, terms)
-    for term in terms:
-        condition = condition & (F.size(_occurrences(text, term, language)) > 0)
+    for forms in terms.values():
+        condition = condition & (_occurrences(text, forms) > 0)
     return condition
 
 
-def constant_rank(text: Column, terms: Sequence[str], language: str = "french") -> Column:
-    """``rank`` for terms known when the query is built; NULL without a match."""
+def constant_rank(text: Column, terms: Mapping[str, Sequence[str]]) -> Column:
+    """``rank`` for the terms of ``constant_terms``; NULL without a match."""
     if not terms:
         return F.lit(None).cast("double")
-    shares = F.array(*[saturation(F.size(_occurrences(text, term, language))) for term in terms])
+    shares = F.array(*[saturation(_occurrences(text, forms)) for forms in terms.values()])
     total = F.aggregate(shares, F.lit(0.0), lambda acc, x: acc + F.when(x > 0, x))
     return F.round(total / F.lit(float(len(terms))), RANK_DECIMALS)
 

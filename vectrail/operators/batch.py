@@ -156,40 +156,47 @@ def batch_text_search(
     key: str = "id",
     content: str = "content",
     language: str = "french",
-    broadcast_queries: int = 100_000,
+    max_shared_bytes: int = MAX_SHARED_BYTES,
 ) -> DataFrame:
     """The k best texts of every query.
 
-    Each text is lexed once and meets only the queries whose longest term it
-    holds; the other terms are checked in the join itself.  Matches are cut to
-    k per query in every task before they are shuffled.
+    Texts become counts of the words that some query asks for.  Each text then
+    meets only the queries whose rarest term it holds; the other terms are
+    looked up in its own counts, in the same task.  Matches are cut to k per
+    query in every task before they are shuffled.
     """
-    asked = (
-        queries.select(query_key, text.query_terms(F.col(query), language).alias("_terms"))
-        .filter(F.size("_terms") > 0)
-        .withColumn(
-            "_lead",
-            F.get(
-                F.array_sort(
-                    F.transform(
-                        F.col("_terms"), lambda t: F.struct((-F.char_length(t)).alias("n"), t.alias("t"))
-                    )
-                ),
-                F.lit(0),
-            )["t"],
-        )
+    asked = queries.select(
+        query_key, text.query_terms(F.col(query), language).alias("_terms")
+    ).filter(F.size("_terms") > 0)
+    size = asked.agg(F.sum(F.octet_length(F.concat_ws(" ", "_terms")) + 64).alias("b")).first()["b"]
+    share = F.broadcast if (size or 0) <= max_shared_bytes else (lambda df: df)
+
+    vocabulary = asked.select(F.explode("_terms").alias("_term")).distinct()
+    words = share(text.word_forms(vocabulary, "_term", "_word", language))
+    postings = (
+        corpus.select(key, F.explode(F.split(F.lower(F.col(content)), text.WORD_GAP)).alias("_word"))
+        .join(words, "_word")
+        .groupBy(key, "_term")
+        .agg(F.count("*").alias("_tf"))
+    )
+    # Counting the counts, not the rows, keeps both uses of the postings alike,
+    # so Spark works them out once.
+    holders = postings.groupBy("_term").agg(F.count_if(F.col("_tf") > 0).alias("_df"))
+    rarest = (
+        asked.select(query_key, F.explode("_terms").alias("_term"))
+        .join(holders, "_term")
+        .groupBy(query_key)
+        .agg(F.min_by("_term", F.struct("_df", "_term")).alias("_lead"))
     )
-    docs = corpus.select(key, text.lexemes(F.col(content), language).alias("_lex")).withColumn(
-        "_lead", F.explode(F.array_distinct("_lex"))
+    counts = postings.groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("_term", "_tf"))).alias("_tfs")
     )
-    # Only words that lead some query go on, so a text is not copied per word.
-    leads = asked.select("_lead").distinct()
-    if asked.limit(broadcast_queries + 1).count() <= broadcast_queries:
-        asked, leads = F.broadcast(asked), F.broadcast(leads)
-    hits = docs.join(leads, "_lead", "left_semi").join(asked, "_lead")
-    ranked = hits.filter(text.matches(F.col("_lex"), F.col("_terms"))).select(
-        query_key, key, text.rank(F.col("_lex"), F.col("_terms")).alias("text_rank")
+    hits = counts.withColumn("_lead", F.explode(F.map_keys("_tfs"))).join(
+        share(asked.join(rarest, query_key)), "_lead"
     )
+    ranked = hits.select(
+        query_key, key, text.rank_of_counts(F.col("_tfs"), F.col("_terms")).alias("text_rank")
+    ).filter(F.col("text_rank").isNotNull())
     return top_per_group(ranked, [query_key], [F.col("text_rank").desc(), F.col(key).asc()], k)
 
 

@@ -102,15 +102,15 @@ def text_search(
 ) -> DataFrame:
     """The k texts that hold every query term, best rank first."""
     terms = text.constant_terms(df.sparkSession, query, language)
-    return _ranked_matches(df, terms, content, k, key, language, rank_name)
+    return _ranked_matches(df, terms, content, k, key, rank_name)
 
 
-def _ranked_matches(df, terms, content, k, key, language, rank_name) -> DataFrame:
+def _ranked_matches(df, terms, content, k, key, rank_name) -> DataFrame:
     # The rank is NULL without a match.  Filtering it after the limit keeps the
     # optimizer from working it out twice; NULLs sort last, so nothing is lost.
     return (
         df.filter(text.may_match(F.col(content), terms))
-        .withColumn(rank_name, text.constant_rank(F.col(content), terms, language))
+        .withColumn(rank_name, text.constant_rank(F.col(content), terms))
         .orderBy(F.desc_nulls_last(rank_name), key)
         .limit(k)
         .filter(F.col(rank_name).isNotNull())
@@ -195,7 +195,7 @@ def filtered_vector_search(
     """Vector search among all the rows whose text matches; no score is mixed in."""
     terms = text.constant_terms(df.sparkSession, query, language)
     return vector_search(
-        df.filter(text.constant_match(F.col(content), terms, language)),
+        df.filter(text.constant_match(F.col(content), terms)),
         query_vector,
         k,
         **options,

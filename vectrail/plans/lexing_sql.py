@@ -9,7 +9,7 @@ from functools import lru_cache
 
 import pyspark
 
-from vectrail.functions.text import STEM_RULES
+from vectrail.functions.text import stem_patterns
 
 
 @lru_cache(maxsize=None)
@@ -31,9 +31,8 @@ def words_sql(text: str) -> str:
 
 
 def stem_sql(word: str, language: str) -> str:
-    for pattern, replacement in STEM_RULES[language]:
-        target = replacement.replace("$1", "\\1")
-        word = f"regexp_replace({word}, '{pattern}', '{target}')"
+    for pattern, replacement in stem_patterns(language):
+        word = f"regexp_replace({word}, '{pattern}', '\\1{replacement}')"
     return word
 
 

@@ -54,7 +54,7 @@ def null_tests(spark, folder):
 
 @query(
     "c4_recent_rows",
-    f"SELECT event_id, epoch_ms(ts) AS ms FROM events WHERE epoch_ms(ts) > {AS_OF_MS} - 7 * 86400000",
+    f"SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events WHERE epoch_us(ts) // 1000 > {AS_OF_MS} - 7 * 86400000",
 )
 def recent_rows(spark, folder):
     events = load(spark, folder, "events").withColumn("ms", epoch_ms(F.col("ts")))

@@ -90,7 +90,7 @@ AS_OF_MS = 1_706_659_200_000  # 2024-01-31 00:00:00 UTC
 @query(
     "x10_times",
     f"""
-    SELECT event_id, epoch_ms(ts) AS ms, ({AS_OF_MS} - epoch_ms(ts)) / 1000.0::DOUBLE AS age_seconds,
+    SELECT event_id, epoch_us(ts) // 1000 AS ms, ({AS_OF_MS} - epoch_us(ts) // 1000) / 1000.0::DOUBLE AS age_seconds,
            ts < now()::TIMESTAMP AS past
     FROM events
     """,

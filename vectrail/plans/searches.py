@@ -404,13 +404,15 @@ def top_k_per_query(spark, folder):
 
 # The third and fourth word of every document ask for the documents that hold both.
 _PAIRS_SQL = f"""
-    SELECT doc_id AS query_id, array_to_string(list_slice({L.words_sql('text')}, 3, 4), ' ') AS query
+    SELECT doc_id AS query_id,
+           array_to_string(list_slice(regexp_split_to_array(lower(text), '{text.WORD_GAP}'), 3, 4), ' ') AS query
     FROM documents
 """
 
 
 def _word_pairs(spark, folder):
-    pair = F.array_join(F.slice(text.words(F.col("text")), 3, 2), " ")
+    # Splitting stops after the pieces that are needed.
+    pair = F.array_join(F.slice(F.split(F.lower("text"), text.WORD_GAP, 6), 3, 2), " ")
     return load(spark, folder, "documents").select(
         F.col("doc_id").alias("query_id"), pair.alias("query")
     )
