@@ -24,14 +24,14 @@ def matrix(vectors: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """
     n = len(vectors)
     out = np.full((n, width), np.nan)
-    lengths = np.diff(vectors.offsets.to_numpy())
-    valid = np.asarray(vectors.is_valid()) & (lengths == width)
-    if valid.all():
-        flat = vectors.flatten()
-        out[:] = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, width)
-    elif valid.any():
-        flat = vectors.filter(pa.array(valid)).flatten()
-        out[valid] = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+    valid = np.asarray(vectors.is_valid()) & (np.diff(vectors.offsets.to_numpy()) == width)
+    flat = (vectors if valid.all() else vectors.filter(pa.array(valid))).flatten()
+    out[valid] = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
+    if flat.null_count:
+        holes = np.asarray(flat.is_null()).reshape(-1, width).any(axis=1)
+        broken = np.flatnonzero(valid)[holes]
+        valid[broken] = False
+        out[broken] = np.nan
     return out, valid
 
 

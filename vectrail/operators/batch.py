@@ -196,8 +196,11 @@ def batch_text_search(
     )
     ranked = hits.select(
         query_key, key, text.rank_of_counts(F.col("_tfs"), F.col("_terms")).alias("text_rank")
-    ).filter(F.col("text_rank").isNotNull())
-    return top_per_group(ranked, [query_key], [F.col("text_rank").desc(), F.col(key).asc()], k)
+    )
+    # A pair without a match has no rank and sorts last.  It is dropped after
+    # the cut, since a filter before it would work every rank out twice.
+    order = [F.desc_nulls_last("text_rank"), F.col(key).asc()]
+    return top_per_group(ranked, [query_key], order, k).filter(F.col("text_rank").isNotNull())
 
 
 def batch_hybrid_search(

@@ -28,9 +28,8 @@ def query(name: str, sql: str | None = None):
 
 
 def tidy(value: Column, places: int = 6) -> Column:
-    """Round for comparison, without a negative zero."""
-    rounded = F.round(value, places)
-    return F.when(rounded == 0, F.lit(0.0)).otherwise(rounded)
+    """Round for comparison; adding zero turns a negative zero into zero."""
+    return F.round(value, places) + F.lit(0.0)
 
 
 def tidy_sql(value: str, places: int = 6) -> str:

@@ -85,6 +85,5 @@ def match_and_rank(spark, folder):
 )
 def constant_rank(spark, folder):
     terms = text.constant_terms(spark, "tion")
-    docs = load(spark, folder, "documents").filter(text.may_match(F.col("text"), terms))
-    ranked = docs.select("doc_id", tidy(text.constant_rank(F.col("text"), terms)).alias("rank"))
-    return ranked.filter(F.col("rank").isNotNull())
+    docs = load(spark, folder, "documents").filter(text.constant_match(F.col("text"), terms))
+    return docs.select("doc_id", tidy(text.constant_rank(F.col("text"), terms)).alias("rank"))
