@@ -19,7 +19,7 @@ def stop_words(language: str) -> tuple[str, ...]:
     jar = glob.glob(os.path.join(home, "jars", "spark-mllib_*.jar"))[0]
     with zipfile.ZipFile(jar) as archive:
         name = f"org/apache/spark/ml/feature/stopwords/{language}.txt"
-        return tuple(archive.read(name).decode("utf-8").split("\n"))
+        return tuple(archive.read(name).decode("utf-8").split())
 
 
 def _quoted(word: str) -> str:
@@ -37,7 +37,7 @@ def stem_sql(word: str, language: str) -> str:
 
 
 def lexemes_sql(text: str, language: str) -> str:
-    stops = ", ".join(_quoted(w) for w in stop_words(language) if w.strip())
+    stops = ", ".join(_quoted(w) for w in stop_words(language))
     kept = f"list_filter({words_sql(text)}, lambda w: w NOT IN ({stops}))"
     return f"list_transform({kept}, lambda w: {stem_sql('w', language)})"
 
