@@ -91,16 +91,20 @@ class Nearest:
                     yield i, key, float(dist)
 
 
-def bucket_and_sign(word: str, dims: int) -> tuple[int, float]:
-    """Slot and sign of a word, both from its digest."""
-    digest = hashlib.md5(word.encode("utf-8")).hexdigest()
-    return int(digest[:8], 16) % dims, 1.0 if int(digest[8], 16) < 8 else -1.0
+def buckets_and_signs(words: list[str], dims: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slot and sign of each word, both from its digest; the empty word counts nothing."""
+    digests = b"".join(hashlib.md5(word.encode("utf-8")).digest() for word in words)
+    table = np.frombuffer(digests, dtype=np.uint8).reshape(-1, 16)
+    slots = np.ascontiguousarray(table[:, :4]).view(">u4").ravel().astype(np.int64) % dims
+    signs = np.where(table[:, 4] < 128, 1.0, -1.0)
+    signs[[i for i, word in enumerate(words) if not word]] = 0.0
+    return slots, signs
 
 
 def hash_words(words: pa.Array, dims: int, rows_at_once: int = 1024) -> pa.Array:
     """Feature-hashed unit vectors (Weinberger et al. 2009) of word lists.
 
-    A NULL list gives NULL; a list without words gives the zero vector.
+    A NULL list gives NULL; a list without words, or of empty ones, the zero vector.
     """
     parts = []
     for start in range(0, len(words), rows_at_once):
@@ -112,13 +116,11 @@ def _hash_chunk(words: pa.Array, dims: int) -> pa.Array:
     n = len(words)
     flat = words.flatten().dictionary_encode()
     lengths = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    table = [bucket_and_sign(word, dims) for word in flat.dictionary.to_pylist()]
-    slots = np.array([slot for slot, _ in table], dtype=np.int64)
-    signs = np.array([sign for _, sign in table], dtype=np.float64)
+    slots, signs = buckets_and_signs(flat.dictionary.to_pylist(), dims)
     codes = flat.indices.to_numpy()
-    cells = np.repeat(np.arange(n), lengths) * dims + (slots[codes] if len(codes) else 0)
-    weights = signs[codes] if len(codes) else np.empty(0)
-    dense = np.bincount(cells.astype(np.int64), weights=weights, minlength=n * dims)
+    cells = np.repeat(np.arange(n), lengths) * dims + slots[codes]
+    weights = signs[codes]
+    dense = np.bincount(cells, weights=weights, minlength=n * dims)
     dense = dense.astype(np.float64).reshape(n, dims)  # integers if there was no word
     lengths_2 = np.linalg.norm(dense, axis=1, keepdims=True)
     dense = np.divide(dense, lengths_2, out=np.zeros_like(dense), where=lengths_2 > 0)

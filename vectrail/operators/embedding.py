@@ -30,10 +30,9 @@ class Embedder:
 
     def column(self, texts: Column) -> Column:
         """Vector of a text column: NULL stays NULL, blank gives the zero vector."""
-        trimmed = text.trim_all(texts)
         if self.model is None:
-            return _hashed(self.dims)(text.words(trimmed))
-        return _modelled(self)(trimmed)
+            return _hashed(self.dims)(F.split(F.lower(texts), text.WORD_GAP))
+        return _modelled(self)(text.trim_all(texts))
 
 
 def _hashed(dims: int):
