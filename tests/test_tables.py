@@ -89,6 +89,13 @@ def test_numbers_are_dense_and_ordered(spark, buckets):
     assert ordered == list(range(10, 3010))
 
 
+def test_hot_value_is_split_by_the_ties(spark):
+    df = spark.range(5000).select("id", F.lit(1).alias("n"))
+    cut = skew.bucket_of(df, ["n", "id"], skew.bucket_bounds(df, ["n", "id"], 10))
+    largest = df.groupBy(cut).count().agg(F.max("count")).first()[0]
+    assert largest < 1000
+
+
 def test_hot_keys_are_split_and_nothing_is_lost(spark):
     big = spark.range(9000).select(
         "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key")
@@ -101,7 +108,7 @@ def test_hot_keys_are_split_and_nothing_is_lost(spark):
 
 def test_running_windows_equal_plain_windows(spark, folder):
     events = load(spark, folder, "events").select(
-        "event_id", "ts", "value", (F.col("user_id") % 3).alias("user")
+        "event_id", "ts", "value", F.nullif(F.col("user_id") % 3, F.lit(2)).alias("user")
     )
     done = skew.running_windows(events, "user", ["ts", "event_id"], "value", F.to_date("ts"))
     w = W.partitionBy("user").orderBy("ts", "event_id")
@@ -121,6 +128,29 @@ def test_running_windows_equal_plain_windows(spark, folder):
     assert wrong.count() == 0
 
 
+def test_sliced_ranks_and_frames_equal_plain_windows(spark):
+    # a third of the rows share one key, and many share one value
+    df = spark.range(3000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).alias("k"),
+        (F.col("id") * 7 % 100).alias("n"),
+    )
+    band = F.floor(F.col("n") / 10)
+    w = W.partitionBy("k").orderBy("n")
+    ranked = skew.sliced_ranks(df, "k", ["n"], band)
+    plain = df.select("id", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
+    both = ranked.join(plain, "id")
+    assert both.count() == 3000
+    assert both.filter("r != rank or d != dense_rank").count() == 0
+    exact = W.partitionBy("k").orderBy("n", "id")
+    placed = skew.running_windows(df, "k", ["n", "id"], "n", band)
+    framed = skew.framed_mean(placed, "k", "position", "n", 2)
+    plain = df.select("id", F.avg("n").over(exact.rowsBetween(-2, 0)).alias("m"))
+    both = framed.join(plain, "id")
+    assert both.count() == 3000
+    assert both.filter("abs(m - mean) > 1e-9").count() == 0
+
+
 def test_profile_of_nulls_and_sketch(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (2, "a")], "n int, s string")
     rows = {r["column_name"]: r for r in profile.table_profile({"t": df}).collect()}

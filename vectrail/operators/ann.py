@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from vectrail.functions import vector
 from vectrail.operators.search import vector_search
+from vectrail.session import work_path
+from vectrail.sources.tables import write_table
 
 # Rows per list that the list centres are learnt from.
 TRAIN_ROWS_PER_LIST = 256
@@ -50,26 +52,37 @@ def ivf_build(
         point.isNotNull() & (F.size(point) > 0)
     )
     points = pointed.withColumn("_features", array_to_vector(point))
-    # Spread by a digest of the key: the same rows on every run and re-run.
-    share = min(1.0, TRAIN_ROWS_PER_LIST * lists / max(1, df.count()))
-    sample = points.filter(
-        F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000) + 1
+    n = max(1, df.count())
+    share = min(1.0, TRAIN_ROWS_PER_LIST * lists / n)
+    # Drawn by a digest of the key: the same rows on every run and re-run.
+    # Stored, because k-means reads its input many times.
+    spark = df.sparkSession
+    million = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000))
+    drawn = points.filter(million < int(share * 1_000_000) + 1).select("_point")
+    sample = write_table(drawn, work_path(spark, "sample")).select(
+        array_to_vector(F.col("_point")).alias("_features")
     )
     model = KMeans(
         k=lists, seed=seed, maxIter=10, featuresCol="_features", predictionCol="list_id"
-    ).fit(sample.select("_features"))
-    spark = df.sparkSession
+    ).fit(sample)
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     spark.createDataFrame(centres, "list_id int, centre array<double>").write.parquet(
         f"{path}/centres"
     )
-    assigned = model.transform(points).drop("_point", "_features")
-    sizes = assigned.groupBy("list_id").agg(
-        F.ceil(F.count("*") / rows_per_file).cast("int").alias("_files")
+    # How many files a list fills is judged by the sample; it only shapes the layout.
+    per_file = max(1.0, rows_per_file * share)
+    files = (
+        model.transform(sample)
+        .groupBy("list_id")
+        .agg(F.ceil(F.count("*") / per_file).cast("int").alias("_files"))
     )
+    file = F.pmod(F.xxhash64(key), F.coalesce(F.col("_files"), F.lit(1)))
     (
-        assigned.join(F.broadcast(sizes), "list_id")
-        .withColumn("_file", F.pmod(F.xxhash64(key), F.col("_files")))
+        model.transform(points)
+        .drop("_point", "_features")
+        # One row per list, at most MAX_LISTS.
+        .join(F.broadcast(files), "list_id", "left")
+        .withColumn("_file", file)
         .repartition("list_id", "_file")
         .drop("_files", "_file")
         .write.partitionBy("list_id")

@@ -15,11 +15,15 @@ from vectrail.functions import kernels, text, vector
 from vectrail.operators.embedding import Embedder, embed_with_reuse
 from vectrail.operators.search import fuse
 from vectrail.operators.skew import top_per_group
+from vectrail.session import work_path
+from vectrail.sources.tables import write_table
 
 # A query table goes to every task only below both of these bounds.
 MAX_SHARED_QUERIES = 4096
 MAX_SHARED_BYTES = 64 * 1024 * 1024
 CORPUS_BLOCK_ROWS = 200_000
+# Candidate keys are broadcast up to this many rows; more of them are shuffled.
+BROADCAST_CANDIDATES = 1_000_000
 
 
 def batch_vector_search(
@@ -51,14 +55,12 @@ def batch_vector_search(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    size = asked.agg(F.count("*").alias("n"), F.max(F.size(query_vector)).alias("d")).first()
-    shared = size["n"] <= max_shared_queries and size["n"] * (size["d"] or 0) * 8 <= MAX_SHARED_BYTES
-    if shared:
-        near = _against_shared(asked, rows, k, metric, query_key, query_vector, key, schema)
+    first = asked.limit(max_shared_queries + 1).toArrow()
+    if first.num_rows <= max_shared_queries and first.nbytes <= MAX_SHARED_BYTES:
+        near = _against_shared(first, rows, k, metric, schema)
     else:
         near = _block_by_block(
-            asked, rows, size["n"], k, metric, query_key, key, schema,
-            max_shared_queries, corpus_block_rows,
+            asked, rows, k, metric, query_key, key, schema, max_shared_queries, corpus_block_rows
         )
     order = [F.col("distance").asc(), F.col(key).asc()]
     return top_per_group(near, [query_key], order, k).withColumn(
@@ -105,13 +107,10 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def _against_shared(asked, rows, k, metric, query_key, query_vector, key, schema) -> DataFrame:
-    table = asked.toArrow()
-    groups = _by_width(
-        table.column(query_key).to_pylist(), table.column(query_vector).to_pylist()
-    )
+def _against_shared(asked: pa.Table, rows, k, metric, schema) -> DataFrame:
+    groups = _by_width(asked.column(0).to_pylist(), asked.column(1).to_pylist())
     arrow_schema = _arrow_schema(schema)
-    result = asked.sparkSession.createDataFrame([], schema)
+    result = rows.sparkSession.createDataFrame([], schema)
     for width, (keys, matrix) in groups.items():
         run = _nearest(keys, matrix, width, k, metric, arrow_schema)
         result = result.union(rows.mapInArrow(run, schema))
@@ -119,9 +118,9 @@ def _against_shared(asked, rows, k, metric, query_key, query_vector, key, schema
 
 
 def _block_by_block(
-    asked, rows, n_queries, k, metric, query_key, key, schema, block_queries, block_rows
+    asked, rows, k, metric, query_key, key, schema, block_queries, block_rows
 ) -> DataFrame:
-    query_blocks = max(1, -(-n_queries // block_queries))
+    query_blocks = max(1, -(-asked.count() // block_queries))
     corpus_blocks = max(1, -(-rows.count() // block_rows))
 
     def every(n: int) -> Column:
@@ -218,11 +217,20 @@ def batch_hybrid_search(
     language: str = "french",
 ) -> DataFrame:
     """Hybrid search of every query: text narrows, vectors re-rank, both score."""
-    hits = batch_text_search(
-        queries, corpus, text_limit, query_key, query, key, content, language
-    ).drop("position")
+    # The candidates are used twice, so they are stored instead of found twice.
+    spark = queries.sparkSession
+    hits = write_table(
+        batch_text_search(
+            queries, corpus, text_limit, query_key, query, key, content, language
+        ).drop("position"),
+        work_path(spark, "candidates"),
+    )
+    wanted = hits.select(key).distinct()
+    if hits.count() <= BROADCAST_CANDIDATES:
+        wanted = F.broadcast(wanted)
+    needed = vectors.select(key, vector_column).join(wanted, key, "left_semi")
     scored = (
-        hits.join(vectors.select(key, vector_column), key, "left")
+        hits.join(needed, key, "left")
         .join(queries.select(query_key, query_vector), query_key)
         .withColumn("distance", vector.cosine_distance(F.col(vector_column), F.col(query_vector)))
         .drop(vector_column, query_vector)

@@ -150,7 +150,8 @@ def hybrid_search(
     """
     hits = text_search(df, query, content, text_limit, key, language, "text_rank")
     if vectors is not None:
-        hits = attach_vectors(hits, vectors.select(key, vector_column), key, text_limit)
+        ranks = hits.select(key, "text_rank")
+        hits = join_candidates(ranks, [df, vectors.select(key, vector_column)], key, text_limit)
     near = (
         hits.withColumn(
             "distance", vector.distance_to(F.col(vector_column), query_vector)
@@ -163,19 +164,21 @@ def hybrid_search(
     return fuse(placed, vector_weight, text_weight).orderBy(F.desc("final_score"), key)
 
 
-def attach_vectors(hits: DataFrame, vectors: DataFrame, key: str, limit: int) -> DataFrame:
-    """Give at most ``limit`` candidates the vectors kept in another table.
+def join_candidates(
+    ranks: DataFrame, tables: Sequence[DataFrame], key: str, limit: int
+) -> DataFrame:
+    """Join at most ``limit`` candidates (key and rank) with the tables they come from.
 
-    A short candidate list becomes an ``IN`` filter that the parquet scan can
-    prune by, so the vector table is not shuffled.  A longer one is joined.
+    A short list becomes an ``IN`` filter that the parquet scans can prune by,
+    so no table is shuffled.  A longer list is joined as it is.
     """
-    if limit > IN_LIST_ROWS:
-        return hits.join(vectors, key, "left")
-    spark = hits.sparkSession
-    listed = spark.createDataFrame(hits.toArrow(), schema=hits.schema)
-    keys = [row[key] for row in listed.select(key).toLocalIterator()]
-    found = vectors.filter(F.col(key).isin(keys))
-    return listed.join(found, key, "left")
+    if limit <= IN_LIST_ROWS:
+        ranks = ranks.sparkSession.createDataFrame(ranks.toArrow(), schema=ranks.schema)
+        keys = [row[key] for row in ranks.select(key).toLocalIterator()]
+        tables = [table.filter(F.col(key).isin(keys)) for table in tables]
+    for table in tables:
+        ranks = ranks.join(table, key, "left")
+    return ranks
 
 
 def add_positions(df: DataFrame, order: list, name: str = "position") -> DataFrame:

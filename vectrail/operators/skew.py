@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 HOT_KEYS = 1000
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Inner join that also pairs NULL with NULL, so that a NULL key is kept."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in columns})
+    on = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in columns]
+    return left.join(renamed, on).drop(*[f"_r_{c}" for c in columns])
+
+
 def salted_lookup(
     big: DataFrame,
     small: DataFrame,
@@ -49,42 +56,51 @@ def salted_lookup(
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
-def bucket_bounds(df: DataFrame, order: Column, buckets: int, accuracy: int = 10_000) -> list:
-    """Inner bounds of about equal buckets; at most ``buckets - 1`` values."""
-    shares = [i / buckets for i in range(1, buckets)]
-    if not shares:
-        return []
-    row = df.agg(F.percentile_approx(order, shares, accuracy).alias("b")).first()
-    return sorted(set(row["b"] or []))
+def bucket_bounds(df: DataFrame, columns: Sequence[str], buckets: int, per_bucket: int = 100) -> list:
+    """Rows that cut ``df``, in the order of ``columns``, into about equal buckets.
 
+    Taken from a sample of bounded size.  Any bounds give right results as
+    long as one list of them is used throughout.
+    """
+    wanted = buckets * per_bucket
+    share = min(1.0, 2.0 * wanted / max(1, df.count()))
+    drawn = df.select(*columns).sample(share, 7).limit(4 * wanted).orderBy(*columns).collect()
+    step = max(1, len(drawn) // buckets)
+    return drawn[step::step][: buckets - 1]
 
-def bucket_of(order: Column, bounds: Sequence) -> Column:
-    """Position of the bucket a value falls into; NULL goes to the first."""
-    return F.coalesce(
-        F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b < order))
-        if bounds
-        else F.lit(0),
-        F.lit(0),
-    ).cast("int")
+
+def bucket_of(df: DataFrame, columns: Sequence[str], bounds: Sequence) -> Column:
+    """How many bounds lie before a row."""
+    here = F.struct(*columns)
+    cuts = [
+        F.struct(*[F.lit(bound[c]).cast(df.schema[c].dataType).alias(c) for c in columns])
+        for bound in bounds
+    ]
+    return F.size(F.filter(F.array(*cuts), lambda cut: cut < here))
 
 
 def number_rows(
     df: DataFrame, order: str, ties: Sequence[str] = (), start: int = 1, buckets: int = 64,
     name: str = "position",
 ) -> DataFrame:
-    """Dense numbers in the order of a numeric column, without one big sort task.
+    """Dense numbers in the order of ``order`` and ``ties``, without one big sort task.
 
     Rows are numbered inside even buckets and shifted by the size of the
-    buckets before; only one count per bucket is broadcast.
+    buckets before; only one count per bucket is broadcast.  A value of
+    ``order`` with very many rows is split by the ``ties``.
     """
-    bounds = bucket_bounds(df, F.col(order), buckets)
-    cut = df.withColumn("_bucket", bucket_of(F.col(order), bounds))
+    columns = [order, *ties]
+    bounds = bucket_bounds(df, columns, buckets)
+    if not bounds:  # one bucket asked for, or a table of a row or two
+        place = F.row_number().over(W.orderBy(*columns)) + F.lit(start - 1)
+        return df.withColumn(name, place.cast("long"))
+    cut = df.withColumn("_bucket", bucket_of(df, columns, bounds))
     sizes = cut.groupBy("_bucket").agg(F.count("*").alias("_n"))
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     shifts = sizes.select(
         "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift")
     )
-    inside = W.partitionBy("_bucket").orderBy(F.col(order).asc_nulls_first(), *ties)
+    inside = W.partitionBy("_bucket").orderBy(*columns)
     return (
         cut.withColumn("_place", F.row_number().over(inside))
         .join(F.broadcast(shifts), "_bucket")
@@ -136,13 +152,50 @@ def running_windows(
     )
     inside = W.partitionBy(key, "_slice").orderBy(*order)
     running = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
-    return (
+    placed = (
         cut.withColumn("_pos", F.row_number().over(inside))
         .withColumn("_run", F.sum(value).over(running))
         .withColumn("_prev", F.lag(value).over(inside))
-        .join(carried, [key, "_slice"])
+    )
+    return (
+        null_safe_join(placed, carried, [key, "_slice"])
         .withColumn("position", F.col("_pos") + F.col("_n0"))
         .withColumn("running_total", F.col("_run") + F.col("_sum0"))
         .withColumn("previous", F.when(F.col("_pos") > 1, F.col("_prev")).otherwise(F.col("_last0")))
         .drop("_slice", "_pos", "_run", "_prev", "_n0", "_sum0", "_last0")
     )
+
+
+def framed_mean(
+    df: DataFrame, key: str, position: str, value: str, preceding: int, name: str = "mean"
+) -> DataFrame:
+    """Mean over a row and the ``preceding`` rows before it, per key.
+
+    ``position`` is a dense number per key.  Every row adds its value to the
+    frames it belongs to, and the frames are summed by key and position, so no
+    key is gathered in one task.
+    """
+    places = F.sequence(F.col(position), F.col(position) + preceding)
+    sums = (
+        df.select(key, F.col(value).alias("_v"), F.explode(places).alias(position))
+        .groupBy(key, position)
+        .agg(F.avg("_v").alias(name))
+    )
+    return null_safe_join(df, sums, [key, position])
+
+
+def sliced_ranks(df: DataFrame, key: str, order: Sequence[str], slice_of: Column) -> DataFrame:
+    """Add ``rank`` and ``dense_rank`` of the first of ``order`` per key, slice by slice.
+
+    Equal values are counted before they are ranked.  See ``running_windows``
+    for ``slice_of``.
+    """
+    lead = order[0]
+    counted = df.groupBy(key, lead).agg(F.count("*").alias("_copies"))
+    ranked = running_windows(counted, key, [lead], "_copies", slice_of).select(
+        key,
+        lead,
+        (F.col("running_total") - F.col("_copies") + 1).alias("rank"),
+        F.col("position").alias("dense_rank"),
+    )
+    return null_safe_join(df, ranked, [key, lead])

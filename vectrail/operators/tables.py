@@ -74,6 +74,12 @@ def change_dimension(
     return df.withColumn(column, kept).withMetadata(column, {"vector_dim": dims})
 
 
+def _sorts(kind: T.DataType) -> bool:
+    return isinstance(
+        kind, (T.NumericType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
+    )
+
+
 def append_rows(
     base: DataFrame,
     new: DataFrame,
@@ -84,13 +90,14 @@ def append_rows(
     """Append rows; absent columns are NULL or take their default.
 
     Rows without a key column get the next ones after the largest of ``base``,
-    in the order of ``order_by``.
+    in the order of ``order_by`` and then of the plain columns.
     """
     if key not in new.columns:
         if order_by is None:
             raise ValueError("order_by is needed to number rows that have no key")
         top = base.agg(F.max(key).alias("m")).first()["m"]
-        new = number_rows(new, order_by, start=(-1 if top is None else top) + 1, name=key)
+        ties = [f.name for f in new.schema if f.name != order_by and _sorts(f.dataType)]
+        new = number_rows(new, order_by, ties, (-1 if top is None else top) + 1, name=key)
     for name, value in (defaults or {}).items():
         if name not in new.columns:
             new = new.withColumn(name, value)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vectrail.functions.time import epoch_ms, recent
 from vectrail.operators.guarded_sql import run_sql
-from vectrail.operators.skew import running_windows, top_per_group
+from vectrail.operators.skew import (
+    framed_mean,
+    running_windows,
+    sliced_ranks,
+    top_per_group,
+)
 from vectrail.plans.registry import longs, query, tidy, tidy_sql
 from vectrail.sources.tables import load
 
@@ -494,14 +498,27 @@ def running(spark, folder):
     """,
 )
 def ranks_per_customer(spark, folder):
-    by_price = W.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"))
-    exact = W.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")
+    # Bands of the price keep a customer with very many orders out of one task.
+    orders = load(spark, folder, "orders").select(
+        "o_custkey", "o_orderkey", (-F.col("o_totalprice")).alias("by_price")
+    )
+    band = F.floor(F.col("by_price") / 25_000)
+    placed = running_windows(orders, "o_custkey", ["by_price", "o_orderkey"], "by_price", band)
+    following = placed.select(
+        "o_custkey",
+        (F.col("position") - 1).alias("position"),
+        F.col("o_orderkey").alias("next_order"),
+    )
+    chained = placed.join(following, ["o_custkey", "position"], "left").select(
+        "o_custkey", "o_orderkey", "by_price", "next_order"
+    )
+    ranked = sliced_ranks(chained, "o_custkey", ["by_price"], band)
     return longs(
-        load(spark, folder, "orders").select(
+        ranked.select(
             "o_orderkey",
-            F.rank().over(by_price).alias("price_rank"),
-            F.dense_rank().over(by_price).alias("price_dense_rank"),
-            F.lead("o_orderkey").over(exact).alias("next_order"),
+            F.col("rank").alias("price_rank"),
+            F.col("dense_rank").alias("price_dense_rank"),
+            "next_order",
         ),
         ["price_rank", "price_dense_rank"],
     )
@@ -515,10 +532,15 @@ def ranks_per_customer(spark, folder):
     """,
 )
 def framed_average(spark, folder):
-    frame = W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(-2, 0)
-    return load(spark, folder, "orders").select(
-        "o_orderkey", tidy(F.avg("o_totalprice").over(frame), 4).alias("recent_average")
+    orders = load(spark, folder, "orders").select(
+        "o_custkey", "o_orderkey", "o_orderdate", "o_totalprice"
+    )
+    month = F.trunc("o_orderdate", "month")
+    placed = running_windows(
+        orders, "o_custkey", ["o_orderdate", "o_orderkey"], "o_totalprice", month
     )
+    framed = framed_mean(placed, "o_custkey", "position", "o_totalprice", 2)
+    return framed.select("o_orderkey", tidy(F.col("mean"), 4).alias("recent_average"))
 
 
 # -------------------------------------------------------------- sorts and sets

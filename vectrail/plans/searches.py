@@ -557,7 +557,8 @@ def candidate_join(spark, folder):
         _texts(spark, folder), QUERY_EN, k=100, language="english", rank_name="text_rank"
     )
     vectors = load(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "label")
-    joined = search.attach_vectors(hits, vectors, "id", 100).filter(F.col("label").isNotNull())
+    ranks = hits.select("id", "text_rank")
+    joined = search.join_candidates(ranks, [vectors], "id", 100).filter(F.col("label").isNotNull())
     return longs(joined.select("id", "label", tidy(F.col("text_rank")).alias("text_rank")), ["label"])
 
 
