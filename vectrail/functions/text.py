@@ -50,8 +50,9 @@ RANK_DECIMALS = 12
 WORD_GAP = r"[^\p{L}\p{N}]+"
 
 # Every white-space character, the line ends and wide spaces included.
-SPACE = (
-    r"[\s\x{0b}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]"
+SPACES = (
+    "\t\n\x0b\x0c\r \xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 )
 
 
@@ -63,7 +64,7 @@ def stop_words(language: str = "french") -> tuple[str, ...]:
 
 def trim_all(text: Column) -> Column:
     """Cut white space of every kind from both ends."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def word_count(text: Column) -> Column:

@@ -9,7 +9,10 @@ from functools import lru_cache
 
 import pyspark
 
-from vectrail.functions.text import stem_patterns
+from vectrail.functions.text import SPACES, stem_patterns
+
+# A class of the white-space characters for the regular expressions of the checks.
+SPACE = "[" + "".join(rf"\x{{{ord(c):x}}}" for c in SPACES) + "]"
 
 
 @lru_cache(maxsize=None)

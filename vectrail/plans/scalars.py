@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vectrail.functions import text, vector
 from vectrail.functions.time import elapsed_seconds, epoch_ms
 from vectrail.operators import embedding as E
+from vectrail.plans import lexing_sql as L
 from vectrail.plans.registry import query
 from vectrail.sources.tables import load
 
@@ -16,7 +17,7 @@ from vectrail.sources.tables import load
     f"""
     SELECT doc_id, md5(lower(t)) AS lower_digest, md5(upper(source)) AS upper_digest,
            len(t)::BIGINT AS n_chars, substr(t, 3, 5) AS piece
-    FROM (SELECT doc_id, source, regexp_replace(text, '^{text.SPACE}+|{text.SPACE}+$', '', 'g') AS t FROM documents)
+    FROM (SELECT doc_id, source, regexp_replace(text, '^{L.SPACE}+|{L.SPACE}+$', '', 'g') AS t FROM documents)
     """,
 )
 def text_basics(spark, folder):

@@ -177,7 +177,7 @@ _LOG_SQL = """
     SELECT 'c' || conv_id || '-' || turn AS query_id, text AS query FROM conversations WHERE role = 'user'
     UNION ALL SELECT 'p' || p_partkey, p_name FROM part
 """
-_NORMAL = f"regexp_replace(lower(query), '^{text.SPACE}+|{text.SPACE}+$', '', 'g')"
+_NORMAL = f"regexp_replace(lower(query), '^{L.SPACE}+|{L.SPACE}+$', '', 'g')"
 _MODE_SQL = f"""
     CASE WHEN starts_with(n, 'test:') OR starts_with(n, 'debug:') OR starts_with(n, 'random:')
               OR contains(n, 'performance') OR contains(n, 'benchmark') THEN 'text'
