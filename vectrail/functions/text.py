@@ -146,17 +146,24 @@ def rank(doc_lexemes: Column, terms: Column) -> Column:
     return F.round(F.try_divide(total, F.size(terms).cast("double")), RANK_DECIMALS)
 
 
-def rank_of_counts(counts: Column, terms: Column) -> Column:
-    """``rank`` from a map of term to count; NULL when a term is absent."""
-    total = F.aggregate(
-        terms, F.lit(0.0), lambda acc, t: acc + saturation(F.try_element_at(counts, t))
-    )
+def drawer(term: Column) -> Column:
+    """Which of the small maps of a text holds the count of a term."""
+    return F.pmod(F.hash(term), F.lit(64))
+
+
+def rank_of_counts(drawers: Column, terms: Column) -> Column:
+    """``rank`` from counts kept by drawer and term; NULL when a term is absent."""
+
+    def count(term: Column) -> Column:
+        return F.try_element_at(F.try_element_at(drawers, drawer(term)), term)
+
+    total = F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + saturation(count(t)))
     return F.round(F.try_divide(total, F.size(terms).cast("double")), RANK_DECIMALS)
 
 
 def saturation(tf: Column) -> Column:
-    tf = tf.cast("double")
-    return tf / (tf + F.lit(1.0))
+    """``tf / (tf + 1)``, written so that the count is worked out once."""
+    return F.lit(1.0) - F.lit(1.0) / (tf.cast("double") + F.lit(1.0))
 
 
 def constant_terms(

@@ -187,10 +187,17 @@ def batch_text_search(
         .groupBy(query_key)
         .agg(F.min_by("_term", F.struct("_df", "_term")).alias("_lead"))
     )
-    counts = postings.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("_term", "_tf"))).alias("_tfs")
+    # A map is searched entry by entry, so the counts of a long text are kept
+    # in small maps.  Both groupings run on one partitioning by the key.
+    counts = (
+        postings.repartition(key)
+        .groupBy(key, text.drawer(F.col("_term")).alias("_drawer"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("_term", "_tf"))).alias("_in"))
+        .groupBy(key)
+        .agg(F.map_from_entries(F.collect_list(F.struct("_drawer", "_in"))).alias("_tfs"))
     )
-    hits = counts.withColumn("_lead", F.explode(F.map_keys("_tfs"))).join(
+    held = F.flatten(F.transform(F.map_values("_tfs"), lambda drawer: F.map_keys(drawer)))
+    hits = counts.withColumn("_lead", F.explode(held)).join(
         share(asked.join(rarest, query_key)), "_lead"
     )
     ranked = hits.select(
