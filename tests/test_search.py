@@ -61,6 +61,22 @@ def test_batch_with_copies_nulls_and_mixed_lengths(spark):
     assert got == {"a": [0, 1, 2], "b": [51]}
 
 
+def test_text_keys(spark):
+    rows = [(f"id-{i:02}", [float(i % 5), 1.0]) for i in range(40)]
+    corpus = spark.createDataFrame(rows, "id string, embedding array<double>").repartition(4)
+    asked = spark.createDataFrame(
+        [("q", [3.0, 1.0]), ("r", [0.0, 1.0])], "query_id string, query_vector array<float>"
+    )
+    shared = batch.batch_vector_search(asked, corpus, 3, "l2")
+    blocked = batch.batch_vector_search(
+        asked, corpus, 3, "l2", max_shared_queries=1, corpus_block_rows=7
+    )
+    for found in (shared, blocked):
+        rows = [r for r in found.collect() if r["query_id"] == "q"]
+        got = [r["id"] for r in sorted(rows, key=lambda r: r["position"])]
+        assert got == ["id-03", "id-08", "id-13"]
+
+
 def test_empty_query_table(vectors):
     asked = vectors.limit(0).select(
         F.col("id").alias("query_id"), F.col("embedding").alias("query_vector")

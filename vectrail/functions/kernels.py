@@ -35,16 +35,18 @@ def matrix(vectors: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return out, valid
 
 
+def _directions(rows: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+
+
 def distances(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
     """Distance of every query (axis 0) to every row (axis 1); NaN if undefined."""
-    products = queries @ rows.T
     if metric == "inner_product":
-        return -products
+        return -(queries @ rows.T)
     if metric == "cosine":
-        lengths = np.outer(np.linalg.norm(queries, axis=1), np.linalg.norm(rows, axis=1))
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where(lengths > 0, 1.0 - products / lengths, np.nan)
-    out = np.empty(products.shape)
+        return 1.0 - _directions(queries) @ _directions(rows).T
+    out = np.empty((len(queries), len(rows)))
     for i, query in enumerate(queries):
         gap = rows - query
         out[i] = np.sqrt(np.einsum("ij,ij->i", gap, gap))
@@ -59,36 +61,38 @@ class Nearest:
 
     def __init__(self, queries: np.ndarray, k: int, metric: str):
         self.queries, self.k, self.metric = queries, k, metric
-        self.best: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(queries)
+        self.best: list[tuple[np.ndarray, np.ndarray]] = [
+            (np.empty(0), np.empty(0, dtype=np.int64)) for _ in queries
+        ]
+        # A row further away than this cannot be among the k nearest any more.
+        self.reach = np.full(len(queries), np.inf)
 
     def add(self, ids: np.ndarray, rows: np.ndarray) -> None:
         for start in range(0, len(ids), 4096):
             chunk_ids = ids[start : start + 4096]
             found = distances(rows[start : start + 4096], self.queries, self.metric)
-            found = np.round(found, TIE_DECIMALS)
-            for i, row in enumerate(found):
-                known = np.flatnonzero(~np.isnan(row))
-                self._merge(i, row[known], chunk_ids[known])
+            near = found <= self.reach[:, None]  # false for NaN
+            for i in np.flatnonzero(near.any(axis=1)):
+                places = np.flatnonzero(near[i])
+                self._merge(i, np.round(found[i, places], TIE_DECIMALS), chunk_ids[places])
 
     def _merge(self, i: int, dist: np.ndarray, ids: np.ndarray) -> None:
-        if self.best[i] is not None:
-            old_dist, old_ids = self.best[i]
-            if len(old_dist) == self.k:
-                near = dist <= old_dist[-1]
-                dist, ids = dist[near], ids[near]
+        old_dist, old_ids = self.best[i]
+        if len(old_ids):
             dist, ids = np.concatenate([old_dist, dist]), np.concatenate([old_ids, ids])
         if len(dist) > self.k:
-            near = dist <= np.partition(dist, self.k - 1)[self.k - 1]
-            dist, ids = dist[near], ids[near]
+            closest = dist <= np.partition(dist, self.k - 1)[self.k - 1]
+            dist, ids = dist[closest], ids[closest]
         order = np.lexsort((ids, dist))[: self.k]
         self.best[i] = (dist[order], ids[order])
+        if len(order) == self.k:
+            self.reach[i] = dist[order][-1] + 10.0**-TIE_DECIMALS
 
     def rows(self):
         """(query position, id, distance) triples."""
         for i, kept in enumerate(self.best):
-            if kept is not None:
-                for dist, key in zip(*kept):
-                    yield i, key, float(dist)
+            for dist, key in zip(*kept):
+                yield i, key, float(dist)
 
 
 def buckets_and_signs(words: list[str], dims: int) -> tuple[np.ndarray, np.ndarray]:

@@ -75,11 +75,9 @@ def _nearest(keys: list, queries: np.ndarray, width: int, k: int, metric: str, s
         best = kernels.Nearest(queries, k, metric)
         for batch in batches:
             rows, valid = kernels.matrix(_one_chunk(batch.column(1)), width)
-            ids = np.asarray(batch.column(0).to_pylist(), dtype=object)
-            if ids.size and isinstance(ids[0], int):
-                ids = ids.astype(np.int64)
+            ids = np.asarray(batch.column(0).to_pylist())
             best.add(ids[valid], rows[valid])
-        found = [(keys[i], getattr(row, "item", lambda r=row: r)(), d) for i, row, d in best.rows()]
+        found = [(keys[i], row.item(), d) for i, row, d in best.rows()]
         columns = list(zip(*found)) if found else [[], [], []]
         yield pa.RecordBatch.from_arrays(
             [pa.array(column, field.type) for column, field in zip(columns, schema)], schema=schema
