@@ -64,17 +64,40 @@ class Nearest:
         self.best: list[tuple[np.ndarray, np.ndarray]] = [
             (np.empty(0), np.empty(0, dtype=np.int64)) for _ in queries
         ]
+        # Rows at a time, so that a block of distances stays at 32 MB.
+        self.step = min(4096, max(64, (1 << 22) // max(1, len(queries))))
         # A row further away than this cannot be among the k nearest any more.
         self.reach = np.full(len(queries), np.inf)
 
     def add(self, ids: np.ndarray, rows: np.ndarray) -> None:
-        for start in range(0, len(ids), 4096):
-            chunk_ids = ids[start : start + 4096]
-            found = distances(rows[start : start + 4096], self.queries, self.metric)
-            near = found <= self.reach[:, None]  # false for NaN
+        for start in range(0, len(ids), self.step):
+            part, part_ids = rows[start : start + self.step], ids[start : start + self.step]
+            if self.metric == "l2":
+                found, near = None, self._perhaps_in_reach(part)
+            else:
+                found = distances(part, self.queries, self.metric)
+                near = found <= self.reach[:, None]  # false for NaN
             for i in np.flatnonzero(near.any(axis=1)):
                 places = np.flatnonzero(near[i])
-                self._merge(i, np.round(found[i, places], TIE_DECIMALS), chunk_ids[places])
+                if found is None:
+                    dist = distances(part[places], self.queries[i : i + 1], self.metric)[0]
+                    kept = dist <= self.reach[i]
+                    dist, places = dist[kept], places[kept]
+                else:
+                    dist = found[i, places]
+                if len(dist):
+                    self._merge(i, np.round(dist, TIE_DECIMALS), part_ids[places])
+
+    def _perhaps_in_reach(self, rows: np.ndarray) -> np.ndarray:
+        """Rows that may be in reach under L2, by one matrix product.
+
+        The product form loses digits, so rows near the limit, and rows it
+        cannot judge, are let through and measured exactly afterwards.
+        """
+        with np.errstate(invalid="ignore", over="ignore"):
+            size = (self.queries**2).sum(axis=1)[:, None] + (rows**2).sum(axis=1)
+            squared = size - 2.0 * (self.queries @ rows.T)
+            return ~(squared > self.reach[:, None] ** 2 + 1e-9 * size)
 
     def _merge(self, i: int, dist: np.ndarray, ids: np.ndarray) -> None:
         old_dist, old_ids = self.best[i]
