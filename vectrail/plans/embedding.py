@@ -64,7 +64,15 @@ def embed_queries(spark, folder):
     return made.select("item_id", checksum(F.col("embedding")).alias("checksum"))
 
 
-@query("k1_embed_with_plug_in_model")
+_VOWELS_SQL = " + ".join(
+    f"pow(len(text) - len(replace(text, '{c}', '')), 2)" for c in "aeiou"
+)
+
+
+@query(
+    "k1_embed_with_plug_in_model",
+    f"SELECT doc_id, {tidy_sql(f'sqrt({_VOWELS_SQL})', 3)} AS norm FROM documents",
+)
 def embed_with_model(spark, folder):
     def letters(texts: list[str]) -> list[list[float]]:
         return [[float(t.count(c)) for c in "aeiou"] for t in texts]
