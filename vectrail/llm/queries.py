@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrail.llm import line_dedup
+from vectrail.llm import line_dedup, mixing
 from vectrail.sources.tables import load
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,16 @@ def op1_line_dedup(spark, folder):
         F.col("_line_dedup_dropped").alias("n_dropped"),
         F.sha2("_line_dedup_text", 256).alias("kept_sha256"),
     )
+
+
+@query("op9_source_mixing")
+def op9_source_mixing(spark, folder):
+    documents = load(spark, folder, "documents").select("doc_id", "text", "source")
+    mixed = mixing.mix(documents)
+    return mixed.select(
+        "doc_id",
+        F.col("_mix_size").alias("size"),
+        F.col("_mix_source_size").alias("source_size"),
+        F.col("_mix_target").alias("target"),
+        (F.col("_mix_copies") * F.col("_mix_size")).alias("taken"),
+    )
