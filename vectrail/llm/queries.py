@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrail.llm import line_dedup, mixing
+from vectrail.llm import line_dedup, mixing, simhash
 from vectrail.sources.tables import load
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,13 @@ def op9_source_mixing(spark, folder):
         F.col("_mix_target").alias("target"),
         (F.col("_mix_copies") * F.col("_mix_size")).alias("taken"),
     )
+
+
+@query("op7_simhash_near_dedup")
+def op7_simhash_near_dedup(spark, folder):
+    found = simhash.near_duplicates(load(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        F.col("_id").alias("doc_id"),
+        simhash.fingerprint_text().alias("fingerprint"),
+        "component_id",
+    )
