@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrail.llm import line_dedup, mixing, simhash
+from vectrail.llm import line_dedup, mixing, simhash, warc
+from vectrail.session import work_path
 from vectrail.sources.tables import load
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +75,27 @@ def op7_simhash_near_dedup(spark, folder):
         simhash.fingerprint_text().alias("fingerprint"),
         "component_id",
     )
+
+
+@query(
+    "op8_warc",
+    """
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+    d AS (SELECT page_id, h, strlen(h) AS n, sha1(h) AS x FROM p),
+    b AS (
+        SELECT page_id, n, x, list_aggregate(list_transform(range(0, 32), lambda i: substr(
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + ((('0x' || substr(x, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)),
+            'string_agg', '') AS b32
+        FROM d),
+    m AS (SELECT *, max(page_id) OVER (PARTITION BY x, n) AS top FROM b)
+    SELECT page_id, n::BIGINT AS payload_bytes, b32 AS payload_digest,
+           CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> top THEN top END AS refers_to
+    FROM m
+    """,
+)
+def op8_warc(spark, folder):
+    path = work_path(spark, "warc")
+    warc.write_warc(load(spark, folder, "pages"), path)
+    return warc.page_records(spark, path)
