@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrail.llm import line_dedup, mixing, simhash, warc
+from vectrail.llm import bpe, line_dedup, mixing, simhash, warc
 from vectrail.session import work_path
 from vectrail.sources.tables import load
 
@@ -99,3 +99,21 @@ def op8_warc(spark, folder):
     path = work_path(spark, "warc")
     warc.write_warc(load(spark, folder, "pages"), path)
     return warc.page_records(spark, path)
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op6_bpe")
+def op6_bpe(spark, folder):
+    path = tokenizer_path()
+    encoded = bpe.encode(load(spark, folder, "documents").select("doc_id", "text"), path).drop("text")
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(bpe.ids_text("token_ids"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
