@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrail.llm import bpe, line_dedup, mixing, simhash, warc
+from vectrail.llm import bpe, line_dedup, mixing, simhash, toxicity, warc
+from vectrail.llm.texts import third
 from vectrail.session import work_path
 from vectrail.sources.tables import load
 
@@ -117,3 +118,16 @@ def op6_bpe(spark, folder):
         F.sha2(bpe.ids_text("token_ids"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark, folder):
+    documents = load(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, load(spark, folder, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score(documents, model)
+    return scored.select(
+        F.col("_id").alias("doc_id"),
+        (third("_id") == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.OPERATING_SCORE).cast("int").alias("predicted"),
+    )

@@ -10,8 +10,6 @@ leading bits, and the task that gets the row writes the variants out.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -21,24 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrail.llm.components import connected_components
+from vectrail.llm.texts import pieces
 from vectrail.session import work_path
 from vectrail.sources.tables import write_table
 
 SEED = 42
-PIECE = 1 << 20  # bytes of a text that are split into words at a time
-_SPACE = re.compile(rb"[\x20\x09-\x0d]")
-
-
-def _pieces(text: bytes) -> Iterator[bytes]:
-    """A long text in pieces that end at white space."""
-    start = 0
-    while len(text) - start > PIECE:
-        cut = _SPACE.search(text, start + PIECE)
-        if cut is None:
-            break
-        yield text[start : cut.start()]
-        start = cut.end()
-    yield text[start:] if start else text
 
 
 def fingerprint(text: bytes | None, words_per_shingle: int = 4) -> int:
@@ -52,7 +37,7 @@ def fingerprint(text: bytes | None, words_per_shingle: int = 4) -> int:
     n = 0
     digest = xxhash.xxh64_intdigest
     tail: list[bytes] = []
-    for piece in _pieces(text or b""):
+    for piece in pieces(text or b""):
         words = tail + piece.lower().split()  # bytes: ASCII letters and ASCII space only
         if len(words) < words_per_shingle:
             tail = words
