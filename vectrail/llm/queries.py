@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrail.llm import bpe, line_dedup, mixing, simhash, toxicity, warc
+from vectrail.llm import bpe, langid, line_dedup, mixing, simhash, toxicity, warc
 from vectrail.llm.texts import third
 from vectrail.session import work_path
 from vectrail.sources.tables import load
@@ -131,3 +131,15 @@ def op2_toxicity(spark, folder):
         "score",
         (F.col("score") >= toxicity.OPERATING_SCORE).cast("int").alias("predicted"),
     )
+
+
+@query("op5_language_id")
+def op5_language_id(spark, folder):
+    documents = load(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = langid.train(documents)
+    return langid.score(documents.select("doc_id", "text"), model).select(
+        "doc_id",
+        (third("doc_id") == 1).alias("held_out"),
+        F.col("_lang_pred").alias("lang_pred"),
+        F.col("_lang_score").alias("score"),
+    )
