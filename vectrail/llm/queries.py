@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrail.llm import bpe, langid, line_dedup, mixing, simhash, toxicity, warc
+from vectrail.llm import bpe, langid, line_dedup, mixing, simhash, topk, toxicity, warc
 from vectrail.llm.texts import third
 from vectrail.session import work_path
 from vectrail.sources.tables import load
@@ -143,3 +143,20 @@ def op5_language_id(spark, folder):
         F.col("_lang_pred").alias("lang_pred"),
         F.col("_lang_score").alias("score"),
     )
+
+
+@query(
+    "op3_exact_top_k",
+    """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+          FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """,
+)
+def op3_exact_top_k(spark, folder):
+    rows = load(spark, folder, "embeddings").select("vec_id", topk.scaled(F.col("embedding")).alias("vector"))
+    return topk.top_k(rows.filter(F.col("vec_id") % 100 == 0), rows, 10)
