@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrail.llm import bpe, langid, line_dedup, mixing, simhash, topk, toxicity, warc
+from vectrail.llm import bpe, langid, line_dedup, mixing, simhash, topk, toxicity, vector_dedup, warc
 from vectrail.llm.texts import third
 from vectrail.session import work_path
 from vectrail.sources.tables import load
@@ -160,3 +160,28 @@ def op5_language_id(spark, folder):
 def op3_exact_top_k(spark, folder):
     rows = load(spark, folder, "embeddings").select("vec_id", topk.scaled(F.col("embedding")).alias("vector"))
     return topk.top_k(rows.filter(F.col("vec_id") % 100 == 0), rows, 10)
+
+
+@query(
+    "op10_vector_near_dedup",
+    """
+    WITH RECURSIVE v AS (
+        SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    links AS (
+        SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+        WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+    reach AS (
+        SELECT vec_id AS a, vec_id AS b FROM embeddings
+        UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+    counted AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+    smallest AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, smallest.b AS component_id, smallest.b = vec_id AS kept
+    FROM embeddings LEFT JOIN counted ON counted.a = vec_id JOIN smallest ON smallest.a = vec_id
+    """,
+)
+def op10_vector_near_dedup(spark, folder):
+    found = vector_dedup.near_duplicates(load(spark, folder, "embeddings"))
+    return found.select(F.col("_id").alias("vec_id"), "n_links", "component_id", "kept")
