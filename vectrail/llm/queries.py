@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrail.llm import bpe, langid, line_dedup, mixing, simhash, topk, toxicity, vector_dedup, warc
+from vectrail.llm import bpe, langid, line_dedup, mixing, quality, simhash, topk, toxicity, vector_dedup, warc
 from vectrail.llm.texts import third
 from vectrail.session import work_path
 from vectrail.sources.tables import load
@@ -185,3 +185,17 @@ def op3_exact_top_k(spark, folder):
 def op10_vector_near_dedup(spark, folder):
     found = vector_dedup.near_duplicates(load(spark, folder, "embeddings"))
     return found.select(F.col("_id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+@query("op4_quality")
+def op4_quality(spark, folder):
+    documents = load(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(documents, load(spark, folder, "labels").select("doc_id", "quality"))
+    top = F.coalesce(F.try_element_at("reach", F.lit(-1)), F.lit(0.0))
+    return quality.score(documents, model).select(
+        F.col("_id").alias("doc_id"),
+        (third("_id") == 1).alias("held_out"),
+        "expected_grade",
+        top.alias("tail_probability"),
+        (top >= 0.5).alias("selected"),
+    )
