@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 ROWS = 512  # rows that are encoded and sent on together
 FEED = 4096  # bytes handed to the transducer at a time
-CACHED = 300_000  # words whose tokens a worker remembers
+SHORT = 256  # bytes of a piece that is settled at once
+CACHED = 300_000  # words in a generation of those whose tokens a worker remembers
 _NEVER = 1 << 60
 
 # Letters, numbers and others that Unicode 17 and later added or will add;
@@ -87,6 +88,7 @@ class Merges:
             if left in usable and right in usable and self._apart(left, right, self.rank[token]):
                 usable.add(token)
         self.longest = max(len(self.bytes_of[t]) for t in usable)
+        self.whole = {self.bytes_of[t]: t for t in usable}
         self.trie: dict = {}
         for token in usable:
             node = self.trie
@@ -130,6 +132,52 @@ class Merges:
             self._stable[left, right] = known
         return known
 
+    def encode(self, data: bytes) -> list[int]:
+        """The tokens of a short piece whose end is known.
+
+        Longest token first, with a way back: the row of stable neighbours is unique, so
+        an end that led nowhere need not be tried again.
+        """
+        token = self.whole.get(data)
+        if token is not None:
+            return [token]
+        n, known, stable, trie = len(data), self._stable, self.stable, self.trie
+        tokens: list[int] = []
+        ends: list[int] = []
+        waiting: list[list[tuple[int, int]]] = []
+        failed: set[int] = set()
+        start = 0
+        while True:
+            # Tokens that start here with their ends, the longest last.
+            options = []
+            node = trie
+            for at in range(start, n):
+                node = node.get(data[at])
+                if node is None:
+                    break
+                if -1 in node:
+                    options.append((node[-1], at + 1))
+            while True:
+                if not options:
+                    failed.add(ends.pop())
+                    tokens.pop()
+                    options = waiting.pop()
+                    continue
+                token, end = options.pop()
+                if end in failed:
+                    continue
+                if tokens:
+                    fits = known.get((tokens[-1], token))
+                    if not (fits or (fits is None and stable(tokens[-1], token))):
+                        continue
+                tokens.append(token)
+                if end == n:
+                    return tokens
+                ends.append(end)
+                waiting.append(options)
+                start = end
+                break
+
 
 class Transducer:
     """Encodes one piece as its bytes come in; ``feed`` and ``end`` return settled tokens."""
@@ -236,12 +284,12 @@ class Tokenizer:
         self._words = _Remembered(self)
 
     def piece(self, piece: str) -> list[int]:
-        transducer, data = Transducer(self.merges), piece.encode()
-        out: list[int] = []
-        for start in range(0, len(data) - FEED, FEED):
+        data = piece.encode()
+        if len(data) <= SHORT:
+            return self.merges.encode(data)
+        transducer, out = Transducer(self.merges), []
+        for start in range(0, len(data), FEED):
             out += transducer.feed(data[start : start + FEED])
-        rest = len(data) - (len(data) - 1) % FEED - 1 if len(data) > FEED else 0
-        transducer.data += data[rest:]
         return out + transducer.end()
 
     def encode(self, text: str) -> np.ndarray:
@@ -272,20 +320,32 @@ class Tokenizer:
 
 
 class _Remembered(dict):
-    """Tokens of words that came before; forgotten all at once when there are too many."""
+    """Tokens of words that came before, in two generations: words not met again are forgotten."""
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        found = tuple(chain.from_iterable(map(self.tokenizer.piece, PIECES.findall(word))))
+        found = self.older.get(word)
+        if found is None:
+            pieces = PIECES.findall(word)
+            if len(pieces) == 1:
+                found = tuple(self.tokenizer.piece(word))
+            else:
+                found = tuple(chain.from_iterable(map(self._piece, pieces)))
         if len(word) <= 64:
             if len(self) >= CACHED:
+                self.older = dict(self)
                 self.clear()
             self[word] = found
         return found
 
+    def _piece(self, piece: str):
+        known = self.get(piece)
+        return self.tokenizer.piece(piece) if known is None else known
+
 
 @lru_cache(maxsize=4)
 def tokenizer(path: str) -> Tokenizer:
