@@ -199,3 +199,10 @@ def op4_quality(spark, folder):
         top.alias("tail_probability"),
         (top >= 0.5).alias("selected"),
     )
+
+
+@query("pipeline")
+def pipeline(spark, folder):
+    import corpus_pipeline  # it imports this module
+
+    return corpus_pipeline.run(spark, folder)
