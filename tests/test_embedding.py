@@ -80,10 +80,9 @@ def test_backfill(spark):
     assert (counts["due"], counts["embedded"], counts["failed"]) == (3, 2, 1)
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 10])
-def test_backfill_newest_first(spark, broadcast_rows):
+def test_backfill_newest_first(spark):
     df, now = news(spark)
-    done = E.backfill(df, E.Embedder(2, lengths), now, limit=2, broadcast_rows=broadcast_rows)
+    done = E.backfill(df, E.Embedder(2, lengths), now, limit=2)
     assert sorted(r["id"] for r in done.filter("backfill = 'embedded'").collect()) == [3, 4]
     assert done.count() == 6
 

@@ -16,13 +16,13 @@ METRICS = ("cosine", "l2", "inner_product")
 NORMALISATIONS = ("l2", "max", "minmax", "sum")
 _TWO_POW_32 = 4294967296.0
 
-# Vector length and the model that usually gives it.
+# Vector length, the model that usually gives it, and its provider.
 MODEL_GUIDE = (
-    (4096, "qwen/qwen3-embedding-8b"),
-    (3072, "text-embedding-3-large"),
-    (1536, "text-embedding-ada-002"),
-    (1024, "text-embedding-3-small"),
-    (768, "bert-base-uncased"),
+    (4096, "qwen/qwen3-embedding-8b", "OpenRouter / Alibaba"),
+    (1536, "text-embedding-ada-002", "OpenAI"),
+    (3072, "text-embedding-3-large", "OpenAI"),
+    (1024, "text-embedding-3-small", "OpenAI"),
+    (768, "bert-base-uncased", "HuggingFace"),
 )
 
 # The shorter list used by the table diagnostic.
@@ -215,5 +215,11 @@ def random_vector(
 
 def model_for(n: Column, guide: Sequence[tuple] = MODEL_GUIDE) -> Column:
     """Name of the model that usually gives vectors of this length."""
-    pairs = [F.lit(part) for row in guide for part in row]
+    pairs = [F.lit(part) for row in guide for part in row[:2]]
+    return F.element_at(F.create_map(*pairs), n.cast("int"))
+
+
+def provider_for(n: Column, guide: Sequence[tuple] = MODEL_GUIDE) -> Column:
+    """Provider of that model."""
+    pairs = [F.lit(part) for row in guide for part in (row[0], row[2])]
     return F.element_at(F.create_map(*pairs), n.cast("int"))

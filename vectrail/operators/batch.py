@@ -22,8 +22,6 @@ from vectrail.sources.tables import write_table
 MAX_SHARED_QUERIES = 4096
 MAX_SHARED_BYTES = 64 * 1024 * 1024
 CORPUS_BLOCK_ROWS = 200_000
-# Candidate keys are broadcast up to this many rows; more of them are shuffled.
-BROADCAST_CANDIDATES = 1_000_000
 
 
 def batch_vector_search(
@@ -153,40 +151,55 @@ def batch_text_search(
     key: str = "id",
     content: str = "content",
     language: str = "french",
-    max_shared_bytes: int = MAX_SHARED_BYTES,
 ) -> DataFrame:
     """The k best texts of every query.
 
-    Texts become counts of the words that some query asks for.  Each text then
-    meets only the queries whose rarest term it holds; the other terms are
-    looked up in its own counts, in the same task.  Matches are cut to k per
-    query in every task before they are shuffled.
+    Queries with the same terms are one set of terms, answered once.  The words of the
+    corpus are counted per text before they meet the forms the sets ask for.  A set of
+    one term takes the best texts of that term; any other set meets the texts that hold
+    its rarest term, and its other counts are looked up in the text's own.  Texts are
+    cut to k per set in every task before they are shuffled.
     """
+    spark = queries.sparkSession
     asked = queries.select(
         query_key, text.query_terms(F.col(query), language).alias("_terms")
     ).filter(F.size("_terms") > 0)
-    size = asked.agg(F.sum(F.octet_length(F.concat_ws(" ", "_terms")) + 64).alias("b")).first()["b"]
-    share = F.broadcast if (size or 0) <= max_shared_bytes else (lambda df: df)
+    asked = write_table(asked.withColumn("_set", F.sha1(F.array_join("_terms", " "))), work_path(spark, "asked"))
+    sets = asked.groupBy("_set").agg(F.first("_terms").alias("_terms"))
 
     vocabulary = asked.select(F.explode("_terms").alias("_term")).distinct()
-    words = share(text.word_forms(vocabulary, "_term", "_word", language))
-    postings = (
+    forms = text.word_forms(vocabulary, "_term", "_word", language)
+    counted = (
         corpus.select(key, F.explode(F.split(F.lower(F.col(content)), text.WORD_GAP)).alias("_word"))
-        .join(words, "_word")
-        .groupBy(key, "_term")
-        .agg(F.count("*").alias("_tf"))
+        .groupBy(key, "_word")
+        .agg(F.count("*").alias("_n"))
+    )
+    postings = write_table(
+        counted.join(forms, "_word").groupBy(key, "_term").agg(F.sum("_n").alias("_tf")),
+        work_path(spark, "postings"),
+    )
+    order = [F.desc("text_rank"), F.col(key).asc()]
+
+    # One term: the best k texts of every term serve all sets that ask for it.
+    one = F.size("_terms") == 1
+    single = postings.select(
+        "_term", key, F.round(text.saturation(F.col("_tf")), text.RANK_DECIMALS).alias("text_rank")
     )
-    # Counting the counts, not the rows, keeps both uses of the postings alike,
-    # so Spark works them out once.
-    holders = postings.groupBy("_term").agg(F.count_if(F.col("_tf") > 0).alias("_df"))
-    rarest = (
-        asked.select(query_key, F.explode("_terms").alias("_term"))
+    best = top_per_group(single, ["_term"], order, k)
+    of_one = sets.filter(one).select("_set", F.col("_terms")[0].alias("_term")).join(best, "_term")
+
+    # Several terms: the rarest leads.
+    many = sets.filter(~one)
+    holders = postings.groupBy("_term").agg(F.count("*").alias("_df"))
+    leads = (
+        many.select("_set", F.explode("_terms").alias("_term"))
         .join(holders, "_term")
-        .groupBy(query_key)
-        .agg(F.min_by("_term", F.struct("_df", "_term")).alias("_lead"))
+        .groupBy("_set")
+        .agg(F.min_by("_term", F.struct("_df", "_term")).alias("_term"))
     )
-    # A map is searched entry by entry, so the counts of a long text are kept
-    # in small maps.  Both groupings run on one partitioning by the key.
+    pairs = many.join(leads, "_set").join(postings.select("_term", key), "_term").select("_set", "_terms", key)
+    # A map is searched entry by entry, so the counts of a long text are kept in small
+    # maps.  Both groupings run on one partitioning by the key.
     counts = (
         postings.repartition(key)
         .groupBy(key, text.drawer(F.col("_term")).alias("_drawer"))
@@ -194,17 +207,17 @@ def batch_text_search(
         .groupBy(key)
         .agg(F.map_from_entries(F.collect_list(F.struct("_drawer", "_in"))).alias("_tfs"))
     )
-    held = F.flatten(F.transform(F.map_values("_tfs"), lambda drawer: F.map_keys(drawer)))
-    hits = counts.withColumn("_lead", F.explode(held)).join(
-        share(asked.join(rarest, query_key)), "_lead"
-    )
-    ranked = hits.select(
-        query_key, key, text.rank_of_counts(F.col("_tfs"), F.col("_terms")).alias("text_rank")
+    ranked = pairs.join(counts, key).select(
+        "_set", key, text.rank_of_counts(F.col("_tfs"), F.col("_terms")).alias("text_rank")
     )
     # A pair without a match has no rank and sorts last.  It is dropped after
     # the cut, since a filter before it would work every rank out twice.
-    order = [F.desc_nulls_last("text_rank"), F.col(key).asc()]
-    return top_per_group(ranked, [query_key], order, k).filter(F.col("text_rank").isNotNull())
+    of_many = top_per_group(ranked, ["_set"], [F.desc_nulls_last("text_rank"), F.col(key).asc()], k).filter(
+        F.col("text_rank").isNotNull()
+    )
+    columns = ["_set", key, "text_rank", "position"]
+    found = of_one.select(*columns).unionByName(of_many.select(*columns))
+    return asked.select(query_key, "_set").join(found, "_set").drop("_set")
 
 
 def batch_hybrid_search(
@@ -221,19 +234,19 @@ def batch_hybrid_search(
     vector_column: str = "embedding",
     language: str = "french",
 ) -> DataFrame:
-    """Hybrid search of every query: text narrows, vectors re-rank, both score."""
+    """Hybrid search of every query: text narrows to ``text_limit`` rows (k, if that is more),
+    vectors re-rank, both score."""
     # The candidates are used twice, so they are stored instead of found twice.
     spark = queries.sparkSession
+    text_limit = max(text_limit, k)
     hits = write_table(
         batch_text_search(
             queries, corpus, text_limit, query_key, query, key, content, language
         ).drop("position"),
         work_path(spark, "candidates"),
     )
-    wanted = hits.select(key).distinct()
-    if hits.count() <= BROADCAST_CANDIDATES:
-        wanted = F.broadcast(wanted)
-    needed = vectors.select(key, vector_column).join(wanted, key, "left_semi")
+    # The stored table has a known size, by which Spark picks the join.
+    needed = vectors.select(key, vector_column).join(hits.select(key).distinct(), key, "left_semi")
     scored = (
         hits.join(needed, key, "left")
         .join(queries.select(query_key, query_vector), query_key)
@@ -260,6 +273,7 @@ def batch_search(
     content: str = "content",
     vector_column: str = "embedding",
     language: str = "french",
+    text_limit: int = 100,
 ) -> DataFrame:
     """Route every query of a table by its mode and search them all.
 
@@ -274,8 +288,10 @@ def batch_search(
             "mode", F.lit("text")
         )
     ]
-    embedded = embed_with_reuse(
-        moded.filter("mode != 'text'"), query, embedder, query_key, "query_vector"
+    # Stored, so that no use below calls the model again.
+    embedded = write_table(
+        embed_with_reuse(moded.filter("mode != 'text'"), query, embedder, query_key, "query_vector"),
+        work_path(queries.sparkSession, "embedded-queries"),
     )
     parts.append(
         batch_vector_search(
@@ -285,7 +301,7 @@ def batch_search(
     )
     parts.append(
         batch_hybrid_search(
-            embedded.filter("mode = 'hybrid'"), corpus, vectors, k, 100, query_key, query,
+            embedded.filter("mode = 'hybrid'"), corpus, vectors, k, text_limit, query_key, query,
             "query_vector", key, content, vector_column, language,
         ).withColumn("mode", F.lit("hybrid"))
     )

@@ -115,26 +115,24 @@ def vectorise_rows(
 ) -> DataFrame:
     """Embed the rows named by ``ids``; the table with its new vectors.
 
-    ``status`` is ``vectorised``, ``too short`` or NULL for a row not asked
-    for.  Use ``missing_ids`` for the ids the table does not hold.
+    ``status`` is ``vectorised``, ``failed`` (the model gave no vector, an old one stays),
+    ``too short`` or NULL for a row not asked for.  Use ``missing_ids`` for the ids the
+    table does not hold.
     """
     asked = ids.select(key).distinct().withColumn("_asked", F.lit(True))
     flagged = df.join(asked, key, "left")
     source = text.concat_columns([F.col(c) for c in text_columns])
+    due = F.col("_asked") & (F.char_length(source) >= min_length)
+    # A model column runs for every row, so rows not due hand it a NULL.
+    made = flagged.withColumn("_due", due).withColumn("_new", embedder.column(F.when(F.col("_due"), source)))
     status = F.when(
         F.col("_asked"),
-        F.when(F.char_length(source) >= min_length, F.lit("vectorised")).otherwise(
-            F.lit("too short")
-        ),
+        F.when(F.col("_new").isNotNull(), F.lit("vectorised"))
+        .when(F.col("_due"), F.lit("failed"))
+        .otherwise(F.lit("too short")),
     )
-    return _fill(
-        flagged.withColumn("status", status),
-        F.col("status") == "vectorised",
-        source,
-        embedder,
-        target,
-        replace=True,
-    ).drop("_asked")
+    filled = made.withColumn("status", status).withColumn(target, F.coalesce("_new", target))
+    return filled.drop("_asked", "_due", "_new")
 
 
 def missing_ids(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
@@ -142,17 +140,6 @@ def missing_ids(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
     return ids.select(key).distinct().join(df.select(key), key, "left_anti")
 
 
-def _fill(
-    df: DataFrame, wanted: Column, source: Column, embedder: Embedder, target: str, replace: bool
-) -> DataFrame:
-    # A model column runs for every row, so rows not wanted hand it a NULL.
-    made = df.withColumn("_new", embedder.column(F.when(wanted, source)))
-    old, new = F.col(target), F.col("_new")
-    return made.withColumn(
-        target, F.coalesce(new, old) if replace else F.coalesce(old, new)
-    ).drop("_new")
-
-
 def record_text(
     interpretation: Column,
     study: Column,
@@ -170,10 +157,10 @@ def record_text(
     )
 
 
-def article_text(title: Column, content: Column, max_chars: int = 8000) -> Column:
-    """Title, blank line, content, cut to the length a model takes."""
+def article_text(title: Column, content: Column, max_chars: int | None = None) -> Column:
+    """Title, blank line, content; whole, or cut to the length a model takes."""
     joined = F.concat(F.coalesce(title, F.lit("")), F.lit("\n\n"), F.coalesce(content, F.lit("")))
-    return F.substring(joined, 1, max_chars)
+    return joined if max_chars is None else F.substring(joined, 1, max_chars)
 
 
 def backfill(
@@ -187,7 +174,7 @@ def backfill(
     content: str = "content",
     time_ms: str = "timestamp_unix_ms",
     target: str = "embedding",
-    broadcast_rows: int = 100_000,
+    max_chars: int | None = None,
 ) -> DataFrame:
     """Embed the recent rows that have no vector yet, newest first.
 
@@ -203,13 +190,13 @@ def backfill(
         newest = (
             df.filter(due).orderBy(F.desc(time_ms), key).limit(limit).select(key)
         ).withColumn("_due", F.lit(True))
-        if limit <= broadcast_rows:
-            newest = F.broadcast(newest)
         marked = df.join(newest, key, "left").withColumn(
             "_due", F.coalesce(F.col("_due"), F.lit(False))
         )
-    source = article_text(F.col(title), F.col(content))
-    filled = _fill(marked, F.col("_due"), source, embedder, target, replace=False)
+    source = article_text(F.col(title), F.col(content), max_chars)
+    # A model column runs for every row, so rows not due hand it a NULL.
+    made = embedder.column(F.when(F.col("_due"), source))
+    filled = marked.withColumn("_new", made).withColumn(target, F.coalesce(target, "_new")).drop("_new")
     outcome = F.when(
         F.col("_due"),
         F.when(F.col(target).isNotNull(), F.lit("embedded")).otherwise(F.lit("failed")),

@@ -141,8 +141,8 @@ def validate_vectors(
 ) -> DataFrame:
     """One row on a set of vectors: counts per fault, lengths seen, ``compatible``.
 
-    ``expected`` falls back to the length in the column metadata.  NULLs and
-    empty vectors count apart from NaN and infinity, per vector.
+    ``expected`` falls back to the length in the column metadata, then to the most
+    frequent length.  NULLs and empty vectors count apart from NaN and infinity, per vector.
     """
     if expected is None:
         expected = expected_dims(df.schema[column])
@@ -157,17 +157,25 @@ def validate_vectors(
         F.count_if("has_infinity").alias("infinities"),
         F.count_if("wrong_dims").alias("wrong"),
     )
+    if expected is None:
+        # All vectors that have elements but not the most frequent number of them.
+        some = F.col("n_dims") > 0
+        most = F.sum(F.when(some, F.col("n"))) - F.max(F.when(some, F.col("n")))
+        odd = F.coalesce(most, F.lit(0)).alias("n_wrong_dims")
+    else:
+        odd = F.coalesce(F.sum("wrong"), F.lit(0)).alias("n_wrong_dims")
     total = {
         "n_vectors": "n", "n_null": "nulls", "n_empty": "empties", "n_with_null": "with_null",
-        "n_nan": "nans", "n_infinity": "infinities", "n_wrong_dims": "wrong",
+        "n_nan": "nans", "n_infinity": "infinities",
     }
     summed = per_length.agg(
         *[F.coalesce(F.sum(source), F.lit(0)).alias(name) for name, source in total.items()],
+        odd,
         F.count_if(F.col("n_dims") > 0).alias("n_lengths"),
         F.min(F.when(F.col("n_dims") > 0, F.col("n_dims"))).alias("min_dims"),
         F.max(F.when(F.col("n_dims") > 0, F.col("n_dims"))).alias("max_dims"),
     )
-    faults = [F.col(n) == 0 for n in total if n not in ("n_vectors", "n_null")]
+    faults = [F.col(n) == 0 for n in [*total, "n_wrong_dims"] if n not in ("n_vectors", "n_null")]
     fine = (F.col("n_vectors") > 0) & (F.col("n_lengths") == 1)
     for fault in faults:
         fine = fine & fault

@@ -14,9 +14,6 @@ from pyspark.sql import types as T
 from vectrail.functions import kernels, text, vector
 from vectrail.operators.embedding import Embedder, embed_query
 
-# Candidate lists up to this many rows become an IN filter; longer ones a join.
-IN_LIST_ROWS = 10_000
-
 
 def arrow_distance(column: str, query: Sequence[float], metric: str):
     """Distance to one query vector, a batch at a time.
@@ -50,12 +47,15 @@ def vector_search(
     columns: Sequence[str] | None = None,
     where: str | None = None,
     engine: str = "native",
+    keep_undefined: bool = False,
 ) -> DataFrame:
     """The k rows nearest to a query vector, exact.
 
     One scan and a top-k per task (``TakeOrderedAndProject``); no shuffle of
-    the table.  Ties fall to the smaller key and rows without a distance come
-    last.  ``engine="arrow"`` trades Python workers for faster arithmetic.
+    the table.  Ties fall to the smaller key.  Rows without a distance (no vector, another
+    length, no direction) are left out, as in ``batch_vector_search``; with
+    ``keep_undefined`` they come last.  ``engine="arrow"`` trades Python workers for
+    faster arithmetic.
     """
     if metric not in vector.METRICS:
         raise ValueError(f"unknown metric {metric!r}, expected one of {vector.METRICS}")
@@ -71,6 +71,9 @@ def vector_search(
         .limit(k)
         .withColumn("similarity", vector.similarity(F.col("distance")))
     )
+    if not keep_undefined:
+        # After the cut, so that no distance is worked out twice.
+        ranked = ranked.filter(F.col("distance").isNotNull())
     if columns is None:
         return ranked
     return ranked.selectExpr(*columns, "distance", "similarity")
@@ -142,16 +145,17 @@ def hybrid_search(
     text_weight: float = 0.3,
     language: str = "french",
 ) -> DataFrame:
-    """Text search narrows to ``text_limit`` rows, vector distance keeps k, both score.
+    """Text search narrows to ``text_limit`` rows (k, if that is more), vector distance
+    keeps k, both score.
 
     With ``vectors`` (key and vector in a table of their own) only the
     candidates are joined to it.  ``rank`` is the place by distance and
-    ``final_score`` orders the result.
+    ``final_score`` orders the result.  The texts are read once.
     """
+    text_limit = max(text_limit, k)
     hits = text_search(df, query, content, text_limit, key, language, "text_rank")
     if vectors is not None:
-        ranks = hits.select(key, "text_rank")
-        hits = join_candidates(ranks, [df, vectors.select(key, vector_column)], key, text_limit)
+        hits = join_candidates(hits, [vectors.select(key, vector_column)], key)
     near = (
         hits.withColumn(
             "distance", vector.distance_to(F.col(vector_column), query_vector)
@@ -164,21 +168,19 @@ def hybrid_search(
     return fuse(placed, vector_weight, text_weight).orderBy(F.desc("final_score"), key)
 
 
-def join_candidates(
-    ranks: DataFrame, tables: Sequence[DataFrame], key: str, limit: int
-) -> DataFrame:
-    """Join at most ``limit`` candidates (key and rank) with the tables they come from.
+def join_candidates(hits: DataFrame, tables: Sequence[DataFrame], key: str) -> DataFrame:
+    """Join the candidates, already cut to a limit, with tables that hold more about them.
 
-    A short list becomes an ``IN`` filter that the parquet scans can prune by,
-    so no table is shuffled.  A longer list is joined as it is.
+    A candidate that a table does not have keeps its row.  The cut bounds the candidates, so
+    their keys are handed to the scan of the table and its other rows go no further.
     """
-    if limit <= IN_LIST_ROWS:
-        ranks = ranks.sparkSession.createDataFrame(ranks.toArrow(), schema=ranks.schema)
-        keys = [row[key] for row in ranks.select(key).toLocalIterator()]
-        tables = [table.filter(F.col(key).isin(keys)) for table in tables]
+    # The candidates are used twice (to prune and to keep all of them), and Spark would find
+    # them twice; they are few, so they are fetched once.
+    hits = hits.sparkSession.createDataFrame(hits.toArrow(), schema=hits.schema)
     for table in tables:
-        ranks = ranks.join(table, key, "left")
-    return ranks
+        needed = table.join(F.broadcast(hits.select(key)), key, "left_semi")
+        hits = hits.join(F.broadcast(needed), key, "left")
+    return hits
 
 
 def add_positions(df: DataFrame, order: list, name: str = "position") -> DataFrame:
@@ -232,6 +234,7 @@ def search(
     vector_column: str = "embedding",
     key: str = "id",
     language: str = "french",
+    text_limit: int = 100,
 ) -> DataFrame:
     """Route one query to text, vector or hybrid search.
 
@@ -248,7 +251,7 @@ def search(
     elif picked == "hybrid":
         found = hybrid_search(
             df, query, embed_query(spark, query, embedder), None, content, vector_column, key, k,
-            language=language,
+            text_limit, language=language,
         )
     else:
         raise ValueError(f"unknown mode {picked!r}, expected auto or one of {text.MODES}")

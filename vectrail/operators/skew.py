@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# At most this many keys are ever treated as hot, which bounds the broadcast.
-# A key left out holds less than one part in HOT_KEYS of the rows.
-HOT_KEYS = 1000
-
 
 def null_safe_join(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Inner join that also pairs NULL with NULL, so that a NULL key is kept."""
@@ -33,23 +29,20 @@ def salted_lookup(
 
     ``small`` has one row per ``key`` and, in ``copies``, how many rows of
     ``big`` carry it.  A key above ``rows_per_task`` is spread over as many
-    salts as it fills tasks; every other key keeps one.  The list of hot keys
-    is the only broadcast and has at most ``HOT_KEYS`` rows.
+    salts as it fills tasks; every other key keeps one.  There are fewer hot keys than
+    the rows of ``big`` fill tasks; Spark picks the join with them by their size.
     """
-    hot = (
-        small.filter(F.col(copies) > rows_per_task)
-        .orderBy(F.desc(copies), key)
-        .limit(HOT_KEYS)
-        .select(key, F.ceil(F.col(copies) / rows_per_task).cast("int").alias("_salts"))
+    hot = small.filter(F.col(copies) > rows_per_task).select(
+        key, F.ceil(F.col(copies) / rows_per_task).cast("int").alias("_salts")
     )
     one = F.coalesce(F.col("_salts"), F.lit(1))
     left = (
-        big.join(F.broadcast(hot), key, "left")
+        big.join(hot, key, "left")
         .withColumn("_salt", F.pmod(F.xxhash64(spread_by), one).cast("int"))
         .drop("_salts")
     )
     right = (
-        small.join(F.broadcast(hot), key, "left")
+        small.join(hot, key, "left")
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), one - 1)))
         .drop("_salts", copies)
     )
@@ -59,12 +52,12 @@ def salted_lookup(
 def bucket_bounds(df: DataFrame, columns: Sequence[str], buckets: int, per_bucket: int = 100) -> list:
     """Rows that cut ``df``, in the order of ``columns``, into about equal buckets.
 
-    Taken from a sample of bounded size.  Any bounds give right results as
-    long as one list of them is used throughout.
+    Taken from a sample of about ``2 * per_bucket`` rows a bucket.  Any bounds give right
+    results as long as one list of them is used throughout.
     """
     wanted = buckets * per_bucket
     share = min(1.0, 2.0 * wanted / max(1, df.count()))
-    drawn = df.select(*columns).sample(share, 7).limit(4 * wanted).orderBy(*columns).collect()
+    drawn = df.select(*columns).sample(share, 7).orderBy(*columns).collect()
     step = max(1, len(drawn) // buckets)
     return drawn[step::step][: buckets - 1]
 
@@ -80,16 +73,18 @@ def bucket_of(df: DataFrame, columns: Sequence[str], bounds: Sequence) -> Column
 
 
 def number_rows(
-    df: DataFrame, order: str, ties: Sequence[str] = (), start: int = 1, buckets: int = 64,
-    name: str = "position",
+    df: DataFrame, order: str, ties: Sequence[str] = (), start: int = 1, buckets: int | None = None,
+    name: str = "position", rows_per_bucket: int = 1_000_000,
 ) -> DataFrame:
     """Dense numbers in the order of ``order`` and ``ties``, without one big sort task.
 
-    Rows are numbered inside even buckets and shifted by the size of the
-    buckets before; only one count per bucket is broadcast.  A value of
-    ``order`` with very many rows is split by the ``ties``.
+    Rows are numbered inside even buckets, as many as the rows fill unless a number is
+    given, and shifted by the size of the buckets before; only one count per bucket is
+    broadcast.  A value of ``order`` with very many rows is split by the ``ties``.
     """
     columns = [order, *ties]
+    if buckets is None:
+        buckets = max(1, -(-df.count() // rows_per_bucket))
     bounds = bucket_bounds(df, columns, buckets)
     if not bounds:  # one bucket asked for, or a table of a row or two
         place = F.row_number().over(W.orderBy(*columns)) + F.lit(start - 1)

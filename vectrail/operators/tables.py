@@ -86,12 +86,34 @@ def append_rows(
     key: str = "id",
     order_by: str | None = None,
     defaults: Mapping[str, Column] | None = None,
+    extend: bool = False,
 ) -> DataFrame:
     """Append rows; absent columns are NULL or take their default.
 
+    See ``new_rows`` for keys and unknown columns.
+    """
+    added = new_rows(base, new, key, order_by, defaults, extend)
+    return base.unionByName(added, allowMissingColumns=True)
+
+
+def new_rows(
+    base: DataFrame,
+    new: DataFrame,
+    key: str = "id",
+    order_by: str | None = None,
+    defaults: Mapping[str, Column] | None = None,
+    extend: bool = False,
+) -> DataFrame:
+    """The rows that ``append_rows`` adds, with their keys.
+
     Rows without a key column get the next ones after the largest of ``base``,
-    in the order of ``order_by`` and then of the plain columns.
+    in the order of ``order_by`` and then of the plain columns.  ``order_by`` itself is
+    stored only if the table has it.  A column that the table does not have is an
+    error, or with ``extend`` becomes a new column of the table.
     """
+    unknown = [c for c in new.columns if c not in base.columns and c not in (key, order_by)]
+    if unknown and not extend:
+        raise ValueError(f"the table has no column {', '.join(unknown)}")
     if key not in new.columns:
         if order_by is None:
             raise ValueError("order_by is needed to number rows that have no key")
@@ -101,8 +123,9 @@ def append_rows(
     for name, value in (defaults or {}).items():
         if name not in new.columns:
             new = new.withColumn(name, value)
-    extra = [c for c in new.columns if c not in base.columns]
-    return base.unionByName(new.drop(*extra), allowMissingColumns=True)
+    if order_by is not None and order_by != key and order_by not in base.columns:
+        new = new.drop(order_by)
+    return new
 
 
 def append_vectors(
@@ -138,10 +161,11 @@ def append_with_embedding(
     vector_column: str = "embedding",
     key: str = "id",
     order_by: str = "item",
+    extend: bool = False,
 ) -> DataFrame:
     """Append records together with the embedding of their text."""
     made = records.withColumn(vector_column, embedder.column(source))
-    return append_rows(base, made, key, order_by)
+    return append_rows(base, made, key, order_by, extend=extend)
 
 
 def update_where(

@@ -189,20 +189,18 @@ _NEWS_SQL = f"""
 
 
 def _news(spark, folder):
-    table = corpus(
-        load(spark, folder, "documents"), load(spark, folder, "embeddings")
-    ).drop("lang")
-    titles = load(spark, folder, "documents").select(
-        F.col("doc_id").alias("id"), F.col("source").alias("title")
+    texts = load(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"), F.col("source").alias("title"), F.col("text").alias("content")
     )
+    vectors = load(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
     age = F.col("id") % 20 * 43_200_000 + F.col("id")
-    return table.join(titles, "id").withColumn("timestamp_unix_ms", F.lit(AS_OF_MS) - age)
+    return texts.join(vectors, "id", "left").withColumn("timestamp_unix_ms", F.lit(AS_OF_MS) - age)
 
 
 def _backfill_sql(limit: str) -> str:
     return f"""
         WITH news AS ({_NEWS_SQL}),
-        due AS (SELECT id AS key, substr(title || chr(10) || chr(10) || content, 1, 8000) AS t FROM news
+        due AS (SELECT id AS key, title || chr(10) || chr(10) || content AS t FROM news
                 WHERE embedding IS NULL AND timestamp_unix_ms > {AS_OF_MS} - 7 * 86400000
                 ORDER BY timestamp_unix_ms DESC, id {limit}),
         made AS ({hashed_checks_sql("SELECT key, t FROM due")})
@@ -286,10 +284,11 @@ def _streamed(spark, folder, reuse):
 @query(
     "a10_append_with_embedding",
     f"""
-    SELECT vec_id AS id, {STORED_CHECK_SQL} AS checksum FROM embeddings
+    SELECT vec_id AS id, {STORED_CHECK_SQL} AS checksum, NULL::VARCHAR AS text FROM embeddings
     UNION ALL
-    SELECT (SELECT max(vec_id) FROM embeddings) + 1 + key, checksum
+    SELECT (SELECT max(vec_id) FROM embeddings) + 1 + key, checksum, text
     FROM ({hashed_checks_sql("SELECT item_id AS key, text AS t FROM benchmark")})
+    JOIN benchmark ON key = item_id
     """,
 )
 def append_with_embedding(spark, folder):
@@ -297,8 +296,8 @@ def append_with_embedding(spark, folder):
 
     base = load(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
     records = load(spark, folder, "benchmark").withColumnRenamed("item_id", "item")
-    grown = append(base, records, F.col("text"), EMBEDDER)
-    return grown.select("id", checksum(F.col("embedding")).alias("checksum"))
+    grown = append(base, records, F.col("text"), EMBEDDER, extend=True)
+    return grown.select("id", checksum(F.col("embedding")).alias("checksum"), "text")
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vectrail.functions.time import epoch_ms, recent
+from vectrail.functions.time import epoch_ms, recent_times
 from vectrail.operators.guarded_sql import run_sql
 from vectrail.operators.skew import (
     framed_mean,
@@ -62,7 +62,7 @@ def null_tests(spark, folder):
 )
 def recent_rows(spark, folder):
     events = load(spark, folder, "events").withColumn("ms", epoch_ms(F.col("ts")))
-    return events.filter(recent(F.col("ms"), AS_OF_MS, 7)).select("event_id", "ms")
+    return events.filter(recent_times(F.col("ts"), AS_OF_MS, 7)).select("event_id", "ms")
 
 
 @query(

@@ -77,7 +77,7 @@ def null_safe_concat(spark, folder):
 @query(
     "k5_article_text",
     """
-    SELECT doc_id, md5(substr(source || chr(10) || chr(10) || text, 1, 8000)) AS digest FROM documents
+    SELECT doc_id, md5(source || chr(10) || chr(10) || text) AS digest FROM documents
     """,
 )
 def article_text(spark, folder):

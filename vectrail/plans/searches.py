@@ -558,7 +558,7 @@ def candidate_join(spark, folder):
     )
     vectors = load(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "label")
     ranks = hits.select("id", "text_rank")
-    joined = search.join_candidates(ranks, [vectors], "id", 100).filter(F.col("label").isNotNull())
+    joined = search.join_candidates(ranks, [vectors], "id").filter(F.col("label").isNotNull())
     return longs(joined.select("id", "label", tidy(F.col("text_rank")).alias("text_rank")), ["label"])
 
 
