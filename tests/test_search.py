@@ -163,7 +163,7 @@ def test_mode_summary_and_fastest(spark):
 @pytest.mark.parametrize("metric", ["cosine", "l2", "inner_product"])
 def test_lists_recall(spark, vectors, metric):
     path = work_path(spark, "ivf")
-    ann.ivf_build(vectors, path, 8, metric)
+    assert ann.ivf_build(vectors, path, ann.learn_centres(vectors, 8, metric), metric) == 0
     query = list(vectors.filter("id = 7").first()["embedding"])
     exact = search.vector_search(vectors, query, 10, metric)
     every = ann.ivf_search(spark, path, query, 10, 8, metric)

@@ -1,4 +1,4 @@
-"""Approximate search: an inverted file of k-means lists.
+"""Approximate search: an inverted file of lists around centres.
 
 The vectors are stored once, split by list; a search reads only the lists
 nearest to the query, through partition pruning.
@@ -8,99 +8,121 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vectrail.functions import vector
+from vectrail.functions import kernels, vector
 from vectrail.operators.search import vector_search
 from vectrail.session import work_path
 from vectrail.sources.tables import write_table
 
-# Rows per list that the list centres are learnt from.
-TRAIN_ROWS_PER_LIST = 256
-MAX_LISTS = 65_536
+# Every task holds the centres; more than this is refused, not cut.
+MAX_CENTRE_BYTES = 256 * 1024 * 1024
 
 
 def _point(v: Column, metric: str) -> Column:
-    """What k-means sees: directions for cosine, the vector itself otherwise."""
+    """What lists are built on: directions for cosine, the vector itself otherwise."""
     return vector.normalise(v, "l2", None) if metric == "cosine" else v.cast("array<double>")
 
 
-def ivf_build(
+def learn_centres(
     df: DataFrame,
-    path: str,
     lists: int = 100,
     metric: str = "cosine",
-    key: str = "id",
     vector_column: str = "embedding",
     seed: int = 42,
-    rows_per_file: int = 1_000_000,
-) -> None:
-    """Store ``df`` under ``path`` by nearest list centre.
+) -> DataFrame:
+    """``list_id`` and ``centre``, by k-means over all rows of ``df``.
 
-    The centres are learnt from a repeatable sample of bounded size; every
-    vector is stored.  A list with more than ``rows_per_file`` rows is spread
-    over several tasks and files.  Rows without a direction or vector have no
-    distance and are left out.
+    To learn from a part of a table, pass that part.  Rows without a direction or vector
+    are not used, nor are vectors of another than the most frequent length.
     """
-    if not 0 < lists <= MAX_LISTS:
-        raise ValueError(f"lists must be in 1..{MAX_LISTS}")
+    spark = df.sparkSession
     point = F.col("_point")
-    pointed = df.withColumn("_point", _point(F.col(vector_column), metric)).filter(
+    points = df.select(_point(F.col(vector_column), metric).alias("_point")).filter(
         point.isNotNull() & (F.size(point) > 0)
     )
-    points = pointed.withColumn("_features", array_to_vector(point))
-    n = max(1, df.count())
-    share = min(1.0, TRAIN_ROWS_PER_LIST * lists / n)
-    # Drawn by a digest of the key: the same rows on every run and re-run.
     # Stored, because k-means reads its input many times.
-    spark = df.sparkSession
-    million = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1_000_000))
-    drawn = points.filter(million < int(share * 1_000_000) + 1).select("_point")
-    sample = write_table(drawn, work_path(spark, "sample")).select(
-        array_to_vector(F.col("_point")).alias("_features")
-    )
-    model = KMeans(
-        k=lists, seed=seed, maxIter=10, featuresCol="_features", predictionCol="list_id"
-    ).fit(sample)
+    points = write_table(points, work_path(spark, "points"))
+    most = points.groupBy(F.size("_point").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    if most is None:
+        raise ValueError("there are no vectors to learn from")
+    features = points.filter(F.size(point) == most["d"]).select(array_to_vector(point).alias("_features"))
+    model = KMeans(k=lists, seed=seed, maxIter=10, featuresCol="_features").fit(features)
     centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    spark.createDataFrame(centres, "list_id int, centre array<double>").write.parquet(
-        f"{path}/centres"
-    )
-    # How many files a list fills is judged by the sample; it only shapes the layout.
-    per_file = max(1.0, rows_per_file * share)
-    files = (
-        model.transform(sample)
-        .groupBy("list_id")
-        .agg(F.ceil(F.count("*") / per_file).cast("int").alias("_files"))
+    return spark.createDataFrame(centres, "list_id int, centre array<double>")
+
+
+def ivf_build(
+    df: DataFrame,
+    path: str,
+    centres: DataFrame,
+    metric: str = "cosine",
+    key: str = "id",
+    vector_column: str = "embedding",
+    rows_per_file: int = 1_000_000,
+) -> int:
+    """Store ``df`` under ``path`` by nearest centre; how many rows could not be stored.
+
+    Every vector of the centres' length that has a direction is stored; ties go to the
+    smaller ``list_id``.  A list with more than ``rows_per_file`` rows is spread over
+    several tasks and files.
+    """
+    table = centres.orderBy("list_id").toArrow()
+    if table.nbytes > MAX_CENTRE_BYTES:
+        raise ValueError("the centres do not fit into a task; use fewer lists")
+    names = np.array(table.column("list_id").to_pylist(), np.int32)
+    matrix = np.array(table.column("centre").to_pylist(), np.float64)
+    width = matrix.shape[1]
+    centres.write.parquet(f"{path}/centres")
+
+    def nearest(points: pa.Array) -> pa.Array:
+        rows, valid = kernels.matrix(points, width)
+        valid &= np.isfinite(rows).all(axis=1)
+        if metric == "cosine":
+            score = np.nan_to_num(rows) @ (matrix / np.linalg.norm(matrix, axis=1, keepdims=True)).T
+        elif metric == "inner_product":
+            score = np.nan_to_num(rows) @ matrix.T
+        else:
+            score = np.nan_to_num(rows) @ matrix.T - (matrix**2).sum(axis=1) / 2
+        return pa.array(names[np.round(score, 12).argmax(axis=1)], pa.int32(), mask=~valid)
+
+    def assign(batches):
+        for batch in batches:
+            columns = [*batch.columns[:-1], nearest(batch.columns[-1])]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "list_id"])
+
+    stored = T.StructType([*df.schema.fields, T.StructField("list_id", T.IntegerType())])
+    listed = df.withColumn("_point", _point(F.col(vector_column), metric)).mapInArrow(assign, stored)
+    # One row per list.
+    counted = write_table(listed.groupBy("list_id").agg(F.count("*").alias("_n")), work_path(df.sparkSession, "lists"))
+    files = counted.filter("list_id IS NOT NULL").select(
+        "list_id", F.ceil(F.col("_n") / rows_per_file).cast("int").alias("_files")
     )
-    file = F.pmod(F.xxhash64(key), F.coalesce(F.col("_files"), F.lit(1)))
+    file = F.pmod(F.xxhash64(key), F.col("_files"))
     (
-        model.transform(points)
-        .drop("_point", "_features")
-        # One row per list, at most MAX_LISTS.
-        .join(F.broadcast(files), "list_id", "left")
+        listed.join(F.broadcast(files), "list_id")
         .withColumn("_file", file)
         .repartition("list_id", "_file")
         .drop("_files", "_file")
         .write.partitionBy("list_id")
         .parquet(f"{path}/lists")
     )
+    lost = counted.filter("list_id IS NULL").first()
+    return lost["_n"] if lost else 0
 
 
 def nearest_lists(
     spark: SparkSession, path: str, query: Sequence[float], probes: int, metric: str = "cosine"
 ) -> list[int]:
-    """The lists whose centre is nearest to the query."""
+    """The lists whose centre is nearest to the query, by the metric of the search."""
     near = vector_search(
-        spark.read.parquet(f"{path}/centres"),
-        query,
-        probes,
-        "cosine" if metric == "cosine" else "l2",
-        "centre",
-        "list_id",
+        spark.read.parquet(f"{path}/centres"), query, probes, metric, "centre", "list_id"
     )
     return [row["list_id"] for row in near.select("list_id").collect()]
 

@@ -161,7 +161,7 @@ def hybrid_one_table(spark, folder):
 
 @query(
     "j3_hybrid_search_no_hit",
-    "SELECT doc_id AS id FROM documents WHERE false",
+    f"SELECT doc_id AS id FROM ({L.ranked('zzqxv wwqzk', 'english')})",
 )
 def hybrid_no_hit(spark, folder):
     found = search.hybrid_search(
@@ -447,7 +447,40 @@ def batch_text_search(spark, folder):
     )
 
 
-@query("j8_batch_search_routed")
+_ROUTED_SQL = f"""
+    WITH moded AS ({_MODED_SQL}),
+    asked AS (SELECT query_id, {L.terms_sql('query', 'french')} AS terms FROM moded WHERE mode <> 'vector'),
+    docs AS (SELECT doc_id AS id, {L.lexemes_sql('text', 'french')} AS lex FROM documents),
+    pairs AS (SELECT query_id, id, t, count(*) AS tf, any_value(len(terms)) AS n
+              FROM (SELECT query_id, terms, unnest(terms) AS t FROM asked)
+              JOIN (SELECT id, unnest(lex) AS t FROM docs) USING (t)
+              GROUP BY query_id, id, t),
+    ranked AS (SELECT query_id, id, round(sum(tf / (tf + 1.0)) / any_value(n), 12) AS rank FROM pairs
+               GROUP BY query_id, id HAVING count(*) = any_value(n)),
+    hits AS (SELECT query_id, mode, id, rank, row_number() OVER (PARTITION BY query_id ORDER BY rank DESC, id) AS p
+             FROM ranked JOIN moded USING (query_id)),
+    slots AS ({L.hashed_sql("SELECT query_id AS key, query AS t FROM (" + _MODED_SQL + ") WHERE mode <> 'text'", 64)}),
+    q AS (SELECT query_id, mode, list(coalesce(w, 0.0)::FLOAT::DOUBLE ORDER BY i) AS q
+          FROM (SELECT query_id, mode, unnest(range(64)) AS i FROM moded WHERE mode <> 'text')
+          LEFT JOIN slots ON key = query_id AND slot = i GROUP BY query_id, mode),
+    nearest AS (SELECT query_id, mode, vec_id AS id,
+                       row_number() OVER (PARTITION BY query_id ORDER BY round(d, 12), vec_id) AS position
+                FROM (SELECT query_id, mode, vec_id, 1 - list_cosine_similarity(embedding::DOUBLE[], q) AS d
+                      FROM q, embeddings WHERE mode = 'vector' AND list_max(list_transform(q, lambda x: abs(x))) > 0)),
+    scored AS (SELECT query_id, mode, id, rank, 1 - list_cosine_similarity(embedding::DOUBLE[], q) AS d
+               FROM hits JOIN q USING (query_id, mode) LEFT JOIN embeddings ON id = vec_id
+               WHERE mode = 'hybrid' AND p <= 100),
+    near AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY d NULLS LAST, id) AS place FROM scored),
+    fused AS (SELECT query_id, mode, id, row_number() OVER (PARTITION BY query_id
+                  ORDER BY 0.7 * coalesce(1 - d, 0) + 0.3 * rank DESC, id) AS position
+              FROM near WHERE place <= 10)
+    SELECT query_id, mode, id, p AS position FROM hits WHERE mode = 'text' AND p <= 10
+    UNION ALL SELECT query_id, mode, id, position FROM nearest WHERE position <= 10
+    UNION ALL SELECT query_id, mode, id, position FROM fused
+"""
+
+
+@query("j8_batch_search_routed", _ROUTED_SQL)
 def batch_search_routed(spark, folder):
     found = batch.batch_search(
         _log(spark, folder), _texts(spark, folder), _vectors(spark, folder), EMBEDDER
@@ -515,15 +548,58 @@ def random_probe_search(spark, folder):
 # ------------------------------------------------------------------- j11 lists
 
 
-@query("j11_ivf_search")
+# The lists around the sixteen smallest ids, so that SQL can build them too.
+_LISTS_SQL = """
+    centres AS (SELECT vec_id AS list_id, embedding::DOUBLE[] AS c FROM embeddings ORDER BY vec_id LIMIT 16),
+    listed AS (
+        SELECT vec_id, embedding::DOUBLE[] AS e,
+               (SELECT list_id FROM centres
+                ORDER BY round(list_cosine_similarity(c, embedding::DOUBLE[]), 12) DESC, list_id LIMIT 1) AS list_id
+        FROM embeddings)
+"""
+
+
+def _fixed_lists(spark, folder, path, **options):
+    rows = load(spark, folder, "embeddings")
+    first = rows.orderBy("vec_id").limit(16).select(
+        F.col("vec_id").cast("int").alias("list_id"), F.col("embedding").cast("array<double>").alias("centre")
+    )
+    ann.ivf_build(rows, path, first, key="vec_id", **options)
+
+
+@query(
+    "j11_ivf_search",
+    f"""
+    WITH {_LISTS_SQL},
+    probed AS (SELECT list_id FROM centres ORDER BY list_cosine_similarity(c, {PROBE_SQL}) DESC, list_id LIMIT 4)
+    SELECT vec_id, {tidy_sql('d')} AS distance
+    FROM (SELECT vec_id, 1 - list_cosine_similarity(e, {PROBE_SQL}) AS d FROM listed JOIN probed USING (list_id))
+    ORDER BY d, vec_id LIMIT 10
+    """,
+)
 def ivf_search(spark, folder):
     path = work_path(spark, "ivf")
-    rows = load(spark, folder, "embeddings")
-    ann.ivf_build(rows, path, 16, key="vec_id")
+    _fixed_lists(spark, folder, path)
     found = ann.ivf_search(spark, path, probe_vector(spark, folder), 10, 4, key="vec_id")
     return found.select("vec_id", tidy(F.col("distance")).alias("distance"))
 
 
+@query(
+    "j11_ivf_recall",
+    "SELECT least(10, count(*)) AS n_exact, true AS most_found FROM embeddings",
+)
+def ivf_recall(spark, folder):
+    # Learnt lists, half of them probed: at least six of the ten nearest are found.
+    path = work_path(spark, "ivf")
+    rows = load(spark, folder, "embeddings")
+    ann.ivf_build(rows, path, ann.learn_centres(rows, 16), key="vec_id")
+    probe = probe_vector(spark, folder)
+    exact = search.vector_search(rows, probe, 10, key="vec_id")
+    some = ann.ivf_search(spark, path, probe, 10, 8, key="vec_id")
+    found = ann.recall(exact, some, "vec_id")
+    return found.select("n_exact", (F.col("recall") >= 0.6).alias("most_found"))
+
+
 @query(
     "j11_ivf_search_all_lists",
     f"""
@@ -535,7 +611,7 @@ def ivf_search(spark, folder):
 def ivf_search_all_lists(spark, folder):
     # Probing every list must give the exact answer.
     path = work_path(spark, "ivf")
-    ann.ivf_build(load(spark, folder, "embeddings"), path, 16, key="vec_id", rows_per_file=20)
+    _fixed_lists(spark, folder, path, rows_per_file=20)
     found = ann.ivf_search(spark, path, probe_vector(spark, folder), 10, 16, key="vec_id")
     return found.select("vec_id", tidy(F.col("distance")).alias("distance"))
 
