@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vectrail.operators import embedding as E
-from vectrail.operators.tables import append_with_embedding
+from vectrail.operators.tables import append_rows, append_with_embedding, new_rows
 from vectrail.session import work_path
 from vectrail.streaming.incremental import embed_new_rows, embedded_rows
 
@@ -74,7 +74,7 @@ def test_backfill(spark):
     assert got[1] == (None, None) and got[2] == (None, None)
     assert got[3] == ("embedded", [0.0, 0.0])  # blank title and content
     assert got[4] == ("failed", None)
-    assert got[5] == ("embedded", [8000.0, 1.0])
+    assert got[5] == ("embedded", [9003.0, 1.0])  # the whole text
     assert got[6] == (None, [9.0, 9.0])
     counts = E.backfill_counts(done).first()
     assert (counts["due"], counts["embedded"], counts["failed"]) == (3, 2, 1)
@@ -112,7 +112,7 @@ def test_append_with_embedding(spark):
     new = spark.createDataFrame([(1, "ETH", "up"), (2, "BTC", None)], "item long, symbol string, note string")
     empty = F.lit(None).cast("string")
     source = E.record_text(F.col("note"), empty, F.col("symbol"), empty)
-    rows = append_with_embedding(base, new, source, E.Embedder(2, lengths)).orderBy("id").collect()
+    rows = append_with_embedding(base, new, source, E.Embedder(2, lengths), extend=True).orderBy("id").collect()
     assert [(r["id"], r["symbol"]) for r in rows] == [(4, "old"), (5, "ETH"), (6, "BTC")]
     assert rows[1]["embedding"][0] == len("up | Symbol: ETH")
     assert rows[2]["embedding"][0] == len("Symbol: BTC")
@@ -135,3 +135,60 @@ def test_new_rows_are_embedded_once(spark, reuse):
     got = {r["id"]: r["embedding"] for r in embedded_rows(spark, target).collect()}
     assert got == {1: [1.0, 1.0], 2: [2.0, 1.0], 3: [1.0, 1.0], 4: [4.0, 1.0], 5: None}
     assert embedded_rows(spark, target).count() == 5
+
+
+def test_failed_rows_are_named(spark):
+    df = spark.createDataFrame(
+        [(1, "good text", None), (2, "bad text", None), (3, "bad again", [7.0])], "id long, a string, embedding array<float>"
+    )
+    model = E.Embedder(1, lambda texts: [None if "bad" in t else [1.0] for t in texts])
+    done = E.vectorise_rows(df, df.select("id"), ["a"], model).orderBy("id").collect()
+    assert [(r["status"], r["embedding"]) for r in done] == [
+        ("vectorised", [1.0]), ("failed", None), ("failed", [7.0])
+    ]
+
+
+def test_unknown_columns_are_not_dropped(spark):
+    base = spark.createDataFrame([(4, "old")], "id long, symbol string")
+    new = spark.createDataFrame([(1, "ETH", "x")], "item long, symbol string, note string")
+    with pytest.raises(ValueError, match="note"):
+        append_rows(base, new, order_by="item")
+    rows = append_rows(base, new, order_by="item", extend=True).orderBy("id").collect()
+    assert [(r["id"], r["symbol"], r["note"]) for r in rows] == [(4, "old", None), (5, "ETH", "x")]
+    added = new_rows(base, new.drop("note"), order_by="item").collect()
+    assert [(r["id"], r["symbol"]) for r in added] == [(5, "ETH")]
+
+
+def test_whole_articles_are_embedded(spark):
+    title, content = F.lit("t"), F.repeat(F.lit("x"), 20_000)
+    row = spark.range(1).select(F.length(E.article_text(title, content)).alias("n")).first()
+    assert row["n"] == 20_003
+
+
+def test_known_texts_are_not_embedded_again(spark):
+    df = spark.createDataFrame([(1, " a "), (2, "b"), (3, "a"), (4, None)], "id long, t string")
+    known = spark.createDataFrame([("a", [9.0])], "t string, vector array<float>").select(
+        E.text_digest(F.col("t")).alias("text_digest"), "vector"
+    )
+    done = E.embed_with_reuse(df, "t", E.Embedder(1, lambda texts: [[float(len(t))] for t in texts]), "id", known=known)
+    assert {r["id"]: r["embedding"] for r in done.collect()} == {1: [9.0], 2: [1.0], 3: [9.0], 4: None}
+    assert E.embedded_texts(done, "t", known=known).count() == 1
+
+
+def test_a_text_of_an_earlier_batch_is_not_embedded_again(spark):
+    source, target, progress = (work_path(spark, n) for n in ("in", "out", "progress"))
+    schema = spark.createDataFrame([], "id long, t string").schema
+
+    def chance(texts):
+        import random
+
+        return [[random.random()] for _ in texts]
+
+    for rows in ([(1, "same"), (2, "other")], [(3, "same"), (4, "new")], [(5, "new")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        embed_new_rows(
+            spark, source, schema, target, progress, "t", E.Embedder(1, chance), "id", reuse=True
+        ).awaitTermination()
+    got = {r["id"]: r["embedding"] for r in embedded_rows(spark, target).collect()}
+    assert len(got) == 5 and got[1] == got[3] and got[4] == got[5]
+    assert len({tuple(v) for v in got.values()}) == 3

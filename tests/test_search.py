@@ -30,7 +30,7 @@ def test_shared_and_blocked_batches_agree(vectors):
     )
     shared = batch.batch_vector_search(asked, vectors, 4)
     blocked = batch.batch_vector_search(
-        asked, vectors, 4, max_shared_queries=10, corpus_block_rows=60
+        asked, vectors, 4, max_shared_queries=10
     )
     assert triples(shared) == triples(blocked)
 
@@ -69,7 +69,7 @@ def test_text_keys(spark):
     )
     shared = batch.batch_vector_search(asked, corpus, 3, "l2")
     blocked = batch.batch_vector_search(
-        asked, corpus, 3, "l2", max_shared_queries=1, corpus_block_rows=7
+        asked, corpus, 3, "l2", max_shared_queries=1
     )
     for found in (shared, blocked):
         rows = [r for r in found.collect() if r["query_id"] == "q"]
@@ -88,12 +88,10 @@ def test_batch_text_agrees_with_single_searches(spark, texts):
     queries = ["ment tion", "tion", "le la", "elle pour", "zzz tion"]
     asked = spark.createDataFrame(list(enumerate(queries)), "query_id int, query string")
     many = batch.batch_text_search(asked, texts, 5).collect()
-    shuffled = batch.batch_text_search(asked, texts, 5, max_shared_bytes=0).collect()
     for i, query in enumerate(queries):
         one = [(r["id"], r["rank"]) for r in search.text_search(texts, query, k=5).collect()]
-        for result in (many, shuffled):
-            got = sorted((r for r in result if r["query_id"] == i), key=lambda r: r["position"])
-            assert [(r["id"], r["text_rank"]) for r in got] == one
+        got = sorted((r for r in many if r["query_id"] == i), key=lambda r: r["position"])
+        assert [(r["id"], r["text_rank"]) for r in got] == one
 
 
 def test_hybrid_against_brute_force(spark, texts, vectors):
@@ -187,3 +185,64 @@ def test_top_k_is_cut_before_the_shuffle(vectors):
     asked = vectors.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
     plan = batch.batch_vector_search(asked, vectors, 5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_search_of_queries_in_parts_never_shuffles_the_corpus(vectors):
+    asked = vectors.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    for most in (10_000, 50):
+        df = batch.batch_vector_search(asked, vectors, 2, max_shared_queries=most)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" in plan and all("embedding" not in line for line in plan.split("\n") if "Exchange" in line)
+
+
+def test_rows_without_a_distance_are_left_out_alike(spark):
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0]), (5, [0.5, 0.5])]
+    corpus = spark.createDataFrame(rows, "id long, embedding array<double>")
+    asked = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, query_vector array<double>")
+    many = [r["id"] for r in batch.batch_vector_search(asked, corpus, 5).orderBy("position").collect()]
+    one = [r["id"] for r in search.vector_search(corpus, [1.0, 0.0], 5).collect()]
+    assert many == one == [1, 5]
+    kept = search.vector_search(corpus, [1.0, 0.0], 5, keep_undefined=True).collect()
+    assert [r["id"] for r in kept] == [1, 5, 2, 3, 4]
+
+
+def test_more_than_a_hundred_hybrid_results(spark):
+    rows = [(i, f"comment choisir un moteur numero {i}", [float(i), 1.0]) for i in range(150)]
+    corpus = spark.createDataFrame(rows, "id long, content string, embedding array<double>")
+    model = Embedder(2, lambda texts: [[1.0, 1.0] for _ in texts])
+    query = "comment choisir un moteur"
+    one = search.search(corpus, query, model, k=130).collect()
+    assert len(one) == 130 and {r["mode"] for r in one} == {"hybrid"}
+    asked = spark.createDataFrame([("q", query)], "query_id string, query string")
+    many = batch.batch_search(asked, corpus, corpus.select("id", "embedding"), model, k=130).collect()
+    assert len(many) == 130 and {r["mode"] for r in many} == {"hybrid"}
+
+
+def test_equal_term_sets_and_a_term_in_half_of_the_texts(spark):
+    rows = [(i, ("moteur " if i % 2 else "") + f"diesel{i % 3} " * (1 + i % 4)) for i in range(400)]
+    corpus = spark.createDataFrame(rows, "id long, content string")
+    queries = ["moteur", "moteur moteur", "moteur diesel1", "diesel1 moteur", "diesel2", "absent moteur"]
+    asked = spark.createDataFrame(list(enumerate(queries)), "query_id int, query string")
+    many = batch.batch_text_search(asked, corpus, 7).collect()
+    for i, query in enumerate(queries):
+        one = [(r["id"], r["rank"]) for r in search.text_search(corpus, query, k=7).collect()]
+        got = sorted((r for r in many if r["query_id"] == i), key=lambda r: r["position"])
+        assert [(r["id"], r["text_rank"]) for r in got] == one
+
+
+def test_lists_over_mixed_lengths(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(60)] + [(100, [1.0]), (101, None), (102, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>")
+    path = work_path(spark, "ivf")
+    assert ann.ivf_build(df, path, ann.learn_centres(df, 4)) == 3
+    assert spark.read.parquet(f"{path}/lists").count() == 60
+
+
+def test_lists_by_inner_product_prefer_long_centres(spark):
+    rows = [(1, [10.0, 0.0]), (2, [1.0, 0.1]), (3, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "id long, embedding array<double>")
+    centres = spark.createDataFrame([(0, [10.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0])], "list_id int, centre array<double>")
+    path = work_path(spark, "ivf")
+    ann.ivf_build(df, path, centres, "inner_product")
+    found = ann.ivf_search(spark, path, [1.0, 0.1], 1, 1, "inner_product").collect()
+    assert [r["id"] for r in found] == [1]

@@ -128,29 +128,34 @@ def buckets_and_signs(words: list[str], dims: int) -> tuple[np.ndarray, np.ndarr
     return slots, signs
 
 
-def hash_words(words: pa.Array, dims: int, rows_at_once: int = 1024) -> pa.Array:
+def hash_words(words: pa.Array, dims: int, cells_at_once: int = 1 << 22) -> pa.Array:
     """Feature-hashed unit vectors (Weinberger et al. 2009) of word lists.
 
-    A NULL list gives NULL; a list without words, or of empty ones, the zero vector.
+    A NULL list gives NULL; a list without words, or of empty ones, the zero vector.  Each
+    distinct word of the batch is hashed once; the vectors are written a bounded
+    number of cells at a time.
     """
-    parts = []
-    for start in range(0, len(words), rows_at_once):
-        parts.append(_hash_chunk(words.slice(start, rows_at_once), dims))
-    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
-
-
-def _hash_chunk(words: pa.Array, dims: int) -> pa.Array:
-    n = len(words)
     flat = words.flatten().dictionary_encode()
     lengths = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     slots, signs = buckets_and_signs(flat.dictionary.to_pylist(), dims)
     codes = flat.indices.to_numpy()
-    cells = np.repeat(np.arange(n), lengths) * dims + slots[codes]
-    weights = signs[codes]
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    missing = words.is_null()
+    parts = []
+    rows = max(1, cells_at_once // dims)
+    for start in range(0, len(words), rows):
+        n = min(rows, len(words) - start)
+        part = codes[ends[start] : ends[start + n]]
+        cells = np.repeat(np.arange(n), lengths[start : start + n]) * dims + slots[part]
+        parts.append(_unit_vectors(cells, signs[part], n, dims, missing.slice(start, n)))
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))
+
+
+def _unit_vectors(cells: np.ndarray, weights: np.ndarray, n: int, dims: int, missing: pa.Array) -> pa.Array:
     dense = np.bincount(cells, weights=weights, minlength=n * dims)
     dense = dense.astype(np.float64).reshape(n, dims)  # integers if there was no word
-    lengths_2 = np.linalg.norm(dense, axis=1, keepdims=True)
-    dense = np.divide(dense, lengths_2, out=np.zeros_like(dense), where=lengths_2 > 0)
+    lengths = np.linalg.norm(dense, axis=1, keepdims=True)
+    dense = np.divide(dense, lengths, out=np.zeros_like(dense), where=lengths > 0)
     offsets = pa.array(np.arange(n + 1, dtype=np.int32) * dims)
     values = pa.array(dense.astype(np.float32).ravel())
-    return pa.ListArray.from_arrays(offsets, values, mask=words.is_null())
+    return pa.ListArray.from_arrays(offsets, values, mask=pa.array(missing.to_numpy(zero_copy_only=False)))

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,10 +18,9 @@ from vectrail.operators.skew import top_per_group
 from vectrail.session import work_path
 from vectrail.sources.tables import write_table
 
-# A query table goes to every task only below both of these bounds.
-MAX_SHARED_QUERIES = 4096
+# Bounds on the queries that every task holds at a time.
+MAX_SHARED_QUERIES = 16_384
 MAX_SHARED_BYTES = 64 * 1024 * 1024
-CORPUS_BLOCK_ROWS = 200_000
 
 
 def batch_vector_search(
@@ -34,16 +33,18 @@ def batch_vector_search(
     key: str = "id",
     vector_column: str = "embedding",
     max_shared_queries: int = MAX_SHARED_QUERIES,
-    corpus_block_rows: int = CORPUS_BLOCK_ROWS,
+    max_shared_bytes: int = MAX_SHARED_BYTES,
 ) -> DataFrame:
     """The k nearest corpus rows of every query, exact.
 
     Columns: query key, corpus key, ``distance``, ``similarity``, ``position``.
     No pair of query and row is ever a Spark row: each task multiplies its
     batches with the query matrix and keeps k per query.  A query table above
-    the bound is cut into blocks instead, and every pair of blocks is one task.
-    Rows without a distance to a query are left out.
+    the bounds is cut into parts, and the corpus is scanned once for each of them; it is
+    never shuffled, and only one part is on the driver at a time.  Rows without a
+    distance to a query are left out.
     """
+    spark = queries.sparkSession
     asked = queries.select(query_key, query_vector).filter(F.col(query_vector).isNotNull())
     rows = corpus.select(key, vector_column).filter(F.col(vector_column).isNotNull())
     schema = T.StructType(
@@ -53,37 +54,25 @@ def batch_vector_search(
             T.StructField("distance", T.DoubleType()),
         ]
     )
-    first = asked.limit(max_shared_queries + 1).toArrow()
-    if first.num_rows <= max_shared_queries and first.nbytes <= MAX_SHARED_BYTES:
-        near = _against_shared(first, rows, k, metric, schema)
+    size = asked.agg(F.count("*").alias("n"), F.sum(F.size(query_vector) * 8).alias("b")).first()
+    parts = max(-(-size["n"] // max_shared_queries), -(-(size["b"] or 0) // max_shared_bytes), 1)
+    if parts == 1:
+        near = _against_shared(asked.toArrow(), rows, k, metric, schema)
     else:
-        near = _block_by_block(
-            asked, rows, k, metric, query_key, key, schema, max_shared_queries, corpus_block_rows
+        stored = write_table(
+            asked.withColumn("_part", F.pmod(F.xxhash64(query_key), F.lit(parts))), work_path(spark, "asked")
         )
+        path = work_path(spark, "nearest")
+        for part in range(parts):
+            some = stored.filter(F.col("_part") == part).drop("_part").toArrow()
+            _against_shared(some, rows, k, metric, schema).write.mode("append").parquet(path)
+        near = spark.read.schema(schema).parquet(path)
     order = [F.col("distance").asc(), F.col(key).asc()]
     return top_per_group(near, [query_key], order, k).withColumn(
         "similarity", vector.similarity(F.col("distance"))
     )
 
 
-def _nearest(keys: list, queries: np.ndarray, width: int, k: int, metric: str, schema: pa.Schema):
-    """A function from corpus batches to one batch of the k nearest per query."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = kernels.Nearest(queries, k, metric)
-        for batch in batches:
-            rows, valid = kernels.matrix(_one_chunk(batch.column(1)), width)
-            ids = np.asarray(batch.column(0).to_pylist())
-            best.add(ids[valid], rows[valid])
-        found = [(keys[i], row.item(), d) for i, row, d in best.rows()]
-        columns = list(zip(*found)) if found else [[], [], []]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(column, field.type) for column, field in zip(columns, schema)], schema=schema
-        )
-
-    return run
-
-
 def _one_chunk(column: pa.Array) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
@@ -103,43 +92,33 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def _against_shared(asked: pa.Table, rows, k, metric, schema) -> DataFrame:
-    groups = _by_width(asked.column(0).to_pylist(), asked.column(1).to_pylist())
-    arrow_schema = _arrow_schema(schema)
-    result = rows.sparkSession.createDataFrame([], schema)
-    for width, (keys, matrix) in groups.items():
-        run = _nearest(keys, matrix, width, k, metric, arrow_schema)
-        result = result.union(rows.mapInArrow(run, schema))
-    return result
+def _keys(column: pa.Array) -> np.ndarray:
+    if pa.types.is_integer(column.type) and not column.null_count:
+        return column.to_numpy(zero_copy_only=False)
+    return np.asarray(column.to_pylist())
 
 
-def _block_by_block(
-    asked, rows, k, metric, query_key, key, schema, block_queries, block_rows
-) -> DataFrame:
-    query_blocks = max(1, -(-asked.count() // block_queries))
-    corpus_blocks = max(1, -(-rows.count() // block_rows))
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    def part(column: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(n)).cast("int")
-
-    left = rows.withColumn("_c", part(key, corpus_blocks)).withColumn("_q", every(query_blocks))
-    right = asked.withColumn("_q", part(query_key, query_blocks)).withColumn(
-        "_c", every(corpus_blocks)
-    )
+def _against_shared(asked: pa.Table, rows: DataFrame, k: int, metric: str, schema: T.StructType) -> DataFrame:
+    """The k nearest rows per task of queries that every task holds, of any length, in one scan."""
+    groups = _by_width(asked.column(0).to_pylist(), asked.column(1).to_pylist())
     arrow_schema = _arrow_schema(schema)
 
-    def pair(corpus_part: pa.Table, query_part: pa.Table) -> pa.Table:
-        groups = _by_width(query_part.column(0).to_pylist(), query_part.column(1).to_pylist())
-        batches = []
-        for width, (keys, matrix) in groups.items():
-            run = _nearest(keys, matrix, width, k, metric, arrow_schema)
-            batches.extend(run(iter(corpus_part.to_batches())))
-        return pa.Table.from_batches(batches, schema=arrow_schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = {width: kernels.Nearest(matrix, k, metric) for width, (_, matrix) in groups.items()}
+        for batch in batches:
+            ids = _keys(batch.column(0))
+            for width, nearest in best.items():
+                found, valid = kernels.matrix(_one_chunk(batch.column(1)), width)
+                nearest.add(ids[valid], found[valid])
+        triples = [
+            (groups[width][0][i], row.item(), d) for width, nearest in best.items() for i, row, d in nearest.rows()
+        ]
+        columns = list(zip(*triples)) if triples else [[], [], []]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(column, field.type) for column, field in zip(columns, arrow_schema)], schema=arrow_schema
+        )
 
-    return left.groupBy("_c", "_q").cogroup(right.groupBy("_c", "_q")).applyInArrow(pair, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def batch_text_search(

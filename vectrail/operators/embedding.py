@@ -75,6 +75,11 @@ def embed(
     return df.withColumn(target, embedder.column(F.col(text_column)))
 
 
+def text_digest(texts: Column) -> Column:
+    """What tells texts apart when embeddings are reused: a digest of the trimmed text."""
+    return F.sha2(text.trim_all(texts), 256)
+
+
 def embed_with_reuse(
     df: DataFrame,
     text_column: str,
@@ -82,20 +87,44 @@ def embed_with_reuse(
     key: str,
     target: str = "embedding",
     rows_per_task: int = 1_000_000,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Embed each distinct trimmed text once and hand the vector to all its copies.
 
-    Worth its shuffle when a model call costs more than moving the text.
-    A text with very many copies is spread over several tasks.
+    ``known`` has ``text_digest`` and ``vector`` of texts embedded before with the same
+    model; those are not embedded again.  ``embedded_texts`` gives what to add to it.
+    Texts are grouped and looked up by their digests, so that only one copy of each is
+    moved.  A text with very many copies is spread over several tasks.
     """
-    keyed = df.withColumn("_text", text.trim_all(F.col(text_column)))
-    known = (
-        keyed.filter(F.col("_text").isNotNull())
-        .groupBy("_text")
-        .agg(F.count("*").alias("_copies"))
-        .withColumn(target, embedder.column(F.col("_text")))
+    keyed = df.withColumn("_digest", text_digest(F.col(text_column)))
+    distinct = (
+        keyed.filter(F.col("_digest").isNotNull())
+        .groupBy("_digest")
+        .agg(F.first(text_column).alias("_text"), F.count("*").alias("_copies"))
+    )
+    if known is None:
+        made = distinct.withColumn(target, embedder.column(F.col("_text")))
+    else:
+        stored = known.select(F.col("text_digest").alias("_digest"), F.col("vector").alias("_known"))
+        made = (
+            distinct.join(stored.dropDuplicates(["_digest"]), "_digest", "left")
+            .withColumn("_new", embedder.column(F.when(F.col("_known").isNull(), F.col("_text"))))
+            .withColumn(target, F.coalesce("_known", "_new"))
+        )
+    made = made.select("_digest", "_copies", target)
+    return salted_lookup(keyed, made, "_digest", "_copies", key, rows_per_task).drop("_digest")
+
+
+def embedded_texts(
+    done: DataFrame, text_column: str, target: str = "embedding", known: DataFrame | None = None
+) -> DataFrame:
+    """``text_digest`` and ``vector`` of the texts of ``done`` that ``known`` does not hold yet."""
+    made = (
+        done.filter(F.col(target).isNotNull() & F.col(text_column).isNotNull())
+        .groupBy(text_digest(F.col(text_column)).alias("text_digest"))
+        .agg(F.first(target).alias("vector"))
     )
-    return salted_lookup(keyed, known, "_text", "_copies", key, rows_per_task).drop("_text")
+    return made if known is None else made.join(known.select("text_digest"), "text_digest", "left_anti")
 
 
 def embed_query(spark: SparkSession, query: str, embedder: Embedder) -> list[float]:

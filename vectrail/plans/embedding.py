@@ -88,6 +88,15 @@ def embed_with_reuse(spark, folder):
     return _checked(E.embed_with_reuse(docs, "text", EMBEDDER, "doc_id"))
 
 
+@query("k2_embed_with_known", _EMBEDDED_SQL)
+def embed_with_known(spark, folder):
+    # Half of the documents were embedded before.
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    before = E.embed(docs.filter("doc_id % 2 = 0"), "text", EMBEDDER)
+    known = E.embedded_texts(before, "text")
+    return _checked(E.embed_with_reuse(docs, "text", EMBEDDER, "doc_id", known=known))
+
+
 @query("k2_embed_with_reuse_hot_texts", _EMBEDDED_SQL)
 def embed_with_reuse_hot(spark, folder):
     # The same with every repeated text treated as hot and split over tasks.

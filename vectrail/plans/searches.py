@@ -372,7 +372,7 @@ for _metric in vector.METRICS:
     """,
 )
 def queries_against_corpus(spark, folder):
-    # Block by block, as for a query table too large to share: the nearest
+    # In parts, as for a query table too large to share: the nearest
     # other vector is in the first two, the vector itself being one of them
     # unless two copies stand before it.
     vectors = _vectors(spark, folder)
@@ -380,7 +380,7 @@ def queries_against_corpus(spark, folder):
         F.col("id").alias("query_id"), F.col("embedding").alias("query_vector")
     )
     near = batch.batch_vector_search(
-        asked, vectors, 2, "l2", max_shared_queries=100, corpus_block_rows=300
+        asked, vectors, 2, "l2", max_shared_queries=100
     ).filter("query_id != id")
     first = top_per_group(
         near.drop("position"), ["query_id"], [F.col("distance").asc(), F.col("id").asc()], 1

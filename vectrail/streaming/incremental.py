@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from vectrail.operators.embedding import Embedder, embed, embed_with_reuse
+from vectrail.operators.embedding import Embedder, embed, embed_with_reuse, embedded_texts
 
 
 def embed_new_rows(
@@ -27,8 +28,8 @@ def embed_new_rows(
 
     The checkpoint remembers what was read, so every row is embedded once.
     Without ``reuse`` the file sink commits each batch exactly once.  With it
-    equal texts of a batch share one model call, and a batch that is run again
-    replaces its own folder.
+    equal texts share one model call, within a batch and with the batches and runs before,
+    and a batch that is run again replaces its own folders.
     """
     reader = spark.readStream.schema(schema).option("pathGlobFilter", files)
     if files_per_batch:
@@ -44,9 +45,21 @@ def embed_new_rows(
             .start()
         )
 
+    digests = "text_digest string, vector array<float>, batch_id bigint"
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        done = embed_with_reuse(batch, text_column, embedder, key, vector_column)
-        done.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+        session = batch.sparkSession
+        # The folder of this batch may be there from a run that was cut short.
+        path = f"{target}/_known"
+        known = session.createDataFrame([], digests)
+        if batch_id > 0:
+            known = session.read.schema(digests).parquet(path).filter(F.col("batch_id") < batch_id)
+        done = embed_with_reuse(batch, text_column, embedder, key, vector_column, known=known)
+        out = f"{target}/batch_id={batch_id}"
+        done.write.mode("overwrite").parquet(out)
+        stored = session.read.schema(done.schema).parquet(out)
+        fresh = embedded_texts(stored, text_column, vector_column, known)
+        fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
         rows.writeStream.foreachBatch(store)
