@@ -106,11 +106,12 @@ def test_hot_keys_are_split_and_nothing_is_lost(spark):
     assert joined.filter("v != upper(key) or v is null").count() == 0
 
 
-def test_running_windows_equal_plain_windows(spark, folder):
+@pytest.mark.parametrize("rows_per_key", [1_000_000, 350, 1])
+def test_running_windows_equal_plain_windows(spark, folder, rows_per_key):
     events = load(spark, folder, "events").select(
         "event_id", "ts", "value", F.nullif(F.col("user_id") % 3, F.lit(2)).alias("user")
     )
-    done = skew.running_windows(events, "user", ["ts", "event_id"], "value", F.to_date("ts"))
+    done = skew.running_windows(events, "user", ["ts", "event_id"], "value", F.to_date("ts"), rows_per_key)
     w = W.partitionBy("user").orderBy("ts", "event_id")
     plain = events.select(
         "event_id",
@@ -143,12 +144,39 @@ def test_sliced_ranks_and_frames_equal_plain_windows(spark):
     assert both.count() == 3000
     assert both.filter("r != rank or d != dense_rank").count() == 0
     exact = W.partitionBy("k").orderBy("n", "id")
-    placed = skew.running_windows(df, "k", ["n", "id"], "n", band)
-    framed = skew.framed_mean(placed, "k", "position", "n", 2)
     plain = df.select("id", F.avg("n").over(exact.rowsBetween(-2, 0)).alias("m"))
-    both = framed.join(plain, "id")
-    assert both.count() == 3000
-    assert both.filter("abs(m - mean) > 1e-9").count() == 0
+    for most in (1_000_000, 500):  # no hot key, one
+        placed = skew.running_windows(df, "k", ["n", "id"], "n", band, most)
+        framed = skew.framed_mean(placed, "k", "position", "n", 2, rows_per_key=most)
+        both = framed.join(plain, "id")
+        assert both.count() == 3000
+        assert both.filter("abs(m - mean) > 1e-9").count() == 0
+
+
+def test_ordinary_keys_take_one_exchange(spark):
+    df = spark.range(300).select("id", (F.col("id") % 7).alias("k"), (F.col("id") * 3 % 50).alias("n"))
+    done = skew.running_windows(df, "k", ["n", "id"], "n", F.col("n"))
+    assert done._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_numbers_follow_the_rows(spark):
+    df = spark.range(2500).select("id", (F.col("id") % 11).alias("n"))
+    rows = skew.number_rows(df, "n", ["id"], rows_per_bucket=300).orderBy("position").collect()
+    assert [r["position"] for r in rows] == list(range(1, 2501))
+    assert [(r["n"], r["id"]) for r in rows] == sorted((r["n"], r["id"]) for r in rows)
+
+
+def test_expected_length_comes_from_the_data(spark):
+    df = spark.createDataFrame([([1.0, 2.0],), ([1.0, 3.0],), ([1.0, 2.0, 3.0],)], "v array<double>")
+    row = profile.validate_vectors(df, "v").first()
+    assert (row["n_wrong_dims"], row["n_lengths"], row["compatible"]) == (1, 2, False)
+
+
+def test_the_filter_on_time_reaches_the_scan(spark, folder):
+    from vectrail.plans import QUERIES
+
+    plan = QUERIES["c4_recent_rows"](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts," in plan
 
 
 def test_profile_of_nulls_and_sketch(spark):

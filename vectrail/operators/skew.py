@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vectrail.session import work_path
+from vectrail.sources.tables import write_table
+
+# A key with more rows than this is not left to one task.
+ROWS_PER_KEY = 1_000_000
+
 
 def null_safe_join(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Inner join that also pairs NULL with NULL, so that a NULL key is kept."""
@@ -116,18 +122,66 @@ def top_per_group(
     return df.withColumn(name, F.row_number().over(window)).filter(F.col(name) <= k)
 
 
+def windowed(
+    df: DataFrame,
+    key: str,
+    plain: Callable[[DataFrame], DataFrame],
+    sliced: Callable[[DataFrame], DataFrame],
+    rows_per_key: int = ROWS_PER_KEY,
+) -> DataFrame:
+    """``plain`` for keys of ordinary size, ``sliced`` for keys counted above ``rows_per_key``.
+
+    Both give the same columns; an ordinary window over the key is the plain way, and
+    what it shuffles is all that is shuffled where no key is hot.
+    """
+    counted = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > rows_per_key)
+    hot = write_table(counted.select(F.col(key).alias("_hot")), work_path(df.sparkSession, "hot-keys"))
+    if hot.isEmpty():
+        return plain(df)
+    marked = df.join(hot.withColumn("_is_hot", F.lit(True)), F.col(key).eqNullSafe(F.col("_hot")), "left")
+    few = marked.filter("_is_hot IS NULL").drop("_hot", "_is_hot")
+    many = marked.filter("_is_hot").drop("_hot", "_is_hot")
+    return plain(few).unionByName(sliced(many))
+
+
 def running_windows(
     df: DataFrame,
     key: str,
     order: Sequence[str],
     value: str,
     slice_of: Column,
+    rows_per_key: int = ROWS_PER_KEY,
 ) -> DataFrame:
-    """Running total, position and previous value per key, slice by slice.
+    """Running total, position and previous value per key.
+
+    Adds ``position``, ``running_total`` and ``previous``.  A hot key is cut into slices:
+    ``slice_of`` must not decrease along ``order`` (a day of the time column, say).
+    """
 
-    Adds ``position``, ``running_total`` and ``previous``.  ``slice_of`` must
-    not decrease along ``order`` (a day of the time column, say).  Each task
-    sorts one slice of one key; the slices are chained through one small row
+    def plain(rows: DataFrame) -> DataFrame:
+        window = W.partitionBy(key).orderBy(*order)
+        running = window.rowsBetween(W.unboundedPreceding, W.currentRow)
+        return rows.withColumns(
+            {
+                "position": F.row_number().over(window).cast("long"),
+                "running_total": F.sum(value).over(running),
+                "previous": F.lag(value).over(window),
+            }
+        )
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        done = sliced_running(rows, key, order, value, slice_of)
+        return done.withColumn("position", F.col("position").cast("long"))
+
+    return windowed(df, key, plain, sliced, rows_per_key)
+
+
+def sliced_running(
+    df: DataFrame, key: str, order: Sequence[str], value: str, slice_of: Column
+) -> DataFrame:
+    """``running_windows`` slice by slice.
+
+    Each task sorts one slice of one key; the slices are chained through one small row
     each, so a key with a third of all rows is not sorted in one task.
     """
     cut = df.withColumn("_slice", slice_of)
@@ -162,32 +216,41 @@ def running_windows(
 
 
 def framed_mean(
-    df: DataFrame, key: str, position: str, value: str, preceding: int, name: str = "mean"
+    df: DataFrame, key: str, position: str, value: str, preceding: int, name: str = "mean",
+    rows_per_key: int = ROWS_PER_KEY,
 ) -> DataFrame:
     """Mean over a row and the ``preceding`` rows before it, per key.
 
-    ``position`` is a dense number per key.  Every row adds its value to the
-    frames it belongs to, and the frames are summed by key and position, so no
-    key is gathered in one task.
+    ``position`` is a dense number per key.  Every row of a hot key adds its value to the
+    frames it belongs to, and the frames are summed by key and position, so that key
+    is not gathered in one task.
     """
-    places = F.sequence(F.col(position), F.col(position) + preceding)
-    sums = (
-        df.select(key, F.col(value).alias("_v"), F.explode(places).alias(position))
-        .groupBy(key, position)
-        .agg(F.avg("_v").alias(name))
-    )
-    return null_safe_join(df, sums, [key, position])
+
+    def plain(rows: DataFrame) -> DataFrame:
+        window = W.partitionBy(key).orderBy(position).rowsBetween(-preceding, W.currentRow)
+        return rows.withColumn(name, F.avg(value).over(window))
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        places = F.sequence(F.col(position), F.col(position) + preceding)
+        sums = (
+            rows.select(key, F.col(value).alias("_v"), F.explode(places).alias(position))
+            .groupBy(key, position)
+            .agg(F.avg("_v").alias(name))
+        )
+        return null_safe_join(rows, sums, [key, position])
+
+    return windowed(df, key, plain, sliced, rows_per_key)
 
 
 def sliced_ranks(df: DataFrame, key: str, order: Sequence[str], slice_of: Column) -> DataFrame:
     """Add ``rank`` and ``dense_rank`` of the first of ``order`` per key, slice by slice.
 
     Equal values are counted before they are ranked.  See ``running_windows``
-    for ``slice_of``.
+    for ``slice_of``.  This is the way for hot keys; see ``windowed``.
     """
     lead = order[0]
     counted = df.groupBy(key, lead).agg(F.count("*").alias("_copies"))
-    ranked = running_windows(counted, key, [lead], "_copies", slice_of).select(
+    ranked = sliced_running(counted, key, [lead], "_copies", slice_of).select(
         key,
         lead,
         (F.col("running_total") - F.col("_copies") + 1).alias("rank"),

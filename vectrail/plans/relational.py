@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vectrail.functions.time import epoch_ms, recent_times
@@ -10,7 +11,9 @@ from vectrail.operators.skew import (
     framed_mean,
     running_windows,
     sliced_ranks,
+    sliced_running,
     top_per_group,
+    windowed,
 )
 from vectrail.plans.registry import longs, query, tidy, tidy_sql
 from vectrail.sources.tables import load
@@ -489,6 +492,35 @@ def running(spark, folder):
     )
 
 
+def _plain_ranks(orders):
+    by_price = W.partitionBy("o_custkey").orderBy("by_price")
+    in_turn = W.partitionBy("o_custkey").orderBy("by_price", "o_orderkey")
+    return orders.select(
+        "o_orderkey",
+        F.rank().over(by_price).cast("long").alias("rank"),
+        F.dense_rank().over(by_price).cast("long").alias("dense_rank"),
+        F.lead("o_orderkey").over(in_turn).alias("next_order"),
+    )
+
+
+def _sliced_ranks(orders):
+    # Bands of the price keep a customer with very many orders out of one task.
+    band = F.floor(F.col("by_price") / 25_000)
+    placed = sliced_running(orders, "o_custkey", ["by_price", "o_orderkey"], "by_price", band)
+    following = placed.select(
+        "o_custkey",
+        (F.col("position") - 1).alias("position"),
+        F.col("o_orderkey").alias("next_order"),
+    )
+    chained = placed.join(following, ["o_custkey", "position"], "left").select(
+        "o_custkey", "o_orderkey", "by_price", "next_order"
+    )
+    ranked = sliced_ranks(chained, "o_custkey", ["by_price"], band)
+    return ranked.select(
+        "o_orderkey", F.col("rank").cast("long").alias("rank"), F.col("dense_rank").cast("long").alias("dense_rank"), "next_order"
+    )
+
+
 @query(
     "w3_ranks_per_customer",
     """
@@ -498,21 +530,10 @@ def running(spark, folder):
     """,
 )
 def ranks_per_customer(spark, folder):
-    # Bands of the price keep a customer with very many orders out of one task.
     orders = load(spark, folder, "orders").select(
         "o_custkey", "o_orderkey", (-F.col("o_totalprice")).alias("by_price")
     )
-    band = F.floor(F.col("by_price") / 25_000)
-    placed = running_windows(orders, "o_custkey", ["by_price", "o_orderkey"], "by_price", band)
-    following = placed.select(
-        "o_custkey",
-        (F.col("position") - 1).alias("position"),
-        F.col("o_orderkey").alias("next_order"),
-    )
-    chained = placed.join(following, ["o_custkey", "position"], "left").select(
-        "o_custkey", "o_orderkey", "by_price", "next_order"
-    )
-    ranked = sliced_ranks(chained, "o_custkey", ["by_price"], band)
+    ranked = windowed(orders, "o_custkey", _plain_ranks, _sliced_ranks)
     return longs(
         ranked.select(
             "o_orderkey",
