@@ -20,18 +20,26 @@ def table_profile(tables: Mapping[str, DataFrame], distinct: str | None = "appro
     """One row per column: type, place, rows, filled, NULL and distinct values.
 
     One aggregate per table.  ``distinct`` is ``approx`` (a sketch, one scan
-    and no shuffle of values), ``exact`` or None.
+    and no shuffle of values), ``exact`` (by value, long values by digest) or None.
     """
     return _union([_profile_one(name, df, distinct) for name, df in tables.items()])
 
 
+def _distinct_key(column: Column, kind: T.DataType) -> Column:
+    """What exact distinct counts compare: 128 bits for texts and nested values, which may be long."""
+    if not isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
+        return column
+    digest = F.struct(F.xxhash64(column), F.xxhash64(F.lit(1), column))
+    return F.when(column.isNotNull(), digest)
+
+
 def _profile_one(name: str, df: DataFrame, distinct: str | None) -> DataFrame:
     counters = [F.count("*").alias("rows")]
     for i, field in enumerate(df.schema):
         column = F.col(f"`{field.name}`")
         counters.append(F.count(column).alias(f"n{i}"))
         if distinct == "exact":
-            counters.append(F.count_distinct(column).alias(f"d{i}"))
+            counters.append(F.count_distinct(_distinct_key(column, field.dataType)).alias(f"d{i}"))
         elif distinct == "approx":
             counters.append(F.approx_count_distinct(column).alias(f"d{i}"))
     rows = [
