@@ -272,7 +272,8 @@ def audit(vectors: DataFrame, found: DataFrame, threshold: float, queries: int =
             yield pa.RecordBatch.from_pydict({"_id": pa.array(row, pa.int64()), "_to": pa.array(other, pa.int64())})
 
     true = vectors.select("_group", "_id", "_v").mapInArrow(run, "_id bigint, _to bigint")
-    flat = found.select("_id", F.explode("found.id").alias("_to")).distinct().withColumn("_hit", F.lit(1))
+    asked = found.join(drawn.select("_id"), "_id", "left_semi")
+    flat = asked.select("_id", F.explode("found.id").alias("_to")).distinct().withColumn("_hit", F.lit(1))
     row = true.join(flat, ["_id", "_to"], "left").agg(F.count("*"), F.count("_hit")).first()
     return row[0], row[1]
 
