@@ -31,6 +31,7 @@ ROWS = 512  # rows that are encoded and sent on together
 FEED = 4096  # bytes handed to the transducer at a time
 SHORT = 256  # bytes of a piece that is settled at once
 CACHED = 300_000  # words in a generation of those whose tokens a worker remembers
+PAIRS = 300_000  # neighbours whose stability a worker remembers
 _NEVER = 1 << 60
 
 # Letters, numbers and others that Unicode 17 and later added or will add;
@@ -95,7 +96,7 @@ class Merges:
             for byte in self.bytes_of[token]:
                 node = node.setdefault(byte, {})
             node[-1] = token
-        self._stable: dict[tuple[int, int], bool] = {}
+        self._stable: dict[int, bool] = {}
 
     @property
     def lookahead(self) -> int:
@@ -124,12 +125,12 @@ class Merges:
 
     def stable(self, left: int, right: int) -> bool:
         """Encoding the bytes of both tokens gives the two tokens."""
-        known = self._stable.get((left, right))
+        known = self._stable.get(left << 32 | right)
         if known is None:
             known = (left, right) not in self.pairs and self._apart(left, right, _NEVER)
-            if len(self._stable) >= 1_000_000:
+            if len(self._stable) >= PAIRS:
                 self._stable.clear()
-            self._stable[left, right] = known
+            self._stable[left << 32 | right] = known
         return known
 
     def encode(self, data: bytes) -> list[int]:
@@ -167,7 +168,7 @@ class Merges:
                 if end in failed:
                     continue
                 if tokens:
-                    fits = known.get((tokens[-1], token))
+                    fits = known.get(tokens[-1] << 32 | token)
                     if not (fits or (fits is None and stable(tokens[-1], token))):
                         continue
                 tokens.append(token)
@@ -221,7 +222,7 @@ class Transducer:
                     if left < 0:
                         last[at + 1] = token
                     else:
-                        fits = known.get((left, token))
+                        fits = known.get(left << 32 | token)
                         if fits or (fits is None and stable(left, token)):
                             last[at + 1] = token
         self.done = max(self.done, upto)
@@ -304,6 +305,12 @@ class Tokenizer:
                 found.append(np.fromiter(tokens, np.int32))
         return np.concatenate(found) if found else np.empty(0, np.int32)
 
+    def forget(self) -> None:
+        """Free what was remembered; a worker lives on after its task."""
+        self._words.clear()
+        self._words.older = {}
+        self.merges._stable.clear()
+
     def decode(self, ids: Iterable[int]) -> str:
         """The text of the ids: a state machine takes bytes and gives out whole characters.
 
@@ -370,9 +377,12 @@ def encode(documents: DataFrame, path: str, text_column: str = "text", ids_colum
 
     def run(batches):
         encoder = tokenizer(path)
-        for batch in _rows(batches):
-            ids = [encoder.encode(text) if (text := value.as_py()) else _NONE for value in batch.column(place)]
-            yield _with_column(batch, ids_column, _lists(ids))
+        try:
+            for batch in _rows(batches):
+                ids = [encoder.encode(text) if (text := value.as_py()) else _NONE for value in batch.column(place)]
+                yield _with_column(batch, ids_column, _lists(ids))
+        finally:
+            encoder.forget()
 
     return rows.mapInArrow(run, _schema(rows, f"{ids_column} array<int>"))
 

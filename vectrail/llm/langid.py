@@ -29,7 +29,8 @@ START, END = "\x02", "\x03"
 UNKNOWN = "und"
 ROWS = 400  # texts that are scored together
 BLOCK = 200_000  # words of a text that are scored together
-CACHED = 300_000  # words whose scores a worker remembers
+COUNTED = 2500  # texts whose words are counted together
+CACHED = 150_000  # words whose scores a worker remembers
 MODEL_CELLS = 40_000_000  # n-grams times languages squared, see ``ngram_limit``
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -49,12 +50,13 @@ def ngram_limit(languages: int, most: int = 200_000) -> int:
 
 def _word_counts(texts: DataFrame) -> DataFrame:
     def run(batches):
-        for batch in batches:
-            counts: dict[str, Counter] = {}
-            for lang, text in zip(batch.column("_lang"), batch.column("_text")):
-                counts.setdefault(lang.as_py(), Counter()).update(words_of(text.as_py()))
-            rows = [(lang, word, n) for lang, c in counts.items() for word, n in c.items()]
-            yield _table(rows)
+        for whole in batches:
+            for start in range(0, whole.num_rows, COUNTED):
+                batch = whole.slice(start, COUNTED)
+                counts: dict[str, Counter] = {}
+                for lang, text in zip(batch.column("_lang"), batch.column("_text")):
+                    counts.setdefault(lang.as_py(), Counter()).update(words_of(text.as_py()))
+                yield from _tables(counts)
 
     return texts.mapInArrow(run, "_lang string, _gram string, _n bigint").groupBy("_lang", "_gram").agg(
         F.sum("_n").alias("_n")
@@ -70,17 +72,19 @@ def _gram_counts(words: DataFrame) -> DataFrame:
                 padded = START * (ORDER - 1) + word + END
                 for i in range(len(word) + 1):
                     of[padded[i : i + ORDER]] += n
-            yield _table([(lang, gram, n) for lang, c in counts.items() for gram, n in c.items()])
+            yield from _tables(counts)
 
     return words.mapInArrow(run, "_lang string, _gram string, _n bigint").groupBy("_lang", "_gram").agg(
         F.sum("_n").alias("_n")
     )
 
 
-def _table(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) or [(), (), ()]
-    kinds = (pa.string(), pa.string(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["_lang", "_gram", "_n"])
+def _tables(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+    """A batch of rows per language; the counts are used up."""
+    while counts:
+        lang, of = counts.popitem()
+        columns = [pa.array([lang] * len(of), pa.string()), pa.array(of.keys(), pa.string()), pa.array(of.values(), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["_lang", "_gram", "_n"])
 
 
 def hash_grams(codes: np.ndarray) -> np.ndarray:
