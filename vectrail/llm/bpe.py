@@ -280,6 +280,7 @@ class Tokenizer:
         self.merges = Merges(vocabulary, ((raw(a), raw(b)) for a, b in pairs))
         self.bytes_of = dict(self.merges.bytes_of)
         self.bytes_of.update({i: t.encode() for t, i in self.specials.items()})
+        self._table = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
         longest_first = sorted(self.specials, key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         self._words = _Remembered(self)
@@ -311,17 +312,19 @@ class Tokenizer:
         self._words.older = {}
         self.merges._stable.clear()
 
-    def decode(self, ids: Iterable[int]) -> str:
+    def decode(self, ids: np.ndarray | Iterable[int]) -> str:
         """The text of the ids: a state machine takes bytes and gives out whole characters.
 
         Bytes that are no UTF-8 become replacement characters; unknown ids have no bytes.
         """
         machine = codecs.getincrementaldecoder("utf-8")("replace")
-        known, none = self.bytes_of, b""
-        ids = list(ids)
+        ids = np.asarray(ids, np.int64)
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self._table)):
+            ids = ids[(ids >= 0) & (ids < len(self._table))]
         out = []
         for start in range(0, len(ids), FEED):
-            out.append(machine.decode(b"".join([known.get(i, none) for i in ids[start : start + FEED]])))
+            block = map(self._table.__getitem__, ids[start : start + FEED].tolist())
+            out.append(machine.decode(b"".join(block)))
         out.append(machine.decode(b"", True))
         return "".join(out)
 
@@ -395,7 +398,7 @@ def decode(rows: DataFrame, path: str, ids_column: str = "token_ids", text_colum
     def run(batches):
         decoder = tokenizer(path)
         for batch in _rows(batches):
-            texts = [decoder.decode(value.values.to_pylist()) if value.is_valid else "" for value in batch.column(place)]
+            texts = [decoder.decode(_ids(value.values)) if value.is_valid else "" for value in batch.column(place)]
             yield _with_column(batch, text_column, pa.array(texts, pa.string()))
 
     return rows.mapInArrow(run, _schema(rows, f"{text_column} string"))
@@ -404,6 +407,10 @@ def decode(rows: DataFrame, path: str, ids_column: str = "token_ids", text_colum
 _NONE = np.empty(0, np.int32)
 
 
+def _ids(values: pa.Array) -> np.ndarray:
+    return (values.drop_null() if values.null_count else values).to_numpy(zero_copy_only=False)
+
+
 def _lists(ids: list[np.ndarray]) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
     values = np.concatenate(ids) if ids else _NONE
