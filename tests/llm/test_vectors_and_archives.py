@@ -155,6 +155,38 @@ def test_robust_pruning_keeps_the_nearest_and_spreads(spark):
                 assert vector_dedup.ALPHA**2 * (1 - unit[earlier] @ unit[j]) > (1 - similar[i, j]) - 1e-12
 
 
+def test_vector_dedup_finds_all_links_of_dense_groups(spark):
+    # 3,600 different vectors around one direction, more than a shard holds.
+    draw = np.random.default_rng(6)
+    dense = np.float32(np.ones(16) + draw.normal(size=(3600, 16)) * 0.14)
+    rows = [(i, [float(x) for x in v], 7, "x", "y") for i, v in enumerate(dense)]
+    unit = dense.astype(np.float64)
+    unit /= np.sqrt((unit**2).sum(1, keepdims=True))
+    want = (unit @ unit.T >= 0.98).sum(1) - 1
+    assert 1000 < want.mean() < 3500
+    got = vector_dedup.near_duplicates(spark.createDataFrame(rows, VECTORS), 0.98).collect()
+    assert {r["_id"]: r["n_links"] for r in got} == dict(enumerate(want.tolist()))
+
+
+@pytest.mark.parametrize("block_rows", [None, 40, 7])
+def test_vector_dedup_is_exact_for_any_size_of_blocks(vectors, block_rows):
+    found = vector_dedup.near_duplicates(vectors, 0.98, block_rows=block_rows)
+    assert Counter(tuple(r) for r in found.collect()) == plain_links(hard_vectors(), 0.98)
+
+
+def test_vector_dedup_skips_blocks_out_of_range(spark):
+    draw = np.random.default_rng(8)
+    centres = np.eye(12)[draw.integers(0, 12, 1200)]
+    v = centres + draw.normal(size=(1200, 12)) * 0.01
+    df = spark.createDataFrame(
+        [(i, -i, i, 1, 1, x.tolist()) for i, x in enumerate(v)],
+        "_a long, _b long, _id long, _n long, _group int, _v array<double>",
+    )
+    pairs = vector_dedup.block_pairs(df, 0.98, 60)
+    blocks = pairs.select("_block").distinct().count()
+    assert blocks >= 12 and pairs.count() < 1200 * blocks / 2
+
+
 def test_vector_dedup_of_nothing_and_of_one(spark):
     empty = spark.createDataFrame([], VECTORS)
     assert vector_dedup.near_duplicates(empty).count() == 0

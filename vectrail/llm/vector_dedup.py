@@ -1,11 +1,13 @@
-"""Near-dedup of vectors over a robust-pruned flat graph.
-
-Distinct vectors of a group are cut into overlapping shards around pivots.  Each shard
-builds a flat graph whose neighbour lists are pruned so that they point in different
-directions; the lists of a vector from all its shards are united.  Every vector is then
-searched from the medoid of each of its shards: greedily towards itself, then outwards
-as long as neighbours are within range.  What is found is verified in double precision,
-and recall is audited against a full scan for a sample of queries.
+"""Near-dedup of vectors: all links of a group, found block against block.
+
+Distinct vectors of a large group are dealt to cells by their nearest pivot, and cells are
+cut into blocks.  A vector is within range of another only if its angle to that one's
+pivot is at most the cell's radius plus the range, so it meets only the blocks that
+this bound leaves.  Every pair of blocks is compared in one task, in double precision; counts
+per vector and contracted links leave it, never the pairs.
+
+``shards``, ``links`` and ``audit`` search a robust-pruned flat graph instead, which finds
+most links only; ``near_duplicates`` does not use them.
 """
 
 from __future__ import annotations
@@ -26,6 +28,9 @@ RANDOM = 8  # and that are not
 DEGREE = 16  # neighbours kept by the pruning
 ALPHA = 1.2  # how much nearer a kept neighbour must be to rule another out
 BLOCK = 256  # queries that are searched side by side
+PIVOTS = 256  # at most, for all groups together
+BLOCK_VALUES = 1 << 20  # components of all vectors of a block
+ROUNDING = 1e-4  # of angles, which are kept as floats
 
 
 def usable(vector: Column) -> Column:
@@ -278,22 +283,153 @@ def audit(vectors: DataFrame, found: DataFrame, threshold: float, queries: int =
     return row[0], row[1]
 
 
+def _angles(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
+    """``_cell`` (the nearest pivot) and ``_angles`` to the pivots of that length; one cell without any."""
+    shared = vectors.sparkSession.sparkContext.broadcast(pivots)  # at most ``PIVOTS`` vectors
+    names = [*vectors.columns, "_cell", "_angles"]
+    place = vectors.columns.index("_v")
+
+    def run(batches):
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1000):
+                batch = whole.slice(start, 1000)
+                sizes = np.array([len(v) for v in batch.column(place)])
+                cell, angles = np.zeros(len(sizes), np.int32), [[0.0]] * len(sizes)
+                for size in np.unique(sizes):
+                    of = shared.value.get(int(size))
+                    if of is None:
+                        continue
+                    here = np.flatnonzero(sizes == size)
+                    unit = _unit_by_length(pa.chunked_array([batch.column(place).take(pa.array(here))]))
+                    wide = np.arccos(np.clip(unit @ of.T, -1, 1)).astype(np.float32)
+                    cell[here] = wide.argmin(axis=1)
+                    for i, row in zip(here, wide):
+                        angles[i] = row
+                more = [pa.array(cell), pa.array(angles, pa.list_(pa.float32()))]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *more], names)
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in vectors.schema.fields)
+    return vectors.mapInArrow(run, f"{kinds}, _cell int, _angles array<float>")
+
+
+def block_pairs(vectors: DataFrame, threshold: float, block_rows: int | None = None) -> DataFrame:
+    """``_a``, ``_b``, ``_id``, ``_n``, ``_v`` once per pair of blocks (``_low``, ``_high``) and ``_block``, the own one.
+
+    ``vectors`` has ``_group`` and those five.  Any two vectors of a group and length within range meet in
+    exactly one pair of blocks; groups up to ``block_rows`` are one block.
+    """
+    spark = vectors.sparkSession
+    rows = vectors.select("_a", "_b", "_id", "_n", "_v", F.xxhash64("_group", F.size("_v")).alias("_set"))
+    sizes = rows.groupBy("_set").agg(F.count("*").alias("_size"), F.max(F.size("_v")).alias("_dims"))
+    sizes = write_table(sizes, work_path(spark, "vector-sizes"))
+    n, dims = sizes.agg(F.sum("_size"), F.max("_dims")).first()
+    if block_rows is None:
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        block_rows = max(1, min(max(512, (n or 0) // (2 * tasks)), BLOCK_VALUES // (dims or 1)))
+    large = write_table(sizes.filter(F.col("_size") > block_rows).select("_set", "_size"), work_path(spark, "vector-large"))
+    largest = large.agg(F.max("_size")).first()[0]
+    alone = F.col("_set").alias("_low")
+    columns = ["_a", "_b", "_id", "_n", "_v"]
+    small = rows.join(large, "_set", "left_anti").select(*columns, alone, alone.alias("_high"), alone.alias("_block"))
+    if largest is None:
+        return small
+    inside = rows.join(large.select("_set"), "_set")
+    wanted = int(min(PIVOTS, max(2, -(-2 * largest // block_rows))))
+    drawn = inside.select("_v", F.xxhash64("_a", F.lit("pivot")).alias("_h"), "_a").orderBy("_h", "_a").limit(wanted)
+    by_size: dict[int, list] = {}
+    for row in drawn.select("_v").collect():
+        by_size.setdefault(len(row["_v"]), []).append(row["_v"])
+    pivots = {size: _unit_by_length(pa.chunked_array([pa.array(of, pa.list_(pa.float64()))])) for size, of in by_size.items()}
+    located = write_table(_angles(inside, pivots), work_path(spark, "vector-cells"))
+    cells = located.groupBy("_set", "_cell").agg(
+        F.count("*").alias("_rows"), F.max(F.get("_angles", F.col("_cell"))).alias("_radius")
+    )
+    cells = cells.select(
+        F.col("_set").alias("_set_2"), F.col("_cell").alias("_to"), "_radius",
+        F.ceil(F.col("_rows") / block_rows).cast("int").alias("_parts"),
+    )
+    cells = write_table(cells, work_path(spark, "vector-radii"))
+    own = cells.select(F.col("_set_2").alias("_set"), F.col("_to").alias("_cell"), F.col("_parts").alias("_own_parts"))
+    reach = float(np.arccos(np.clip(threshold, -1, 1))) + ROUNDING
+    part = F.pmod(F.xxhash64("_a", "_b"), F.col("_own_parts")).cast("int")
+    placed = located.join(own, ["_set", "_cell"]).withColumn("_part", part)
+    within = (F.col("_set") == F.col("_set_2")) & (
+        (F.col("_to") == F.col("_cell")) | (F.get("_angles", F.col("_to")) <= F.col("_radius") + reach)
+    )
+    met = placed.join(cells, within).withColumn("_to_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+
+    def block(cell: str, part: str) -> Column:
+        return F.struct(F.col("_set").alias("set"), F.col(cell).alias("cell"), F.col(part).alias("part"))
+
+    def name(of: Column) -> Column:
+        return F.xxhash64(of["set"], of["cell"], of["part"])
+
+    mine, theirs = block("_cell", "_part"), block("_to", "_to_part")
+    met = met.select(*columns, name(F.least(mine, theirs)).alias("_low"), name(F.greatest(mine, theirs)).alias("_high"), name(mine).alias("_block"))
+    return small.unionByName(met)
+
+
+def compare(unit: np.ndarray, copies: np.ndarray, first: np.ndarray, threshold: float, alone: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Linked rows and smallest linked place of each vector; places of ``first`` meet the others, ``alone`` each other.
+
+    The similarities are made a few rows at a time, and links are contracted as they are met.
+    """
+    left = np.arange(len(unit)) if alone else np.flatnonzero(first)
+    right = left if alone else np.flatnonzero(~first)
+    there, weight = unit[right], copies[right].astype(np.float64)
+    linked = np.zeros(len(unit), np.int64)
+    parent = np.arange(len(unit))
+    for start in range(0, len(left) if len(right) else 0, BLOCK):
+        here = left[start : start + BLOCK]
+        near = unit[here] @ there.T >= threshold
+        if alone:
+            near[np.arange(len(here)), np.arange(start, start + len(here))] = False
+        some = near.any(axis=1)
+        here, near = here[some], near[some]
+        if not len(here):
+            continue
+        linked[here] += (near.astype(np.float64) @ weight).astype(np.int64)
+        if not alone:  # alone, every link is met from both ends
+            linked[right] += (copies[here].astype(np.float64) @ near.astype(np.float64)).astype(np.int64)
+        for place, row in zip(here, near):
+            nodes = np.append(right[row], place)
+            top = parent[nodes]
+            while not np.array_equal(top, above := parent[top]):
+                top = above
+            parent[top] = parent[nodes] = top.min()
+    while not np.array_equal(parent, above := parent[parent]):
+        parent = above
+    return linked, parent
+
+
+def exact_links(pairs: DataFrame, threshold: float) -> DataFrame:
+    """``_a``, ``_b``, ``_id``, ``_linked`` and ``root`` of the vectors that link inside a pair of blocks."""
+
+    def look(key, table):
+        table = table.sort_by([("_id", "ascending"), ("_a", "ascending"), ("_b", "ascending")])
+        first = table.column("_block").to_numpy() == key[0].as_py()
+        linked, root = compare(_unit(table), table.column("_n").to_numpy(), first, threshold, key[0] == key[1])
+        some = np.flatnonzero(linked)
+        ids = table.column("_id").to_numpy()
+        taken = table.select(["_a", "_b", "_id"]).take(pa.array(some))
+        return taken.append_column("_linked", pa.array(linked[some])).append_column("root", pa.array(ids[root[some]]))
+
+    return pairs.groupBy("_low", "_high").applyInArrow(look, "_a bigint, _b bigint, _id bigint, _linked bigint, root bigint")
+
+
 def near_duplicates(
     rows: DataFrame,
     threshold: float = 0.98,
-    beam: int = 24,
-    min_recall: float = 0.95,
     id_column: str = "vec_id",
     vector_column: str = "embedding",
     group_column: str = "label",
+    block_rows: int | None = None,
 ) -> DataFrame:
     """One row per row of the table: ``_id``, ``n_links``, ``component_id``, ``kept``.
 
     Vectors of one group (equal ``label``, not NULL) and length link if their cosine is at
-    least ``threshold``.  ``n_links`` counts the other rows a vector links with directly,
-    ``component_id`` is the smallest id reachable, ``kept`` says whether that is its own.
-    If the audit finds less than ``min_recall`` of the links, the search is repeated
-    with a wider beam.
+    least ``threshold``; all links are found.  ``n_links`` counts the other rows a vector links with
+    directly, ``component_id`` is the smallest id reachable, ``kept`` says whether that is its own.
 
     Vectors that are NULL, empty, zero or hold NULL or non-finite components, and rows with
     a NULL label or id, link with nothing (``kept`` is false for a NULL id).  Equal
@@ -315,20 +451,13 @@ def near_duplicates(
         copies.select("_key", "_n", F.col("_one._id").alias("_id"), F.col("_one._group").alias("_group"), F.col("_one._v").alias("_v")),
         work_path(spark, "vectors"),
     )
-    members = write_table(shards(distinct.drop("_key")), work_path(spark, "vector-members"))
-    while True:
-        found = write_table(links(members, threshold, beam), work_path(spark, "vector-links"))
-        true, hit = audit(distinct, found, threshold)
-        if hit >= min_recall * true or beam > 400:
-            break
-        beam *= 4
-    linked = found.groupBy("_id").agg(F.flatten(F.collect_list("found")).alias("found")).select(
-        "_id", F.aggregate(F.array_distinct("found"), F.lit(0).cast("long"), lambda s, x: s + x["n"]).alias("_linked")
-    )
+    vectors = distinct.select("_key.a", "_key.b", "_id", "_n", "_group", "_v").withColumnsRenamed({"a": "_a", "b": "_b"})
+    found = write_table(exact_links(block_pairs(vectors, threshold, block_rows), threshold), work_path(spark, "vector-links"))
+    linked = found.groupBy(F.struct(F.col("_a").alias("a"), F.col("_b").alias("b")).alias("_key")).agg(F.sum("_linked").alias("_linked"))
     roots = connected_components(found, "_id", "root").select(F.col("node").alias("_id"), "root")
     answers = (
         distinct.select("_key", "_id", "_n")
-        .join(linked, "_id", "left")
+        .join(linked, "_key", "left")
         .join(roots, "_id", "left")
         .select(
             F.col("_key").alias("_key_2"),
