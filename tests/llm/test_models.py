@@ -116,6 +116,27 @@ def test_the_model_is_bounded_by_the_number_of_languages():
     assert langid.ngram_limit(1000) * 1000**2 <= langid.MODEL_CELLS
 
 
+def test_all_ngrams_are_learnt_with_many_languages(spark):
+    # 250 values of lang; 40,000,000 / 250^2 = 640 n-grams would be kept of a language that has more.
+    draw = np.random.default_rng(3)
+    words = ["".join(draw.choice(list("abcdefghijklmnop"), 6)) for _ in range(400)]
+    rows = [(i, w, "big") for i, w in enumerate(words)] + [(1000 + i, "ab", f"l{i % 249}") for i in range(996)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(df)
+    counts = {}
+    for i, text, lang in rows:
+        if zlib.crc32(str(i).encode()) % 3 != 1:
+            padded = langid.START * 3 + text + langid.END
+            counts.setdefault(lang, Counter()).update(padded[j : j + 4] for j in range(len(text) + 1))
+    assert len(model.languages) == len(counts) > 100 and len(counts["big"]) > 640
+    assert model.grams[3].dense is None  # entries only where there is an n-gram
+    column = model.languages.index("big")
+    for word in [*words[:3], "zab"]:
+        padded = langid.START * 3 + word + langid.END
+        want = sum(math.log(plain_probability(counts["big"], padded[j : j + 4])) for j in range(len(word) + 1))
+        assert model.word_scores([word])[0][column] == pytest.approx(want, rel=1e-4)
+
+
 # ------------------------------------------------------------------- toxicity
 
 

@@ -1,7 +1,8 @@
 """Language ID by character language models with interpolated Kneser-Ney smoothing.
 
 Words of all labelled texts are counted per language, then their character n-grams.
-A model per language is kept in sorted arrays of n-gram hashes.  A text belongs to the
+All of them are kept: a model is sorted arrays of n-gram hashes, with entries only
+for the languages that have an n-gram.  A text belongs to the
 language with the lowest cross-entropy per character; it is rejected if that is
 higher than what labelled texts of like length have.
 """
@@ -17,7 +18,6 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vectrail.llm.texts import third
@@ -27,10 +27,10 @@ from vectrail.sources.tables import write_table
 ORDER = 4
 START, END = "\x02", "\x03"
 UNKNOWN = "und"
-ROWS = 400  # texts that are scored together
-BLOCK = 200_000  # words of a text that are scored together
+ROWS = 400  # texts that are scored together, fewer with more than 4 languages
+BLOCK = 200_000  # words of a text that are scored together, likewise
 COUNTED = 2500  # texts whose words are counted together
-CACHED = 150_000  # words whose scores a worker remembers
+CACHED = 150_000  # words whose scores a worker remembers, likewise
 MODEL_CELLS = 40_000_000  # n-grams times languages squared, see ``ngram_limit``
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -44,7 +44,7 @@ def words_of(text: str | None) -> Iterator[str]:
 
 
 def ngram_limit(languages: int, most: int = 200_000) -> int:
-    """N-grams kept per language, so that the tables stay below 160 MB at any number of languages."""
+    """N-grams per language for tables below 160 MB with a column per language; ``train`` keeps all."""
     return max(1, min(most, MODEL_CELLS // max(1, languages) ** 2))
 
 
@@ -101,14 +101,59 @@ def _codes(grams: list[str], size: int) -> np.ndarray:
     return np.frombuffer(joined, np.uint32).reshape(len(grams), size)
 
 
+@dataclass
+class Table:
+    """Sorted hashes with values for some languages; those of ``keys[i]`` are ``starts[i]`` to ``starts[i + 1]``.
+
+    Where that takes hardly more room, ``dense`` has a column per language.
+    """
+
+    keys: np.ndarray
+    starts: np.ndarray
+    languages: np.ndarray
+    values: np.ndarray
+    dense: np.ndarray | None = None
+
+    @classmethod
+    def of(cls, hashes: np.ndarray, languages: np.ndarray, values: np.ndarray, n: int, missing: float) -> Table:
+        order = np.lexsort((languages, hashes))
+        hashes, languages, values = hashes[order], languages[order], values[order].astype(np.float32)
+        keys, starts = np.unique(hashes, return_index=True)
+        table = cls(keys, np.append(starts, len(hashes)), languages, values)
+        if len(keys) * n <= 4 * len(hashes):
+            table.dense = np.full((len(keys), n), missing, np.float32)
+            table.dense[np.repeat(np.arange(len(keys)), np.diff(table.starts)), languages] = values
+            table.starts = table.languages = table.values = None
+        return table
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are there, and their places among the keys."""
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        row = np.flatnonzero(self.keys[at] == hashes)
+        return row, at[row]
+
+    def apply(self, change: np.ufunc, p: np.ndarray, hashes: np.ndarray) -> None:
+        """Change rows of ``p`` (hash, language) by the values that there are."""
+        if not len(self.keys):
+            return
+        row, at = self.find(hashes)
+        if self.dense is not None:
+            p[row] = change(p[row], self.dense[at])
+            return
+        first, times = self.starts[at], np.diff(self.starts)[at]
+        entry = np.arange(times.sum()) + np.repeat(first - (np.cumsum(times) - times), times)
+        cell = np.repeat(row, times), self.languages[entry]
+        p[cell] = change(p[cell], self.values[entry])
+
+
 @dataclass
 class Model:
-    """Models of all languages side by side: per order, sorted hashes and one column per language."""
+    """Models of all languages side by side: per order, values of n-grams and of their contexts."""
 
     languages: list[str]
     uniform: float = 1.0
-    grams: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    contexts: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
+    grams: list[Table] = field(default_factory=list)
+    contexts: list[Table] = field(default_factory=list)
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Natural log of the probability of each word (and its end) in each language."""
@@ -119,90 +164,84 @@ class Model:
         owner = np.repeat(np.arange(len(words)), lengths)
         at = np.arange(len(owner)) + (owner + 1) * (ORDER - 1)
         out = np.zeros((len(words), len(self.languages)))
-        for start in range(0, len(at), 1 << 17):
-            here = at[start : start + (1 << 17)]
+        step = max(1024, (1 << 19) // max(4, len(self.languages)))
+        for start in range(0, len(at), step):
+            here = at[start : start + step]
             p = np.full((len(here), len(self.languages)), self.uniform)
             for size in range(1, ORDER + 1):
                 window = codes[here[:, None] + np.arange(1 - size, 1)]
-                gram = _lookup(self.grams[size - 1], hash_grams(window), 0.0)
-                weight = _lookup(self.contexts[size - 1], hash_grams(window[:, :-1]), 1.0)
-                p = gram + weight * p
-            np.add.at(out, owner[start : start + (1 << 17)], np.log(p))
+                self.contexts[size - 1].apply(np.multiply, p, hash_grams(window[:, :-1]))
+                self.grams[size - 1].apply(np.add, p, hash_grams(window))
+            np.add.at(out, owner[start : start + step], np.log(p))
         return out
 
 
-def _lookup(table: tuple[np.ndarray, np.ndarray], hashes: np.ndarray, missing: float) -> np.ndarray:
-    keys, values = table
-    if not len(keys):
-        return np.full((len(hashes), values.shape[1]), missing)
-    at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-    return np.where((keys[at] == hashes)[:, None], values[at], missing)
+def kneser_ney(counts: dict[str, dict[str, int]]) -> Model:
+    """``build`` from the counts of the longest n-grams, per language."""
+    languages = sorted(counts)
+    grams = [gram for language in languages for gram in counts[language]]
+    sizes = [len(counts[language]) for language in languages]
+    n = np.array([n for language in languages for n in counts[language].values()], np.int64)
+    return build(languages, np.repeat(np.arange(len(languages), dtype=np.int32), sizes), _codes(grams, ORDER), n)
 
 
-def kneser_ney(counts: dict[str, dict[str, int]]) -> Model:
-    """Models from the counts of the longest n-grams, per language.
+def build(languages: list[str], language: np.ndarray, codes: np.ndarray, n: np.ndarray) -> Model:
+    """Models from all longest n-grams: number of the language, code points and count of each.
 
     The highest order uses the counts, the lower ones in how many different n-grams
     a shorter one is the end; each order gives a discount to the one below, and the
     lowest to a uniform share for every character.
     """
-    languages = sorted(counts)
-    alphabet = {c for of in counts.values() for gram in of for c in gram}
-    model = Model(languages, 1.0 / (len(alphabet) + 1))
-    grams: list[dict[str, np.ndarray]] = [{} for _ in range(ORDER)]
-    contexts: list[dict[str, np.ndarray]] = [{} for _ in range(ORDER)]
-    for column, language in enumerate(languages):
-        of: dict[str, int] = counts[language]
-        for size in range(ORDER, 0, -1):
-            once = sum(1 for n in of.values() if n == 1)
-            twice = sum(1 for n in of.values() if n == 2)
-            discount = min(0.95, max(0.1, once / (once + 2 * twice) if once + twice else 0.5))
-            total: Counter = Counter()
-            kinds: Counter = Counter()
-            for gram, n in of.items():
-                total[gram[:-1]] += n
-                kinds[gram[:-1]] += 1
-            for gram, n in of.items():
-                row = grams[size - 1].setdefault(gram, np.zeros(len(languages), np.float32))
-                row[column] = max(n - discount, 0.0) / total[gram[:-1]]
-            for context, n in total.items():
-                row = contexts[size - 1].setdefault(context, np.ones(len(languages), np.float32))
-                row[column] = discount * kinds[context] / n
-            of = Counter(gram[1:] for gram in of)
-    for size in range(1, ORDER + 1):
-        for store, tables, width in ((model.grams, grams, size), (model.contexts, contexts, size - 1)):
-            found = tables[size - 1]
-            keys = hash_grams(_codes(list(found), width)) if found else np.zeros(0, np.uint64)
-            values = np.array(list(found.values()), np.float32).reshape(len(found), len(languages))
-            order = np.argsort(keys, kind="stable")
-            store.append((keys[order], values[order]))
+    model = Model(languages, 1.0 / (len(np.unique(codes)) + 1))
+    grams, contexts = [], []
+    for size in range(ORDER, 0, -1):
+        once, twice = (np.bincount(language[n == k], minlength=len(languages)) for k in (1, 2))
+        share = np.where(once + twice > 0, once / np.maximum(once + 2 * twice, 1), 0.5)
+        discount = np.clip(share, 0.1, 0.95)
+        first, group = _groups(hash_grams(codes[:, :-1]), language)
+        total = np.zeros(len(first))
+        np.add.at(total, group, n)
+        kinds = np.bincount(group, minlength=len(first))
+        value = np.maximum(n - discount[language], 0.0) / total[group]
+        grams.append(Table.of(hash_grams(codes), language, value, len(languages), 0.0))
+        weight = discount[language[first]] * kinds / total
+        contexts.append(Table.of(hash_grams(codes[first, :-1]), language[first], weight, len(languages), 1.0))
+        first, group = _groups(hash_grams(codes[:, 1:]), language)
+        codes, language, n = codes[first, 1:], language[first], np.bincount(group, minlength=len(first))
+    model.grams, model.contexts = grams[::-1], contexts[::-1]
     return model
 
 
+def _groups(hashes: np.ndarray, language: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First place of every different pair, and the number of its pair for each place."""
+    order = np.lexsort((language, hashes))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(hashes[order]) != 0) | (np.diff(language[order]) != 0)
+    group = np.empty(len(order), np.int64)
+    group[order] = np.cumsum(new) - 1
+    return order[new], group
+
+
 def train(
     documents: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
     lang_column: str = "lang",
-    most_ngrams: int = 200_000,
 ) -> Model:
     """Count all texts that have a language and are not held out, and build the models.
 
-    The ``most_ngrams`` most frequent n-grams of a language are kept (fewer where there
-    are very many languages); what is cut off is left to the smoothing.  NULL texts
+    All n-grams are kept, so the model grows with the number of different ones.  NULL texts
     and languages are not learnt from; without any, the model has no language.
     """
     spark = documents.sparkSession
     rows = documents.filter(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull() & (third(id_column) != 1))
     texts = rows.select(F.col(lang_column).alias("_lang"), F.col(text_column).alias("_text"))
     grams = write_table(_gram_counts(_word_counts(texts)), work_path(spark, "langid-grams"))
-    limit = ngram_limit(grams.select("_lang").distinct().count(), most_ngrams)
-    rank = F.row_number().over(W.partitionBy("_lang").orderBy(F.desc("_n"), "_gram"))
-    table = grams.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank").toArrow()
-    counts: dict[str, dict[str, int]] = {}
-    for lang, gram, n in zip(*(table.column(c).to_pylist() for c in ("_lang", "_gram", "_n"))):
-        counts.setdefault(lang, {})[gram] = n
-    return kneser_ney(counts)
+    languages = sorted(r["_lang"] for r in grams.select("_lang").distinct().collect())
+    place = {language: i for i, language in enumerate(languages)}
+    table = grams.toArrow()
+    number = np.fromiter((place[x] for x in table.column("_lang").to_pylist()), np.int32, table.num_rows)
+    return build(languages, number, _codes(table.column("_gram").to_pylist(), ORDER), table.column("_n").to_numpy())
 
 
 class Scorer:
@@ -213,13 +252,15 @@ class Scorer:
         self.place: dict[str, int] = {}
         self.scores = np.zeros((0, len(model.languages)))
         self.sizes = np.zeros(0)
+        languages = max(4, len(model.languages))
+        self.rows, self.block, self.cached = (max(1, 4 * most // languages) for most in (ROWS, BLOCK, CACHED))
 
     def texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Log probabilities (text, language) and numbers of characters."""
         logs = np.zeros((len(texts), len(self.model.languages)))
         chars = np.zeros(len(texts))
         streams = [words_of(t) for t in texts]
-        found = [list(islice(s, BLOCK)) for s in streams]
+        found = [list(islice(s, self.block)) for s in streams]
         while any(found):
             self._learn(found)
             for i, words in enumerate(found):
@@ -227,11 +268,11 @@ class Scorer:
                     at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
                     logs[i] += self.scores[at].sum(0)
                     chars[i] += self.sizes[at].sum()
-            found = [list(islice(s, BLOCK)) if len(f) == BLOCK else [] for s, f in zip(streams, found)]
+            found = [list(islice(s, self.block)) if len(f) == self.block else [] for s, f in zip(streams, found)]
         return logs, chars
 
     def _learn(self, found: list[list[str]]) -> None:
-        if len(self.place) > CACHED:
+        if len(self.place) > self.cached:
             self.__init__(self.model)
         new = sorted({w for words in found for w in words if w not in self.place})
         if new:
@@ -247,15 +288,15 @@ def score(documents: DataFrame, model: Model, text_column: str = "text", prefix:
     name), ``und`` where the text has no letter; ``_score`` weighs it against the others.
     """
     place = documents.columns.index(text_column)
-    shared = documents.sparkSession.sparkContext.broadcast(model)  # bounded by ngram_limit
+    shared = documents.sparkSession.sparkContext.broadcast(model)
     names = [f"{prefix}_{n}" for n in ("pred", "score", "entropy", "chars")]
 
     def run(batches):
         scorer = Scorer(shared.value)
         languages = np.array([*shared.value.languages, UNKNOWN], object)
         for whole in batches:
-            for start in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(start, ROWS)
+            for start in range(0, whole.num_rows, scorer.rows):
+                batch = whole.slice(start, scorer.rows)
                 logs, chars = scorer.texts(batch.column(place).to_pylist())
                 known = (chars > 0) & (len(languages) > 1)
                 if len(languages) > 1:
