@@ -145,6 +145,25 @@ def test_ball_hashing_finds_all_pairs_within_the_radius(spark, radius):
     assert [found.get(i, i) for i in ids] == want
 
 
+@pytest.mark.parametrize("most", [1 << 22, 30_000, 500])
+def test_prints_with_one_lead_are_cut_until_parts_are_small(spark, most):
+    # A family: all prints begin alike, a few of the last bits differ; the first bit is set, as the sign.
+    random.seed(9)
+    base = random.getrandbits(64) | 1 << 63
+    values = np.array(sorted({base ^ (random.getrandbits(14) << 3) for _ in range(150)} | {random.getrandbits(64) for _ in range(20)}), np.uint64)
+    df = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "_fp long")
+    parts = Counter()
+    for r in simhash._parts(df, 6, 2, most).collect():
+        low = 64 - r["_bits"]
+        used = ((r["_fp"] % 2**64 >> low) ^ (r["_lead"] % 2**64)).bit_count()
+        parts[r["_bits"], r["_lead"]] += len(simhash._flips(low, 2 - used))
+    assert max(parts.values()) <= most and sum(parts.values()) == 2081 * len(values)
+    edges = simhash.linked_fingerprints(df, 4, most)
+    found = {r["node"]: r["root"] for r in components.connected_components(edges, "a", "b").collect()}
+    ids = values.view(np.int64).tolist()
+    assert [found.get(i, i) for i in ids] == plain_components(values, ids, 4)
+
+
 def test_odd_radius_is_refused(spark):
     with pytest.raises(ValueError):
         simhash.linked_fingerprints(spark.createDataFrame([(1,)], "_fp long"), 3)

@@ -5,7 +5,8 @@ within ``radius / 2`` bits of both.  Every distinct fingerprint emits its ball
 of variants; those that meet in a variant are linked.  A ball of radius 2 has
 2,081 variants, so they are not shuffled one by one: a variant is dealt out by its
 leading bits, one row stands for all variants of a fingerprint with the same
-leading bits, and the task that gets the row writes the variants out.
+leading bits, and the task that gets the row writes the variants out.  Where too many
+variants have the same lead, more bits are taken, until every part is small.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from vectrail.session import work_path
 from vectrail.sources.tables import write_table
 
 SEED = 42
+MORE_BITS = 4  # taken at a time where a lead has too many variants
 
 
 def fingerprint(text: bytes | None, words_per_shingle: int = 4) -> int:
@@ -151,11 +153,47 @@ def lead_bits_for(prints: int, tasks: int, half: int, rows_per_lead: int = 32_76
     return bits
 
 
-def linked_fingerprints(prints: DataFrame, radius: int = 4) -> DataFrame:
+def _parts(prints: DataFrame, bits: int, half: int, most: int) -> DataFrame:
+    """``_fp``, ``_bits`` and ``_lead``: every print under each lead that variants of it begin with.
+
+    A lead with more than ``most`` variants is cut by further bits, level by level.  With
+    all 64 bits a lead is one variant, which at most 2,081 prints (of radius 2) have.
+    """
+    spark = prints.sparkSession
+
+    def cut(rows: DataFrame, bits: int, more: int) -> DataFrame:
+        """Leads of ``bits`` bits out of those that are ``more`` bits shorter."""
+        flips = F.explode(F.array(*[F.lit(int(m)) for m in _flips(more, half)])).alias("_flip")
+        own = F.shiftrightunsigned("_fp", 64 - bits)
+        tail = own.bitwiseAND(F.lit((1 << more) - 1)).bitwiseXOR(F.col("_flip"))
+        lead = F.shiftleft("_lead", more).bitwiseOR(tail)
+        longer = rows.select("_fp", "_lead", flips).select("_fp", lead.alias("_lead"))
+        return longer.filter(F.bit_count(own.bitwiseXOR(F.col("_lead"))) <= half)
+
+    rows = cut(prints.select("_fp", F.lit(0).cast("long").alias("_lead")), bits, bits)
+    done = None
+    while bits < 64:
+        used = F.bit_count(F.shiftrightunsigned("_fp", 64 - bits).bitwiseXOR(F.col("_lead")))
+        variants = F.array(*[F.lit(len(_flips(64 - bits, half - spent))) for spent in range(half + 1)])
+        large = rows.groupBy("_lead").agg(F.sum(F.get(variants, used)).alias("_variants")).filter(F.col("_variants") > most)
+        large = write_table(large.select("_lead"), work_path(spark, "simhash-large"))
+        if large.isEmpty():
+            break
+        small = rows.join(large, "_lead", "left_anti").select("_fp", F.lit(bits).alias("_bits"), "_lead")
+        done = small if done is None else done.unionByName(small)
+        more = min(MORE_BITS, 64 - bits)
+        bits += more
+        rows = write_table(cut(rows.join(large, "_lead", "left_semi"), bits, more), work_path(spark, "simhash-leads"))
+    rows = rows.select("_fp", F.lit(bits).alias("_bits"), "_lead")
+    return rows if done is None else done.unionByName(rows)
+
+
+def linked_fingerprints(prints: DataFrame, radius: int = 4, most_variants: int = 1 << 22) -> DataFrame:
     """Links ``a``, ``b`` whose components are those of all pairs within ``radius`` bits.
 
     ``prints`` has distinct values ``_fp``.  ``radius`` must be even, so that the two
-    halves of the way are equal and every two prints that meet are within it.
+    halves of the way are equal and every two prints that meet are within it.  No task
+    writes out more than ``most_variants`` variants at once.
     """
     if radius % 2:
         raise ValueError("the radius must be even")
@@ -163,18 +201,14 @@ def linked_fingerprints(prints: DataFrame, radius: int = 4) -> DataFrame:
     half = radius // 2
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = lead_bits_for(prints.count(), tasks, half)
-    masks = [int(m) for m in _flips(bits, half)]
-    leads = prints.select(
-        "_fp",
-        F.shiftrightunsigned("_fp", 64 - bits).alias("_own"),
-        F.explode(F.array(*[F.lit(m) for m in masks])).alias("_flip"),
-    ).select("_fp", F.col("_own").bitwiseXOR(F.col("_flip")).alias("_lead"))
 
     def meet(key, table):
-        found = _meet(table.column("_fp").to_numpy().view(np.uint64), key[0].as_py(), bits, half)
+        lead = key[1].as_py() & ((1 << 64) - 1)
+        found = _meet(table.column("_fp").to_numpy().view(np.uint64), lead, key[0].as_py(), half)
         return pa.table([pa.array(x.view(np.int64)) for x in found], ["a", "b"])
 
-    return leads.groupBy("_lead").applyInArrow(meet, "a bigint, b bigint").distinct()
+    parts = _parts(prints, bits, half, most_variants)
+    return parts.groupBy("_bits", "_lead").applyInArrow(meet, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(
