@@ -104,6 +104,26 @@ def test_noise_is_rejected_and_clean_texts_stay(spark, folder):
     assert sum(r["_lang_rejected"] for r in found if r["doc_id"] < 10**6) <= 10
 
 
+def test_noise_with_a_language_is_rejected(spark, folder):
+    documents = load(spark, folder.replace("0.001", "0.01"), "documents").select("doc_id", "text", "lang")
+    draw = np.random.default_rng(11)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    noise = [(10**6 + i, " ".join("".join(draw.choice(letters, draw.integers(3, 9))) for _ in range(150)), "en") for i in range(30)]
+    found = langid.identify(documents.unionByName(spark.createDataFrame(noise, documents.schema)))
+    found = found.select("doc_id", "_lang_rejected").collect()
+    assert all(r["_lang_rejected"] for r in found if r["doc_id"] >= 10**6)
+    assert sum(r["_lang_rejected"] for r in found if r["doc_id"] < 10**6) <= 10
+
+
+def test_limits_of_thin_classes_and_languages():
+    classes = [("en", 5, 500, 2.0, 2.2), ("en", 8, 500, 1.4, 1.41), ("en", 6, 3, 9.0, 9.9), ("ja", 8, 400, 4.0, 4.1), ("fr", 8, 20, 1.0, 1.0)]
+    limit = {(a, b): c for a, b, c in langid.limits_of(classes, 8, 1.1)}
+    assert limit["en", 5] == limit["en", 6] == limit["en", 0] == pytest.approx(1.1 * (2 + 8 * 0.2 / 0.6745))
+    assert limit["en", 8] == limit["en", 7] == limit["en", 12] == pytest.approx(1.1 * (1.4 + 8 * 0.07))
+    assert limit["ja", 8] > 2 * limit["en", 8] and limit["en", 8] < limit["fr", 8] < limit["ja", 8]
+    assert langid.limits_of(classes[2:3], 8, 1.1) == []
+
+
 def test_language_id_without_anything_to_learn(spark, nothing):
     assert langid.identify(nothing).count() == 0
     unknown = spark.createDataFrame([document(1, "some text", None), document(2, None, None)], DOCUMENTS)

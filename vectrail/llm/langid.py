@@ -4,7 +4,7 @@ Words of all labelled texts are counted per language, then their character n-gra
 All of them are kept: a model is sorted arrays of n-gram hashes, with entries only
 for the languages that have an n-gram.  A text belongs to the
 language with the lowest cross-entropy per character; it is rejected if that is
-higher than what labelled texts of like length have.
+far higher than what labelled texts of that language and like length have.
 """
 
 from __future__ import annotations
@@ -325,9 +325,31 @@ def _length_class(chars: Column) -> Column:
     return F.least(F.floor(F.log2(F.greatest(chars, F.lit(1)))), F.lit(12)).cast("int")
 
 
+def limits_of(classes: list[tuple[str, int, int, float, float]], spreads: float, margin: float) -> list[tuple[str, int, float]]:
+    """A limit per language and length class, from (language, class, texts, median, upper quartile) of each.
+
+    The quartile's way from the median, or a twentieth of the median, is the spread.  A class with
+    fewer than 100 texts takes the limit of the nearest class of its language (ties: the shorter one); a language
+    without any takes, per class, the median of the others'.
+    """
+    own: dict[str, dict[int, float]] = {}
+    for language, of, n, median, quartile in classes:
+        if n >= 100:
+            spread = max((quartile - median) / 0.6745, median / 20)  # 0.6745: of a normal distribution
+            own.setdefault(language, {})[of] = (median + spreads * spread) * margin
+    if not own:
+        return []
+    whole = {
+        language: [of[min(of, key=lambda y: (abs(x - y), y))] for x in range(13)] for language, of in own.items()
+    }
+    others = np.median(list(whole.values()), axis=0).tolist()
+    names = {c[0] for c in classes}
+    return [(name, x, whole.get(name, others)[x]) for name in sorted(names) for x in range(13)]
+
+
 def identify(
     documents: DataFrame,
-    quantile: float = 0.9995,
+    spreads: float = 8.0,
     margin: float = 1.1,
     id_column: str = "doc_id",
     text_column: str = "text",
@@ -336,9 +358,10 @@ def identify(
 ) -> DataFrame:
     """Learn from ``documents`` and add to all its rows what ``score`` says and ``<prefix>_rejected``.
 
-    A text is rejected if it has no letter, or if its cross-entropy is more than
-    ``margin`` times that quantile of all learnt texts of its length class (powers of two;
-    a class with fewer than 100 learnt texts takes the highest of all classes).
+    A text is rejected if it has no letter, or if its cross-entropy is more than ``margin``
+    times the median of the learnt texts of its predicted language and length class (powers of two)
+    plus ``spreads`` times their spread; see ``limits_of``.  Up to a quarter of noise among the
+    learnt texts of a class does not move that far.
 
     NULL and empty texts are ``und`` and rejected.  Rows whose ``lang`` is NULL are only
     scored.  Repeated rows are judged alike; an empty table gives no rows.  Names with
@@ -347,15 +370,18 @@ def identify(
     model = train(documents, id_column, text_column, lang_column)
     # Scored twice, for the limits and for the result: cheaper than to keep a copy of the texts.
     scored = score(documents, model, text_column, prefix)
-    length, entropy = _length_class(F.col(f"{prefix}_chars")), F.col(f"{prefix}_entropy")
+    pred, entropy = F.col(f"{prefix}_pred"), F.col(f"{prefix}_entropy")
+    length = _length_class(F.col(f"{prefix}_chars"))
     learnt = F.col(lang_column).isNotNull() & (third(id_column) != 1) & entropy.isNotNull()
-    classes = scored.filter(learnt).groupBy(length.alias("_class")).agg(
-        F.percentile_approx(entropy, quantile, 10_000).alias("_limit"), F.count("*").alias("_n")
+    classes = scored.filter(learnt).groupBy(pred.alias("_of"), length.alias("_class")).agg(
+        F.count("*").alias("_n"), F.percentile_approx(entropy, [0.5, 0.75], 10_000).alias("_q")
+    )
+    found = [(r["_of"], r["_class"], r["_n"], *r["_q"]) for r in classes.collect()]  # 13 rows a language at most
+    names = [f"{prefix}_{n}" for n in ("of", "class", "limit")]
+    limits = documents.sparkSession.createDataFrame(
+        limits_of(found, spreads, margin), f"`{names[0]}` string, `{names[1]}` int, `{names[2]}` double"
     )
-    limits = {r["_class"]: r["_limit"] for r in classes.collect() if r["_n"] >= 100}  # 13 rows at most
-    highest = max(limits.values(), default=float("inf"))
-    limit = F.lit(highest)
-    for of, value in sorted(limits.items()):
-        limit = F.when(length == of, value).otherwise(limit)
-    rejected = (F.col(f"{prefix}_pred") == UNKNOWN) | (entropy > limit * margin)
-    return scored.withColumn(f"{prefix}_rejected", F.coalesce(rejected, F.lit(True)))
+    same = (pred == F.col(names[0])) & (length == F.col(names[1]))
+    judged = scored.join(F.broadcast(limits), same, "left")
+    rejected = (pred == UNKNOWN) | (entropy > F.coalesce(F.col(names[2]), F.lit(float("inf"))))
+    return judged.withColumn(f"{prefix}_rejected", F.coalesce(rejected, F.lit(True))).drop(*names)
