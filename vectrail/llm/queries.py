@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrail.llm import bpe, langid, line_dedup, mixing, quality, simhash, topk, toxicity, vector_dedup, warc
+from vectrail.llm import bpe, langid, line_dedup, mixing, quality, simhash, topk, toxicity, url_rules, vector_dedup, warc
 from vectrail.llm.texts import third
 from vectrail.session import work_path
 from vectrail.sources.tables import load
@@ -201,6 +201,47 @@ def op4_quality(spark, folder):
     )
 
 
+# Host, path and verdict of the rules that op11_url_filters applies.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+@query(
+    "op11_url_filters",
+    """
+    WITH u AS (
+        SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+        FROM pages),
+    p AS (
+        SELECT page_id, coalesce(regexp_extract(rest, '^[^/?#]*', 0), '') AS h,
+               coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+        FROM u),
+    h AS (
+        SELECT page_id, path,
+               translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM p),
+    r(rule_host, rule_path, verdict) AS (
+        VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+               ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+    f AS (
+        SELECT page_id, rule_host || rule_path AS rule, verdict FROM h JOIN r
+        ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+    best AS (SELECT page_id, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+             FROM f GROUP BY page_id)
+    SELECT h.page_id, host, path, best.rule, coalesce(best.verdict, 'allow') AS verdict
+    FROM h LEFT JOIN best ON h.page_id = best.page_id
+    """,
+)
+def op11_url_filters(spark, folder):
+    pages = load(spark, folder, "pages").select("page_id", "url")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = url_rules.judge_urls(pages, rules)
+    return judged.select("row.page_id", "host", "path", "rule", "verdict")
+
+
 @query("pipeline")
 def pipeline(spark, folder):
     import corpus_pipeline  # it imports this module
