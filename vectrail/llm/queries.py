@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrail.llm import bpe, langid, line_dedup, mixing, quality, simhash, topk, toxicity, url_rules, vector_dedup, warc
+from vectrail.llm import bpe, langid, line_dedup, mixing, quality, simhash, spelling, topk, toxicity, url_rules, vector_dedup, warc
 from vectrail.llm.texts import third
 from vectrail.session import work_path
 from vectrail.sources.tables import load
@@ -242,6 +242,12 @@ def op11_url_filters(spark, folder):
     return judged.select("row.page_id", "host", "path", "rule", "verdict")
 
 
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark, folder):
+    documents = load(spark, folder, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.word_counts(documents, min_chars=7, min_count=2, noise_every=31))
+
+
 @query("pipeline")
 def pipeline(spark, folder):
     import corpus_pipeline  # it imports this module
