@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectrail.llm import bpe, langid, line_dedup, mixing, quality, simhash, spelling, topk, toxicity, url_rules, vector_dedup, warc
+from vectrail.llm import bpe, exact, hard_negatives, langid, line_dedup, mixing, quality, simhash, spelling, topk, toxicity, url_rules, vector_dedup, warc
 from vectrail.llm.texts import third
 from vectrail.session import work_path
 from vectrail.sources.tables import load
@@ -201,13 +201,13 @@ def op4_quality(spark, folder):
     )
 
 
-# Host, path and verdict of the rules that op11_url_filters applies.
-URL_RULES = [
-    ("net", "/", "block"),
-    ("example.net", "/en/", "allow"),
-    ("example.com", "/de/", "block"),
-    ("org", "/fr/", "allow"),
-]
+# The rules that op11_url_filters applies.
+URL_RULES = """
+    SELECT * FROM VALUES
+        ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+        ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+    AS rules(host, path, verdict)
+"""
 
 
 @query(
@@ -237,11 +237,40 @@ URL_RULES = [
 )
 def op11_url_filters(spark, folder):
     pages = load(spark, folder, "pages").select("page_id", "url")
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
-    judged = url_rules.judge_urls(pages, rules)
+    judged = url_rules.judge_urls(pages, spark.sql(URL_RULES))
     return judged.select("row.page_id", "host", "path", "rule", "verdict")
 
 
+@query(
+    "op12_hard_negatives",
+    """
+    WITH v AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+        FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, o.vec_id AS id, a.label = o.label AS same,
+                 list_inner_product(a.e, o.e)::BIGINT AS score
+          FROM v a JOIN v o ON a.vec_id % 50 = 0 AND o.vec_id <> a.vec_id),
+    p AS (SELECT anchor_id, id AS positive_id, score AS positive_score,
+                 row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM s WHERE same),
+    n AS (SELECT p.anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id)::INT AS rank
+          FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+               AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+          WHERE place <= 5)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+    """,
+)
+def op12_hard_negatives(spark, folder):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = load(spark, folder, "embeddings").select(
+        "vec_id", moved.alias("label"), exact.floored(F.col("embedding"), 256.0).alias("vector")
+    )
+    return hard_negatives.hard_negatives(rows.filter(F.col("vec_id") % 50 == 0), rows)
+
+
 @query("op13_spelling_variants")
 def op13_spelling_variants(spark, folder):
     documents = load(spark, folder, "documents").select("doc_id", "text")
