@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vectrail.llm.exact import LEAST, matrix, norms, products
+from vectrail.llm.exact import LEAST, MOST, matrix, norms, products
 from vectrail.session import work_path
 from vectrail.sources.tables import write_table
 
@@ -338,7 +338,7 @@ def hard_negatives(
         return found.withColumn("place", F.row_number().over(best_first)).filter(F.col("place") <= positives)
 
     found_schema = "anchor_id long, positive_id long, score long"
-    opening = asked.withColumn("floor", F.lit(LEAST)).withColumn("ceiling", F.lit((1 << 63) - 1))
+    opening = asked.withColumn("floor", F.lit(LEAST)).withColumn("ceiling", F.lit(MOST))
     at_home = _met(_routes(layout, opening, True, True), blocks, groups, top_positives, found_schema)
     at_home = write_table(ranked(at_home), work_path(spark, "positives-home"))
     reached = at_home.filter(F.col("place") == positives).select(F.col("anchor_id").alias("id"), F.col("score").alias("least"))
@@ -351,7 +351,7 @@ def hard_negatives(
     def window(percent: int, up: bool):
         score = F.col("score").cast("decimal(38,0)") * percent
         edge = F.ceil(score / 100) if up else F.floor(score / 100)
-        return edge.cast("long")
+        return F.least(F.greatest(edge, F.lit(LEAST)), F.lit(MOST)).cast("long")
 
     windows = (
         found.withColumn("low", window(low_percent, True))
