@@ -54,11 +54,25 @@ def test_batch_with_copies_nulls_and_mixed_lengths(spark):
         [("a", [1.0, 0.0]), ("b", [2.0]), ("c", None), ("d", [0.0, 0.0])],
         "query_id string, query_vector array<float>",
     )
-    found = batch.batch_vector_search(asked, corpus, 3).collect()
-    got = {}
-    for r in sorted(found, key=lambda r: (r["query_id"], r["position"])):
-        got.setdefault(r["query_id"], []).append(r["id"])
-    assert got == {"a": [0, 1, 2], "b": [51]}
+    for keep, want in (
+        (False, {"a": [0, 1, 2], "b": [51]}),
+        (True, {"a": [0, 1, 2], "b": [51, 0, 1], "d": [0, 1, 2]}),
+    ):
+        found = batch.batch_vector_search(asked, corpus, 3, keep_undefined=keep).collect()
+        got = {}
+        for r in sorted(found, key=lambda r: (r["query_id"], r["position"])):
+            got.setdefault(r["query_id"], []).append(r["id"])
+        assert got == want
+
+
+def test_many_query_blocks_in_one_scan(spark, vectors, monkeypatch):
+    """Every task reads the stored blocks itself; rows are held a part at a time."""
+    monkeypatch.setattr(batch, "HELD_BYTES", 2_000)
+    asked = vectors.select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    found = batch.batch_vector_search(asked, vectors, 3, max_shared_queries=7)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("FileScan parquet") <= 1
+    assert triples(found) == triples(batch.batch_vector_search(asked, vectors, 3))
 
 
 def test_text_keys(spark):
@@ -94,6 +108,47 @@ def test_batch_text_agrees_with_single_searches(spark, texts):
         assert [(r["id"], r["text_rank"]) for r in got] == one
 
 
+def test_batch_text_with_a_term_in_half_of_the_texts(spark):
+    """Bounds leave most pairs out and lose nothing, ties included."""
+    rows = []
+    for i in range(4000):
+        words = ["moteur"] * (1 + i % 7 if i % 2 else 0) + ["diesel"] * (i % 5) + ["panne"] * (i % 3) + ["huile"] * (i % 11 == 0)
+        rows.append((i, " ".join(words + ["autre"] * (i % 13))))
+    texts = spark.createDataFrame(rows, "id long, content string")
+    queries = ["moteur diesel", "moteur panne", "diesel panne moteur", "huile moteur", "moteur", "moteur zzz"]
+    asked = spark.createDataFrame(list(enumerate(queries)), "query_id int, query string")
+    many = batch.batch_text_search(asked, texts, 10).collect()
+    for i, query in enumerate(queries):
+        one = [(r["id"], r["rank"]) for r in search.text_search(texts, query, k=10).collect()]
+        got = sorted((r for r in many if r["query_id"] == i), key=lambda r: r["position"])
+        assert [(r["id"], r["text_rank"]) for r in got] == one
+
+
+def test_bounds_leave_out_most_pairs(spark):
+    """A set scores a fifth, at most, of the texts of its rarest term."""
+    draw = np.random.default_rng(0)
+    rows = [(i, t, int(n)) for i in range(6000) for t, n in zip("abc", draw.poisson(draw.exponential(2.0), 3)) if n]
+    postings = spark.createDataFrame(rows, "id long, _term string, _tf long")
+    sets = spark.createDataFrame([("s1", ["a", "b"]), ("s2", ["b", "c"]), ("s3", ["a", "b", "c"])], "_set string, _terms array<string>")
+    scored = []
+    real = batch._pairs
+    batch._pairs = lambda *x: (scored.append(real(*x)), scored[-1])[1]
+    try:
+        found = batch._best_of_many(sets, postings, 10, "id").collect()
+    finally:
+        batch._pairs = real
+    tf = {(i, t): n for i, t, n in rows}
+    for name, terms in (("s1", "ab"), ("s2", "bc"), ("s3", "abc")):
+        ranks = [
+            (-round(sum(tf[i, t] / (tf[i, t] + 1) for t in terms) / len(terms), 12), i)
+            for i in range(6000) if all((i, t) in tf for t in terms)
+        ]
+        got = sorted((r for r in found if r["_set"] == name), key=lambda r: r["position"])
+        assert [(round(-r["text_rank"], 9), r["id"]) for r in got] == [(round(r, 9), i) for r, i in sorted(ranks)[:10]]
+    rarest = sum(min(sum(t == u for _, u, _ in rows) for t in terms) for terms in ("ab", "bc", "abc"))
+    assert 5 * sum(p.count() for p in scored) <= rarest
+
+
 def test_hybrid_against_brute_force(spark, texts, vectors):
     query = list(vectors.filter("id = 7").first()["embedding"])
     hits = search.text_search(texts, "tion", k=100).collect()
@@ -195,15 +250,16 @@ def test_search_of_queries_in_parts_never_shuffles_the_corpus(vectors):
         assert "Exchange" in plan and all("embedding" not in line for line in plan.split("\n") if "Exchange" in line)
 
 
-def test_rows_without_a_distance_are_left_out_alike(spark):
+def test_rows_without_a_distance_come_last_or_are_left_out_alike(spark):
     rows = [(1, [1.0, 0.0]), (2, None), (3, [0.0, 0.0]), (4, [1.0]), (5, [0.5, 0.5])]
-    corpus = spark.createDataFrame(rows, "id long, embedding array<double>")
+    corpus = spark.createDataFrame(rows, "id long, embedding array<double>").repartition(3)
     asked = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, query_vector array<double>")
-    many = [r["id"] for r in batch.batch_vector_search(asked, corpus, 5).orderBy("position").collect()]
-    one = [r["id"] for r in search.vector_search(corpus, [1.0, 0.0], 5).collect()]
-    assert many == one == [1, 5]
-    kept = search.vector_search(corpus, [1.0, 0.0], 5, keep_undefined=True).collect()
-    assert [r["id"] for r in kept] == [1, 5, 2, 3, 4]
+    for options, want in (({}, [1, 5, 2, 3, 4]), ({"keep_undefined": False}, [1, 5])):
+        for k in (2, 4, 9):
+            many = batch.batch_vector_search(asked, corpus, k, **options).orderBy("position").collect()
+            one = search.vector_search(corpus, [1.0, 0.0], k, **options).collect()
+            assert [r["id"] for r in many] == [r["id"] for r in one] == want[:k]
+            assert all((r["distance"] is None) == (r["id"] in (2, 3, 4)) for r in many + one)
 
 
 def test_more_than_a_hundred_hybrid_results(spark):

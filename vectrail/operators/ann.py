@@ -122,7 +122,7 @@ def nearest_lists(
 ) -> list[int]:
     """The lists whose centre is nearest to the query, by the metric of the search."""
     near = vector_search(
-        spark.read.parquet(f"{path}/centres"), query, probes, metric, "centre", "list_id"
+        spark.read.parquet(f"{path}/centres"), query, probes, metric, "centre", "list_id", keep_undefined=False
     )
     return [row["list_id"] for row in near.select("list_id").collect()]
 

@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -18,9 +20,13 @@ from vectrail.operators.skew import top_per_group
 from vectrail.session import work_path
 from vectrail.sources.tables import write_table
 
-# Bounds on the queries that every task holds at a time.
+# Bounds on the queries of a block, which a task holds one at a time, and on the rows it holds meanwhile.
 MAX_SHARED_QUERIES = 16_384
 MAX_SHARED_BYTES = 64 * 1024 * 1024
+HELD_BYTES = 64 * 1024 * 1024
+
+TEXT_BLOCKS = 64  # blocks of texts whose ranks are bounded together
+RANK_SLACK = 1e-9  # ranks are rounded to fewer digits than bounds
 
 
 def batch_vector_search(
@@ -34,40 +40,32 @@ def batch_vector_search(
     vector_column: str = "embedding",
     max_shared_queries: int = MAX_SHARED_QUERIES,
     max_shared_bytes: int = MAX_SHARED_BYTES,
+    keep_undefined: bool = True,
 ) -> DataFrame:
     """The k nearest corpus rows of every query, exact.
 
-    Columns: query key, corpus key, ``distance``, ``similarity``, ``position``.
-    No pair of query and row is ever a Spark row: each task multiplies its
-    batches with the query matrix and keeps k per query.  A query table above
-    the bounds is cut into parts, and the corpus is scanned once for each of them; it is
-    never shuffled, and only one part is on the driver at a time.  Rows without a
-    distance to a query are left out.
+    Columns: query key, corpus key, ``distance``, ``similarity``, ``position``.  The queries are
+    stored in blocks; each task of the one scan of the corpus reads the blocks one after the
+    other and keeps k rows per query, so that no pair of query and row is ever a Spark row, the
+    corpus is never shuffled and the queries never pass the driver.  The work folder must be
+    one that Arrow can open (a shared file system, HDFS or an object store).
+
+    Rows without a distance to a query come last, as in ``vector_search``; without
+    ``keep_undefined`` they are left out.  A NULL query vector is not asked.
     """
     spark = queries.sparkSession
     asked = queries.select(query_key, query_vector).filter(F.col(query_vector).isNotNull())
-    rows = corpus.select(key, vector_column).filter(F.col(vector_column).isNotNull())
-    schema = T.StructType(
-        [
-            T.StructField(query_key, queries.schema[query_key].dataType),
-            T.StructField(key, corpus.schema[key].dataType),
-            T.StructField("distance", T.DoubleType()),
-        ]
-    )
+    rows = corpus.select(key, vector_column)
+    if not keep_undefined:
+        rows = rows.filter(F.col(vector_column).isNotNull())
     size = asked.agg(F.count("*").alias("n"), F.sum(F.size(query_vector) * 8).alias("b")).first()
-    parts = max(-(-size["n"] // max_shared_queries), -(-(size["b"] or 0) // max_shared_bytes), 1)
-    if parts == 1:
-        near = _against_shared(asked.toArrow(), rows, k, metric, schema)
-    else:
-        stored = write_table(
-            asked.withColumn("_part", F.pmod(F.xxhash64(query_key), F.lit(parts))), work_path(spark, "asked")
-        )
-        path = work_path(spark, "nearest")
-        for part in range(parts):
-            some = stored.filter(F.col("_part") == part).drop("_part").toArrow()
-            _against_shared(some, rows, k, metric, schema).write.mode("append").parquet(path)
-        near = spark.read.schema(schema).parquet(path)
-    order = [F.col("distance").asc(), F.col(key).asc()]
+    blocks = max(-(-size["n"] // max_shared_queries), -(-(size["b"] or 0) // max_shared_bytes), 1)
+    path = work_path(spark, "asked")
+    asked.withColumn("_block", F.pmod(F.xxhash64(query_key), F.lit(blocks))).repartition(
+        blocks, "_block"
+    ).write.partitionBy("_block").parquet(path)
+    near = _against_blocks(path, blocks, asked.schema, rows, k, metric, keep_undefined)
+    order = [F.asc_nulls_last("distance"), F.col(key).asc()]
     return top_per_group(near, [query_key], order, k).withColumn(
         "similarity", vector.similarity(F.col("distance"))
     )
@@ -98,25 +96,72 @@ def _keys(column: pa.Array) -> np.ndarray:
     return np.asarray(column.to_pylist())
 
 
-def _against_shared(asked: pa.Table, rows: DataFrame, k: int, metric: str, schema: T.StructType) -> DataFrame:
-    """The k nearest rows per task of queries that every task holds, of any length, in one scan."""
-    groups = _by_width(asked.column(0).to_pylist(), asked.column(1).to_pylist())
+def _read_block(path: str, block: int) -> pa.Table | None:
+    """The queries of one stored block, wherever Arrow can read the folder."""
+    if "://" in path or path.startswith("file:"):
+        store, root = fs.FileSystem.from_uri(path)
+    else:
+        store, root = fs.LocalFileSystem(), path
+    chosen = fs.FileSelector(f"{root}/_block={block}", allow_not_found=True)
+    files = [f.path for f in store.get_file_info(chosen) if f.path.endswith(".parquet")]
+    return pa.concat_tables([pq.read_table(f, filesystem=store, partitioning=None) for f in files]) if files else None
+
+
+def _undefined(ids: np.ndarray, rows: np.ndarray, valid: np.ndarray, k: int, metric: str) -> np.ndarray:
+    """The k smallest keys of rows that have no distance to any query of this length."""
+    lost = ~valid | np.isnan(rows).any(axis=1)
+    if metric == "cosine":
+        lost |= (rows == 0).all(axis=1)
+    return np.sort(ids[lost])[:k]
+
+
+def _against_blocks(
+    path: str, blocks: int, asked: T.StructType, rows: DataFrame, k: int, metric: str, keep_undefined: bool
+) -> DataFrame:
+    """The k nearest rows of every stored query, per part of the corpus that a task holds at a time."""
+    key = rows.schema.fields[0]
+    schema = T.StructType([asked.fields[0], key, T.StructField("distance", T.DoubleType())])
     arrow_schema = _arrow_schema(schema)
 
+    def answer(held: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids = _keys(held.column(0))
+        vectors = _one_chunk(held.column(1))
+        matrices: dict[int, tuple] = {}  # by length of the queries, made once for all blocks
+        for block in range(blocks):
+            queries = _read_block(path, block)
+            if queries is None:
+                continue
+            for width, (names, matrix) in _by_width(*(queries.column(i).to_pylist() for i in (0, 1))).items():
+                if width not in matrices:
+                    found, valid = kernels.matrix(vectors, width)
+                    lost = _undefined(ids, found, valid, k, metric) if keep_undefined else ids[:0]
+                    matrices[width] = ids[valid], found[valid], lost
+                fit, found, lost = matrices[width]
+                nearest = kernels.Nearest(matrix, k, metric)
+                nearest.add(fit, found)
+                triples = [(names[i], row.item(), d) for i, row, d in nearest.rows()]
+                if keep_undefined:
+                    for i, (_, kept) in enumerate(nearest.best):
+                        if len(kept) < k:
+                            # A query without a direction has no distance to any row.
+                            none = metric == "cosine" and not matrix[i].any()
+                            others = np.sort(ids)[:k] if none else lost
+                            triples += [(names[i], row.item(), None) for row in others]
+                columns = list(zip(*triples)) if triples else [[], [], []]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column, field.type) for column, field in zip(columns, arrow_schema)], schema=arrow_schema
+                )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = {width: kernels.Nearest(matrix, k, metric) for width, (_, matrix) in groups.items()}
+        held, size = [], 0
         for batch in batches:
-            ids = _keys(batch.column(0))
-            for width, nearest in best.items():
-                found, valid = kernels.matrix(_one_chunk(batch.column(1)), width)
-                nearest.add(ids[valid], found[valid])
-        triples = [
-            (groups[width][0][i], row.item(), d) for width, nearest in best.items() for i, row, d in nearest.rows()
-        ]
-        columns = list(zip(*triples)) if triples else [[], [], []]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(column, field.type) for column, field in zip(columns, arrow_schema)], schema=arrow_schema
-        )
+            held.append(batch)
+            size += batch.nbytes
+            if size >= HELD_BYTES:
+                yield from answer(pa.Table.from_batches(held))
+                held, size = [], 0
+        if held:
+            yield from answer(pa.Table.from_batches(held))
 
     return rows.mapInArrow(run, schema)
 
@@ -135,9 +180,8 @@ def batch_text_search(
 
     Queries with the same terms are one set of terms, answered once.  The words of the
     corpus are counted per text before they meet the forms the sets ask for.  A set of
-    one term takes the best texts of that term; any other set meets the texts that hold
-    its rarest term, and its other counts are looked up in the text's own.  Texts are
-    cut to k per set in every task before they are shuffled.
+    one term takes the best texts of that term; the others are evaluated by bounds, see
+    ``_best_of_many``.  Texts are cut to k per set in every task before they are shuffled.
     """
     spark = queries.sparkSession
     asked = queries.select(
@@ -157,46 +201,128 @@ def batch_text_search(
         counted.join(forms, "_word").groupBy(key, "_term").agg(F.sum("_n").alias("_tf")),
         work_path(spark, "postings"),
     )
-    order = [F.desc("text_rank"), F.col(key).asc()]
 
     # One term: the best k texts of every term serve all sets that ask for it.
     one = F.size("_terms") == 1
     single = postings.select(
         "_term", key, F.round(text.saturation(F.col("_tf")), text.RANK_DECIMALS).alias("text_rank")
     )
-    best = top_per_group(single, ["_term"], order, k)
+    best = top_per_group(single, ["_term"], [F.desc("text_rank"), F.col(key).asc()], k)
     of_one = sets.filter(one).select("_set", F.col("_terms")[0].alias("_term")).join(best, "_term")
+    columns = ["_set", key, "text_rank", "position"]
+    found = of_one.select(*columns).unionByName(
+        _best_of_many(sets.filter(~one), postings, k, key).select(*columns)
+    )
+    return asked.select(query_key, "_set").join(found, "_set").drop("_set")
 
-    # Several terms: the rarest leads.
-    many = sets.filter(~one)
-    holders = postings.groupBy("_term").agg(F.count("*").alias("_df"))
-    leads = (
-        many.select("_set", F.explode("_terms").alias("_term"))
-        .join(holders, "_term")
-        .groupBy("_set")
-        .agg(F.min_by("_term", F.struct("_df", "_term")).alias("_term"))
+
+def _blocked(postings: DataFrame, key: str, blocks: int) -> DataFrame:
+    """Postings with the block of their text: texts of like weight (occurrences of asked terms) together.
+
+    Heavy texts hold the high counts, so the greatest count of a term falls from block to block.
+    """
+    weights = postings.groupBy(key).agg(F.sum("_tf").alias("_weight"))
+    shares = [i / blocks for i in range(1, blocks)]
+    cuts = weights.agg(F.percentile_approx("_weight", shares, 10_000).alias("c")).first()["c"] or []
+    placed = weights.select(
+        F.col(key), F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<bigint>"), lambda c: c < F.col("_weight"))).alias("_block")
+    )
+    return postings.join(placed, key)
+
+
+def _set_blocks(sets: DataFrame, stats: DataFrame) -> DataFrame:
+    """The blocks where all terms of a set occur, with what bounds the ranks of their texts there.
+
+    ``_bound`` is the rank of a text that had each term as often as any text of the block.
+    ``_lead`` is the rarest term of the block and ``_rest`` what the others add to the bound at
+    most.  ``_expected`` guesses how many texts hold all terms.
+    """
+    most = text.saturation(F.col("_most"))
+    return (
+        sets.select("_set", "_terms", F.explode("_terms").alias("_term"))
+        .join(stats, "_term")
+        .groupBy("_set", "_block")
+        .agg(
+            F.first("_terms").alias("_terms"),
+            F.count("*").alias("_present"),
+            F.sum(most).alias("_total"),
+            F.min_by(F.struct(F.col("_term").alias("term"), most.alias("most")), F.struct("_df", "_term")).alias("_rarest"),
+            (F.exp(F.sum(F.log(F.col("_df") / F.col("_texts")))) * F.max("_texts")).alias("_expected"),
+        )
+        .filter(F.col("_present") == F.size("_terms"))
+        .select(
+            "_set", "_block", "_terms", "_expected",
+            (F.col("_total") / F.size("_terms")).alias("_bound"),
+            F.col("_rarest.term").alias("_lead"),
+            (F.col("_total") - F.col("_rarest.most")).alias("_rest"),
+        )
+    )
+
+
+def _pairs(chosen: DataFrame, postings: DataFrame, key: str) -> DataFrame:
+    """Sets and the texts of their chosen blocks that may reach ``_least``, found by the lead term."""
+    texts = postings.select(F.col("_term").alias("_lead"), "_block", key, "_tf")
+    reach = (F.col("_rest") + text.saturation(F.col("_tf"))) / F.size("_terms")
+    return (
+        chosen.join(texts, ["_lead", "_block"])
+        .filter(reach >= F.col("_least") - RANK_SLACK)
+        .select("_set", "_terms", key)
+    )
+
+
+def _best_of_many(sets: DataFrame, postings: DataFrame, k: int, key: str, blocks: int = TEXT_BLOCKS) -> DataFrame:
+    """The k best texts of sets of several terms, by bounds on blocks of texts.
+
+    After block-max indexes (Ding and Suel 2011): per term and block of texts the greatest count
+    is known, which bounds the rank of every text of the block.  Each set first takes its most
+    promising blocks, enough for about 2 k texts.  What its k-th text reaches there is the least
+    that the others must: only blocks, and in them texts, whose bound reaches it are looked at.
+    """
+    spark = postings.sparkSession
+    posted = write_table(_blocked(postings, key, blocks), work_path(spark, "blocked-postings"))
+    texts = posted.groupBy("_block").agg(F.countDistinct(key).alias("_texts"))  # a row per block
+    stats = (
+        posted.groupBy("_term", "_block")
+        .agg(F.count("*").alias("_df"), F.max("_tf").alias("_most"))
+        .join(F.broadcast(texts), "_block")
+    )
+    by_bound = W.partitionBy("_set").orderBy(F.desc("_bound"), "_block").rowsBetween(W.unboundedPreceding, -1)
+    promising = F.coalesce(F.sum("_expected").over(by_bound), F.lit(0.0)) < 2 * k
+    candidates = write_table(
+        _set_blocks(sets, stats).withColumn("_first", promising), work_path(spark, "set-blocks")
     )
-    pairs = many.join(leads, "_set").join(postings.select("_term", key), "_term").select("_set", "_terms", key)
     # A map is searched entry by entry, so the counts of a long text are kept in small
     # maps.  Both groupings run on one partitioning by the key.
-    counts = (
-        postings.repartition(key)
+    counts = write_table(
+        posted.repartition(key)
         .groupBy(key, text.drawer(F.col("_term")).alias("_drawer"))
         .agg(F.map_from_entries(F.collect_list(F.struct("_term", "_tf"))).alias("_in"))
         .groupBy(key)
-        .agg(F.map_from_entries(F.collect_list(F.struct("_drawer", "_in"))).alias("_tfs"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("_drawer", "_in"))).alias("_tfs")),
+        work_path(spark, "text-counts"),
     )
-    ranked = pairs.join(counts, key).select(
-        "_set", key, text.rank_of_counts(F.col("_tfs"), F.col("_terms")).alias("text_rank")
-    )
-    # A pair without a match has no rank and sorts last.  It is dropped after
-    # the cut, since a filter before it would work every rank out twice.
-    of_many = top_per_group(ranked, ["_set"], [F.desc_nulls_last("text_rank"), F.col(key).asc()], k).filter(
-        F.col("text_rank").isNotNull()
+
+    def best(pairs: DataFrame) -> DataFrame:
+        ranked = pairs.join(counts, key).select(
+            "_set", key, text.rank_of_counts(F.col("_tfs"), F.col("_terms")).alias("text_rank")
+        )
+        # A pair without a match has no rank and sorts last.  It is dropped after
+        # the cut, since a filter before it would work every rank out twice.
+        return top_per_group(ranked, ["_set"], [F.desc_nulls_last("text_rank"), F.col(key).asc()], k).filter(
+            F.col("text_rank").isNotNull()
+        )
+
+    opening = candidates.filter("_first").withColumn("_least", F.lit(0.0))
+    first = write_table(best(_pairs(opening, posted, key)), work_path(spark, "first-texts"))
+    reached = first.filter(F.col("position") == k).select("_set", F.col("text_rank").alias("_least"))
+    rest = (
+        candidates.filter("NOT _first")
+        .join(reached, "_set", "left")
+        .withColumn("_least", F.coalesce("_least", F.lit(0.0)))
+        .filter(F.col("_bound") >= F.col("_least") - RANK_SLACK)
     )
-    columns = ["_set", key, "text_rank", "position"]
-    found = of_one.select(*columns).unionByName(of_many.select(*columns))
-    return asked.select(query_key, "_set").join(found, "_set").drop("_set")
+    both = first.drop("position").unionByName(best(_pairs(rest, posted, key)).drop("position"))
+    return top_per_group(both, ["_set"], [F.desc("text_rank"), F.col(key).asc()], k)
 
 
 def batch_hybrid_search(
@@ -275,7 +401,7 @@ def batch_search(
     parts.append(
         batch_vector_search(
             embedded.filter("mode = 'vector'"), vectors, k, "cosine", query_key,
-            key=key, vector_column=vector_column,
+            key=key, vector_column=vector_column, keep_undefined=False,
         ).withColumn("mode", F.lit("vector"))
     )
     parts.append(

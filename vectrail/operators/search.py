@@ -47,14 +47,14 @@ def vector_search(
     columns: Sequence[str] | None = None,
     where: str | None = None,
     engine: str = "native",
-    keep_undefined: bool = False,
+    keep_undefined: bool = True,
 ) -> DataFrame:
     """The k rows nearest to a query vector, exact.
 
     One scan and a top-k per task (``TakeOrderedAndProject``); no shuffle of
     the table.  Ties fall to the smaller key.  Rows without a distance (no vector, another
-    length, no direction) are left out, as in ``batch_vector_search``; with
-    ``keep_undefined`` they come last.  ``engine="arrow"`` trades Python workers for
+    length, no direction) come last, as in ``batch_vector_search``; without
+    ``keep_undefined`` they are left out.  ``engine="arrow"`` trades Python workers for
     faster arithmetic.
     """
     if metric not in vector.METRICS:
@@ -238,7 +238,8 @@ def search(
 ) -> DataFrame:
     """Route one query to text, vector or hybrid search.
 
-    The result has ``mode`` and the scores of that mode; the others are NULL.
+    The result has ``mode`` and the scores of that mode; the others are NULL.  Rows
+    that vector search can't score are left out.
     """
     spark = df.sparkSession
     picked = spark.range(1).select(text.detect_mode(F.lit(query), mode).alias("m")).first()["m"]
@@ -246,7 +247,7 @@ def search(
         found = text_search(df, query, content, k, key, language, "text_rank")
     elif picked == "vector":
         found = vector_search(
-            df, embed_query(spark, query, embedder), k, vector_column=vector_column, key=key
+            df, embed_query(spark, query, embedder), k, vector_column=vector_column, key=key, keep_undefined=False
         )
     elif picked == "hybrid":
         found = hybrid_search(
