@@ -221,14 +221,55 @@ def test_lists_recall(spark, vectors, metric):
     exact = search.vector_search(vectors, query, 10, metric)
     every = ann.ivf_search(spark, path, query, 10, 8, metric)
     assert ann.recall(exact, every).first()["recall"] == 1.0
+    bounded = ann.ivf_search(spark, path, query, 10, 1, metric, bounded=True)
+    assert ann.recall(exact, bounded).first()["recall"] == 1.0
     some = ann.ivf_search(spark, path, query, 10, 4, metric)
-    assert ann.recall(exact, some).first()["recall"] >= 0.3
     stored = spark.read.parquet(f"{path}/lists")
     assert stored.count() == vectors.count()
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(list_id" in plan or "PartitionFilters: [list_id" in plan
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2", "inner_product"])
+def test_batch_lists_recall_over_every_fiftieth_row(spark, vectors, metric):
+    """Within a limit of lists at least 0.9 are found; without one the radii make it exact."""
+    path = work_path(spark, "ivf")
+    ann.ivf_build(vectors, path, ann.learn_centres(vectors, 8, metric), metric)
+    asked = vectors.filter("id % 50 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vector"))
+    exact = batch.batch_vector_search(asked, vectors, 10, metric)
+    some = ann.batch_ivf_search(asked, path, 10, 3, 6, metric)
+    row = ann.mean_recall(exact, some).first()
+    assert row["n_queries"] == asked.count() and row["n_exact"] == 10 * asked.count() and row["recall"] >= 0.9
+    assert triples(ann.batch_ivf_search(asked, path, 10, 1, None, metric, rows_per_task=20)) == triples(exact)
+
+
+def test_appended_rows_are_found_and_nothing_is_rebuilt(spark, vectors):
+    path = work_path(spark, "ivf")
+    ann.ivf_build(vectors.filter("id % 3 = 0"), path, ann.learn_centres(vectors, 6, "l2"), "l2")
+    files = {r[0] for r in spark.read.parquet(f"{path}/lists").select(F.input_file_name()).distinct().collect()}
+    far = spark.createDataFrame([(100_000, [50.0] * 64)], "id long, embedding array<float>")
+    assert ann.ivf_append(vectors.filter("id % 3 != 0").unionByName(far, True), path, "l2") == 0
+    after = {r[0] for r in spark.read.parquet(f"{path}/lists").select(F.input_file_name()).distinct().collect()}
+    assert files < after
+    everything = vectors.unionByName(far, True)
+    for query in ([0.1] * 64, [50.0] * 64):
+        exact = [r["id"] for r in search.vector_search(everything, query, 7, "l2").collect()]
+        got = ann.ivf_search(spark, path, query, 7, 1, "l2", bounded=True).collect()
+        assert [r["id"] for r in got] == exact
+
+
+def test_batch_lists_with_odd_queries(spark, vectors):
+    path = work_path(spark, "ivf")
+    ann.ivf_build(vectors, path, ann.learn_centres(vectors, 4))
+    asked = spark.createDataFrame(
+        [("null", None), ("short", [1.0]), ("zero", [0.0] * 64), ("nan", [float("nan")] * 64), ("good", [1.0] * 64)],
+        "query_id string, query_vector array<double>",
+    )
+    found = ann.batch_ivf_search(asked, path, 3, 2)
+    assert {r["query_id"] for r in found.collect()} == {"good"}
+    assert ann.batch_ivf_search(asked.limit(0), path, 3, 2).count() == 0
+
+
 def test_vector_search_needs_no_shuffle(vectors):
     df = search.vector_search(vectors, [0.1] * 64, 5, where="id > 10")
     plan = df._jdf.queryExecution().executedPlan().toString()
