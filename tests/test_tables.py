@@ -91,9 +91,21 @@ def test_numbers_are_dense_and_ordered(spark, buckets):
 
 def test_hot_value_is_split_by_the_ties(spark):
     df = spark.range(5000).select("id", F.lit(1).alias("n"))
-    cut = skew.bucket_of(df, ["n", "id"], skew.bucket_bounds(df, ["n", "id"], 10))
-    largest = df.groupBy(cut).count().agg(F.max("count")).first()[0]
-    assert largest < 1000
+    numbered = skew.number_rows(df, "n", ["id"], buckets=10)
+    stored = next(line for line in numbered.inputFiles())
+    folder = stored.rsplit("/", 1)[0]
+    sizes = spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) > 5 and max(r["count"] for r in sizes) < 1000
+
+
+def test_numbering_holds_no_bounds_in_its_plan(spark):
+    """The plan is as long for many rows as for few, and shuffles them once, before they are stored."""
+    def plan(n, buckets):
+        df = spark.range(n).select("id", (F.col("id") % 97).alias("n"))
+        return skew.number_rows(df, "n", ["id"], buckets=buckets)._jdf.queryExecution().executedPlan().toString()
+
+    few, many = plan(100, 2), plan(20_000, 64)
+    assert abs(len(few) - len(many)) < 200 and "rangepartitioning" not in many
 
 
 def test_hot_keys_are_split_and_nothing_is_lost(spark):
@@ -161,7 +173,7 @@ def test_ordinary_keys_take_one_exchange(spark):
 
 def test_numbers_follow_the_rows(spark):
     df = spark.range(2500).select("id", (F.col("id") % 11).alias("n"))
-    rows = skew.number_rows(df, "n", ["id"], rows_per_bucket=300).orderBy("position").collect()
+    rows = skew.number_rows(df, "n", ["id"]).orderBy("position").collect()
     assert [r["position"] for r in rows] == list(range(1, 2501))
     assert [(r["n"], r["id"]) for r in rows] == sorted((r["n"], r["id"]) for r in rows)
 
@@ -250,3 +262,29 @@ def test_refused_statements(spark, sql):
 )
 def test_automatic_limit(spark, sql, rows):
     assert guarded_sql.run_sql(spark, sql).count() == rows
+
+
+def test_exact_profile_by_digests(spark):
+    """Counts by value, of NULLs, equal zeros, NaN, nested values and an empty table; no Expand."""
+    rows = [(1, 0.0, "a", [1]), (1, -0.0, None, [1]), (2, float("nan"), "a", None), (None, float("nan"), "", [2])]
+    df = spark.createDataFrame(rows, "i int, d double, s string, `odd name` array<int>")
+    found = profile.table_profile({"t": df}, "exact")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "partial_count" in plan
+    got = {r["column_name"]: (r["n_rows"], r["n_filled"], r["n_null"], r["n_distinct"]) for r in found.collect()}
+    assert got == {"i": (4, 3, 1, 2), "d": (4, 4, 0, 2), "s": (4, 3, 1, 2), "odd name": (4, 3, 1, 2)}
+    empty = profile.table_profile({"t": df.limit(0)}, "exact").collect()
+    assert [(r["position"], r["n_rows"], r["n_distinct"]) for r in empty] == [(i, 0, 0) for i in range(1, 5)]
+
+
+def test_profile_from_stored_sketches_reads_new_files_only(spark):
+    path, store = work_path(spark, "sketched"), work_path(spark, "sketches")
+    df = spark.range(3000).select("id", (F.col("id") % 40).alias("k"), F.when(F.col("id") % 3 > 0, F.lit("x")).alias("s"))
+    df.filter("id < 2000").repartition(2).write.parquet(path)
+    assert profile.sketch_files(spark, path, store) == 2
+    df.filter("id >= 2000").repartition(1).write.mode("append").parquet(path)
+    assert profile.sketch_files(spark, path, store) == 1
+    assert profile.sketch_files(spark, path, store) == 0
+    got = {r["column_name"]: r for r in profile.profile_of_sketches(spark, store, "t").collect()}
+    assert {c: (r["n_rows"], r["n_null"]) for c, r in got.items()} == {"id": (3000, 0), "k": (3000, 0), "s": (3000, 1000)}
+    assert got["k"]["n_distinct"] == 40 and got["s"]["n_distinct"] == 1 and abs(got["id"]["n_distinct"] - 3000) < 90

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,18 +20,49 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 def table_profile(tables: Mapping[str, DataFrame], distinct: str | None = "approx") -> DataFrame:
     """One row per column: type, place, rows, filled, NULL and distinct values.
 
-    One aggregate per table.  ``distinct`` is ``approx`` (a sketch, one scan
-    and no shuffle of values), ``exact`` (by value, long values by digest) or None.
+    ``distinct`` is ``approx`` (a sketch, one scan and no shuffle of values), ``exact`` (128-bit
+    digests of the values, counted in each task before they are shuffled) or None.  A profile that
+    is kept up to date as files come is made by ``sketch_files`` and ``profile_of_sketches``.
     """
-    return _union([_profile_one(name, df, distinct) for name, df in tables.items()])
+    one = _exact_one if distinct == "exact" else _profile_one
+    return _union([one(name, df, distinct) for name, df in tables.items()])
 
 
-def _distinct_key(column: Column, kind: T.DataType) -> Column:
-    """What exact distinct counts compare: 128 bits for texts and nested values, which may be long."""
-    if not isinstance(kind, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
-        return column
-    digest = F.struct(F.xxhash64(column), F.xxhash64(F.lit(1), column))
-    return F.when(column.isNotNull(), digest)
+def _described(name: str, field: T.StructField, i: int, rows: Column, filled: Column, distinct: Column) -> Column:
+    return F.struct(
+        F.lit(name).alias("table_name"),
+        F.lit(field.name).alias("column_name"),
+        F.lit(field.dataType.simpleString()).alias("data_type"),
+        F.lit(field.nullable).alias("nullable"),
+        F.lit(i + 1).alias("position"),
+        rows.alias("n_rows"),
+        filled.alias("n_filled"),
+        (rows - filled).alias("n_null"),
+        distinct.alias("n_distinct"),
+    )
+
+
+def _exact_one(name: str, df: DataFrame, distinct: str | None) -> DataFrame:
+    """Exact counts by (column, digest of the value) pairs; each pair leaves a task once."""
+    cells = []
+    for i, field in enumerate(df.schema):
+        column = F.col(f"`{field.name}`")
+        digest = F.when(column.isNotNull(), F.struct(F.xxhash64(column).alias("a"), F.xxhash64(F.lit(1), column).alias("b")))
+        cells.append(F.struct(F.lit(i).alias("i"), digest["a"].alias("a"), digest["b"].alias("b")))
+    values = df.select(F.inline(F.array(*cells))).groupBy("i", "a", "b").agg(F.count("*").alias("n"))
+    counted = values.groupBy("i").agg(
+        F.sum("n").alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("a").isNotNull(), F.col("n"))), F.lit(0)).alias("filled"),
+        F.count("a").alias("d"),
+    )
+    # A row per column of the table: all columns have one, those of an empty table too.
+    found = counted.agg(F.map_from_entries(F.collect_list(F.struct("i", F.struct("rows", "filled", "d")))).alias("m"))
+    none = F.struct(*[F.lit(0).cast("long").alias(c) for c in ("rows", "filled", "d")])
+    rows = []
+    for i, field in enumerate(df.schema):
+        at = F.coalesce(F.try_element_at("m", F.lit(i)), none)
+        rows.append(_described(name, field, i, at["rows"], at["filled"], at["d"]))
+    return found.select(F.inline(F.array(*rows)))
 
 
 def _profile_one(name: str, df: DataFrame, distinct: str | None) -> DataFrame:
@@ -38,27 +70,75 @@ def _profile_one(name: str, df: DataFrame, distinct: str | None) -> DataFrame:
     for i, field in enumerate(df.schema):
         column = F.col(f"`{field.name}`")
         counters.append(F.count(column).alias(f"n{i}"))
-        if distinct == "exact":
-            counters.append(F.count_distinct(_distinct_key(column, field.dataType)).alias(f"d{i}"))
-        elif distinct == "approx":
+        if distinct == "approx":
             counters.append(F.approx_count_distinct(column).alias(f"d{i}"))
     rows = [
-        F.struct(
-            F.lit(name).alias("table_name"),
-            F.lit(field.name).alias("column_name"),
-            F.lit(field.dataType.simpleString()).alias("data_type"),
-            F.lit(field.nullable).alias("nullable"),
-            F.lit(i + 1).alias("position"),
-            F.col("rows").alias("n_rows"),
-            F.col(f"n{i}").alias("n_filled"),
-            (F.col("rows") - F.col(f"n{i}")).alias("n_null"),
-            (F.col(f"d{i}") if distinct else F.lit(None).cast("long")).alias("n_distinct"),
+        _described(
+            name, field, i, F.col("rows"), F.col(f"n{i}"), F.col(f"d{i}") if distinct else F.lit(None).cast("long")
         )
         for i, field in enumerate(df.schema)
     ]
     return df.agg(*counters).select(F.inline(F.array(*rows)))
 
 
+def sketch_files(spark: SparkSession, path: str, store: str, lg_k: int = 14) -> int:
+    """Sketch the files of a parquet table that ``store`` does not know yet; how many they were.
+
+    ``store`` gains a row per file and column: rows, filled rows and a mergeable sketch of the
+    different values.  Files that are known are not read again, so a profile costs what is new.
+    """
+    files = sorted(spark.read.parquet(path).inputFiles())
+    try:
+        known = {r["file"] for r in spark.read.parquet(store).select("file").distinct().collect()}  # a row per file
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        known = set()
+    fresh = [f for f in files if f not in known]
+    if not fresh:
+        return 0
+    df = spark.read.parquet(*fresh)
+    cells = []
+    for i, field in enumerate(df.schema):
+        column = F.col(f"`{field.name}`")
+        cells.append(
+            F.struct(
+                F.lit(field.name).alias("column_name"),
+                F.lit(i + 1).alias("position"),
+                F.when(column.isNotNull(), F.xxhash64(column)).alias("digest"),
+            )
+        )
+    (
+        df.select(F.input_file_name().alias("file"), F.inline(F.array(*cells)))
+        .groupBy("file", "column_name", "position")
+        .agg(
+            F.count("*").alias("n_rows"),
+            F.count("digest").alias("n_filled"),
+            F.hll_sketch_agg("digest", F.lit(lg_k)).alias("sketch"),
+        )
+        .write.mode("append")
+        .parquet(store)
+    )
+    return len(fresh)
+
+
+def profile_of_sketches(spark: SparkSession, store: str, name: str) -> DataFrame:
+    """The profile of all files that ``store`` knows, from their sketches alone."""
+    return (
+        spark.read.parquet(store)
+        .groupBy("column_name", "position")
+        .agg(
+            F.sum("n_rows").alias("n_rows"),
+            F.sum("n_filled").alias("n_filled"),
+            F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_distinct"),
+        )
+        .select(
+            F.lit(name).alias("table_name"), "column_name", "position", "n_rows", "n_filled",
+            (F.col("n_rows") - F.col("n_filled")).alias("n_null"), "n_distinct",
+        )
+    )
+
+
 def table_overview(profile: DataFrame) -> DataFrame:
     """Columns and rows per table, by name."""
     return (

@@ -55,58 +55,30 @@ def salted_lookup(
     return left.join(right, [key, "_salt"], how).drop("_salt")
 
 
-def bucket_bounds(df: DataFrame, columns: Sequence[str], buckets: int, per_bucket: int = 100) -> list:
-    """Rows that cut ``df``, in the order of ``columns``, into about equal buckets.
-
-    Taken from a sample of about ``2 * per_bucket`` rows a bucket.  Any bounds give right
-    results as long as one list of them is used throughout.
-    """
-    wanted = buckets * per_bucket
-    share = min(1.0, 2.0 * wanted / max(1, df.count()))
-    drawn = df.select(*columns).sample(share, 7).orderBy(*columns).collect()
-    step = max(1, len(drawn) // buckets)
-    return drawn[step::step][: buckets - 1]
-
-
-def bucket_of(df: DataFrame, columns: Sequence[str], bounds: Sequence) -> Column:
-    """How many bounds lie before a row."""
-    here = F.struct(*columns)
-    cuts = [
-        F.struct(*[F.lit(bound[c]).cast(df.schema[c].dataType).alias(c) for c in columns])
-        for bound in bounds
-    ]
-    return F.size(F.filter(F.array(*cuts), lambda cut: cut < here))
-
-
 def number_rows(
     df: DataFrame, order: str, ties: Sequence[str] = (), start: int = 1, buckets: int | None = None,
-    name: str = "position", rows_per_bucket: int = 1_000_000,
+    name: str = "position",
 ) -> DataFrame:
     """Dense numbers in the order of ``order`` and ``ties``, without one big sort task.
 
-    Rows are numbered inside even buckets, as many as the rows fill unless a number is
-    given, and shifted by the size of the buckets before; only one count per bucket is
-    broadcast.  A value of ``order`` with very many rows is split by the ``ties``.
+    One shuffle: the rows are range-partitioned, sorted within their partition and stored with
+    their place in it.  The sizes of the partitions, a row each, give where every partition
+    begins.  ``buckets`` is the number of partitions, by default that of shuffles, fitted to the
+    data.  A value of ``order`` with very many rows is split by the ties.
     """
     columns = [order, *ties]
-    if buckets is None:
-        buckets = max(1, -(-df.count() // rows_per_bucket))
-    bounds = bucket_bounds(df, columns, buckets)
-    if not bounds:  # one bucket asked for, or a table of a row or two
-        place = F.row_number().over(W.orderBy(*columns)) + F.lit(start - 1)
-        return df.withColumn(name, place.cast("long"))
-    cut = df.withColumn("_bucket", bucket_of(df, columns, bounds))
-    sizes = cut.groupBy("_bucket").agg(F.count("*").alias("_n"))
-    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    shifts = sizes.select(
-        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift")
-    )
-    inside = W.partitionBy("_bucket").orderBy(*columns)
+    dealt = df.repartitionByRange(buckets, *columns) if buckets else df.repartitionByRange(*columns)
+    # Number of the partition times 2^33, plus the place of the row in it.  Stored, so it stays.
+    placed = dealt.sortWithinPartitions(*columns).withColumn("_id", F.monotonically_increasing_id())
+    stored = write_table(placed, work_path(df.sparkSession, "numbered")).withColumn("_bucket", F.shiftright("_id", 33))
+    sizes = stored.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)  # a row per partition
+    begins = sizes.select("_bucket", (F.coalesce(F.sum("_n").over(before), F.lit(0)) + start).alias("_begin"))
+    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        cut.withColumn("_place", F.row_number().over(inside))
-        .join(F.broadcast(shifts), "_bucket")
-        .withColumn(name, (F.col("_place") + F.col("_shift") + F.lit(start - 1)).cast("long"))
-        .drop("_bucket", "_place", "_shift")
+        stored.join(F.broadcast(begins), "_bucket")
+        .withColumn(name, (F.col("_begin") + place).cast("long"))
+        .drop("_bucket", "_begin", "_id")
     )
 
 
