@@ -131,11 +131,6 @@ def test_language_id_without_anything_to_learn(spark, nothing):
     assert {(r["_lang_pred"], r["_lang_score"], r["_lang_rejected"]) for r in rows} == {("und", 0.0, True)}
 
 
-def test_the_model_is_bounded_by_the_number_of_languages():
-    assert langid.ngram_limit(4) == 200_000
-    assert langid.ngram_limit(1000) * 1000**2 <= langid.MODEL_CELLS
-
-
 def test_all_ngrams_are_learnt_with_many_languages(spark):
     # 250 values of lang; 40,000,000 / 250^2 = 640 n-grams would be kept of a language that has more.
     draw = np.random.default_rng(3)

@@ -310,15 +310,34 @@ def test_bpe_streams_one_long_piece(own, library, alphabet):
     assert kept < 4096 < own.merges.lookahead  # tokens leave as soon as they are settled
 
 
-def test_decoding_of_any_ids(own, library):
+def test_decoding_of_any_ids(library):
     draw = random.Random(5)
+    machine = bpe.decoder(PATH)
     for _ in range(200):
         ids = [draw.randrange(50257) for _ in range(30)]
-        assert own.decode(ids) == library.decode(ids, skip_special_tokens=False)
+        assert machine.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
 def test_bpe_of_nothing(nothing):
     assert bpe.decode(bpe.encode(nothing, PATH), PATH).count() == 0
+    assert bpe.encode_and_decode(nothing, PATH).count() == 0
+
+
+def test_one_pass_gives_what_two_give(hard):
+    once = bpe.encode_and_decode(hard, PATH)
+    twice = bpe.decode(bpe.encode(hard, PATH), PATH)
+    assert once.columns == twice.columns
+    assert Counter(map(str, once.collect())) == Counter(map(str, twice.collect()))
+
+
+def test_remembered_words_are_bounded_in_bytes(own, library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_BYTES", 3000)
+    texts = [" ".join(f"w{i}x{j}" for j in range(9)) for i in range(40)]
+    for text in texts * 2:
+        assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert own._words.weight < 3000 and len(own._words) <= 12
+    own.forget()
+    assert not own._words and not own._words.older
 
 
 def test_pieces_cover_the_text(own):

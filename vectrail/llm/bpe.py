@@ -27,11 +27,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vectrail.llm.texts import release
+
 ROWS = 512  # rows that are encoded and sent on together
 FEED = 4096  # bytes handed to the transducer at a time
 SHORT = 256  # bytes of a piece that is settled at once
-CACHED = 300_000  # words in a generation of those whose tokens a worker remembers
-PAIRS = 300_000  # neighbours whose stability a worker remembers
+CACHED_BYTES = 40 << 20  # a generation of words whose tokens a worker remembers
+PAIRS = 200_000  # neighbours whose stability a worker remembers
 _NEVER = 1 << 60
 
 # Letters, numbers and others that Unicode 17 and later added or will add;
@@ -278,9 +280,6 @@ class Tokenizer:
         pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         vocabulary = {raw(t): i for t, i in model["vocab"].items() if t not in self.specials}
         self.merges = Merges(vocabulary, ((raw(a), raw(b)) for a, b in pairs))
-        self.bytes_of = dict(self.merges.bytes_of)
-        self.bytes_of.update({i: t.encode() for t, i in self.specials.items()})
-        self._table = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
         longest_first = sorted(self.specials, key=len, reverse=True)
         self._special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if longest_first else None
         self._words = _Remembered(self)
@@ -308,9 +307,22 @@ class Tokenizer:
 
     def forget(self) -> None:
         """Free what was remembered; a worker lives on after its task."""
-        self._words.clear()
-        self._words.older = {}
+        self._words = _Remembered(self)
         self.merges._stable.clear()
+        release()
+
+
+class Decoder:
+    """The bytes of every token of a file, and nothing else of it."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        alphabet = byte_alphabet()
+        specials = {token["content"]: token["id"] for token in spec["added_tokens"]}
+        known = {i: bytes(alphabet[c] for c in t) for t, i in spec["model"]["vocab"].items() if t not in specials}
+        known.update({i: t.encode() for t, i in specials.items()})
+        self._table = [known.get(i, b"") for i in range(max(known) + 1)]
 
     def decode(self, ids: np.ndarray | Iterable[int]) -> str:
         """The text of the ids: a state machine takes bytes and gives out whole characters.
@@ -335,6 +347,7 @@ class _Remembered(dict):
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        self.weight = 0
         self.older: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
@@ -346,9 +359,12 @@ class _Remembered(dict):
             else:
                 found = tuple(chain.from_iterable(map(self._piece, pieces)))
         if len(word) <= 64:
-            if len(self) >= CACHED:
+            # Two objects, an entry of the table, and 8 bytes a token (the numbers are shared).
+            self.weight += 250 + 2 * len(word) + 8 * len(found)
+            if self.weight >= CACHED_BYTES:
                 self.older = dict(self)
                 self.clear()
+                self.weight = 0
             self[word] = found
         return found
 
@@ -363,6 +379,12 @@ def tokenizer(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
+@lru_cache(maxsize=4)
+def decoder(path: str) -> Decoder:
+    """The decoder of a file, once per process."""
+    return Decoder(path)
+
+
 def _rows(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, ROWS):
@@ -396,14 +418,38 @@ def decode(rows: DataFrame, path: str, ids_column: str = "token_ids", text_colum
     place = rows.columns.index(ids_column)
 
     def run(batches):
-        decoder = tokenizer(path)
+        machine = decoder(path)
         for batch in _rows(batches):
-            texts = [decoder.decode(_ids(value.values)) if value.is_valid else "" for value in batch.column(place)]
+            texts = [machine.decode(_ids(value.values)) if value.is_valid else "" for value in batch.column(place)]
             yield _with_column(batch, text_column, pa.array(texts, pa.string()))
 
     return rows.mapInArrow(run, _schema(rows, f"{text_column} string"))
 
 
+def encode_and_decode(
+    documents: DataFrame,
+    path: str,
+    text_column: str = "text",
+    ids_column: str = "token_ids",
+    decoded_column: str = "decoded",
+) -> DataFrame:
+    """``encode`` and then ``decode`` in one pass: a worker a task instead of two."""
+    rows = documents.drop(ids_column, decoded_column)
+    place = rows.columns.index(text_column)
+
+    def run(batches):
+        encoder, machine = tokenizer(path), decoder(path)
+        try:
+            for batch in _rows(batches):
+                ids = [encoder.encode(text) if (text := value.as_py()) else _NONE for value in batch.column(place)]
+                texts = pa.array(map(machine.decode, ids), pa.string())
+                yield _with_column(_with_column(batch, ids_column, _lists(ids)), decoded_column, texts)
+        finally:
+            encoder.forget()
+
+    return rows.mapInArrow(run, _schema(rows, f"{ids_column} array<int>, {decoded_column} string"))
+
+
 _NONE = np.empty(0, np.int32)
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vectrail.llm.texts import third
+from vectrail.llm.texts import release, third
 from vectrail.session import work_path
 from vectrail.sources.tables import write_table
 
@@ -31,7 +31,6 @@ ROWS = 400  # texts that are scored together, fewer with more than 4 languages
 BLOCK = 200_000  # words of a text that are scored together, likewise
 COUNTED = 2500  # texts whose words are counted together
 CACHED = 150_000  # words whose scores a worker remembers, likewise
-MODEL_CELLS = 40_000_000  # n-grams times languages squared, see ``ngram_limit``
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -43,11 +42,6 @@ def words_of(text: str | None) -> Iterator[str]:
             yield word
 
 
-def ngram_limit(languages: int, most: int = 200_000) -> int:
-    """N-grams per language for tables below 160 MB with a column per language; ``train`` keeps all."""
-    return max(1, min(most, MODEL_CELLS // max(1, languages) ** 2))
-
-
 def _word_counts(texts: DataFrame) -> DataFrame:
     def run(batches):
         for whole in batches:
@@ -57,6 +51,7 @@ def _word_counts(texts: DataFrame) -> DataFrame:
                 for lang, text in zip(batch.column("_lang"), batch.column("_text")):
                     counts.setdefault(lang.as_py(), Counter()).update(words_of(text.as_py()))
                 yield from _tables(counts)
+        release()
 
     return texts.mapInArrow(run, "_lang string, _gram string, _n bigint").groupBy("_lang", "_gram").agg(
         F.sum("_n").alias("_n")
@@ -73,6 +68,7 @@ def _gram_counts(words: DataFrame) -> DataFrame:
                 for i in range(len(word) + 1):
                     of[padded[i : i + ORDER]] += n
             yield from _tables(counts)
+        release()
 
     return words.mapInArrow(run, "_lang string, _gram string, _n bigint").groupBy("_lang", "_gram").agg(
         F.sum("_n").alias("_n")
@@ -293,6 +289,13 @@ def score(documents: DataFrame, model: Model, text_column: str = "text", prefix:
 
     def run(batches):
         scorer = Scorer(shared.value)
+        try:
+            yield from judge(batches, scorer)
+        finally:
+            scorer.__init__(shared.value)  # forgets its words
+            release()
+
+    def judge(batches, scorer):
         languages = np.array([*shared.value.languages, UNKNOWN], object)
         for whole in batches:
             for start in range(0, whole.num_rows, scorer.rows):

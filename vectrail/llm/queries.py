@@ -111,8 +111,8 @@ def tokenizer_path() -> str:
 @query("op6_bpe")
 def op6_bpe(spark, folder):
     path = tokenizer_path()
-    encoded = bpe.encode(load(spark, folder, "documents").select("doc_id", "text"), path).drop("text")
-    return bpe.decode(encoded, path).select(
+    documents = load(spark, folder, "documents").select("doc_id", "text")
+    return bpe.encode_and_decode(documents, path).select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(bpe.ids_text("token_ids"), 256).alias("ids_sha256"),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectrail.llm.components import connected_components
-from vectrail.llm.texts import pieces
+from vectrail.llm.texts import pieces, release
 from vectrail.session import work_path
 from vectrail.sources.tables import write_table
 
@@ -81,6 +81,7 @@ def fingerprints(
                 (fingerprint(text.as_py(), words_per_shingle) for text in batch.column(1)), np.uint64, batch.num_rows
             )
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["_id", "_fp"])
+        release()
 
     rows = documents.select(F.col(id_column).alias("_id"), F.col(text_column).cast("binary").alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()

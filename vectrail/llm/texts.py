@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,3 +30,13 @@ def pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:
 def third(id_column: str) -> Column:
     """crc32 of the id as text, modulo 3; 0 for a NULL id.  1 marks held-out rows."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_column).cast("string").cast("binary")), F.lit(3)), F.lit(0))
+
+
+def release() -> None:
+    """Give memory that a task no longer needs back to the machine; an idle worker keeps it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
