@@ -52,8 +52,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they decode to its text."""
-    path = tokenizer_path()
-    decoded = bpe.decode(bpe.encode(docs, path), path)
+    decoded = bpe.encode_and_decode(docs, tokenizer_path())
     return decoded.select(
         "doc_id",
         "lang",
