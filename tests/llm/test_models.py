@@ -255,3 +255,33 @@ def test_quality_on_documents_and_hard_rows(spark, folder, hard, nothing):
     assert {r["expected_grade"] for r in quality.score(hard, one).collect()} == {1.0}
     none = quality.fit(nothing, labels)
     assert {r["expected_grade"] for r in quality.score(hard, none).collect()} == {0.0}
+
+
+def test_scores_against_a_plain_rescoring(spark):
+    """Every score again from the two dictionaries, without Spark and without remembering anything."""
+    import zstandard
+
+    documents, labels = _abusive(spark, 300)
+    model = toxicity.fit(documents, labels)
+    form = zstandard.ZstdCompressionParameters(**toxicity._FORMAT)
+    packs = [
+        zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d), compression_params=form)
+        for d in (model.ordinary, model.toxic)
+    ]
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    for r in toxicity.score(documents, model).collect():
+        saved = []
+        for word in texts[r["_id"]].lower().encode().split():
+            whole = b" " + word + b"  " + word + b" " + toxicity.CLOSE
+            saved.append(len(packs[0].compress(whole)) - len(packs[1].compress(whole)))
+        evidence = sum(max(0, s - model.step + 1) for s in saved) / math.log(len(saved) + 3)
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-(evidence * model.weights[1] + model.weights[0]))))
+        assert (r["n_windows"], r["largest_saving"]) == (len(saved), max(max(saved), 0))
+
+
+def test_common_windows_stay_out_of_the_toxic_dictionary(spark):
+    documents, labels = _abusive(spark)
+    model = toxicity.fit(documents, labels)
+    saving = model.savings()
+    assert min(saving(w) for w in (b"grumblewort", b"fopdoodle", b"zounderkite", b"muckspout")) >= model.step
+    assert max(saving(w) for w in (b"tare", b"mo", b"likasu")) < model.step

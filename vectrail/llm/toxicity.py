@@ -1,10 +1,11 @@
 """Toxicity by compression distance.
 
-One zstandard dictionary is trained on windows of toxic texts and one on windows of
-ordinary texts, both on top of the same base of ordinary text, which covers what all
-texts share.  A window that holds what toxic texts repeat is shorter under the first
-dictionary; the differences over all windows of a text, held against thresholds, are
-turned into a score that is calibrated on labelled rows the dictionaries have not seen.
+One zstandard dictionary is trained on windows of toxic texts and one on windows of ordinary
+texts.  A window is a word.  Windows that ordinary texts hold as well say nothing about toxic
+ones and are kept out of the toxic dictionary.  A window that is shorter under the toxic than under
+the ordinary dictionary, by a threshold, counts for toxicity; the evidence of all windows of a
+text is held against a second threshold.  Both thresholds are calibrated on labelled texts that
+the dictionaries judging them have not seen.
 """
 
 from __future__ import annotations
@@ -19,12 +20,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectrail.llm.texts import pieces, third
+from vectrail.llm.texts import pieces, release, third
+from vectrail.session import work_path
+from vectrail.sources.tables import write_table
 
-WORDS = 4  # words in a window
-LONGEST = 256  # a longer window (no white space) is cut into parts
-PART = 64
-STEPS = (2, 4, 6, 8, 10)  # differences in bytes that are counted
+LONGEST = 64  # bytes of a window; a longer word is cut into parts
+CLOSE = b"\n" * 12  # zstandard writes the last bytes of its input as they are
+STEPS = (2, 3, 4, 5, 6, 7)  # bytes saved, among which the threshold of a window is chosen
+REMEMBERED = 200_000  # windows whose saving a task remembers
 OPERATING_SCORE = 0.7  # the score of a text just at the calibrated threshold
 
 _FORMAT = dict(
@@ -41,190 +44,225 @@ _FORMAT = dict(
 
 
 def windows(text: bytes | None) -> Iterable[bytes]:
-    """The whole text in windows of a few words, A-Z lower-cased, without overlap."""
+    """All words of the whole text, A-Z lower-cased; long ones in parts."""
     for piece in pieces(text or b""):
-        words = piece.lower().split()
-        for i in range(0, len(words), WORDS):
-            window = b" " + b" ".join(words[i : i + WORDS]) + b" "
-            if len(window) <= LONGEST:
-                yield window
+        for word in piece.lower().split():
+            if len(word) <= LONGEST:
+                yield word
             else:
-                yield from (window[j : j + PART] for j in range(0, len(window), PART))
+                yield from (word[j : j + LONGEST] for j in range(0, len(word), LONGEST))
 
 
-def train_dictionary(samples: list[bytes], size: int, seed: int = 1) -> bytes:
-    """A zstandard dictionary of at most ``size`` bytes; raw content where samples are too few."""
-    samples = sorted(samples)
+def train_dictionary(counts: list[tuple[bytes, int]], size: int, seed: int = 1) -> bytes:
+    """A zstandard dictionary of at most ``size`` bytes from windows and how often each counts.
+
+    With too little to train on, the windows themselves: zstandard takes them as raw content.
+    """
+    samples = [b" " + w + b" " for w, n in sorted(counts) for _ in range(n)]
     random.Random(seed).shuffle(samples)
     total = sum(map(len, samples))
     try:
-        if total < 50_000:
+        if total < 20_000:
             raise zstandard.ZstdError("too few samples")
-        return zstandard.train_dictionary(min(size, total // 4), samples, k=16, d=6, level=19).as_bytes()
+        return zstandard.train_dictionary(min(size, max(2000, total // 4)), samples, k=24, d=8, level=19).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(samples)[:size] or b" "
+        # The most frequent stand last, where zstandard reaches them with the fewest bits.
+        raw = b"".join(b" " + w + b" " for w, _ in sorted(counts, key=lambda x: (x[1], x[0])))
+        return raw[-size:] or b" "
 
 
 @dataclass
 class Model:
-    """Two dictionaries and the weights that turn differences into a score."""
+    """Two dictionaries, the threshold of a window, and the line from evidence to score."""
 
     ordinary: bytes
     toxic: bytes
+    step: int
     weights: np.ndarray
-    centre: np.ndarray
-    scale: np.ndarray
 
-    def compressors(self):
+    def savings(self):
+        """A function from a window to the bytes that the toxic dictionary saves."""
+        form = zstandard.ZstdCompressionParameters(**_FORMAT)
         made = []
         for content in (self.ordinary, self.toxic):
-            made_of = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            form = zstandard.ZstdCompressionParameters(**_FORMAT)
-            made_of.precompute_compress(compression_params=form)
-            made.append(zstandard.ZstdCompressor(dict_data=made_of, compression_params=form).compress)
-        return made
-
-    def score(self, features: np.ndarray) -> np.ndarray:
+            dictionary = zstandard.ZstdCompressionDict(content)
+            dictionary.precompute_compress(compression_params=form)
+            made.append(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=form).compress)
+        ordinary, toxic = made
+        known: dict[bytes, int] = {}
+
+        def saved(window: bytes) -> int:
+            found = known.get(window)
+            if found is None:
+                # Twice, so that short words tell as well.
+                whole = b" " + window + b"  " + window + b" " + CLOSE
+                found = len(ordinary(whole)) - len(toxic(whole))
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                known[window] = found
+            return found
+
+        return saved
+
+    def score(self, evidence: np.ndarray, n_windows: np.ndarray) -> np.ndarray:
         """Scores from 0 to 1; 0 for texts without windows."""
-        x = (features - self.centre) / self.scale
-        logit = x @ self.weights[1:] + self.weights[0]
-        return np.where(features[:, -1] > 0, 1 / (1 + np.exp(-np.clip(logit, -30, 30))), 0.0)
+        logit = evidence * self.weights[1] + self.weights[0]
+        return np.where(n_windows > 0, 1 / (1 + np.exp(-np.clip(logit, -30, 30))), 0.0)
 
 
-def differences(text: bytes | None, ordinary, toxic) -> np.ndarray:
-    """Bytes saved by the toxic dictionary, per window."""
-    return np.array([len(ordinary(w)) - len(toxic(w)) for w in windows(text)], np.float64)
-
-
-def features_of(saved: np.ndarray) -> list[float]:
-    """Mean and largest saving, shares of windows above each step, log of the number of windows."""
+def evidence_of(saved: np.ndarray) -> list[float]:
+    """For each step, the bytes saved from the step on over all windows, against the length of the text."""
     if not len(saved):
-        return [0.0] * (len(STEPS) + 3)
-    # One window of no saving is added, so that very short texts are judged with care.
-    n = len(saved) + 1
-    return [saved.sum() / n, saved.max(), *[(saved >= s).sum() / n for s in STEPS], float(np.log1p(len(saved)))]
-
+        return [0.0] * len(STEPS)
+    length = np.log(len(saved) + 3)
+    return [float(np.maximum(saved - step + 1, 0).sum() / length) for step in STEPS]
 
-def _features(texts: DataFrame, ordinary: bytes, toxic: bytes) -> DataFrame:
-    model = Model(ordinary, toxic, np.zeros(0), np.zeros(0), np.ones(0))
-
-    def run(batches):
-        a, b = model.compressors()
-        for batch in batches:
-            found = [features_of(differences(text.as_py(), a, b)) for text in batch.column("_text")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_toxic"), pa.array(found, pa.list_(pa.float64()))], ["_toxic", "_x"]
-            )
 
-    return texts.select("_text", "_toxic").mapInArrow(run, "_toxic int, _x array<double>")
+def _saved(text: bytes | None, saving) -> np.ndarray:
+    return np.fromiter(map(saving, windows(text)), np.int64)
 
 
-def _sample_windows(texts: DataFrame, per_text: int) -> DataFrame:
-    """Up to ``per_text`` windows of each text, spread evenly over all of it."""
+def _window_counts(rows: DataFrame) -> DataFrame:
+    """In how many labelled texts of each half and class every window stands."""
 
     def run(batches):
         for batch in batches:
-            chosen = []
-            for text in batch.column("_text"):
-                every = list(windows(text.as_py()))
-                step = max(1.0, len(every) / per_text)
-                chosen.append([every[int(i * step)] for i in range(min(per_text, len(every)))])
-            yield pa.RecordBatch.from_arrays([batch.column("_toxic"), pa.array(chosen, pa.list_(pa.binary()))], ["_toxic", "_w"])
-
-    return texts.select("_text", "_toxic").mapInArrow(run, "_toxic int, _w array<binary>")
+            for text, toxic, half in zip(*(batch.column(c) for c in ("_text", "_toxic", "_half"))):
+                found = pa.array(sorted(set(windows(text.as_py()))), pa.binary())
+                n = len(found)
+                yield pa.RecordBatch.from_arrays(
+                    [found, pa.array(np.full(n, toxic.as_py(), np.int32)), pa.array(np.full(n, half.as_py(), np.int32))],
+                    ["window", "toxic", "half"],
+                )
+        release()
+
+    cells = [
+        F.count_if((F.col("toxic") == toxic) & (F.col("half") == half)).alias(f"n{toxic}{half}")
+        for toxic in (0, 1)
+        for half in (0, 1)
+    ]
+    rows = rows.select("_text", "_toxic", F.col("_half").cast("int").alias("_half"))
+    return rows.mapInArrow(run, "window binary, toxic int, half int").groupBy("window").agg(*cells)
+
+
+def _typical(counts: DataFrame, halves: list[int], texts: dict, most: int):
+    """Windows of either class with their numbers of texts, from the halves given.
+
+    Toxic ones are several times as frequent in toxic texts as in ordinary ones, beyond chance;
+    ordinary ones are the most frequent.  At most ``most`` of each, the most telling first.
+    """
+    n = {t: sum((F.col(f"n{t}{h}") for h in halves), F.lit(0)) for t in (0, 1)}
+    size = {t: max(1, sum(texts.get((t, h), 0) for h in halves)) for t in (0, 1)}
+    rows = counts.select("window", n[0].alias("plain"), n[1].alias("toxic"))
+    ratio = (F.col("toxic") / size[1]) / ((F.col("plain") + 0.5) / size[0])
+    telling = F.col("toxic") * F.log(ratio)
+    bad = rows.filter((F.col("toxic") >= 3) & (ratio >= 5) & (telling >= 12)).orderBy(F.desc(telling), "window")
+    plain = rows.filter("plain >= 2").orderBy(F.desc("plain"), "window")
+    return [
+        [(bytes(r["window"]), min(r[c], 200)) for r in found.limit(most).select("window", c).collect()]
+        for found, c in ((plain, "plain"), (bad, "toxic"))
+    ]
 
 
 def fit(
     documents: DataFrame,
     labels: DataFrame,
-    texts_per_class: int = 3000,
-    windows_per_text: int = 100,
-    calibration_texts: int = 3000,
-    base_bytes: int = 200_000,
-    class_bytes: int = 100_000,
+    windows_per_class: int = 20_000,
+    calibration_texts: int = 30_000,
+    dictionary_bytes: int = 60_000,
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
 ) -> Model:
-    """Learn from labelled documents that are not held out.
-
-    A hash of the id deals the documents into two halves.  Dictionaries of one half
-    (at most ``texts_per_class`` texts of each class, ``windows_per_text`` windows of each)
-    judge at most ``calibration_texts`` texts of the other, and the score is fitted to
-    that; the final dictionaries come from both halves.  These bounds hold what the driver
-    gets; nothing else depends on them.  NULL labels, ids and texts are not used; a
-    document with several labels is toxic if one says so.  Without texts of both classes
-    every score is 0.
+    """Learn from all windows of all labelled documents that are not held out.
+
+    Windows are counted in Spark.  A hash of the id deals the documents into two halves.
+    Dictionaries of one half judge texts of the other, and the thresholds are fitted to that; the final
+    dictionaries come from both.  The driver gets at most ``windows_per_class`` windows of
+    each class, the most telling, and six numbers of at most ``calibration_texts`` texts.
+    NULL labels, ids and texts are not used; a document with several labels is toxic
+    if one says so.  Without texts of both classes every score is 0.
     """
+    spark = documents.sparkSession
     known = labels.filter(F.col(label_column).isNotNull()).groupBy(F.col(id_column).alias("_id")).agg(
         F.max(label_column).cast("int").alias("_toxic")
     )
     draw = F.xxhash64(F.lit("toxicity"), "_id")
     ids = known.filter(third("_id") != 1).withColumn("_draw", draw).withColumn("_half", F.pmod(F.col("_draw"), F.lit(2)))
-    rows = documents.select(F.col(id_column).alias("_id"), F.col(text_column).cast("binary").alias("_text")).filter(
+    texts = documents.select(F.col(id_column).alias("_id"), F.col(text_column).cast("binary").alias("_text")).filter(
         F.col("_text").isNotNull()
     )
-
-    def some(which, n):
-        # The smallest hashes; a sorted limit keeps n rows per task.
-        return rows.join(ids.filter(which).orderBy("_draw", "_id").limit(n).select("_id", "_toxic"), "_id")
-
-    samples = {}
-    for toxic in (0, 1):
-        for half in (0, 1):
-            texts = some((F.col("_toxic") == toxic) & (F.col("_half") == half), texts_per_class)
-            found = _sample_windows(texts, windows_per_text).select("_w").toLocalIterator()
-            samples[toxic, half] = sorted(bytes(w) for row in found for w in row["_w"])
-
-    def dictionaries(halves):
-        plain = [w for h in halves for w in samples[0, h]]
-        bad = [w for h in halves for w in samples[1, h]]
-        random.Random(2).shuffle(plain)
-        # As much ordinary text as toxic stands against it; the rest is the common base.
-        against = plain[: max(1, min(len(bad), len(plain) // 2))]
-        base = train_dictionary(plain[len(against) :], base_bytes)
-        return [base + train_dictionary(part, class_bytes) for part in (against, bad)]
-
-    seen = []
-    for half in (0, 1):
-        unseen = some(F.col("_half") == 1 - half, calibration_texts)
-        seen += _features(unseen, *dictionaries([half])).collect()
-    x = np.array([row["_x"] for row in seen], np.float64).reshape(len(seen), len(STEPS) + 3)
+    rows = texts.join(ids, "_id")
+    counts = write_table(_window_counts(rows), work_path(spark, "toxicity-windows"))
+    sizes = {(r["_toxic"], r["_half"]): r["count"] for r in rows.groupBy("_toxic", "_half").count().collect()}
+
+    def dictionaries(halves: list[int]) -> Model:
+        plain, bad = _typical(counts, halves, sizes, windows_per_class)
+        made = [train_dictionary(found, dictionary_bytes) for found in (plain, bad)]
+        return Model(*made, STEPS[0], np.array([-30.0, 0.0]))
+
+    halves = [dictionaries([0]), dictionaries([1])]
+    chosen = ids.orderBy("_draw", "_id").limit(calibration_texts).select("_id", "_toxic", "_half")
+    seen = _evidence(texts.join(chosen, "_id"), halves).collect()
+    x = np.array([row["_x"] for row in seen], np.float64).reshape(len(seen), len(STEPS))
     y = np.array([row["_toxic"] for row in seen], np.float64)
-    return calibrate(*dictionaries([0, 1]), x, y)
+    final = dictionaries([0, 1])
+    return calibrate(final.ordinary, final.toxic, x, y)
+
+
+def _evidence(rows: DataFrame, halves: list[Model]) -> DataFrame:
+    """Evidence of texts by the dictionaries of the half that they are not in."""
+
+    def run(batches):
+        saving = [halves[1].savings(), halves[0].savings()]
+        for batch in batches:
+            found = [
+                evidence_of(_saved(text.as_py(), saving[half.as_py()]))
+                for text, half in zip(batch.column("_text"), batch.column("_half"))
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("_toxic"), pa.array(found, pa.list_(pa.float64()))], ["_toxic", "_x"])
+        release()
+
+    return rows.select("_text", "_toxic", F.col("_half").cast("int").alias("_half")).mapInArrow(run, "_toxic int, _x array<double>")
+
+
+def _area(x: np.ndarray, y: np.ndarray) -> float:
+    """How often a toxic text has more evidence than an ordinary one; ties count half."""
+    _, place, times = np.unique(x, return_inverse=True, return_counts=True)
+    rank = (np.cumsum(times) - (times - 1) / 2)[place]
+    bad = y.sum()
+    return (rank[y == 1].sum() - bad * (bad + 1) / 2) / (bad * (len(y) - bad))
 
 
 def calibrate(ordinary: bytes, toxic: bytes, x: np.ndarray, y: np.ndarray) -> Model:
-    """Logistic regression on the features, shifted so that the best threshold scores 0.7.
+    """The step with the largest area, and a line whose value at the best threshold is a score of 0.7.
 
-    The best threshold has the highest F1 on these rows.
+    The best threshold on the evidence has the highest F1 on these rows; the slope is that of a
+    logistic regression.
     """
-    wide = len(STEPS) + 3
     if not len(y) or y.min() == y.max():
-        return Model(ordinary, toxic, np.array([-30.0] + [0.0] * wide), np.zeros(wide), np.ones(wide))
-    order = np.lexsort((*x.T, y))
-    x, y = x[order], y[order]
-    centre, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
-    z = np.column_stack([np.ones(len(x)), (x - centre) / scale])
-    w = np.zeros(wide + 1)
-    ridge = np.diag([1e-6] + [1.0] * wide)
-    for _ in range(50):
+        return Model(ordinary, toxic, STEPS[0], np.array([-30.0, 0.0]))
+    areas = [_area(x[:, i], y) for i in range(len(STEPS))]
+    best = int(np.argmax(areas))
+    order = np.lexsort((y, x[:, best]))
+    e, y = x[order, best], y[order]
+    z = np.column_stack([np.ones(len(e)), e])
+    w = np.zeros(2)
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        hessian = (z * (p * (1 - p))[:, None]).T @ z + ridge
-        step = np.linalg.solve(hessian, z.T @ (y - p) - ridge @ w)
+        hessian = (z * (p * (1 - p))[:, None]).T @ z + np.diag([1e-6, 1e-3])
+        step = np.linalg.solve(hessian, z.T @ (y - p) - np.array([0, 1e-3]) * w)
         w += step
         if np.abs(step).max() < 1e-9:
             break
-    logit = z @ w
-    falling = np.argsort(-logit, kind="stable")
-    hits = np.cumsum(y[falling])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
-    best = int(np.argmax(f1))
-    cut = logit[falling[best]]
-    if best + 1 < len(y):
-        cut = (cut + logit[falling[best + 1]]) / 2
-    w[0] += np.log(OPERATING_SCORE / (1 - OPERATING_SCORE)) - cut
-    return Model(ordinary, toxic, w, centre, scale)
+    slope = max(w[1], 1e-6)
+    cuts = np.unique(e)
+    above = np.array([y[np.searchsorted(e, c) :].sum() for c in cuts])
+    size = len(e) - np.searchsorted(e, cuts)
+    f1 = 2 * above / (size + y.sum())
+    at = int(np.argmax(f1))
+    cut = (cuts[at] + (cuts[at - 1] if at else 0.0)) / 2
+    return Model(ordinary, toxic, STEPS[best], np.array([np.log(OPERATING_SCORE / (1 - OPERATING_SCORE)) - slope * cut, slope]))
 
 
 def score(
@@ -240,19 +278,23 @@ def score(
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        a, b = shared.value.compressors()
+        model = shared.value
+        saving, place = model.savings(), STEPS.index(model.step)
         for batch in batches:
-            found = [features_of(differences(text.as_py(), a, b)) for text in batch.column("_text")]
-            x = np.array(found, np.float64).reshape(len(found), len(STEPS) + 3)
+            saved = [_saved(text.as_py(), saving) for text in batch.column("_text")]
+            n = np.array([len(x) for x in saved], np.int64)
+            evidence = np.array([evidence_of(x)[place] for x in saved])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
-                    pa.array(shared.value.score(x)),
-                    pa.array(np.rint(np.expm1(x[:, -1])).astype(np.int64)),
-                    pa.array(x[:, 1]),
+                    pa.array(model.score(evidence, n)),
+                    pa.array(n),
+                    pa.array([float(x.max(initial=0)) for x in saved], pa.float64()),
                 ],
                 ["_id", "score", "n_windows", "largest_saving"],
             )
+        del saving
+        release()
 
     kind = rows.schema["_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"_id {kind}, score double, n_windows bigint, largest_saving double")
