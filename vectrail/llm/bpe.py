@@ -32,8 +32,8 @@ from vectrail.llm.texts import release
 ROWS = 512  # rows that are encoded and sent on together
 FEED = 4096  # bytes handed to the transducer at a time
 SHORT = 256  # bytes of a piece that is settled at once
-CACHED_BYTES = 40 << 20  # a generation of words whose tokens a worker remembers
-PAIRS = 200_000  # neighbours whose stability a worker remembers
+CACHED_BYTES = 64 << 20  # a generation of words whose tokens a worker remembers
+PAIRS = 300_000  # neighbours whose stability a worker remembers
 _NEVER = 1 << 60
 
 # Letters, numbers and others that Unicode 17 and later added or will add;

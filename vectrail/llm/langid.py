@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vectrail.llm.texts import release, third
+from vectrail.llm.texts import free_prefix, release, third
 from vectrail.session import work_path
 from vectrail.sources.tables import write_table
 
@@ -282,7 +282,9 @@ def score(documents: DataFrame, model: Model, text_column: str = "text", prefix:
 
     ``_pred`` is the language with the lowest cross-entropy per character (ties: first by
     name), ``und`` where the text has no letter; ``_score`` weighs it against the others.
+    Where columns begin with the prefix, it gets underscores appended (``texts.free_prefix``).
     """
+    prefix = free_prefix(documents, prefix)
     place = documents.columns.index(text_column)
     shared = documents.sparkSession.sparkContext.broadcast(model)
     names = [f"{prefix}_{n}" for n in ("pred", "score", "entropy", "chars")]
@@ -367,9 +369,10 @@ def identify(
     learnt texts of a class does not move that far.
 
     NULL and empty texts are ``und`` and rejected.  Rows whose ``lang`` is NULL are only
-    scored.  Repeated rows are judged alike; an empty table gives no rows.  Names with
-    the prefix must be free.
+    scored.  Repeated rows are judged alike; an empty table gives no rows.  Where columns
+    begin with the prefix, it gets underscores appended (``texts.free_prefix``).
     """
+    prefix = free_prefix(documents, prefix)
     model = train(documents, id_column, text_column, lang_column)
     # Scored twice, for the limits and for the result: cheaper than to keep a copy of the texts.
     scored = score(documents, model, text_column, prefix)

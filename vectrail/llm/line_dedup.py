@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vectrail.llm.texts import free_prefix
 from vectrail.session import work_path
 from vectrail.sources.tables import write_table
 
@@ -128,8 +129,10 @@ def drop_repeated_lines(
 
     Adds ``<prefix>_text``, ``<prefix>_lines`` (before) and ``<prefix>_dropped``.
     A NULL text is one empty line, so its kept text is empty.  See
-    ``repeated_lines`` for which lines go.
+    ``repeated_lines`` for which lines go.  Where columns begin with the prefix, it gets
+    underscores appended (``texts.free_prefix``).
     """
+    prefix = free_prefix(documents, prefix)
     bitmaps = repeated_lines(documents, min_docs, keep_first, min_chars, id_column, text_column)
     renamed = bitmaps.select(
         F.col("_id").alias(f"{prefix}_id"),

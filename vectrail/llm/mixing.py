@@ -16,10 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vectrail.llm.texts import free_prefix
 from vectrail.session import work_path
 from vectrail.sources.tables import write_table
 
 WEIGHTS = (3, 1, 2)
+NEWTON_STEPS = 30
 HASH_BITS = 10  # documents of one source and size are cut into 2**10 parts by hash
 
 
@@ -89,7 +91,7 @@ def balance(
         }
     )
     state = write_table(state, work_path(spark, "balance"))
-    for _ in range(max_steps):
+    for turn in range(max_steps):
         at = _same_source(histogram, state.filter("_open AND NOT _done_full AND _largest > 0"))
         rate = _rate(max_copies)
         words = F.col("_n") * size * rate
@@ -97,7 +99,9 @@ def balance(
         sums = at.groupBy("_source").agg(F.sum(words).alias("_words"), F.sum(slope).alias("_slope"))
         moved = _same_source(state, sums, "left")
         gap = F.col("_words") - F.col("target")
-        settled = F.coalesce(F.abs(gap) <= tolerance, F.lit(True))
+        # A bracket that doubles can't split any further ends the search too.
+        narrow = F.coalesce(F.col("_high") - F.col("_low") <= 1e-15 * (F.abs("_high") + F.abs("_low")), F.lit(False))
+        settled = F.coalesce(F.abs(gap) <= tolerance, F.lit(True)) | narrow
         low = F.when(gap < 0, F.col("_lambda")).otherwise(F.col("_low"))
         high = F.when(gap > 0, F.col("_lambda")).otherwise(F.col("_high"))
         newton = F.col("_lambda") - gap / F.nullif(F.col("_slope"), F.lit(0.0))
@@ -110,7 +114,9 @@ def balance(
             (F.col("_low2") + F.col("_high2")) / 2,
             F.when(F.col("_low2").isNull(), F.col("_lambda") - wide).otherwise(F.col("_lambda") + wide),
         )
-        step = F.when(F.col("_newton").isNotNull() & inside, F.col("_newton")).otherwise(other)
+        # Newton settles in a few steps; where it does not, halving the bracket does.
+        newton_step = F.col("_newton").isNotNull() & inside & F.lit(turn < NEWTON_STEPS)
+        step = F.when(newton_step, F.col("_newton")).otherwise(other)
         moved = moved.select(
             "_source",
             "_size_sum",
@@ -124,8 +130,8 @@ def balance(
         )
         state = write_table(moved, work_path(spark, "balance"))
         if state.filter("_open").isEmpty():
-            break
-    return state
+            return state
+    raise RuntimeError(f"the mix did not settle in {max_steps} steps")
 
 
 def _same_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
@@ -183,9 +189,11 @@ def mix(
 
     A NULL source is a source of its own, a NULL text has no words.  Documents
     without words keep one copy or more, at no cost.  Repeated rows are decided
-    alike.  With no words at all every target is 0.  Names with the prefix must be free.
+    alike.  With no words at all every target is 0.  Where columns begin with the prefix, it
+    gets underscores appended (``texts.free_prefix``).
     """
     spark = documents.sparkSession
+    prefix = free_prefix(documents, prefix)
     size = word_count(F.col(text_column))
     mark = F.xxhash64(F.lit("mix"), id_column)
     light = write_table(

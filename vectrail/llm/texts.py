@@ -8,7 +8,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PIECE = 1 << 20  # bytes of a text that are looked at together
@@ -40,3 +40,11 @@ def release() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):
         pass  # another C library
+
+
+def free_prefix(df: DataFrame, prefix: str) -> str:
+    """``prefix``, with underscores appended until no column of ``df`` begins with it, whatever the case."""
+    names = [c.lower() for c in df.columns]
+    while any(c.startswith(prefix.lower()) for c in names):
+        prefix += "_"
+    return prefix

@@ -122,14 +122,19 @@ def _cuts(spark: SparkSession, path: str) -> DataFrame:
     """The file contents between cuts: ``_file``, ``_block``, ``_at`` (order of reading), ``_text``.
 
     The first text of a file still has its magic in front; the others lost theirs to the cut.
+    The archives are read once and the cuts stored with their number: a second scan may be split
+    otherwise and would number them otherwise.
     """
     raw = spark.read.option("lineSep", GAP + MAGIC).text(path)
-    return raw.select(
+    numbered = raw.select(
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_at"),
         F.col("value").alias("_text"),
     )
+    stored = work_path(spark, "warc-text")
+    numbered.write.option("compression", "zstd").parquet(stored)
+    return spark.read.schema(numbered.schema).parquet(stored)
 
 
 def _parsed(cuts: DataFrame) -> DataFrame:
@@ -149,6 +154,11 @@ def _parsed(cuts: DataFrame) -> DataFrame:
 
 
 def boundaries(spark: SparkSession, path: str) -> DataFrame:
+    """The places of all cuts of the archives in a folder; see ``_placed``."""
+    return _placed(spark, _cuts(spark, path))
+
+
+def _placed(spark: SparkSession, cuts: DataFrame) -> DataFrame:
     """All cuts with their place: ``_at``, ``_file``, ``_start``, ``_succ``, ``_n``, ``_h``, ``_length``, ``_real``.
 
     ``_start`` is the offset of the magic, ``_succ`` the offset at which a record that
@@ -157,7 +167,7 @@ def boundaries(spark: SparkSession, path: str) -> DataFrame:
     """
     magic, gap = len(MAGIC), len(GAP)
     light = write_table(
-        _parsed(_cuts(spark, path)).select("_file", "_block", "_at", "_magic", "_n", "_h", "_length"),
+        _parsed(cuts).select("_file", "_block", "_at", "_magic", "_n", "_h", "_length"),
         work_path(spark, "warc-cuts"),
     )
     # Bytes of a cut with what stood before it; the sum of those before it is its offset.
@@ -243,7 +253,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     like a record inside a payload give no row.  A file that does not begin with a
     record gives none; an archive without records gives an empty table.
     """
-    placed = boundaries(spark, path)
+    cuts = _cuts(spark, path)
+    placed = _placed(spark, cuts)
     file = W.partitionBy("_file").orderBy("_start")
     whole = file.rowsBetween(W.unboundedPreceding, W.currentRow)
     # A record that fills its cut is taken as it was read.  The others are the exceptions.
@@ -255,7 +266,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         owned.filter(~F.coalesce(fills, F.lit(False))).select("_at", "_file", "_start", "_owner"),
         work_path(spark, "warc-odd"),
     )
-    cuts = _cuts(spark, path).select("_at", "_text")
+    cuts = cuts.select("_at", "_text")
     plain = cuts.join(odd.select("_at"), "_at", "left_anti").select("_text")
     parts = cuts.join(odd.filter("_owner IS NOT NULL"), "_at")
     joined = parts.groupBy("_file", "_owner").agg(
