@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from vectrail.llm import bpe, langid, line_dedup, mixing, simhash
 from vectrail.llm.queries import tokenizer_path
+from vectrail.llm.texts import free_prefix
 from vectrail.session import work_path
 from vectrail.sources.tables import load, write_table
 
@@ -29,7 +30,9 @@ def _with_text(docs: DataFrame, text: str, like: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; ``lang`` stays as it is given."""
-    return langid.identify(docs).filter(~F.col("_lang_rejected")).select(*docs.columns)
+    prefix = free_prefix(docs, "_lang")
+    judged = langid.identify(docs, prefix=prefix)
+    return judged.filter(~F.col(f"{prefix}_rejected")).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +40,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document all of whose lines go keeps its row with an empty text.
     """
-    return _with_text(line_dedup.drop_repeated_lines(docs, min_docs=MIN_DOCS), "_line_dedup_text", docs)
+    prefix = free_prefix(docs, "_line_dedup")
+    kept = line_dedup.drop_repeated_lines(docs, min_docs=MIN_DOCS, prefix=prefix)
+    return _with_text(kept, f"{prefix}_text", docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +52,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    return mixing.copies_of(mixing.mix(docs)).select(*docs.columns)
+    prefix = free_prefix(docs, "_mix")
+    return mixing.copies_of(mixing.mix(docs, prefix=prefix), prefix).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
