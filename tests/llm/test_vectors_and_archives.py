@@ -53,6 +53,27 @@ def plain_top_k(rows, k, dims=8):
     return out
 
 
+def test_top_k_of_large_components_and_several_lengths(spark):
+    """Components of 3e5 and 1e15, products beyond 64 bits, and each length by itself."""
+    draw = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in draw.normal(size=4)]) for i in range(300)]
+    rows += [(300 + i, [float(x) for x in draw.normal(size=3)]) for i in range(150)]
+    rows += [(1000 + 10 * i, [1.0] * (5 + i % 12)) for i in range(60)]  # more lengths than have pivots
+    rows += [(2000, [3e5, 1.0, 0.0, 2.0]), (2100, [1e15, -1.0, 0.5, 0.0]), (2200, [-1e15, 1e15, 3.0, 3e5]), (2300, [1e200, 1.0, 1.0, 1.0])]
+    clamp = lambda x: min(max(x, -(1 << 63)), (1 << 63) - 1)
+    usable = [(i, [math.floor(1024 * x) if abs(1024 * x) < 2**53 else int(1024 * x) for x in v]) for i, v in rows]
+    want = set()
+    for q, v in usable:
+        if q % 100 == 0:
+            scored = sorted((-clamp(sum(a * b for a, b in zip(v, w))), i) for i, w in usable if i != q and len(w) == len(v))[:10]
+            want |= {(q, place + 1, i, -s) for place, (s, i) in enumerate(scored)}
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("vector", topk.scaled(F.col("embedding")))
+    for pivots in (128, 5):
+        found = topk.top_k(table.filter("vec_id % 100 = 0"), table, 10, pivots)
+        assert {tuple(r) for r in found.collect()} == want
+    assert {2100, 2300} <= {r[2] for r in want} and {2000, 2200} <= {r[0] for r in want}
+
+
 @pytest.mark.parametrize("k,pivots", [(10, 128), (1, 3), (2000, 16)])
 def test_top_k_on_hard_vectors(vectors, k, pivots):
     rows = vectors.withColumn("vector", topk.scaled(F.col("embedding")))

@@ -3,10 +3,11 @@
 Candidates are grouped by their nearest pivot.  A summary per group (size, radius,
 largest norm) bounds every inner product with a query.  A query is first solved in the
 group nearest to it, which gives a score that the others must reach, and is then
-sent only to groups whose bound reaches it.  Groups are cut into blocks by size.
+sent only to groups whose bound reaches it.  Groups are cut into blocks by size; queries with the
+same nearest pivot go together, and a block is copied only for those that are sent to it.
 
 Scores are integers, so equal scores are ties and results do not depend on the order
-of summation.
+of summation.  Vectors of each length are searched among themselves.
 """
 
 from __future__ import annotations
@@ -17,38 +18,81 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from vectrail.llm.exact import LEAST, floored, matrix, norms, products
 from vectrail.session import work_path
 from vectrail.sources.tables import write_table
 
-LARGEST = 1 << 28  # components from here on would not leave room for a score in 64 bits
-_LEAST = -(1 << 63)
+ROWS = 4096  # rows of a block, and queries that meet it together
+LENGTHS = 8  # lengths of vectors that have pivots; the vectors of any other are one group
+_VECTORS = "id long, v array<double>, dims int, cell int, radius double, norm double, seq long"
+_FOUND = "query_id long, vec_id long, score long"
 
 
 def scaled(vector: Column, factor: float = 1024.0) -> Column:
-    """Components times ``factor``, rounded down, as array<bigint>.
+    """Components times ``factor``, rounded down; see ``exact.floored``."""
+    return floored(vector, factor)
 
-    NULL for a vector that is NULL or holds a NULL, a non-finite or a too large component.
-    """
-    def inside(x: Column) -> Column:
-        return F.coalesce(F.abs(x.cast("double") * factor) < LARGEST, F.lit(False)) & ~F.isnan(x.cast("double"))
-
-    grown = F.transform(vector, lambda x: F.floor(x.cast("double") * factor).cast("long"))
-    return F.when(F.forall(vector, inside), grown)
 
+class _Groups:
+    """Pivots by length of the vectors, and a summary of each group: no more than LENGTHS times the pivots."""
 
-def _matrix(column, dims: int) -> np.ndarray:
-    values = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return values.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+    def __init__(self, vectors: DataFrame, pivots: int):
+        counts = vectors.groupBy("dims").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dims").limit(LENGTHS)
+        self.centres = {}
+        for row in counts.collect():
+            # Rows drawn by a hash: at most ``pivots`` vectors, whatever the table.
+            of_length = vectors.filter(F.col("dims") == row["dims"])
+            drawn = of_length.orderBy(F.xxhash64("v"), "id").limit(pivots).select("v").collect()
+            self.centres[row["dims"]] = np.unique(np.array([r["v"] for r in drawn], np.float64), axis=0)
 
+    def placed(self, vectors: DataFrame) -> DataFrame:
+        """Vectors with their group, and a number within the task."""
+        known = self.centres
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of integer vectors."""
-    if not a.size or not b.size:
-        return np.zeros((len(a), len(b)), np.int64)
-    bound = int(np.abs(a).max()) * int(np.abs(b).max()) * a.shape[1]
-    if bound < 1 << 53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+        def place(batches):
+            seq = 0
+            for batch in batches:
+                dims = batch.column("dims").to_numpy()
+                for d in np.unique(dims).tolist():
+                    part = batch.filter(pa.array(dims == d))
+                    rows = matrix(part.column("v"), d)
+                    cell = np.zeros(len(rows), np.int32)
+                    radius = np.zeros(len(rows))
+                    if d in known:
+                        centres = known[d]
+                        with np.errstate(all="ignore"):
+                            near = np.nan_to_num(rows @ centres.T - (centres**2).sum(1) / 2)
+                        cell = near.argmax(1).astype(np.int32)
+                        radius = norms(rows - centres[cell])
+                    numbers = np.arange(seq, seq + len(rows))
+                    seq += len(rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *[part.column(c) for c in ("id", "v", "dims")],
+                            pa.array(cell), pa.array(radius), pa.array(norms(rows)), pa.array(numbers),
+                        ],
+                        ["id", "v", "dims", "cell", "radius", "norm", "seq"],
+                    )
+
+        return vectors.select("id", "v", "dims").mapInArrow(place, _VECTORS)
+
+    def measure(self, rows: DataFrame) -> None:
+        known = rows.filter(F.col("dims").isin([int(d) for d in self.centres] or [-1]))
+        found = known.groupBy("dims", "cell").agg(F.max("radius").alias("r"), F.max("norm").alias("norm")).collect()
+        self.radius, self.norm = ({d: np.full(len(c), -1.0) for d, c in self.centres.items()} for _ in range(2))
+        for row in found:
+            self.radius[row["dims"]][row["cell"]] = row["r"]
+            self.norm[row["dims"]][row["cell"]] = row["norm"]
+
+    def bounds(self, rows: np.ndarray, d: int) -> np.ndarray:
+        """What no score of a query with a row of a group exceeds; -inf for empty groups."""
+        centres, radius, norm = self.centres[d], self.radius[d], self.norm[d]
+        length = norms(rows)[:, None]
+        with np.errstate(all="ignore"):
+            around = rows @ centres.T + length * radius
+            room = 1 + 1e-9 * length * (norms(centres) + radius + norm)
+            bound = np.minimum(np.nan_to_num(around, nan=np.inf, posinf=np.inf), length * norm) + room
+        return np.where(norm >= 0, np.nan_to_num(bound, nan=np.inf, posinf=np.inf), -np.inf)
 
 
 def top_k(
@@ -61,129 +105,110 @@ def top_k(
 ) -> DataFrame:
     """The ``k`` best candidates of every query: ``query_id``, ``rank``, ``vec_id``, ``score``.
 
-    Vectors are array<bigint> (see ``scaled``).  A query never finds rows with its own
-    id.  Ties go to the smaller id; a query with fewer candidates gets all.  Rows
-    with a NULL id or vector take no part, nor do vectors of another length than most
-    candidates have.  Repeated candidate rows are found each; repeated query rows are one
-    query.  Empty tables give no rows.
+    Vectors hold whole numbers that a double can hold (see ``scaled``).  The score is the inner product,
+    exact, and the nearest long where it does not fit one.  A query never finds rows with its own
+    id.  Ties go to the smaller id; a query with fewer candidates gets all.  Rows with a NULL id or
+    vector, or an empty one, take no part; vectors of different lengths have no score.
+    Repeated candidate rows are found each; of repeated query ids the smallest vector is
+    asked.  Empty tables give no rows.  Other columns are not looked at.
     """
     spark = candidates.sparkSession
-    vectors = candidates.select(F.col(id_column).alias("_id"), F.col(vector_column).alias("_v")).filter(
-        "_id IS NOT NULL AND _v IS NOT NULL AND size(_v) > 0"
-    )
-    schema = "query_id bigint, rank int, vec_id bigint, score bigint"
-    sizes = vectors.groupBy(F.size("_v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    if sizes is None:
-        return spark.createDataFrame([], schema)
-    dims, n = sizes["d"], sizes["count"]
-    vectors = vectors.filter(F.size("_v") == dims)
-    asked = (
-        queries.select(F.col(id_column).alias("_q"), F.col(vector_column).alias("_qv"))
-        .filter(F.col("_q").isNotNull() & (F.size("_qv") == dims))
-        .dropDuplicates(["_q"])
-    )
-    # The pivots are rows drawn by a hash: at most ``pivots`` vectors, whatever the table.
-    drawn = vectors.orderBy(F.xxhash64("_v"), "_id").limit(pivots).select("_v").collect()
-    centres = np.unique(np.array([r["_v"] for r in drawn], np.int64), axis=0)
+
+    def usable(df: DataFrame) -> DataFrame:
+        return df.select(
+            F.col(f"`{id_column}`").cast("long").alias("id"),
+            F.col(f"`{vector_column}`").cast("array<double>").alias("v"),
+            F.size(f"`{vector_column}`").alias("dims"),
+        ).filter("id IS NOT NULL AND v IS NOT NULL AND dims > 0")
+
+    groups = _Groups(usable(candidates), pivots)
+    rows = write_table(groups.placed(usable(candidates)), work_path(spark, "topk-cells"))
+    groups.measure(rows)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows_per_block = int(min(4096, max(32, n // (4 * tasks))))
-
-    def assign(batches):
-        half = (centres.astype(np.float64) ** 2).sum(1) / 2
-        for batch in batches:
-            v = _matrix(batch.column(1), dims).astype(np.float64)
-            cell = (v @ centres.T.astype(np.float64) - half).argmax(1) if len(v) else np.zeros(0, np.int64)
-            radius = np.sqrt(((v - centres[cell]) ** 2).sum(1))
-            norm = np.sqrt((v**2).sum(1))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell.astype(np.int32)), pa.array(radius), pa.array(norm)],
-                ["_id", "_v", "_cell", "_radius", "_norm"],
-            )
-
-    cells = vectors.mapInArrow(assign, "_id bigint, _v array<bigint>, _cell int, _radius double, _norm double")
-    cells = write_table(cells, work_path(spark, "topk-cells"))
-    summary = (
-        cells.groupBy("_cell")
-        .agg(F.count("*").alias("n"), F.max("_radius").alias("r"), F.max("_norm").alias("norm"))
-        .collect()  # one row per pivot
+    n = rows.count()
+    block = int(min(ROWS, max(32, n // (4 * tasks))))
+    sizes = rows.groupBy("dims", "cell").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    sizes = write_table(sizes, work_path(spark, "topk-sizes"))
+    # Rows are dealt to blocks by the number that their task gave them, so blocks are even.
+    blocks = rows.join(sizes, ["dims", "cell"]).select(
+        "id", "v", "dims", "cell", F.pmod(F.col("seq"), F.col("parts")).cast("int").alias("part")
     )
-    count, radius, norm = (np.zeros(len(centres)) for _ in range(3))
-    for row in summary:
-        count[row["_cell"]], radius[row["_cell"]], norm[row["_cell"]] = row["n"], row["r"], row["norm"]
-    blocks = np.maximum(1, np.ceil(count / rows_per_block)).astype(np.int64)
-    parts = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("_cell") + 1)
-    query_blocks = max(1, -(-asked.count() // 4096))
-    # Candidates meet one block of queries at a time; usually there is one.
-    blocked = cells.select(
-        "_id", "_v", "_cell", F.pmod(F.xxhash64("_id"), parts).alias("_part"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("_qpart"),
+    single = usable(queries).groupBy("id").agg(F.min(F.struct("v", "dims")).alias("x")).select("id", "x.*")
+    asked = write_table(groups.placed(single), work_path(spark, "topk-asked"))
+    packs = asked.groupBy("dims", "cell").agg(F.ceil(F.count("*") / ROWS).cast("int").alias("packs"))
+    asked = asked.join(packs, ["dims", "cell"]).select(
+        F.col("id").alias("q"), F.col("v").alias("qv"), "dims",
+        (F.col("cell") * 1_000_000 + F.pmod(F.xxhash64("id"), F.col("packs"))).cast("long").alias("pack"),
+        F.lit(LEAST).alias("least"),
     )
 
     def routes(first: bool):
         def run(batches):
             for batch in batches:
-                q = _matrix(batch.column(1), dims).astype(np.float64)
-                near = q @ centres.T.astype(np.float64)
-                length = np.sqrt((q**2).sum(1))[:, None]
-                bound = np.minimum(near + length * radius, length * norm) * (1 + 1e-9) + 1
-                bound[:, count == 0] = -np.inf
-                home = bound.argmax(1)
-                if first:
-                    send = np.zeros(bound.shape, bool)
-                    send[np.arange(len(home)), home] = True
-                else:
-                    least = batch.column(2).to_numpy(zero_copy_only=False).astype(np.float64)
-                    send = bound >= least[:, None]
-                    send[np.arange(len(home)), home] = False  # solved before
-                send &= count > 0
-                row, cell = np.nonzero(send)
-                times = blocks[cell]
-                row, cell = np.repeat(row, times), np.repeat(cell, times)
-                part = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-                taken = batch.take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [*taken.columns, pa.array(cell.astype(np.int32)), pa.array(part.astype(np.int64))],
-                    ["_q", "_qv", "_least", "_cell", "_part"],
-                )
+                dims = batch.column("dims").to_numpy()
+                for d in np.unique(dims).tolist():
+                    part = batch.filter(pa.array(dims == d))
+                    if d not in groups.centres:  # one group, all of it at home
+                        send = np.full((part.num_rows, 1), first)
+                    else:
+                        bound = groups.bounds(matrix(part.column("qv"), d), d)
+                        home = np.zeros(bound.shape, bool)
+                        home[np.arange(len(bound)), bound.argmax(1)] = True
+                        least = part.column("least").to_numpy().astype(np.float64)
+                        least = np.where(least < -(2.0**62), -np.inf, least)  # anything will do
+                        send = home if first else ~home & (bound >= least[:, None])
+                        send &= bound > -np.inf
+                    row, cell = np.nonzero(send)
+                    for at in range(0, len(row), 2000):
+                        taken = part.take(pa.array(row[at : at + 2000]))
+                        to = pa.array(cell[at : at + 2000].astype(np.int32))
+                        yield pa.RecordBatch.from_arrays([*taken.columns, to], [*taken.schema.names, "cell"])
 
         return run
 
-    def solve(key, left, right):
-        ids = left.column("_id").to_numpy()
-        score = _products(_matrix(right.column("_qv"), dims), _matrix(left.column("_v"), dims))
-        asks = right.column("_q").to_numpy()
-        least = right.column("_least").to_numpy()
-        out = []
-        for i, q in enumerate(asks):
-            good = np.flatnonzero((score[i] >= least[i]) & (ids != q))
-            if len(good) > k:
-                edge = np.partition(score[i][good], len(good) - k)[len(good) - k]
-                good = good[score[i][good] >= edge]
-                good = good[np.lexsort((ids[good], -score[i][good]))][:k]
-            out.append((np.full(len(good), q), ids[good], score[i][good]))
-        columns = [np.concatenate(c).astype(np.int64) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3
+    def solve(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = [(np.zeros(0, np.int64),) * 3]
+        if left.num_rows and right.num_rows:
+            d = left.column("dims")[0].as_py()
+            ids = left.column("id").to_numpy()
+            score = products(matrix(right.column("q_qv"), d), matrix(left.column("v"), d))
+            asks, least = right.column("q_q").to_numpy(), right.column("q_least").to_numpy()
+            for i, q in enumerate(asks):
+                good = np.flatnonzero((score[i] >= least[i]) & (ids != q))
+                if len(good) > k:
+                    edge = np.partition(score[i][good], len(good) - k)[len(good) - k]
+                    good = good[score[i][good] >= edge]
+                good = good[np.lexsort((ids[good], ~score[i][good]))][:k]
+                out.append((np.full(len(good), q), ids[good], score[i][good]))
+        columns = [np.concatenate(c).astype(np.int64) for c in zip(*out)]
         return pa.table([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
 
+    keys = ["dims", "cell", "part", "pack"]
+
     def solved(routed: DataFrame) -> DataFrame:
-        keys = ["_cell", "_part", "_qpart"]
-        dealt = routed.withColumn("_qpart", F.pmod(F.xxhash64("_q"), F.lit(query_blocks)).cast("int"))
-        return (
-            blocked.withColumn("_qpart", F.col("_qpart").cast("int"))
-            .groupBy(*keys)
-            .cogroup(dealt.groupBy(*keys))
-            .applyInArrow(solve, "query_id bigint, vec_id bigint, score bigint")
+        spread = routed.join(sizes, ["dims", "cell"]).select(
+            *[F.col(c).alias(f"q_{c}") for c in ("q", "qv", "least")], "dims", "cell",
+            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "pack",
         )
+        asks = write_table(spread, work_path(spark, "topk-asks"))
+        # A block is copied for the packs of queries that were sent to it, and no others.
+        wanted = asks.select(*[F.col(c).alias(f"w_{c}") for c in keys]).distinct()
+        same = [F.col(c) == F.col(f"w_{c}") for c in keys[:3]]
+        met = blocks.join(wanted, same).select(*blocks.columns, F.col("w_pack").alias("pack"))
+        return met.groupBy(*keys).cogroup(asks.groupBy(*keys)).applyInArrow(solve, _FOUND)
 
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
 
     def best(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
-    routed = "_q bigint, _qv array<bigint>, _least bigint, _cell int, _part bigint"
-    opening = asked.withColumn("_least", F.lit(_LEAST))
-    at_home = write_table(best(solved(opening.mapInArrow(routes(True), routed))), work_path(spark, "topk-home"))
-    reached = at_home.filter(F.col("rank") == k).select(F.col("query_id").alias("_q"), F.col("score").alias("_least"))
-    rest = asked.join(reached, "_q", "left").withColumn("_least", F.coalesce("_least", F.lit(_LEAST)))
+    routed = "q long, qv array<double>, dims int, pack long, least long, cell int"
+    asked = write_table(asked, work_path(spark, "topk-packs"))
+    at_home = write_table(best(solved(asked.mapInArrow(routes(True), routed))), work_path(spark, "topk-home"))
+    reached = at_home.filter(F.col("rank") == k).select(F.col("query_id").alias("q"), F.col("score").alias("reached"))
+    rest = asked.join(reached, "q", "left").select(
+        "q", "qv", "dims", "pack", F.coalesce("reached", "least").alias("least")
+    )
     elsewhere = solved(rest.mapInArrow(routes(False), routed))
     found = at_home.select("query_id", "vec_id", "score").unionByName(elsewhere)
     return best(found).select("query_id", "rank", "vec_id", "score")
