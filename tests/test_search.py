@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from vectrail.functions import text
 from vectrail.operators import ann, batch, search
 from vectrail.operators.embedding import Embedder
 from vectrail.session import work_path
@@ -343,3 +344,20 @@ def test_lists_by_inner_product_prefer_long_centres(spark):
     ann.ivf_build(df, path, centres, "inner_product")
     found = ann.ivf_search(spark, path, [1.0, 0.1], 1, 1, "inner_product").collect()
     assert [r["id"] for r in found] == [1]
+
+
+def test_hybrid_search_is_one_lazy_plan(spark, folder):
+    """Building it starts no job but that of the query's terms; run, it reads the texts once and shuffles no vectors."""
+    texts = load(spark, folder, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    vectors = load(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    status = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "lazy")
+    text.constant_terms(spark, "tion", "french")
+    terms = len(status.getJobIdsForGroup("lazy"))
+    found = search.hybrid_search(texts, "tion", [0.1] * 64, vectors)
+    assert len(status.getJobIdsForGroup("lazy")) == 2 * terms
+    assert found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in plan and plan.count("TakeOrderedAndProject(limit=100") == 1
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert not any("Exchange hashpartitioning" in line and "embedding" in line and "Broadcast" in line for line in plan.split("\n"))

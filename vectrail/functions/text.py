@@ -7,6 +7,7 @@ manner of Harman 1991 and Savoy 1999).
 
 from __future__ import annotations
 
+from functools import reduce
 from collections.abc import Mapping, Sequence
 from functools import lru_cache
 
@@ -206,9 +207,9 @@ def constant_rank(text: Column, terms: Mapping[str, Sequence[str]]) -> Column:
     """``rank`` for the terms of ``constant_terms``; NULL without a match."""
     if not terms:
         return F.lit(None).cast("double")
-    shares = F.array(*[saturation(_occurrences(text, forms)) for forms in terms.values()])
-    total = F.aggregate(shares, F.lit(0.0), lambda acc, x: acc + F.when(x > 0, x))
-    return F.round(total / F.lit(float(len(terms))), RANK_DECIMALS)
+    # No lambda: Spark then sees that two such plans are equal and runs one of them.
+    shares = [F.nullif(saturation(_occurrences(text, forms)), F.lit(0.0)) for forms in terms.values()]
+    return F.round(reduce(lambda a, b: a + b, shares) / F.lit(float(len(terms))), RANK_DECIMALS)
 
 
 # ---------------------------------------------------------------- query modes

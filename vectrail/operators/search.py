@@ -171,15 +171,25 @@ def hybrid_search(
 def join_candidates(hits: DataFrame, tables: Sequence[DataFrame], key: str) -> DataFrame:
     """Join the candidates, already cut to a limit, with tables that hold more about them.
 
-    A candidate that a table does not have keeps its row.  The cut bounds the candidates, so
-    their keys are handed to the scan of the table and its other rows go no further.
+    A candidate that a table does not have keeps its row.  Nothing runs before the result is
+    asked for: the candidates meet each table in an inner join, which Spark broadcasts by
+    their size, and those that met no row are added from the same, shared exchange.
     """
-    # The candidates are used twice (to prune and to keep all of them), and Spark would find
-    # them twice; they are few, so they are fetched once.
-    hits = hits.sparkSession.createDataFrame(hits.toArrow(), schema=hits.schema)
     for table in tables:
-        needed = table.join(F.broadcast(hits.select(key)), key, "left_semi")
-        hits = hits.join(F.broadcast(needed), key, "left")
+        names = [c for c in table.columns if c != key]
+        # One small partition, used by both branches with all its columns, so it is made once.
+        few = hits.repartition(1)
+        # NULL-safe, so that Spark does not put a filter into one branch and thereby part the two.
+        other = table.filter(F.col(key).isNotNull()).withColumnRenamed(key, "_other")
+        met = few.join(other, F.col(key).eqNullSafe(F.col("_other"))).select(
+            *hits.columns, *names, F.lit(1).alias("_met")
+        )
+        alone = few.select(
+            *hits.columns, *[F.lit(None).cast(table.schema[c].dataType).alias(c) for c in names], F.lit(0).alias("_met")
+        )
+        # Only candidates are left here: a limit's worth of rows.
+        most = F.max("_met").over(W.partitionBy(key))
+        hits = alone.unionByName(met).withColumn("_most", most).filter("_met = _most").drop("_met", "_most")
     return hits
 
 
