@@ -283,5 +283,5 @@ def test_common_windows_stay_out_of_the_toxic_dictionary(spark):
     documents, labels = _abusive(spark)
     model = toxicity.fit(documents, labels)
     saving = model.savings()
-    assert min(saving(w) for w in (b"grumblewort", b"fopdoodle", b"zounderkite", b"muckspout")) >= model.step
-    assert max(saving(w) for w in (b"tare", b"mo", b"likasu")) < model.step
+    assert min(saving[w] for w in (b"grumblewort", b"fopdoodle", b"zounderkite", b"muckspout")) >= model.step
+    assert max(saving[w] for w in (b"tare", b"mo", b"likasu")) < model.step

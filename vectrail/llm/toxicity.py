@@ -46,11 +46,11 @@ _FORMAT = dict(
 def windows(text: bytes | None) -> Iterable[bytes]:
     """All words of the whole text, A-Z lower-cased; long ones in parts."""
     for piece in pieces(text or b""):
-        for word in piece.lower().split():
-            if len(word) <= LONGEST:
-                yield word
-            else:
-                yield from (word[j : j + LONGEST] for j in range(0, len(word), LONGEST))
+        words = piece.lower().split()
+        if max(map(len, words), default=0) <= LONGEST:
+            yield from words
+        else:
+            yield from (word[j : j + LONGEST] for word in words for j in range(0, len(word), LONGEST))
 
 
 def train_dictionary(counts: list[tuple[bytes, int]], size: int, seed: int = 1) -> bytes:
@@ -71,6 +71,27 @@ def train_dictionary(counts: list[tuple[bytes, int]], size: int, seed: int = 1)
         return raw[-size:] or b" "
 
 
+class _Savings(dict):
+    """Window to bytes saved; windows met before are remembered."""
+
+    def __init__(self, ordinary, toxic):
+        super().__init__()
+        self.ordinary, self.toxic = ordinary, toxic
+
+    def __missing__(self, window: bytes) -> int:
+        # Twice, so that short words tell as well.
+        whole = b" " + window + b"  " + window + b" " + CLOSE
+        found = len(self.ordinary(whole)) - len(self.toxic(whole))
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[window] = found
+        return found
+
+    def of(self, text: bytes | None) -> np.ndarray:
+        """The savings on all windows of the whole text."""
+        return np.fromiter(map(self.__getitem__, windows(text)), np.int64)
+
+
 @dataclass
 class Model:
     """Two dictionaries, the threshold of a window, and the line from evidence to score."""
@@ -80,29 +101,15 @@ class Model:
     step: int
     weights: np.ndarray
 
-    def savings(self):
-        """A function from a window to the bytes that the toxic dictionary saves."""
+    def savings(self) -> _Savings:
+        """The bytes that the toxic dictionary saves on a window."""
         form = zstandard.ZstdCompressionParameters(**_FORMAT)
         made = []
         for content in (self.ordinary, self.toxic):
             dictionary = zstandard.ZstdCompressionDict(content)
             dictionary.precompute_compress(compression_params=form)
             made.append(zstandard.ZstdCompressor(dict_data=dictionary, compression_params=form).compress)
-        ordinary, toxic = made
-        known: dict[bytes, int] = {}
-
-        def saved(window: bytes) -> int:
-            found = known.get(window)
-            if found is None:
-                # Twice, so that short words tell as well.
-                whole = b" " + window + b"  " + window + b" " + CLOSE
-                found = len(ordinary(whole)) - len(toxic(whole))
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                known[window] = found
-            return found
-
-        return saved
+        return _Savings(*made)
 
     def score(self, evidence: np.ndarray, n_windows: np.ndarray) -> np.ndarray:
         """Scores from 0 to 1; 0 for texts without windows."""
@@ -118,10 +125,6 @@ def evidence_of(saved: np.ndarray) -> list[float]:
     return [float(np.maximum(saved - step + 1, 0).sum() / length) for step in STEPS]
 
 
-def _saved(text: bytes | None, saving) -> np.ndarray:
-    return np.fromiter(map(saving, windows(text)), np.int64)
-
-
 def _window_counts(rows: DataFrame) -> DataFrame:
     """In how many labelled texts of each half and class every window stands."""
 
@@ -136,6 +139,7 @@ def _window_counts(rows: DataFrame) -> DataFrame:
                 )
         release()
 
+    # A text's windows, each once; the counts meet in Spark.
     cells = [
         F.count_if((F.col("toxic") == toxic) & (F.col("half") == half)).alias(f"n{toxic}{half}")
         for toxic in (0, 1)
@@ -168,18 +172,19 @@ def fit(
     documents: DataFrame,
     labels: DataFrame,
     windows_per_class: int = 20_000,
-    calibration_texts: int = 30_000,
+    labelled_texts: int = 60_000,
     dictionary_bytes: int = 60_000,
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "toxic",
 ) -> Model:
-    """Learn from all windows of all labelled documents that are not held out.
+    """Learn from all windows of labelled documents that are not held out.
 
-    Windows are counted in Spark.  A hash of the id deals the documents into two halves.
+    At most ``labelled_texts`` of them, drawn by a hash of the id; their whole texts are looked at and
+    their windows counted in Spark.  A hash of the id deals the documents into two halves.
     Dictionaries of one half judge texts of the other, and the thresholds are fitted to that; the final
     dictionaries come from both.  The driver gets at most ``windows_per_class`` windows of
-    each class, the most telling, and six numbers of at most ``calibration_texts`` texts.
+    each class, the most telling, and six numbers of each text.
     NULL labels, ids and texts are not used; a document with several labels is toxic
     if one says so.  Without texts of both classes every score is 0.
     """
@@ -192,7 +197,10 @@ def fit(
     texts = documents.select(F.col(id_column).alias("_id"), F.col(text_column).cast("binary").alias("_text")).filter(
         F.col("_text").isNotNull()
     )
-    rows = texts.join(ids, "_id")
+    # A bounded number of ids, so that no text is shuffled to meet its label.
+    chosen = ids.orderBy("_draw", "_id").limit(labelled_texts).select("_id", "_toxic", "_half")
+    chosen = write_table(chosen, work_path(spark, "toxicity-labelled"))
+    rows = texts.join(F.broadcast(chosen), "_id")
     counts = write_table(_window_counts(rows), work_path(spark, "toxicity-windows"))
     sizes = {(r["_toxic"], r["_half"]): r["count"] for r in rows.groupBy("_toxic", "_half").count().collect()}
 
@@ -202,8 +210,7 @@ def fit(
         return Model(*made, STEPS[0], np.array([-30.0, 0.0]))
 
     halves = [dictionaries([0]), dictionaries([1])]
-    chosen = ids.orderBy("_draw", "_id").limit(calibration_texts).select("_id", "_toxic", "_half")
-    seen = _evidence(texts.join(chosen, "_id"), halves).collect()
+    seen = _evidence(rows, halves).collect()
     x = np.array([row["_x"] for row in seen], np.float64).reshape(len(seen), len(STEPS))
     y = np.array([row["_toxic"] for row in seen], np.float64)
     final = dictionaries([0, 1])
@@ -217,7 +224,7 @@ def _evidence(rows: DataFrame, halves: list[Model]) -> DataFrame:
         saving = [halves[1].savings(), halves[0].savings()]
         for batch in batches:
             found = [
-                evidence_of(_saved(text.as_py(), saving[half.as_py()]))
+                evidence_of(saving[half.as_py()].of(text.as_py()))
                 for text, half in zip(batch.column("_text"), batch.column("_half"))
             ]
             yield pa.RecordBatch.from_arrays([batch.column("_toxic"), pa.array(found, pa.list_(pa.float64()))], ["_toxic", "_x"])
@@ -281,7 +288,7 @@ def score(
         model = shared.value
         saving, place = model.savings(), STEPS.index(model.step)
         for batch in batches:
-            saved = [_saved(text.as_py(), saving) for text in batch.column("_text")]
+            saved = [saving.of(text.as_py()) for text in batch.column("_text")]
             n = np.array([len(x) for x in saved], np.int64)
             evidence = np.array([evidence_of(x)[place] for x in saved])
             yield pa.RecordBatch.from_arrays(
