@@ -192,3 +192,51 @@ def test_a_text_of_an_earlier_batch_is_not_embedded_again(spark):
     got = {r["id"]: r["embedding"] for r in embedded_rows(spark, target).collect()}
     assert len(got) == 5 and got[1] == got[3] and got[4] == got[5]
     assert len({tuple(v) for v in got.values()}) == 3
+
+
+def test_known_texts_over_three_batches(spark):
+    """A text is embedded in the first batch that holds it; later ones read its folder of the store only."""
+    source, target, marks = (work_path(spark, n) for n in ("in", "out", "marks"))
+    texts = [["one", "two", "three"], ["two", "four", "one"], ["five", "one", "four"]]
+
+    def drawn(values):  # another vector at every call
+        return [[float(x)] for x in np.random.default_rng().random(len(values))]
+
+    schema = "id long, t string"
+    for number, batch in enumerate(texts):
+        rows = [(10 * number + i, t) for i, t in enumerate(batch)]
+        spark.createDataFrame(rows, schema).repartition(1).write.mode("append").parquet(source)
+        query = embed_new_rows(
+            spark, source, spark.createDataFrame([], schema).schema, target, marks, "t", E.Embedder(1, drawn), "id", reuse=True
+        )
+        query.awaitTermination()
+    rows = spark.read.schema("id long, t string, embedding array<float>, batch_id long").parquet(target).filter("t IS NOT NULL").collect()
+    assert len(rows) == 9
+    for t in {r["t"] for r in rows}:
+        assert len({tuple(r["embedding"]) for r in rows if r["t"] == t}) == 1
+    known = spark.read.schema("text_digest string, vector array<float>, batch_id long, prefix string").parquet(f"{target}/_known")
+    assert known.groupBy("batch_id").count().orderBy("batch_id").collect() == [(0, 3), (1, 1), (2, 1)]
+    asked = spark.createDataFrame([("one",)], "t string").select(E.text_digest(F.col("t")).alias("_digest"))
+    found = E.known_of(known, asked)
+    assert found.count() == 1
+    scan = [line for line in found._jdf.queryExecution().executedPlan().toString().split("\n") if "FileScan" in line and "prefix" in line]
+    assert scan and all("PartitionFilters: [" in line and "prefix" in line.split("PartitionFilters")[1] for line in scan)
+
+
+def test_no_word_reaches_python(spark):
+    df = spark.createDataFrame([(1, "un deux")], "id long, t string")
+    plan = E.embed(df, "t", E.Embedder(16))._jdf.queryExecution().executedPlan().toString()
+    udf = next(line for line in plan.split("\n") if "ArrowEvalPython" in line)
+    assert "array<float>" not in udf.split("udf(")[-1] and "md5" in plan
+
+
+def test_codes_are_those_of_the_digests(spark):
+    import hashlib
+
+    words = ["un", "deux", "école", "x" * 500, "1"]
+    row = spark.createDataFrame([(" -- ".join(words),)], "t string").select(E.text.word_codes(F.col("t"), 97).alias("c")).first()
+    want = []
+    for w in words:
+        digest = hashlib.md5(w.encode()).digest()
+        want.append(int.from_bytes(digest[:4], "big") % 97 * 2 + (digest[4] >= 128))
+    assert list(row["c"]) == want

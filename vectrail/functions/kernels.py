@@ -6,8 +6,6 @@ of one batch.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 
@@ -118,34 +116,22 @@ class Nearest:
                 yield i, key, float(dist)
 
 
-def buckets_and_signs(words: list[str], dims: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slot and sign of each word, both from its digest; the empty word counts nothing."""
-    digests = b"".join(hashlib.md5(word.encode("utf-8")).digest() for word in words)
-    table = np.frombuffer(digests, dtype=np.uint8).reshape(-1, 16)
-    slots = np.ascontiguousarray(table[:, :4]).view(">u4").ravel().astype(np.int64) % dims
-    signs = np.where(table[:, 4] < 128, 1.0, -1.0)
-    signs[[i for i, word in enumerate(words) if not word]] = 0.0
-    return slots, signs
-
-
-def hash_words(words: pa.Array, dims: int, cells_at_once: int = 1 << 22) -> pa.Array:
-    """Feature-hashed unit vectors (Weinberger et al. 2009) of word lists.
+def coded_vectors(codes: pa.Array, dims: int, cells_at_once: int = 1 << 22) -> pa.Array:
+    """Feature-hashed unit vectors (Weinberger et al. 2009) of lists of word codes.
 
-    A NULL list gives NULL; a list without words, or of empty ones, the zero vector.  Each
-    distinct word of the batch is hashed once; the vectors are written a bounded
-    number of cells at a time.
+    A code is twice the slot of a word, plus one where its sign is negative.  A NULL list gives
+    NULL, an empty one the zero vector.  The vectors are written a bounded number of cells at a time.
     """
-    flat = words.flatten().dictionary_encode()
-    lengths = words.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    slots, signs = buckets_and_signs(flat.dictionary.to_pylist(), dims)
-    codes = flat.indices.to_numpy()
+    flat = codes.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    slots, signs = flat >> 1, 1.0 - 2.0 * (flat & 1)
+    lengths = codes.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = np.concatenate([[0], np.cumsum(lengths)])
-    missing = words.is_null()
+    missing = codes.is_null()
     parts = []
     rows = max(1, cells_at_once // dims)
-    for start in range(0, len(words), rows):
-        n = min(rows, len(words) - start)
-        part = codes[ends[start] : ends[start + n]]
+    for start in range(0, len(codes), rows):
+        n = min(rows, len(codes) - start)
+        part = slice(ends[start], ends[start + n])
         cells = np.repeat(np.arange(n), lengths[start : start + n]) * dims + slots[part]
         parts.append(_unit_vectors(cells, signs[part], n, dims, missing.slice(start, n)))
     return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float32()))

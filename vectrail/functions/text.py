@@ -147,6 +147,21 @@ def rank(doc_lexemes: Column, terms: Column) -> Column:
     return F.round(F.try_divide(total, F.size(terms).cast("double")), RANK_DECIMALS)
 
 
+def word_codes(texts: Column, dims: int) -> Column:
+    """Twice the slot of every word of a text, plus one for a negative sign; both from its MD5 digest.
+
+    Worked out in the JVM: the first four bytes give the slot, the fifth the sign.
+    """
+    words = F.filter(F.split(F.lower(texts), WORD_GAP), lambda w: w != "")
+    digests = F.transform(words, lambda w: F.md5(w.cast("binary")))
+
+    def code(digest: Column) -> Column:
+        slot = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % dims
+        return slot * 2 + F.when(F.substring(digest, 9, 1) < "8", 0).otherwise(1)
+
+    return F.transform(digests, code)
+
+
 def drawer(term: Column) -> Column:
     """Which of the small maps of a text holds the count of a term."""
     return F.pmod(F.hash(term), F.lit(64))

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from vectrail.functions import kernels, text, vector
 from vectrail.functions.time import recent
 from vectrail.operators.skew import salted_lookup
+from vectrail.session import work_path
+from vectrail.sources.tables import write_table
 
 
 @dataclass(frozen=True)
@@ -31,14 +33,14 @@ class Embedder:
     def column(self, texts: Column) -> Column:
         """Vector of a text column: NULL stays NULL, blank gives the zero vector."""
         if self.model is None:
-            return _hashed(self.dims)(F.split(F.lower(texts), text.WORD_GAP))
+            return _hashed(self.dims)(text.word_codes(texts, self.dims))
         return _modelled(self)(text.trim_all(texts))
 
 
 def _hashed(dims: int):
     @F.arrow_udf("array<float>")
-    def udf(words: pa.Array) -> pa.Array:
-        return kernels.hash_words(words, dims)
+    def udf(codes: pa.Array) -> pa.Array:
+        return kernels.coded_vectors(codes, dims)
 
     return udf
 
@@ -92,7 +94,8 @@ def embed_with_reuse(
     """Embed each distinct trimmed text once and hand the vector to all its copies.
 
     ``known`` has ``text_digest`` and ``vector`` of texts embedded before with the same
-    model; those are not embedded again.  ``embedded_texts`` gives what to add to it.
+    model; those are not embedded again.  ``embedded_texts`` gives what to add to it.  Stored by
+    ``prefix`` of the digest, only the folders of the texts at hand are read; see ``known_of``.
     Texts are grouped and looked up by their digests, so that only one copy of each is
     moved.  A text with very many copies is spread over several tasks.
     """
@@ -105,9 +108,10 @@ def embed_with_reuse(
     if known is None:
         made = distinct.withColumn(target, embedder.column(F.col("_text")))
     else:
-        stored = known.select(F.col("text_digest").alias("_digest"), F.col("vector").alias("_known"))
+        distinct = write_table(distinct, work_path(df.sparkSession, "distinct-texts"))
+        stored = known_of(known, distinct.select("_digest"))
         made = (
-            distinct.join(stored.dropDuplicates(["_digest"]), "_digest", "left")
+            distinct.join(stored, "_digest", "left")
             .withColumn("_new", embedder.column(F.when(F.col("_known").isNull(), F.col("_text"))))
             .withColumn(target, F.coalesce("_known", "_new"))
         )
@@ -115,6 +119,24 @@ def embed_with_reuse(
     return salted_lookup(keyed, made, "_digest", "_copies", key, rows_per_task).drop("_digest")
 
 
+def digest_prefix(digest: Column) -> Column:
+    """The folder of a digest in a store of known texts: one of 256."""
+    return F.substring(digest, 1, 2)
+
+
+def known_of(known: DataFrame, digests: DataFrame) -> DataFrame:
+    """``_digest`` and ``_known`` (vector) of the ``known`` texts that ``digests`` asks for.
+
+    Where ``known`` has a column ``prefix``, the folders of other prefixes are not read.  The rest is cut to
+    the digests at hand before anything is shuffled, by a join that Spark picks by their size.
+    """
+    if "prefix" in known.columns:
+        wanted = digests.select(digest_prefix(F.col("_digest")).alias("p")).distinct().collect()  # at most 256
+        known = known.filter(F.col("prefix").isin([r["p"] for r in wanted]))
+    stored = known.select(F.col("text_digest").alias("_digest"), F.col("vector").alias("_known"))
+    return stored.join(digests, "_digest", "left_semi").dropDuplicates(["_digest"])
+
+
 def embedded_texts(
     done: DataFrame, text_column: str, target: str = "embedding", known: DataFrame | None = None
 ) -> DataFrame:
@@ -124,7 +146,10 @@ def embedded_texts(
         .groupBy(text_digest(F.col(text_column)).alias("text_digest"))
         .agg(F.first(target).alias("vector"))
     )
-    return made if known is None else made.join(known.select("text_digest"), "text_digest", "left_anti")
+    if known is None:
+        return made
+    old = known_of(known, made.select(F.col("text_digest").alias("_digest"))).select("_digest")
+    return made.join(old, made["text_digest"] == old["_digest"], "left_anti")
 
 
 def embed_query(spark: SparkSession, query: str, embedder: Embedder) -> list[float]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from vectrail.operators.embedding import Embedder, embed, embed_with_reuse, embedded_texts
+from vectrail.operators.embedding import Embedder, digest_prefix, embed, embed_with_reuse, embedded_texts
 
 
 def embed_new_rows(
@@ -45,7 +45,7 @@ def embed_new_rows(
             .start()
         )
 
-    digests = "text_digest string, vector array<float>, batch_id bigint"
+    digests = "text_digest string, vector array<float>, batch_id bigint, prefix string"
 
     def store(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -59,7 +59,9 @@ def embed_new_rows(
         done.write.mode("overwrite").parquet(out)
         stored = session.read.schema(done.schema).parquet(out)
         fresh = embedded_texts(stored, text_column, vector_column, known)
-        fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        # By prefix of the digest, so that later batches read only the folders of their own texts.
+        fresh = fresh.withColumn("prefix", digest_prefix(F.col("text_digest"))).repartition("prefix")
+        fresh.write.mode("overwrite").partitionBy("prefix").parquet(f"{path}/batch_id={batch_id}")
 
     return (
         rows.writeStream.foreachBatch(store)
