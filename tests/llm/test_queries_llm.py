@@ -17,7 +17,7 @@ from vectrail.sources.tables import load, write_table
 import numpy as np
 
 # Type names that tests.oracle does not know of.
-KEYS = {f"op{n}_" for n in range(1, 11)}
+KEYS = {f"op{n}_" for n in range(1, 14)}
 
 
 def test_every_operator_has_its_query():

@@ -271,7 +271,51 @@ def op12_hard_negatives(spark, folder):
     return hard_negatives.hard_negatives(rows.filter(F.col("vec_id") % 50 == 0), rows)
 
 
-@query("op13_spelling_variants")
+# crc32 by its table: 3988292384 is the reversed polynomial.
+@query(
+    "op13_spelling_variants",
+    """
+    WITH RECURSIVE steps AS (
+        SELECT list(c ORDER BY i) AS t FROM (
+            SELECT i, list_reduce(list_prepend(i, range(8)), lambda a, b:
+                CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS c
+            FROM (SELECT unnest(range(256)) AS i))),
+    runs AS (
+        SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+        FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+        WHERE length(run) >= 7 GROUP BY ALL),
+    hashed AS (
+        SELECT run, n, xor(list_reduce(
+            list_prepend(4294967295, list_transform(range(0, strlen(k)), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+            lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1])), 4294967295) AS h
+        FROM (SELECT run, n, coalesce(doc_id::VARCHAR, '') || ':' || run AS k, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs), steps),
+    words AS (
+        SELECT word, sum(n)::BIGINT AS n FROM (
+            SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+                      ELSE run END AS word FROM hashed)
+        WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    gaps AS (
+        SELECT word, i, substr(word, 1, i::INT) || substr(word, i::INT + 2) AS gap
+        FROM (SELECT word, unnest(range(0, length(word))) AS i FROM words)),
+    near AS (
+        SELECT a.word, b.word AS near FROM gaps a JOIN gaps b ON a.i = b.i AND a.gap = b.gap AND a.word <> b.word
+        UNION SELECT g.word, w.word FROM gaps g JOIN words w ON g.gap = w.word
+        UNION SELECT w.word, g.word FROM gaps g JOIN words w ON g.gap = w.word),
+    best AS (
+        SELECT near.word, count(*) AS n_near, max(n) AS top, arg_min(near, (-n, near)) AS form
+        FROM near JOIN words o ON near.near = o.word GROUP BY near.word),
+    formed AS (
+        SELECT words.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN top >= 10 * n THEN form END AS form,
+               CASE WHEN top >= 10 * n THEN top END::BIGINT AS form_n
+        FROM words LEFT JOIN best USING (word)),
+    walk AS (
+        SELECT word, form AS at FROM formed WHERE form IS NOT NULL
+        UNION ALL SELECT walk.word, formed.form FROM walk JOIN formed ON walk.at = formed.word WHERE formed.form IS NOT NULL),
+    roots AS (SELECT walk.word, walk.at AS root FROM walk JOIN formed ON walk.at = formed.word WHERE formed.form IS NULL)
+    SELECT formed.word, n, n_near, form, form_n, coalesce(root, formed.word) AS root
+    FROM formed LEFT JOIN roots ON formed.word = roots.word
+    """,
+)
 def op13_spelling_variants(spark, folder):
     documents = load(spark, folder, "documents").select("doc_id", "text")
     return spelling.variants(spelling.word_counts(documents, min_chars=7, min_count=2, noise_every=31))
