@@ -15,6 +15,7 @@ Python worker from its file, which every machine must have at the same path.
 from __future__ import annotations
 
 import codecs
+import gc
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -32,7 +33,7 @@ from vectrail.llm.texts import release
 ROWS = 512  # rows that are encoded and sent on together
 FEED = 4096  # bytes handed to the transducer at a time
 SHORT = 256  # bytes of a piece that is settled at once
-CACHED_BYTES = 40 << 20  # a generation of words whose tokens a worker remembers
+CACHED_BYTES = 64 << 20  # a generation of words whose tokens a worker remembers
 PAIRS = 300_000  # neighbours whose stability a worker remembers
 _NEVER = 1 << 60
 
@@ -305,8 +306,13 @@ class Tokenizer:
                 found.append(np.fromiter(tokens, np.int32))
         return np.concatenate(found) if found else np.empty(0, np.int32)
 
+    def remember(self) -> None:
+        """Before a task: what it remembers holds no cycles, so looking for them only costs time."""
+        gc.disable()
+
     def forget(self) -> None:
         """Free what was remembered; a worker lives on after its task."""
+        gc.enable()
         self._words = _Remembered(self)
         self.merges._stable.clear()
         release()
@@ -402,6 +408,7 @@ def encode(documents: DataFrame, path: str, text_column: str = "text", ids_colum
 
     def run(batches):
         encoder = tokenizer(path)
+        encoder.remember()
         try:
             for batch in _rows(batches):
                 ids = [encoder.encode(text) if (text := value.as_py()) else _NONE for value in batch.column(place)]
@@ -439,6 +446,7 @@ def encode_and_decode(
 
     def run(batches):
         encoder, machine = tokenizer(path), decoder(path)
+        encoder.remember()
         try:
             for batch in _rows(batches):
                 ids = [encoder.encode(text) if (text := value.as_py()) else _NONE for value in batch.column(place)]
