@@ -240,3 +240,22 @@ def test_codes_are_those_of_the_digests(spark):
         digest = hashlib.md5(w.encode()).digest()
         want.append(int.from_bytes(digest[:4], "big") % 97 * 2 + (digest[4] >= 128))
     assert list(row["c"]) == want
+
+
+@pytest.mark.parametrize("name", ["r1_incremental_embedding", "r1_incremental_embedding_with_reuse"])
+@pytest.mark.parametrize("files", [0, 2])
+def test_the_stream_reads_a_table_of_one_or_many_files(spark, tmp_path, name, files):
+    from vectrail.plans import QUERIES
+
+    rows = [(1, "un deux", "fr", "a", 7), (2, "un deux", "fr", "a", 7), (3, None, "fr", "b", 0), (4, "drei", "de", "b", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(max(files, 1)).write.parquet(str(tmp_path / "documents.parquet"))
+    if not files:  # the table is one file of that name
+        (part,) = (tmp_path / "documents.parquet").glob("part-*.parquet")
+        folder = tmp_path / "single"
+        folder.mkdir()
+        (folder / "documents.parquet").write_bytes(part.read_bytes())
+    else:
+        folder = tmp_path
+    got = {r["doc_id"]: r["norm"] for r in QUERIES[name](spark, str(folder)).collect()}
+    assert got == {1: 1.0, 2: 1.0, 3: None, 4: 1.0}

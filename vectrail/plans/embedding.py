@@ -277,7 +277,8 @@ def _streamed(spark, folder, reuse):
     target = work_path(spark, "embedded")
     embed_new_rows(
         spark,
-        folder,
+        # A pattern, since the table may be one file, which a stream takes by no other name, or a folder of files.
+        f"{folder.rstrip('/')}/{{documents.parquet}}",
         load(spark, folder, "documents").schema,
         target,
         work_path(spark, "progress"),
@@ -285,7 +286,7 @@ def _streamed(spark, folder, reuse):
         EMBEDDER,
         "doc_id",
         reuse=reuse,
-        files="documents.parquet",
+        files="*",
     ).awaitTermination()
     return embedded_rows(spark, target)
 

@@ -26,6 +26,8 @@ def embed_new_rows(
 ) -> StreamingQuery:
     """Embed the parquet files added to ``source`` since the last run, then stop.
 
+    ``source`` is a folder, or a pattern of files and folders.  ``files`` is what file names must match.
+
     The checkpoint remembers what was read, so every row is embedded once.
     Without ``reuse`` the file sink commits each batch exactly once.  With it
     equal texts share one model call, within a batch and with the batches and runs before,
