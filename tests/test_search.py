@@ -361,3 +361,36 @@ def test_hybrid_search_is_one_lazy_plan(spark, folder):
     assert "ReusedExchange" in plan and plan.count("TakeOrderedAndProject(limit=100") == 1
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert not any("Exchange hashpartitioning" in line and "embedding" in line and "Broadcast" in line for line in plan.split("\n"))
+
+
+def test_sets_meet_texts_without_a_row_per_pair(spark):
+    """Texts that all hold both terms: k rows a part reach Spark, not a row per text."""
+    postings = spark.createDataFrame([(i, t, 1) for i in range(3000) for t in "ab"], "id long, _term string, _tf long")
+    sets = spark.createDataFrame([("s", ["a", "b"])], "_set string, _terms array<string>")
+    made = []
+    real = batch._pairs
+    batch._pairs = lambda *x: (made.append(real(*x)), made[-1])[1]
+    try:
+        found = batch._best_of_many(sets, postings, 10, "id").collect()
+    finally:
+        batch._pairs = real
+    assert sorted((r["position"], r["id"], r["text_rank"]) for r in found) == [(i + 1, i, 0.5) for i in range(10)]
+    assert sum(p.count() for p in made) <= 300
+
+
+def test_best_of_many_over_parts_and_words_as_keys(spark):
+    draw = np.random.default_rng(1)
+    rows = [(f"é{i:04}", t, int(n)) for i in range(900) for t, n in zip("abcde", draw.poisson(draw.exponential(0.8), 5)) if n]
+    postings = spark.createDataFrame([*rows, (None, "a", 9), (None, "b", 9)], "id string, _term string, _tf long")
+    wanted = ["ab", "bc", "abc", "abcd", "abcde", "ce", "az"]
+    sets = spark.createDataFrame([(s, list(s)) for s in wanted], "_set string, _terms array<string>")
+    tf = {(i, t): n for i, t, n in rows}
+    for options in ({}, {"part_rows": 90}, {"classes": 1, "part_rows": 200}):
+        found = batch._best_of_many(sets, postings, 10, "id", **options).collect()
+        for terms in wanted:
+            ranks = [
+                (-round(sum(tf[i, t] / (tf[i, t] + 1) for t in terms) / len(terms), 12), i)
+                for i in {i for i, _ in tf} if all((i, t) in tf for t in terms)
+            ]
+            got = sorted((r for r in found if r["_set"] == terms), key=lambda r: r["position"])
+            assert [(round(-r["text_rank"], 9), r["id"]) for r in got] == [(round(r, 9), i) for r, i in sorted(ranks)[:10]]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Distances are compared after rounding, so that exact copies of a vector tie
 # whatever order the sums were taken in; the id then decides.
@@ -116,6 +117,109 @@ class Nearest:
                 yield i, key, float(dist)
 
 
+class TermLists:
+    """Per term of a part of the texts, the texts that hold it and the saturated counts.
+
+    A text is the place of its key in ``keys``, which are sorted, so that ties fall to the smaller key.
+    """
+
+    SLACK = 1e-9  # ranks are rounded to fewer digits than bounds
+    PAIRS = 1 << 21  # pairs of set and text held at a time, unless one set has more
+
+    def __init__(self, keys: pa.Array, terms: pa.Array, counts: pa.Array):
+        distinct = keys.unique()
+        self.keys = distinct.take(pc.sort_indices(distinct))
+        texts = pc.index_in(keys, value_set=self.keys).to_numpy(zero_copy_only=False)
+        coded = terms.dictionary_encode()
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        self.terms = coded.dictionary
+        order = np.lexsort((texts, codes))
+        self.texts = texts[order]
+        self.shares = 1.0 - 1.0 / (counts.to_numpy(zero_copy_only=False)[order].astype(np.float64) + 1.0)
+        self.starts = np.searchsorted(codes[order], np.arange(len(self.terms) + 1))
+        self.sizes = np.diff(self.starts)
+        self.most = np.maximum.reduceat(self.shares, self.starts[:-1])
+        self.sheet = np.zeros(len(self.keys))  # one list spread over all texts, zero between uses
+
+    def best(self, sets: pa.ListArray, least: np.ndarray, k: int):
+        """The k best texts of every set that hold all its terms and reach its ``least``.
+
+        Yields arrays: places of the sets, places of the texts, ranks.
+        """
+        asked = pc.index_in(sets.flatten(), value_set=self.terms).fill_null(-1).to_numpy(zero_copy_only=False)
+        lengths = sets.value_lengths().to_numpy(zero_copy_only=False)
+        begins = np.cumsum(lengths) - lengths
+        for n in np.unique(lengths[lengths > 0]):
+            places = np.flatnonzero(lengths == n)
+            terms = asked[begins[places][:, None] + np.arange(n)]
+            some = (terms >= 0).all(axis=1)
+            places, terms = places[some], terms[some]
+            some = self.most[terms].sum(axis=1) >= (least[places] - self.SLACK) * n
+            places, terms = places[some], terms[some]
+            # The rarest term leads; sets with the same second term stand together.
+            terms = np.take_along_axis(terms, np.argsort(self.sizes[terms], axis=1, kind="stable"), axis=1)
+            if n > 1:
+                order = np.argsort(terms[:, 1], kind="stable")
+                places, terms = places[order], terms[order]
+            filled = np.cumsum(self.sizes[terms[:, 0]])
+            start = 0
+            while start < len(places):
+                before = filled[start - 1] if start else 0
+                end = max(start + 1, int(np.searchsorted(filled, before + self.PAIRS, "right")))
+                part = slice(start, end)
+                yield self._best_of(places[part], terms[part], least[places[part]], k)
+                start = end
+
+    def _best_of(self, places: np.ndarray, terms: np.ndarray, least: np.ndarray, k: int):
+        n = terms.shape[1]
+        sizes = self.sizes[terms[:, 0]]
+        which = np.repeat(np.arange(len(places)), sizes)
+        at = np.arange(len(which)) + np.repeat(self.starts[terms[:, 0]] - (np.cumsum(sizes) - sizes), sizes)
+        least = (least - self.SLACK) * n
+        others = self.most[terms[:, 1:]].sum(axis=1)
+        total = self.shares[at]
+        kept = total >= (least - others)[which]
+        which, texts, total = which[kept], self.texts[at[kept]], total[kept]
+        for column in range(1, n):
+            if column > 1:
+                order = np.argsort(terms[which, column], kind="stable")
+                which, texts, total = which[order], texts[order], total[order]
+            share = self._shares_of(terms[which, column], texts)
+            kept = share > 0
+            which, texts, total = which[kept], texts[kept], (total + share)[kept]
+        kept = total >= least[which]
+        which, texts, ranks = which[kept], texts[kept], np.round(total[kept] / n, TIE_DECIMALS)
+        if n > 2:
+            order = np.argsort(which, kind="stable")
+            which, texts, ranks = which[order], texts[order], ranks[order]
+        kept = np.ones(len(which), dtype=bool)
+        ends = np.searchsorted(which, np.arange(len(places) + 1))
+        for i in np.flatnonzero(np.diff(ends) > 2 * k):  # cut before the sort
+            own = slice(ends[i], ends[i + 1])
+            kept[own] = ranks[own] >= np.partition(ranks[own], -k)[-k]
+        which, texts, ranks = which[kept], texts[kept], ranks[kept]
+        order = np.lexsort((texts, -ranks, which))
+        which, texts, ranks = which[order], texts[order], ranks[order]
+        top = np.arange(len(which)) - np.searchsorted(which, which) < k
+        return places[which[top]], texts[top], ranks[top]
+
+    def _shares_of(self, terms: np.ndarray, texts: np.ndarray) -> np.ndarray:
+        """The saturated count of a term in a text, pair by pair; 0 where it is absent.  Equal terms stand together."""
+        found = np.empty(len(terms))
+        cuts = [0, *(np.flatnonzero(np.diff(terms)) + 1).tolist(), len(terms)] if len(terms) else []
+        for a, b in zip(cuts, cuts[1:]):
+            own = slice(self.starts[terms[a]], self.starts[terms[a] + 1])
+            held, shares = self.texts[own], self.shares[own]
+            if (b - a) * 8 < len(held):
+                place = np.minimum(np.searchsorted(held, texts[a:b]), len(held) - 1)
+                found[a:b] = np.where(held[place] == texts[a:b], shares[place], 0.0)
+            else:
+                self.sheet[held] = shares
+                found[a:b] = self.sheet[texts[a:b]]
+                self.sheet[held] = 0.0
+        return found
+
+
 def coded_vectors(codes: pa.Array, dims: int, cells_at_once: int = 1 << 22) -> pa.Array:
     """Feature-hashed unit vectors (Weinberger et al. 2009) of lists of word codes.
 

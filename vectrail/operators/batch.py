@@ -25,8 +25,12 @@ MAX_SHARED_QUERIES = 16_384
 MAX_SHARED_BYTES = 64 * 1024 * 1024
 HELD_BYTES = 64 * 1024 * 1024
 
-TEXT_BLOCKS = 64  # blocks of texts whose ranks are bounded together
-RANK_SLACK = 1e-9  # ranks are rounded to fewer digits than bounds
+# Bounds on the sets of terms of a block, and on the postings of a part, both held by a task one at a time.
+MAX_SHARED_SETS = 200_000
+MAX_SHARED_TERMS = 2_000_000
+PART_ROWS = 4_000_000
+PARTS = 64  # parts of a table that does not fill so many
+TEXT_CLASSES = 8  # classes of texts by weight, whose ranks are bounded together
 
 
 def batch_vector_search(
@@ -197,8 +201,10 @@ def batch_text_search(
         .groupBy(key, "_word")
         .agg(F.count("*").alias("_n"))
     )
+    # By text at once, so that its terms and its weight are added up on one partitioning.
+    by_text = counted.join(forms, "_word").select(key, "_term", "_n").repartition(key)
     postings = write_table(
-        counted.join(forms, "_word").groupBy(key, "_term").agg(F.sum("_n").alias("_tf")),
+        _weighed(by_text.groupBy(key, "_term").agg(F.sum("_n").alias("_tf")), key),
         work_path(spark, "postings"),
     )
 
@@ -216,113 +222,117 @@ def batch_text_search(
     return asked.select(query_key, "_set").join(found, "_set").drop("_set")
 
 
-def _blocked(postings: DataFrame, key: str, blocks: int) -> DataFrame:
-    """Postings with the block of their text: texts of like weight (occurrences of asked terms) together.
+def _parted(postings: DataFrame, key: str, classes: int, part_rows: int | None) -> DataFrame:
+    """Postings with the part of their text: texts of like weight (occurrences of asked terms) together.
 
-    Heavy texts hold the high counts, so the greatest count of a term falls from block to block.
+    Heavy texts hold the high counts, so the greatest count of a term falls from class to class;
+    the heaviest class is the last.  A class has a part per ``part_rows`` postings, by a hash of the key.
     """
-    weights = postings.groupBy(key).agg(F.sum("_tf").alias("_weight"))
-    shares = [i / blocks for i in range(1, blocks)]
-    cuts = weights.agg(F.percentile_approx("_weight", shares, 10_000).alias("c")).first()["c"] or []
-    placed = weights.select(
-        F.col(key), F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<bigint>"), lambda c: c < F.col("_weight"))).alias("_block")
+    if "_weight" not in postings.columns:
+        postings = _weighed(postings, key)
+    posted = postings.filter(F.col(key).isNotNull())
+    shares = [i / classes for i in range(1, classes)]
+    cuts = (
+        posted.groupBy(key).agg(F.first("_weight").alias("_weight"))
+        .agg(F.percentile_approx("_weight", shares, 10_000).alias("c")).first()["c"] or []
     )
-    return postings.join(placed, key)
-
-
-def _set_blocks(sets: DataFrame, stats: DataFrame) -> DataFrame:
-    """The blocks where all terms of a set occur, with what bounds the ranks of their texts there.
-
-    ``_bound`` is the rank of a text that had each term as often as any text of the block.
-    ``_lead`` is the rarest term of the block and ``_rest`` what the others add to the bound at
-    most.  ``_expected`` guesses how many texts hold all terms.
+    lighter = [(F.col("_weight") > F.lit(c)).cast("int") for c in sorted(set(cuts))]
+    posted = posted.withColumn("_class", sum(lighter, F.lit(0)))
+    sizes = {r["_class"]: r["n"] for r in posted.groupBy("_class").agg(F.count("*").alias("n")).collect()}  # few rows
+    part_rows = part_rows or min(max(sum(sizes.values()) // PARTS, PART_ROWS // 16), PART_ROWS)
+    begin, parts = 0, F.lit(0)
+    for group, n in sorted(sizes.items(), reverse=True):
+        n = -(-n // part_rows)
+        parts = F.when(F.col("_class") == group, F.pmod(F.xxhash64(key), F.lit(n)) + begin).otherwise(parts)
+        begin += n
+    heavy = F.col("_class") == max(sizes, default=0)
+    return posted.select(key, "_term", "_tf", parts.cast("int").alias("_part"), heavy.alias("_heavy"))
+
+
+def _weighed(postings: DataFrame, key: str) -> DataFrame:
+    """Postings with the occurrences of asked terms in their text."""
+    return postings.withColumn("_weight", F.sum("_tf").over(W.partitionBy(key)))
+
+
+def _pairs(sets: DataFrame, postings: DataFrame, key: str, k: int) -> DataFrame:
+    """Sets and the k best texts of every part that may reach ``_least``, with their rank.
+
+    The sets are stored in blocks; a task holds one part at a time, reads the blocks one after
+    the other and meets their terms with the lists of its part, so that a pair of set and text
+    that is not among the k best of its part is never a Spark row.
     """
-    most = text.saturation(F.col("_most"))
-    return (
-        sets.select("_set", "_terms", F.explode("_terms").alias("_term"))
-        .join(stats, "_term")
-        .groupBy("_set", "_block")
-        .agg(
-            F.first("_terms").alias("_terms"),
-            F.count("*").alias("_present"),
-            F.sum(most).alias("_total"),
-            F.min_by(F.struct(F.col("_term").alias("term"), most.alias("most")), F.struct("_df", "_term")).alias("_rarest"),
-            (F.exp(F.sum(F.log(F.col("_df") / F.col("_texts")))) * F.max("_texts")).alias("_expected"),
-        )
-        .filter(F.col("_present") == F.size("_terms"))
-        .select(
-            "_set", "_block", "_terms", "_expected",
-            (F.col("_total") / F.size("_terms")).alias("_bound"),
-            F.col("_rarest.term").alias("_lead"),
-            (F.col("_total") - F.col("_rarest.most")).alias("_rest"),
-        )
-    )
+    spark = postings.sparkSession
+    size = sets.agg(F.count("*").alias("n"), F.sum(F.size("_terms")).alias("t")).first()
+    parts = postings.agg(F.countDistinct("_part").alias("n")).first()["n"]
+    blocks = max(-(-size["n"] // MAX_SHARED_SETS), -(-(size["t"] or 0) // MAX_SHARED_TERMS), 1)
+    path = work_path(spark, "asked-sets")
+    asked = sets.select("_set", "_terms", "_least")
+    asked.withColumn("_block", F.pmod(F.xxhash64("_set"), F.lit(blocks))).repartition(
+        blocks, "_block"
+    ).write.partitionBy("_block").parquet(path)
+    schema = T.StructType([asked.schema["_set"], postings.schema[key], T.StructField("text_rank", T.DoubleType())])
+    arrow_schema = _arrow_schema(schema)
 
+    def answer(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = pa.Table.from_batches(held)
+        lists = kernels.TermLists(*(_one_chunk(part.column(i)) for i in range(3)))
+        for block in range(blocks):
+            queries = _read_block(path, block)
+            if queries is None:
+                continue
+            names, terms, least = (_one_chunk(queries.column(c)) for c in ("_set", "_terms", "_least"))
+            for places, texts, ranks in lists.best(terms, least.to_numpy(), k):
+                columns = [names.take(pa.array(places)), lists.keys.take(pa.array(texts)), pa.array(ranks)]
+                yield pa.RecordBatch.from_arrays(
+                    [c.cast(field.type) for c, field in zip(columns, arrow_schema)], schema=arrow_schema
+                )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+        for batch in batches:
+            numbers = batch.column(3).to_numpy()
+            for rows in np.split(np.arange(len(numbers)), np.flatnonzero(np.diff(numbers)) + 1):
+                if not len(rows):
+                    continue
+                if held and numbers[rows[0]] != last:
+                    yield from answer(held)
+                    held = []
+                held.append(batch.slice(rows[0], len(rows)))
+                last = numbers[rows[0]]
+        if held:
+            yield from answer(held)
 
-def _pairs(chosen: DataFrame, postings: DataFrame, key: str) -> DataFrame:
-    """Sets and the texts of their chosen blocks that may reach ``_least``, found by the lead term."""
-    texts = postings.select(F.col("_term").alias("_lead"), "_block", key, "_tf")
-    reach = (F.col("_rest") + text.saturation(F.col("_tf"))) / F.size("_terms")
     return (
-        chosen.join(texts, ["_lead", "_block"])
-        .filter(reach >= F.col("_least") - RANK_SLACK)
-        .select("_set", "_terms", key)
+        postings.select(key, "_term", "_tf", "_part")
+        .repartition(max(parts, 1), "_part")
+        .sortWithinPartitions("_part")
+        .mapInArrow(run, schema)
     )
 
 
-def _best_of_many(sets: DataFrame, postings: DataFrame, k: int, key: str, blocks: int = TEXT_BLOCKS) -> DataFrame:
-    """The k best texts of sets of several terms, by bounds on blocks of texts.
+def _best_of_many(
+    sets: DataFrame, postings: DataFrame, k: int, key: str,
+    classes: int = TEXT_CLASSES, part_rows: int | None = None,
+) -> DataFrame:
+    """The k best texts of sets of several terms, by bounds on parts of the texts.
 
-    After block-max indexes (Ding and Suel 2011): per term and block of texts the greatest count
-    is known, which bounds the rank of every text of the block.  Each set first takes its most
-    promising blocks, enough for about 2 k texts.  What its k-th text reaches there is the least
-    that the others must: only blocks, and in them texts, whose bound reaches it are looked at.
+    After block-max indexes (Ding and Suel 2011): per term and part of the texts the greatest
+    count is known, which bounds the rank of every text of the part.  Each set first meets the
+    heaviest texts.  What its k-th text reaches there is the least that the others must: only
+    parts, and in them texts, whose bound reaches it are looked at.
     """
     spark = postings.sparkSession
-    posted = write_table(_blocked(postings, key, blocks), work_path(spark, "blocked-postings"))
-    texts = posted.groupBy("_block").agg(F.countDistinct(key).alias("_texts"))  # a row per block
-    stats = (
-        posted.groupBy("_term", "_block")
-        .agg(F.count("*").alias("_df"), F.max("_tf").alias("_most"))
-        .join(F.broadcast(texts), "_block")
+    posted = write_table(_parted(postings, key, classes, part_rows), work_path(spark, "parted-postings"))
+    order = [F.desc("text_rank"), F.col(key).asc()]
+    opening = sets.withColumn("_least", F.lit(0.0))
+    first = write_table(
+        top_per_group(_pairs(opening, posted.filter("_heavy"), key, k), ["_set"], order, k),
+        work_path(spark, "first-texts"),
     )
-    by_bound = W.partitionBy("_set").orderBy(F.desc("_bound"), "_block").rowsBetween(W.unboundedPreceding, -1)
-    promising = F.coalesce(F.sum("_expected").over(by_bound), F.lit(0.0)) < 2 * k
-    candidates = write_table(
-        _set_blocks(sets, stats).withColumn("_first", promising), work_path(spark, "set-blocks")
-    )
-    # A map is searched entry by entry, so the counts of a long text are kept in small
-    # maps.  Both groupings run on one partitioning by the key.
-    counts = write_table(
-        posted.repartition(key)
-        .groupBy(key, text.drawer(F.col("_term")).alias("_drawer"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("_term", "_tf"))).alias("_in"))
-        .groupBy(key)
-        .agg(F.map_from_entries(F.collect_list(F.struct("_drawer", "_in"))).alias("_tfs")),
-        work_path(spark, "text-counts"),
-    )
-
-    def best(pairs: DataFrame) -> DataFrame:
-        ranked = pairs.join(counts, key).select(
-            "_set", key, text.rank_of_counts(F.col("_tfs"), F.col("_terms")).alias("text_rank")
-        )
-        # A pair without a match has no rank and sorts last.  It is dropped after
-        # the cut, since a filter before it would work every rank out twice.
-        return top_per_group(ranked, ["_set"], [F.desc_nulls_last("text_rank"), F.col(key).asc()], k).filter(
-            F.col("text_rank").isNotNull()
-        )
-
-    opening = candidates.filter("_first").withColumn("_least", F.lit(0.0))
-    first = write_table(best(_pairs(opening, posted, key)), work_path(spark, "first-texts"))
     reached = first.filter(F.col("position") == k).select("_set", F.col("text_rank").alias("_least"))
-    rest = (
-        candidates.filter("NOT _first")
-        .join(reached, "_set", "left")
-        .withColumn("_least", F.coalesce("_least", F.lit(0.0)))
-        .filter(F.col("_bound") >= F.col("_least") - RANK_SLACK)
-    )
-    both = first.drop("position").unionByName(best(_pairs(rest, posted, key)).drop("position"))
-    return top_per_group(both, ["_set"], [F.desc("text_rank"), F.col(key).asc()], k)
+    rest = sets.join(reached, "_set", "left").withColumn("_least", F.coalesce("_least", F.lit(0.0)))
+    both = first.drop("position").unionByName(_pairs(rest, posted.filter("NOT _heavy"), key, k))
+    return top_per_group(both, ["_set"], order, k)
 
 
 def batch_hybrid_search(
