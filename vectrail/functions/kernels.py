@@ -55,66 +55,130 @@ def distances(rows: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
 class Nearest:
     """The k nearest rows seen so far, per query.
 
-    Memory is bounded by queries times k, whatever the number of rows.
+    Memory is bounded by queries times k, whatever the number of rows.  Products in single precision
+    tell which rows may be in reach, for a block of queries at a time; only those are measured, in
+    double precision.
     """
 
+    QUERIES, ROWS = 512, 2048  # of a block of products, which stays in a core's cache
+
     def __init__(self, queries: np.ndarray, k: int, metric: str):
         self.queries, self.k, self.metric = queries, k, metric
-        self.best: list[tuple[np.ndarray, np.ndarray]] = [
-            (np.empty(0), np.empty(0, dtype=np.int64)) for _ in queries
-        ]
-        # Rows at a time, so that a block of distances stays at 32 MB.
-        self.step = min(4096, max(64, (1 << 22) // max(1, len(queries))))
+        self.measured = _directions(queries) if metric == "cosine" else queries
+        self.dist = np.full((len(queries), k), np.inf)
+        self.ids = None  # of the type of the rows' keys
+        self.found = np.zeros(len(queries), dtype=np.int64)
         # A row further away than this cannot be among the k nearest any more.
         self.reach = np.full(len(queries), np.inf)
 
     def add(self, ids: np.ndarray, rows: np.ndarray) -> None:
-        for start in range(0, len(ids), self.step):
-            part, part_ids = rows[start : start + self.step], ids[start : start + self.step]
+        if not len(ids) or not len(self.queries) or self.k < 1:
+            return
+        if self.ids is None:
+            self.ids = np.empty(self.dist.shape, dtype=ids.dtype)
+        elif self.ids.dtype != ids.dtype:
+            self.ids = self.ids.astype(np.promote_types(self.ids.dtype, ids.dtype))
+        if self.metric == "cosine":
+            rows = _directions(rows)
+        # Small steps at first, so that few rows are measured before reach is known.
+        start, step = 0, max(16, 2 * self.k)
+        while start < len(ids):
+            part = slice(start, start + step)
+            judge = _Judge(rows[part], self.metric)
+            for first in range(0, len(self.queries), self.QUERIES):
+                block = slice(first, first + self.QUERIES)
+                at, places = judge.perhaps_within(self.measured[block], self.reach[block])
+                for some in range(0, len(at), 1 << 18):
+                    few = slice(some, some + (1 << 18))
+                    self._measure(at[few] + first, ids[part], rows[part], places[few])
+            start, step = start + step, min(4 * step, self.ROWS)
+
+    def _measure(self, at: np.ndarray, ids: np.ndarray, rows: np.ndarray, places: np.ndarray) -> None:
+        ours, theirs = self.measured[at], rows[places]
+        with np.errstate(invalid="ignore", over="ignore"):
             if self.metric == "l2":
-                found, near = None, self._perhaps_in_reach(part)
+                gap = theirs - ours
+                dist = np.sqrt(np.einsum("ij,ij->i", gap, gap))
             else:
-                found = distances(part, self.queries, self.metric)
-                near = found <= self.reach[:, None]  # false for NaN
-            for i in np.flatnonzero(near.any(axis=1)):
-                places = np.flatnonzero(near[i])
-                if found is None:
-                    dist = distances(part[places], self.queries[i : i + 1], self.metric)[0]
-                    kept = dist <= self.reach[i]
-                    dist, places = dist[kept], places[kept]
-                else:
-                    dist = found[i, places]
-                if len(dist):
-                    self._merge(i, np.round(dist, TIE_DECIMALS), part_ids[places])
-
-    def _perhaps_in_reach(self, rows: np.ndarray) -> np.ndarray:
-        """Rows that may be in reach under L2, by one matrix product.
-
-        The product form loses digits, so rows near the limit, and rows it
-        cannot judge, are let through and measured exactly afterwards.
-        """
-        with np.errstate(invalid="ignore", over="ignore"):
-            size = (self.queries**2).sum(axis=1)[:, None] + (rows**2).sum(axis=1)
-            squared = size - 2.0 * (self.queries @ rows.T)
-            return ~(squared > self.reach[:, None] ** 2 + 1e-9 * size)
-
-    def _merge(self, i: int, dist: np.ndarray, ids: np.ndarray) -> None:
-        old_dist, old_ids = self.best[i]
-        if len(old_ids):
-            dist, ids = np.concatenate([old_dist, dist]), np.concatenate([old_ids, ids])
-        if len(dist) > self.k:
-            closest = dist <= np.partition(dist, self.k - 1)[self.k - 1]
-            dist, ids = dist[closest], ids[closest]
-        order = np.lexsort((ids, dist))[: self.k]
-        self.best[i] = (dist[order], ids[order])
-        if len(order) == self.k:
-            self.reach[i] = dist[order][-1] + 10.0**-TIE_DECIMALS
+                dist = np.einsum("ij,ij->i", ours, theirs)
+                dist = -dist if self.metric == "inner_product" else 1.0 - dist
+        near = dist <= self.reach[at]  # false for NaN
+        if near.any():
+            self._merge(at[near], np.round(dist[near], TIE_DECIMALS), ids[places[near]])
+
+    def _merge(self, at: np.ndarray, dist: np.ndarray, ids: np.ndarray) -> None:
+        """Queries ``at`` have new rows; those kept so far compete with them."""
+        changed = np.unique(at)
+        held = np.arange(self.k) < self.found[changed][:, None]
+        row, place = np.nonzero(held)
+        at = np.concatenate([changed[row], at])
+        dist = np.concatenate([self.dist[changed[row], place], dist])
+        ids = np.concatenate([self.ids[changed[row], place], ids])
+        order = np.lexsort((ids, dist, at))
+        at, dist, ids = at[order], dist[order], ids[order]
+        place = np.arange(len(at)) - np.searchsorted(at, at)
+        kept = place < self.k
+        at, place = at[kept], place[kept]
+        if ids.dtype != self.ids.dtype:  # a longer text than any before
+            self.ids = self.ids.astype(ids.dtype)
+        self.dist[at, place], self.ids[at, place] = dist[kept], ids[kept]
+        self.found[changed] = np.bincount(np.searchsorted(changed, at), minlength=len(changed))
+        full = changed[self.found[changed] == self.k]
+        self.reach[full] = self.dist[full, -1] + 10.0**-TIE_DECIMALS
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query positions, ids and distances, nearest first."""
+        at, place = np.nonzero(np.arange(self.k) < self.found[:, None])
+        ids = np.empty(0, dtype=np.int64) if self.ids is None else self.ids[at, place]
+        return at, ids, self.dist[at, place]
 
     def rows(self):
         """(query position, id, distance) triples."""
-        for i, kept in enumerate(self.best):
-            for dist, key in zip(*kept):
-                yield i, key, float(dist)
+        for i, key, dist in zip(*self.arrays()):
+            yield i, key, float(dist)
+
+
+class _Judge:
+    """Which of some rows may be within reach of queries, by products that may lose digits.
+
+    Rows near the limit, and rows that cannot be judged, are let through.
+    """
+
+    LARGE = 1e6  # beyond, single precision is left alone
+
+    def __init__(self, rows: np.ndarray, metric: str):
+        self.rows, self.metric, self.width = rows, metric, rows.shape[1]
+        with np.errstate(invalid="ignore", over="ignore"):
+            self.squares = np.einsum("ij,ij->i", rows, rows)
+        self.turned: dict[type, np.ndarray] = {}  # by precision
+        self.small = bool(np.abs(rows).max(initial=0.0) < self.LARGE)  # false with NaN
+
+    def perhaps_within(self, queries: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.small and bool(np.abs(queries).max(initial=0.0) < self.LARGE):
+            near = self._near(queries, reach, np.float32)
+            # Long vectors that differ little are told apart in double precision.
+            if np.isinf(reach).any() or np.count_nonzero(near) * 32 <= near.size:
+                return np.divmod(np.flatnonzero(near), near.shape[1])
+        near = self._near(queries, reach, np.float64)
+        return np.divmod(np.flatnonzero(near), near.shape[1])
+
+    def _near(self, queries: np.ndarray, reach: np.ndarray, kind: type) -> np.ndarray:
+        if kind not in self.turned:
+            self.turned[kind] = np.ascontiguousarray(self.rows.T.astype(kind))
+        with np.errstate(invalid="ignore", over="ignore", under="ignore"):
+            products = queries.astype(kind) @ self.turned[kind]
+            own = np.einsum("ij,ij->i", queries, queries)
+            most = np.nanmax(self.squares, initial=0.0)
+            # What rounding every step of a product, and a term below the smallest number, may make of it.
+            slip = 2.0 * (self.width + 8) * np.finfo(kind).eps
+            if self.metric == "l2":
+                # |q - r| <= reach where qr - rr / 2 >= (qq - reach^2) / 2: one comparison per query and row.
+                products -= (self.squares / 2).astype(kind)
+                least = (own - reach**2) / 2 - slip * (own + most)
+            else:
+                least = (1.0 - reach if self.metric == "cosine" else -reach) - slip * np.sqrt(own * most)
+            least = (least - (self.width + 8) * np.finfo(np.float32).tiny).astype(kind)
+            return ~(products < np.nextafter(least, -np.inf, dtype=kind)[:, None])  # true for NaN
 
 
 class TermLists:

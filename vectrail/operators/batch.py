@@ -79,13 +79,15 @@ def _one_chunk(column: pa.Array) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
-def _by_width(keys: list, vectors: list) -> dict[int, tuple[list, np.ndarray]]:
-    groups: dict[int, tuple[list, list]] = {}
-    for key, v in zip(keys, vectors):
-        ids, rows = groups.setdefault(len(v), ([], []))
-        ids.append(key)
-        rows.append(v)
-    return {n: (ids, np.asarray(rows, dtype=np.float64)) for n, (ids, rows) in groups.items()}
+def _by_width(keys: pa.Array, vectors: pa.Array) -> dict[int, tuple[pa.Array, np.ndarray]]:
+    """Keys and vectors by length; an element that is NULL counts as NaN."""
+    lengths = vectors.value_lengths().to_numpy(zero_copy_only=False)
+    groups = {}
+    for n in np.unique(lengths).tolist():
+        some = pa.array(lengths == n)
+        flat = vectors.filter(some).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        groups[n] = keys.filter(some), flat.reshape(-1, n)
+    return groups
 
 
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
@@ -135,7 +137,7 @@ def _against_blocks(
             queries = _read_block(path, block)
             if queries is None:
                 continue
-            for width, (names, matrix) in _by_width(*(queries.column(i).to_pylist() for i in (0, 1))).items():
+            for width, (names, matrix) in _by_width(*(_one_chunk(queries.column(i)) for i in (0, 1))).items():
                 if width not in matrices:
                     found, valid = kernels.matrix(vectors, width)
                     lost = _undefined(ids, found, valid, k, metric) if keep_undefined else ids[:0]
@@ -143,18 +145,21 @@ def _against_blocks(
                 fit, found, lost = matrices[width]
                 nearest = kernels.Nearest(matrix, k, metric)
                 nearest.add(fit, found)
-                triples = [(names[i], row.item(), d) for i, row, d in nearest.rows()]
+                at, near, distances = nearest.arrays()
+                parts = [(at, near, pa.array(distances))]
                 if keep_undefined:
-                    for i, (_, kept) in enumerate(nearest.best):
-                        if len(kept) < k:
-                            # A query without a direction has no distance to any row.
-                            none = metric == "cosine" and not matrix[i].any()
-                            others = np.sort(ids)[:k] if none else lost
-                            triples += [(names[i], row.item(), None) for row in others]
-                columns = list(zip(*triples)) if triples else [[], [], []]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, field.type) for column, field in zip(columns, arrow_schema)], schema=arrow_schema
-                )
+                    for i in np.flatnonzero(nearest.found < k):
+                        # A query without a direction has no distance to any row.
+                        none = metric == "cosine" and not matrix[i].any()
+                        others = np.sort(ids)[:k] if none else lost
+                        parts.append((np.full(len(others), i), others, pa.nulls(len(others), pa.float64())))
+                for at, near, distances in parts:
+                    if not len(at):
+                        continue
+                    columns = [names.take(pa.array(at)), pa.array(near.tolist() if near.dtype == object else near), distances]
+                    yield pa.RecordBatch.from_arrays(
+                        [c.cast(field.type) for c, field in zip(columns, arrow_schema)], schema=arrow_schema
+                    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
