@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vectrail.functions import text
+from vectrail.functions import kernels, text
 from vectrail.operators import ann, batch, search
 from vectrail.operators.embedding import Embedder
 from vectrail.session import work_path
@@ -394,3 +394,43 @@ def test_best_of_many_over_parts_and_words_as_keys(spark):
             ]
             got = sorted((r for r in found if r["_set"] == terms), key=lambda r: r["position"])
             assert [(round(-r["text_rank"], 9), r["id"]) for r in got] == [(round(r, 9), i) for r, i in sorted(ranks)[:10]]
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2", "inner_product"])
+def test_queries_are_cut_together(metric, monkeypatch):
+    """The number of sorts follows the blocks of queries and rows, not the queries."""
+    draw = np.random.default_rng(2)
+    queries, rows = draw.normal(size=(1500, 16)), draw.normal(size=(4000, 16))
+    sorts = []
+    real = np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda *x, **y: (sorts.append(1), real(*x, **y))[1])
+    nearest = kernels.Nearest(queries, 3, metric)
+    nearest.add(np.arange(4000), rows)
+    assert len(list(nearest.rows())) == 4500
+    assert len(sorts) < 100
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2", "inner_product"])
+@pytest.mark.parametrize("scale, offset", [(1.0, 0.0), (1e-3, 1e3), (1e-30, 0.0), (1e30, 0.0), (1e-12, 1.0)])
+def test_single_precision_loses_no_neighbour(metric, scale, offset):
+    draw = np.random.default_rng(3)
+    queries, rows = (offset + scale * draw.normal(size=(n, 8)) for n in (40, 3000))
+    rows[::50] = rows[1]  # copies: ties fall to the smaller key
+    rows[7], rows[8], queries[3] = np.nan, 0.0, rows[1]
+    ids = draw.permutation(3000)
+    nearest = kernels.Nearest(queries, 5, metric)
+    for part in (slice(0, 1000), slice(1000, 1003), slice(1003, None)):
+        nearest.add(ids[part], rows[part])
+    found = {}
+    for i, row, d in nearest.rows():
+        found.setdefault(i, []).append((row, d))
+    with np.errstate(invalid="ignore", over="ignore"):
+        far = kernels.distances(rows, queries, metric)
+    for i in range(len(queries)):
+        got = [d for _, d in found[i]]
+        some = np.flatnonzero(~np.isnan(far[i]))
+        want = np.sort(far[i][some])[:5]
+        assert np.allclose(got, want, rtol=1e-9, atol=2e-12)
+    copies = sorted(ids[[1, *range(0, 3000, 50)]])[:5]
+    if metric == "l2" and scale > 1e-20:  # below, all distances round to 0
+        assert [row for row, _ in found[3]] == copies
