@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -434,3 +435,42 @@ def test_single_precision_loses_no_neighbour(metric, scale, offset):
     copies = sorted(ids[[1, *range(0, 3000, 50)]])[:5]
     if metric == "l2" and scale > 1e-20:  # below, all distances round to 0
         assert [row for row, _ in found[3]] == copies
+
+
+def test_words_of_the_texts_are_not_shuffled(spark, folder):
+    """What reads the texts writes a row per text, without an exchange."""
+    texts = load(spark, folder, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
+    asked = spark.createDataFrame([(0, "ment tion"), (1, "elle pour tion")], "query_id int, query string")
+    plans, real = [], batch.write_table
+    batch.write_table = lambda df, path: (plans.append(df._jdf.queryExecution().executedPlan().toString()), real(df, path))[1]
+    try:
+        found = batch.batch_text_search(asked, texts, 5)
+    finally:
+        batch.write_table = real
+    plans = [p.split("== Initial Plan ==")[0] for p in [*plans, found._jdf.queryExecution().executedPlan().toString()]]
+    reading = [p for p in plans if "documents.parquet" in p]
+    assert reading and not any("Exchange" in p for p in reading)
+
+
+def test_batch_text_adds_up_texts_of_one_key(spark, monkeypatch):
+    """Rows of one key, or of none, are one text; small blocks and parts lose nothing."""
+    monkeypatch.setattr(batch, "MAX_SHARED_FORMS", 1)
+    monkeypatch.setattr(batch, "MAX_SHARED_TERMS", 3)
+    rows = [(1, "moteur panne"), (1, "Moteurs diesel"), (2, "diesel moteur diesel"), (3, None), (4, ""), (5, "panne"), (None, "moteur"), (None, "moteur")]
+    texts = spark.createDataFrame(rows, "id long, content string")
+    asked = spark.createDataFrame([(0, "moteur diesel"), (1, "moteur"), (2, "panne moteur")], "query_id int, query string")
+    found = batch.batch_text_search(asked, texts, 10).collect()
+    got = sorted((r["query_id"], r["position"], r["id"], round(r["text_rank"], 9)) for r in found)
+    third, both = round(2 / 3, 9), round((2 / 3 + 1 / 2) / 2, 9)
+    assert got[:2] == [(0, 1, 1, both), (0, 2, 2, both)]
+    assert [r[2:] for r in got[2:5]] == [(None, third), (1, third), (2, 0.5)]
+    assert got[5:] == [(2, 1, 1, both)]
+
+
+def test_list_counts():
+    lists = pa.array([["a", "as", "b"], None, [], ["x"], ["b", None, "b", "a"]])
+    forms = [(pa.array(["a", "as"]), pa.array(["A", "A"])), (pa.array(["b", "c"]), pa.array(["B", "C"]))]
+    places, codes, counts, terms = kernels.list_counts(lists, forms)
+    got = sorted(zip(places.tolist(), terms.take(pa.array(codes)).to_pylist(), counts.tolist()))
+    assert got == [(0, "A", 2), (0, "B", 1), (4, "A", 1), (4, "B", 2)]
+    assert not len(kernels.list_counts(lists, [])[0]) and not len(kernels.list_counts(pa.array([None, []], pa.list_(pa.string())), forms)[0])

@@ -6,6 +6,8 @@ of one batch.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -284,6 +286,30 @@ class TermLists:
         return found
 
 
+def list_counts(
+    lists: pa.ListArray, forms: Iterable[tuple[pa.Array, pa.Array]]
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """How often each term comes in each list: places of the lists, codes of the terms, counts, in this order, and the terms.
+
+    ``forms`` are blocks of words, each word once, and of the term of each; other elements, and NULL lists, count nothing.
+    """
+    coded = lists.flatten().dictionary_encode()
+    found, named = [np.empty(0, dtype=np.int64)], [pa.array([], pa.string())]
+    for words, terms in forms:
+        at = pc.index_in(words, value_set=coded.dictionary)
+        found.append(at.drop_null().to_numpy(zero_copy_only=False))
+        named.append(terms.filter(at.is_valid()).cast(pa.string()))
+    named = pa.concat_arrays(named).dictionary_encode()
+    term_of = np.full(len(coded.dictionary) + 1, -1, dtype=np.int64)  # the last is that of NULL
+    term_of[np.concatenate(found)] = named.indices.to_numpy(zero_copy_only=False)
+    codes = term_of[coded.indices.fill_null(len(coded.dictionary)).to_numpy(zero_copy_only=False)]
+    lengths = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    places = np.repeat(np.arange(len(lists), dtype=np.int64), lengths)[codes >= 0]
+    span = max(len(named.dictionary), 1)
+    pairs, counts = np.unique(places * span + codes[codes >= 0], return_counts=True)
+    return pairs // span, pairs % span, counts, named.dictionary
+
+
 def coded_vectors(codes: pa.Array, dims: int, cells_at_once: int = 1 << 22) -> pa.Array:
     """Feature-hashed unit vectors (Weinberger et al. 2009) of lists of word codes.
 

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame
@@ -25,11 +26,12 @@ MAX_SHARED_QUERIES = 16_384
 MAX_SHARED_BYTES = 64 * 1024 * 1024
 HELD_BYTES = 64 * 1024 * 1024
 
-# Bounds on the sets of terms of a block, and on the postings of a part, both held by a task one at a time.
+# Bounds on the sets of terms of a block, on the terms whose forms are a block (some 25 forms each),
+# and on the words and the postings of a part, all held by a task one at a time.
+MAX_SHARED_FORMS = 100_000
 MAX_SHARED_SETS = 200_000
 MAX_SHARED_TERMS = 2_000_000
 PART_ROWS = 4_000_000
-PARTS = 64  # parts of a table that does not fill so many
 TEXT_CLASSES = 8  # classes of texts by weight, whose ranks are bounded together
 
 
@@ -102,17 +104,22 @@ def _keys(column: pa.Array) -> np.ndarray:
     return np.asarray(column.to_pylist())
 
 
-def _read_block(path: str, block: int) -> pa.Table | None:
-    """The queries of one stored block, wherever Arrow can read the folder."""
+def _read_files(path: str) -> pa.Table | None:
+    """The rows of a stored folder, wherever Arrow can read it."""
     if "://" in path or path.startswith("file:"):
         store, root = fs.FileSystem.from_uri(path)
     else:
         store, root = fs.LocalFileSystem(), path
-    chosen = fs.FileSelector(f"{root}/_block={block}", allow_not_found=True)
+    chosen = fs.FileSelector(root, allow_not_found=True)
     files = [f.path for f in store.get_file_info(chosen) if f.path.endswith(".parquet")]
     return pa.concat_tables([pq.read_table(f, filesystem=store, partitioning=None) for f in files]) if files else None
 
 
+def _read_block(path: str, block: int) -> pa.Table | None:
+    """The queries of one stored block."""
+    return _read_files(f"{path}/_block={block}")
+
+
 def _undefined(ids: np.ndarray, rows: np.ndarray, valid: np.ndarray, k: int, metric: str) -> np.ndarray:
     """The k smallest keys of rows that have no distance to any query of this length."""
     lost = ~valid | np.isnan(rows).any(axis=1)
@@ -187,132 +194,185 @@ def batch_text_search(
 ) -> DataFrame:
     """The k best texts of every query.
 
-    Queries with the same terms are one set of terms, answered once.  The words of the
-    corpus are counted per text before they meet the forms the sets ask for.  A set of
-    one term takes the best texts of that term; the others are evaluated by bounds, see
-    ``_best_of_many``.  Texts are cut to k per set in every task before they are shuffled.
+    Queries with the same terms are one set of terms, answered once.  The terms that the sets
+    ask for are counted where a text is read, and its counts stay one row, so that no word of
+    the corpus is shuffled.  A set of one term takes the best texts of that term; the others
+    are evaluated by bounds, see ``_best_of_many``.  Texts are cut to k per set in every task
+    before they are shuffled.
     """
     spark = queries.sparkSession
     asked = queries.select(
         query_key, text.query_terms(F.col(query), language).alias("_terms")
     ).filter(F.size("_terms") > 0)
     asked = write_table(asked.withColumn("_set", F.sha1(F.array_join("_terms", " "))), work_path(spark, "asked"))
-    sets = asked.groupBy("_set").agg(F.first("_terms").alias("_terms"))
-
-    vocabulary = asked.select(F.explode("_terms").alias("_term")).distinct()
-    forms = text.word_forms(vocabulary, "_term", "_word", language)
-    counted = (
-        corpus.select(key, F.explode(F.split(F.lower(F.col(content)), text.WORD_GAP)).alias("_word"))
-        .groupBy(key, "_word")
-        .agg(F.count("*").alias("_n"))
-    )
-    # By text at once, so that its terms and its weight are added up on one partitioning.
-    by_text = counted.join(forms, "_word").select(key, "_term", "_n").repartition(key)
-    postings = write_table(
-        _weighed(by_text.groupBy(key, "_term").agg(F.sum("_n").alias("_tf")), key),
-        work_path(spark, "postings"),
-    )
+    sets = write_table(asked.groupBy("_set").agg(F.first("_terms").alias("_terms")), work_path(spark, "sets"))
+
+    vocabulary = sets.select(F.explode("_terms").alias("_term")).distinct()
+    texts = _counted(corpus, vocabulary, key, content, language)
 
     # One term: the best k texts of every term serve all sets that ask for it.
     one = F.size("_terms") == 1
-    single = postings.select(
+    alone = sets.filter(one).select("_set", F.col("_terms")[0].alias("_term"))
+    single = _postings(texts, key).join(alone, "_term", "left_semi").select(
         "_term", key, F.round(text.saturation(F.col("_tf")), text.RANK_DECIMALS).alias("text_rank")
     )
     best = top_per_group(single, ["_term"], [F.desc("text_rank"), F.col(key).asc()], k)
-    of_one = sets.filter(one).select("_set", F.col("_terms")[0].alias("_term")).join(best, "_term")
     columns = ["_set", key, "text_rank", "position"]
-    found = of_one.select(*columns).unionByName(
-        _best_of_many(sets.filter(~one), postings, k, key).select(*columns)
+    found = alone.join(best, "_term").select(*columns).unionByName(
+        _best_of_many(sets.filter(~one), texts, k, key).select(*columns)
     )
     return asked.select(query_key, "_set").join(found, "_set").drop("_set")
 
 
-def _parted(postings: DataFrame, key: str, classes: int, part_rows: int | None) -> DataFrame:
-    """Postings with the part of their text: texts of like weight (occurrences of asked terms) together.
+def _counted(corpus: DataFrame, vocabulary: DataFrame, key: str, content: str, language: str) -> DataFrame:
+    """Texts with the terms of ``vocabulary`` that they hold, ``_terms``, and how often, ``_counts``.
+
+    The forms of the terms are stored in blocks; a task reads them one after the other and counts
+    the texts it scans, a row each.  Only texts whose key comes more than once are shuffled, to
+    be added up as one text.
+    """
+    spark = corpus.sparkSession
+    path = work_path(spark, "asked-forms")
+    blocks = max(-(-vocabulary.count() // MAX_SHARED_FORMS), 1)
+    dealt = vocabulary.repartition(spark.sparkContext.defaultParallelism)
+    text.word_forms(dealt, "_term", "_word", language).select(
+        "_word", "_term", F.pmod(F.xxhash64("_term"), F.lit(blocks)).alias("_block")
+    ).write.partitionBy("_block").parquet(path)
+    rows = corpus.select(key, F.split(F.lower(F.col(content)), text.WORD_GAP).alias("_words"))
+    schema = T.StructType([rows.schema[key], *_COUNTS])
+    arrow_schema = _arrow_schema(schema)
+
+    def read() -> Iterator[tuple[pa.Array, pa.Array]]:
+        for block in range(blocks):
+            forms = _read_block(path, block)
+            if forms is not None:
+                yield _one_chunk(forms.column("_word")), _one_chunk(forms.column("_term"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = list(read()) if blocks == 1 else None
+        for batch in batches:
+            for start, length in _slices(batch.column(1), MAX_SHARED_TERMS):
+                part = batch.slice(start, length)
+                places, codes, counts, terms = kernels.list_counts(part.column(1), read() if kept is None else kept)
+                held, sizes = np.unique(places, return_counts=True)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+                columns = [
+                    part.column(0).take(pa.array(held)),
+                    pa.ListArray.from_arrays(offsets, terms.take(pa.array(codes))),
+                    pa.ListArray.from_arrays(offsets, pa.array(counts, pa.int64())),
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [c.cast(field.type) for c, field in zip(columns, arrow_schema)], schema=arrow_schema
+                )
+
+    counted = write_table(rows.mapInArrow(run, schema), work_path(spark, "counted-texts"))
+    several = counted.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1")
+    repeated = write_table(several.select(F.col(key).alias("_repeated")), work_path(spark, "repeated-keys"))
+    if repeated.isEmpty():
+        return counted
+    same = F.col(key).eqNullSafe(F.col("_repeated"))
+    merged = _by_text(_postings(counted.join(repeated, same, "left_semi"), key), key)
+    return counted.join(repeated, same, "left_anti").unionByName(merged)
+
+
+# The columns that hold the counts of a text.
+_COUNTS = (
+    T.StructField("_terms", T.ArrayType(T.StringType())),
+    T.StructField("_counts", T.ArrayType(T.LongType())),
+)
+
+
+def _postings(texts: DataFrame, key: str) -> DataFrame:
+    """A row per text and term."""
+    each = texts.select(key, F.explode(F.arrays_zip("_terms", "_counts")).alias("_p"))
+    return each.select(key, F.col("_p._terms").alias("_term"), F.col("_p._counts").alias("_tf"))
+
+
+def _by_text(postings: DataFrame, key: str) -> DataFrame:
+    """Postings as a row per text, stored; counts of equal keys and terms are added up."""
+    counts = postings.repartition(key).groupBy(key, "_term").agg(F.sum("_tf").cast("long").alias("_tf"))
+    held = counts.groupBy(key).agg(F.collect_list(F.struct("_term", "_tf")).alias("_p"))
+    rows = held.select(key, F.col("_p._term").alias("_terms"), F.col("_p._tf").alias("_counts"))
+    return write_table(rows, work_path(postings.sparkSession, "grouped-texts"))
+
+
+def _classed(texts: DataFrame, key: str, classes: int) -> DataFrame:
+    """Texts with their ``_class``: those of like weight (occurrences of asked terms) together.
 
     Heavy texts hold the high counts, so the greatest count of a term falls from class to class;
-    the heaviest class is the last.  A class has a part per ``part_rows`` postings, by a hash of the key.
+    the heaviest class is the last, marked ``_heavy``.
     """
-    if "_weight" not in postings.columns:
-        postings = _weighed(postings, key)
-    posted = postings.filter(F.col(key).isNotNull())
+    weight = F.aggregate("_counts", F.lit(0).cast("long"), lambda total, n: total + n)
+    weighed = texts.filter(F.col(key).isNotNull()).withColumn("_weight", weight)
     shares = [i / classes for i in range(1, classes)]
-    cuts = (
-        posted.groupBy(key).agg(F.first("_weight").alias("_weight"))
-        .agg(F.percentile_approx("_weight", shares, 10_000).alias("c")).first()["c"] or []
-    )
+    cuts = weighed.agg(F.percentile_approx("_weight", shares, 10_000).alias("c")).first()["c"] or []
     lighter = [(F.col("_weight") > F.lit(c)).cast("int") for c in sorted(set(cuts))]
-    posted = posted.withColumn("_class", sum(lighter, F.lit(0)))
-    sizes = {r["_class"]: r["n"] for r in posted.groupBy("_class").agg(F.count("*").alias("n")).collect()}  # few rows
-    part_rows = part_rows or min(max(sum(sizes.values()) // PARTS, PART_ROWS // 16), PART_ROWS)
-    begin, parts = 0, F.lit(0)
-    for group, n in sorted(sizes.items(), reverse=True):
-        n = -(-n // part_rows)
-        parts = F.when(F.col("_class") == group, F.pmod(F.xxhash64(key), F.lit(n)) + begin).otherwise(parts)
-        begin += n
-    heavy = F.col("_class") == max(sizes, default=0)
-    return posted.select(key, "_term", "_tf", parts.cast("int").alias("_part"), heavy.alias("_heavy"))
+    classed = weighed.withColumn("_class", sum(lighter, F.lit(0)))
+    last = classed.agg(F.max("_class").alias("c")).first()["c"] or 0
+    return classed.select(key, "_terms", "_counts", "_class", (F.col("_class") == last).alias("_heavy"))
 
 
-def _weighed(postings: DataFrame, key: str) -> DataFrame:
-    """Postings with the occurrences of asked terms in their text."""
-    return postings.withColumn("_weight", F.sum("_tf").over(W.partitionBy(key)))
+def _slices(lists: pa.ListArray, most: int) -> Iterator[tuple[int, int]]:
+    """Start and length of runs of lists that together have some ``most`` elements."""
+    before = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(before)) + 1).tolist(), len(lists)] if len(lists) else []
+    for start, end in zip(cuts, cuts[1:]):
+        yield start, end - start
 
 
-def _pairs(sets: DataFrame, postings: DataFrame, key: str, k: int) -> DataFrame:
+def _pairs(sets: DataFrame, texts: DataFrame, key: str, k: int, part_rows: int) -> DataFrame:
     """Sets and the k best texts of every part that may reach ``_least``, with their rank.
 
-    The sets are stored in blocks; a task holds one part at a time, reads the blocks one after
-    the other and meets their terms with the lists of its part, so that a pair of set and text
-    that is not among the k best of its part is never a Spark row.
+    The sets are stored in blocks.  A task holds some ``part_rows`` postings of the texts it
+    scans, a part for each class among them, reads the blocks one after the other and meets their
+    terms with the lists of a part: neither a text nor a pair of set and text that is not among
+    the k best of its part is ever shuffled.
     """
-    spark = postings.sparkSession
+    spark = texts.sparkSession
     size = sets.agg(F.count("*").alias("n"), F.sum(F.size("_terms")).alias("t")).first()
-    parts = postings.agg(F.countDistinct("_part").alias("n")).first()["n"]
     blocks = max(-(-size["n"] // MAX_SHARED_SETS), -(-(size["t"] or 0) // MAX_SHARED_TERMS), 1)
     path = work_path(spark, "asked-sets")
     asked = sets.select("_set", "_terms", "_least")
     asked.withColumn("_block", F.pmod(F.xxhash64("_set"), F.lit(blocks))).repartition(
         blocks, "_block"
     ).write.partitionBy("_block").parquet(path)
-    schema = T.StructType([asked.schema["_set"], postings.schema[key], T.StructField("text_rank", T.DoubleType())])
+    schema = T.StructType([asked.schema["_set"], texts.schema[key], T.StructField("text_rank", T.DoubleType())])
     arrow_schema = _arrow_schema(schema)
 
+    def parts(held: list[pa.RecordBatch]) -> Iterator[kernels.TermLists]:
+        table = pa.Table.from_batches(held)
+        numbers = table.column(3).to_numpy()
+        for number in np.unique(numbers):
+            keys, terms, counts = (_one_chunk(c) for c in table.filter(pa.array(numbers == number)).columns[:3])
+            rows = np.repeat(np.arange(len(keys)), terms.value_lengths().to_numpy(zero_copy_only=False))
+            yield kernels.TermLists(keys.take(pa.array(rows)), terms.flatten(), counts.flatten())
+
     def answer(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = pa.Table.from_batches(held)
-        lists = kernels.TermLists(*(_one_chunk(part.column(i)) for i in range(3)))
-        for block in range(blocks):
-            queries = _read_block(path, block)
-            if queries is None:
-                continue
-            names, terms, least = (_one_chunk(queries.column(c)) for c in ("_set", "_terms", "_least"))
-            for places, texts, ranks in lists.best(terms, least.to_numpy(), k):
-                columns = [names.take(pa.array(places)), lists.keys.take(pa.array(texts)), pa.array(ranks)]
-                yield pa.RecordBatch.from_arrays(
-                    [c.cast(field.type) for c, field in zip(columns, arrow_schema)], schema=arrow_schema
-                )
+        for lists in parts(held):
+            for block in range(blocks):
+                queries = _read_block(path, block)
+                if queries is None:
+                    continue
+                names, terms, least = (_one_chunk(queries.column(c)) for c in ("_set", "_terms", "_least"))
+                for places, found, ranks in lists.best(terms, least.to_numpy(), k):
+                    columns = [names.take(pa.array(places)), lists.keys.take(pa.array(found)), pa.array(ranks)]
+                    yield pa.RecordBatch.from_arrays(
+                        [c.cast(field.type) for c, field in zip(columns, arrow_schema)], schema=arrow_schema
+                    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last = [], None
+        held, size = [], 0
         for batch in batches:
-            numbers = batch.column(3).to_numpy()
-            for rows in np.split(np.arange(len(numbers)), np.flatnonzero(np.diff(numbers)) + 1):
-                if not len(rows):
-                    continue
-                if held and numbers[rows[0]] != last:
+            for start, length in _slices(batch.column(1), part_rows):
+                held.append(batch.slice(start, length))
+                size += pc.sum(held[-1].column(1).value_lengths()).as_py()
+                if size >= part_rows:
                     yield from answer(held)
-                    held = []
-                held.append(batch.slice(rows[0], len(rows)))
-                last = numbers[rows[0]]
+                    held, size = [], 0
         if held:
             yield from answer(held)
 
-    return (
-        postings.select(key, "_term", "_tf", "_part")
-        .repartition(max(parts, 1), "_part")
-        .sortWithinPartitions("_part")
-        .mapInArrow(run, schema)
-    )
+    return texts.select(key, "_terms", "_counts", "_class").mapInArrow(run, schema)
 
 
 def _best_of_many(
@@ -325,18 +385,21 @@ def _best_of_many(
     count is known, which bounds the rank of every text of the part.  Each set first meets the
     heaviest texts.  What its k-th text reaches there is the least that the others must: only
     parts, and in them texts, whose bound reaches it are looked at.
+
+    ``postings`` has a row per text and term, or a row per text as ``_counted`` gives it.
     """
     spark = postings.sparkSession
-    posted = write_table(_parted(postings, key, classes, part_rows), work_path(spark, "parted-postings"))
+    texts = postings if "_counts" in postings.columns else _by_text(postings, key)
+    posted, part_rows = _classed(texts, key, classes), part_rows or PART_ROWS
     order = [F.desc("text_rank"), F.col(key).asc()]
     opening = sets.withColumn("_least", F.lit(0.0))
     first = write_table(
-        top_per_group(_pairs(opening, posted.filter("_heavy"), key, k), ["_set"], order, k),
+        top_per_group(_pairs(opening, posted.filter("_heavy"), key, k, part_rows), ["_set"], order, k),
         work_path(spark, "first-texts"),
     )
     reached = first.filter(F.col("position") == k).select("_set", F.col("text_rank").alias("_least"))
     rest = sets.join(reached, "_set", "left").withColumn("_least", F.coalesce("_least", F.lit(0.0)))
-    both = first.drop("position").unionByName(_pairs(rest, posted.filter("NOT _heavy"), key, k))
+    both = first.drop("position").unionByName(_pairs(rest, posted.filter("NOT _heavy"), key, k, part_rows))
     return top_per_group(both, ["_set"], order, k)
 
 
