@@ -442,7 +442,7 @@ def test_words_of_the_texts_are_not_shuffled(spark, folder):
     texts = load(spark, folder, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("content"))
     asked = spark.createDataFrame([(0, "ment tion"), (1, "elle pour tion")], "query_id int, query string")
     plans, real = [], batch.write_table
-    batch.write_table = lambda df, path: (plans.append(df._jdf.queryExecution().executedPlan().toString()), real(df, path))[1]
+    batch.write_table = lambda df, *x, **o: (plans.append(df._jdf.queryExecution().executedPlan().toString()), real(df, *x, **o))[1]
     try:
         found = batch.batch_text_search(asked, texts, 5)
     finally:

@@ -265,7 +265,7 @@ def _counted(corpus: DataFrame, vocabulary: DataFrame, key: str, content: str, l
                     [c.cast(field.type) for c, field in zip(columns, arrow_schema)], schema=arrow_schema
                 )
 
-    counted = write_table(rows.mapInArrow(run, schema), work_path(spark, "counted-texts"))
+    counted = write_table(rows.mapInArrow(run, schema), work_path(spark, "counted-texts"), **_WIDE)
     several = counted.groupBy(key).agg(F.count("*").alias("_n")).filter("_n > 1")
     repeated = write_table(several.select(F.col(key).alias("_repeated")), work_path(spark, "repeated-keys"))
     if repeated.isEmpty():
@@ -280,6 +280,8 @@ _COUNTS = (
     T.StructField("_terms", T.ArrayType(T.StringType())),
     T.StructField("_counts", T.ArrayType(T.LongType())),
 )
+# Beyond 1 MB of distinct terms in a file, Parquet would write every one of them out.
+_WIDE = {"parquet.dictionary.page.size": str(8 * 1024 * 1024)}
 
 
 def _postings(texts: DataFrame, key: str) -> DataFrame:
@@ -293,7 +295,7 @@ def _by_text(postings: DataFrame, key: str) -> DataFrame:
     counts = postings.repartition(key).groupBy(key, "_term").agg(F.sum("_tf").cast("long").alias("_tf"))
     held = counts.groupBy(key).agg(F.collect_list(F.struct("_term", "_tf")).alias("_p"))
     rows = held.select(key, F.col("_p._term").alias("_terms"), F.col("_p._tf").alias("_counts"))
-    return write_table(rows, work_path(postings.sparkSession, "grouped-texts"))
+    return write_table(rows, work_path(postings.sparkSession, "grouped-texts"), **_WIDE)
 
 
 def _classed(texts: DataFrame, key: str, classes: int) -> DataFrame:

@@ -41,12 +41,13 @@ def corpus(documents: DataFrame, embeddings: DataFrame) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists"
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists", **options: str
 ) -> DataFrame:
     """Write ``df`` and return a scan of what was written.
 
     The default mode never overwrites, so a changed table cannot replace the
     files it is being read from.  The returned scan has no lineage behind it.
+    ``options`` go to the writer.
     """
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    df.write.mode(mode).options(**options).partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
