@@ -260,3 +260,23 @@ def test_a_common_prefix_and_one_hot_node(spark):
     words = {f"thecommonprefix{i:04d}".translate(str.maketrans("0123456789", "abcdefghij")): 1 + i % 40 for i in range(1500)}
     rows = spark.createDataFrame(list(words.items()), "word string, n long")
     assert grouped(rows) == plain_variants(words)
+
+
+def test_requests_cut_a_word_once_and_run_compiled(spark):
+    """What states ask of the edges, and that no function is evaluated row by row outside compiled code."""
+    rows = [(0, "abba", p, "abba"[:p], e) for p in range(5) for e in (0, 1)]
+    asked = spelling._requests(spark.createDataFrame(rows, "way int, word string, pos int, node string, edits int"))
+    want = Counter()
+    for way, word, p, node, edits in rows:
+        padded = word + "$" * 5
+        here, after = padded[p], padded[p + 1]
+        if edits:
+            asks = [(p + 1, here, None)]
+        else:
+            asks = [(p, None, here)]
+            asks += [(p + 1, None, here)] if here != "$" else []
+            asks += [(p + 2, after, None)] if here not in ("$", after) else []
+        want.update((way, word, node, to, (word + "$$$$")[to : to + 3], *more) for to, *more in asks)
+    assert Counter(tuple(r[c] for c in ("way", "word", "node", "pos", "ahead", "want", "skip")) for r in asked.collect()) == want
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan and plan.count("concat(") == 1

@@ -79,22 +79,27 @@ def _requests(states: DataFrame) -> DataFrame:
     ``pos`` is the position behind the edge.  ``want`` is the character of the edge; NULL takes all
     but ``skip`` and the end.
     """
-    word, pos = F.col("word"), F.col("pos")
+    pos = F.col("pos")
     none = F.lit(None).cast("string")
+    # All that is asked about lies within a few characters; they are cut out of the word once.
+    states = states.select("way", "word", "node", "pos", "edits", _piece(F.col("word"), pos, AHEAD + 2).alias("tail"))
 
-    def ask(to, want, skip):
+    def part(start, length):
+        return F.substr("tail", F.lit(start + 1), F.lit(length))
+
+    def ask(step, want, skip):
         return F.struct(
-            to.cast("int").alias("pos"), _piece(word, to, AHEAD).alias("ahead"), want.alias("want"), skip.alias("skip")
+            (pos + step).cast("int").alias("pos"), part(step, AHEAD).alias("ahead"), want.alias("want"), skip.alias("skip")
         )
 
-    here, after = _piece(word, pos, 1), _piece(word, pos + 1, 1)
+    here, after = part(0, 1), part(1, 1)
     # In a run of equal characters the last one is taken as deleted or inserted.
-    replaced = F.when(here != END, ask(pos + 1, none, here))
-    inserted = ask(pos, none, here)
-    deleted = F.when((here != END) & (here != after), ask(pos + 2, after, none))
-    followed = ask(pos + 1, here, none)
+    replaced = F.when(here != END, ask(1, none, here))
+    inserted = ask(0, none, here)
+    deleted = F.when((here != END) & (here != after), ask(2, after, none))
+    followed = ask(1, here, none)
     asks = F.when(F.col("edits") == 0, F.array(replaced, inserted, deleted)).otherwise(F.array(followed))
-    return states.select("way", "word", "node", F.explode(F.filter(asks, lambda a: a.isNotNull())).alias("ask")).select(
+    return states.select("way", "word", "node", F.explode(asks).alias("ask")).filter("ask IS NOT NULL").select(
         "way", "word", "node", "ask.*"
     )
 
@@ -112,13 +117,19 @@ def _by_trie(words: DataFrame) -> DataFrame:
     )
     spelled = words.select(F.explode(ways).alias("w")).select("w.*")
     rows = spelled.select("way", "word", F.explode(F.sequence("low", F.char_length("word"))).alias("depth"))
+    # An edge's own character and those that follow are one column while they are made distinct.
     edges = rows.select(
         "way",
         F.substr("word", F.lit(1), F.col("depth")).alias("node"),
-        _piece(F.col("word"), F.col("depth") + 1, AHEAD).alias("ahead"),
-        _piece(F.col("word"), F.col("depth"), 1).alias("next"),
-        "depth",
+        _piece(F.col("word"), F.col("depth"), AHEAD + 1).alias("tail"),
     ).distinct()
+    edges = edges.select(
+        "way",
+        "node",
+        F.substr("tail", F.lit(2), F.lit(AHEAD)).alias("ahead"),
+        F.substr("tail", F.lit(1), F.lit(1)).alias("next"),
+        F.char_length("node").alias("depth"),
+    )
     edges = write_table(edges, work_path(spark, "trie-edges"), partition_by=["depth"])
     spelled = write_table(spelled, work_path(spark, "trie-words"))
     reach = spelled.agg(F.min("low").alias("low"), F.max(F.char_length("word")).alias("high")).first()
@@ -134,7 +145,8 @@ def _by_trie(words: DataFrame) -> DataFrame:
         fits = F.when(F.col("want").isNull(), ~F.col("next").isin(END) & (F.col("next") != F.col("skip"))).otherwise(
             F.col("next") == F.col("want")
         )
-        level = asked.join(here, ["way", "node", "ahead"]).filter(fits).select(
+        # The node comes first: rows are sorted by the first bytes of the first column, and ``way`` is 0 or 1.
+        level = asked.join(here, ["node", "ahead", "way"]).filter(fits).select(
             "way", "word", "pos",
             F.when(F.col("next") == END, F.col("node")).otherwise(F.concat("node", "next")).alias("node"),
             (F.col("next") == END).alias("ended"),
